@@ -21,6 +21,23 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import simhash
+
+    found = simhash.group(_table(spark, sf_dir, "documents"), size=4, differ=4)
+    return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from . import bpe
+
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.digests(bpe.decode(bpe.encode(docs, path, pattern).drop("text"), path, pattern))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import sharding
 
@@ -63,7 +80,7 @@ FROM q LEFT JOIN taken t ON q.size > 0 AND q.queue = t.queue AND q.turn = t.turn
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_mixing": op2_mixing, "op10_sharding": op10_sharding}
+    return {"op2_mixing": op2_mixing, "op6_simhash": op6_simhash, "op7_bpe": op7_bpe, "op10_sharding": op10_sharding}
 
 
 def oracle_sql() -> dict[str, str]:
