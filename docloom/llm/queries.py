@@ -15,6 +15,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import suffixes
+
+    found = suffixes.dedup(_table(spark, sf_dir, "documents"), length=100)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import mixing
 
@@ -80,7 +88,7 @@ FROM q LEFT JOIN taken t ON q.size > 0 AND q.queue = t.queue AND q.turn = t.turn
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_mixing": op2_mixing, "op6_simhash": op6_simhash, "op7_bpe": op7_bpe, "op10_sharding": op10_sharding}
+    return {"op1_suffixes": op1_suffixes, "op2_mixing": op2_mixing, "op6_simhash": op6_simhash, "op7_bpe": op7_bpe, "op10_sharding": op10_sharding}
 
 
 def oracle_sql() -> dict[str, str]:
