@@ -29,6 +29,12 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_ego(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import ego
+
+    return ego.group(_table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import simhash
 
@@ -46,6 +52,12 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(docs, path, pattern).drop("text"), path, pattern))
 
 
+def op9_vafile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import vafile
+
+    return vafile.topk(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64.0)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import sharding
 
@@ -86,10 +98,35 @@ SELECT q.doc_id, q.size, q.source_size, q.target, coalesce(t.taken, 0)::BIGINT A
 FROM q LEFT JOIN taken t ON q.size > 0 AND q.queue = t.queue AND q.turn = t.turn AND q.cum = t.cum
 """
 
+OP5_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+ok AS (
+  SELECT * FROM v WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach(u, v) AS (
+  SELECT vec_id, vec_id FROM v UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u),
+least AS (SELECT u AS vec_id, min(v) AS component_id FROM reach GROUP BY u),
+n AS (SELECT u AS vec_id, count(*) AS n_links FROM links GROUP BY u)
+SELECT l.vec_id, coalesce(n.n_links, 0)::BIGINT AS n_links, l.component_id, l.vec_id = l.component_id AS kept
+FROM least l LEFT JOIN n USING (vec_id)
+"""
+OP9_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_suffixes": op1_suffixes, "op2_mixing": op2_mixing, "op6_simhash": op6_simhash, "op7_bpe": op7_bpe, "op10_sharding": op10_sharding}
+    return {"op1_suffixes": op1_suffixes, "op2_mixing": op2_mixing, "op5_ego": op5_ego, "op6_simhash": op6_simhash, "op7_bpe": op7_bpe, "op9_vafile": op9_vafile, "op10_sharding": op10_sharding}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": OP2_SQL}
+    return {"op2_mixing": OP2_SQL, "op5_ego": OP5_SQL, "op9_vafile": OP9_SQL}
