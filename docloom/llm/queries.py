@@ -29,6 +29,16 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import uuid
+
+    from . import common, warc
+
+    path = f"{common.shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    warc.write(_table(spark, sf_dir, "pages"), path)
+    return warc.resolve(warc.reassemble(warc.read_records(spark, path)))
+
+
 def op5_ego(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import ego
 
@@ -98,6 +108,16 @@ SELECT q.doc_id, q.size, q.source_size, q.target, coalesce(t.taken, 0)::BIGINT A
 FROM q LEFT JOIN taken t ON q.size > 0 AND q.queue = t.queue AND q.turn = t.turn AND q.cum = t.cum
 """
 
+OP4_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+m AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes < 1000 OR page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN payload_bytes < 1000 OR page_id = last THEN NULL ELSE last END AS refers_to, NULL::VARCHAR AS problem
+FROM m
+"""
 OP5_SQL = """
 WITH RECURSIVE v AS (
   SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
@@ -125,8 +145,8 @@ FROM s QUALIFY rank <= 20
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_suffixes": op1_suffixes, "op2_mixing": op2_mixing, "op5_ego": op5_ego, "op6_simhash": op6_simhash, "op7_bpe": op7_bpe, "op9_vafile": op9_vafile, "op10_sharding": op10_sharding}
+    return {"op1_suffixes": op1_suffixes, "op2_mixing": op2_mixing, "op4_warc": op4_warc, "op5_ego": op5_ego, "op6_simhash": op6_simhash, "op7_bpe": op7_bpe, "op9_vafile": op9_vafile, "op10_sharding": op10_sharding}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": OP2_SQL, "op5_ego": OP5_SQL, "op9_vafile": OP9_SQL}
+    return {"op2_mixing": OP2_SQL, "op4_warc": OP4_SQL, "op5_ego": OP5_SQL, "op9_vafile": OP9_SQL}
