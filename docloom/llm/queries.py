@@ -62,6 +62,14 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(docs, path, pattern).drop("text"), path, pattern))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    space = quality.fit(docs, _table(spark, sf_dir, "labels"))
+    return quality.score(docs, space).select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op9_vafile(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import vafile
 
@@ -145,7 +153,7 @@ FROM s QUALIFY rank <= 20
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_suffixes": op1_suffixes, "op2_mixing": op2_mixing, "op4_warc": op4_warc, "op5_ego": op5_ego, "op6_simhash": op6_simhash, "op7_bpe": op7_bpe, "op9_vafile": op9_vafile, "op10_sharding": op10_sharding}
+    return {"op1_suffixes": op1_suffixes, "op2_mixing": op2_mixing, "op4_warc": op4_warc, "op5_ego": op5_ego, "op6_simhash": op6_simhash, "op7_bpe": op7_bpe, "op8_quality": op8_quality, "op9_vafile": op9_vafile, "op10_sharding": op10_sharding}
 
 
 def oracle_sql() -> dict[str, str]:
