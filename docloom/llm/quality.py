@@ -51,7 +51,7 @@ def terms(data: bytes) -> np.ndarray:
     end = np.concatenate([run, [len(c)]])[1:]
     last = np.concatenate([first[1:], [len(r)]]) - 1
     length = end[np.where(inside[last], last, last - 1)] - run[first]
-    found = [_mixed(shape), _mixed(np.minimum(length, 20).astype(np.uint64) + _MIX), _mixed(np.array([len(first).bit_length()], np.uint64) + _MIX * np.uint64(5))]
+    found = [_mixed(shape), _mixed(np.minimum(length, 20).astype(np.uint64) + _MIX), _mixed(np.array([len(first).bit_length() + (1 << 40)], np.uint64))]
     if len(shape) > 1:
         found.append(_mixed(shape[:-1] * np.uint64(3) + shape[1:]))
     for h in found:

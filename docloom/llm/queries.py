@@ -29,6 +29,14 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import langid
+
+    docs = _table(spark, sf_dir, "documents")
+    network = langid.fit(docs)
+    return langid.predict(docs.select("doc_id", "text"), network).select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     import uuid
 
@@ -153,7 +161,7 @@ FROM s QUALIFY rank <= 20
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_suffixes": op1_suffixes, "op2_mixing": op2_mixing, "op4_warc": op4_warc, "op5_ego": op5_ego, "op6_simhash": op6_simhash, "op7_bpe": op7_bpe, "op8_quality": op8_quality, "op9_vafile": op9_vafile, "op10_sharding": op10_sharding}
+    return {"op1_suffixes": op1_suffixes, "op2_mixing": op2_mixing, "op3_langid": op3_langid, "op4_warc": op4_warc, "op5_ego": op5_ego, "op6_simhash": op6_simhash, "op7_bpe": op7_bpe, "op8_quality": op8_quality, "op9_vafile": op9_vafile, "op10_sharding": op10_sharding}
 
 
 def oracle_sql() -> dict[str, str]:
