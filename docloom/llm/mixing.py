@@ -36,14 +36,30 @@ def targets(sizes: DataFrame, weights: Sequence[float], repeats: int, share: flo
     before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     rest = Window.orderBy(*order).rowsBetween(0, Window.unboundedFollowing)
     t = t.withColumn("level", (F.col("budget") - F.coalesce(F.sum("most").over(before), F.lit(0.0))) / F.sum("weight").over(rest))
-    # the first source that doesn't stop at the level its predecessors leave settles the level of all that follow
-    t = t.withColumn("level", F.min(F.when(F.col("level") <= F.col("stops_at"), F.col("level"))).over(everything))
+    # the first source that does not stop at the level its predecessors leave settles the level; later ones would find a lower one
+    t = t.withColumn("level", F.max(F.when(F.col("level") <= F.col("stops_at"), F.col("level"))).over(everything))
     target = F.when(F.col("level").isNull(), F.col("most")).otherwise(F.least(F.col("most"), F.col("weight") * F.col("level")))
     return t.select("source", "source_size", target.alias("target"))
 
 
+def row_hash(id_col: str, source_col: str, text_col: str) -> Column:
+    return F.xxhash64(F.col(f"`{id_col}`").cast("long"), F.col(f"`{source_col}`").cast("string"), F.col(f"`{text_col}`").cast("string"))
+
+
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    """The mix itself: the rows of docs that it takes, each as often as it takes it, with all their columns."""
+    taken = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **how)
+    taken = taken.groupBy("doc_id", "row_hash").agg(F.sum("copies").cast("int").alias("copies")).filter("copies > 0")
+    taken = taken.select(F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("row_hash").alias("_hash"), F.col("copies").alias("_copies"))
+    keyed = docs.withColumns({"_id": F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(0)), "_hash": row_hash(id_col, source_col, text_col)})
+    # repeated rows are one here; their copies are added up
+    found = keyed.join(taken, ["_id", "_hash"]).dropDuplicates(["_id", "_hash"])
+    return found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_id", "_hash", "_copies", "_copy")
+
+
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, repeats: int = MOST_REPEATS, share: float = 1.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """Mixes all documents; returns doc_id, source, size (words), source_size, target, taken (words, repeats counted), copies.
+    """Mixes all documents; returns doc_id, source, row_hash (of both and the text), size (words), source_size, target, taken (words, repeats
+    counted), copies.
 
     Every source's documents are shuffled by a hash of doc_id and queue up, up to `repeats` times over. A copy's virtual
     finish time is its source's cumulative words, this copy with them, over the source's target. All copies are put in order of
@@ -54,7 +70,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, repeats: int = MOST
     queue each on their own (identical ones are interchangeable); an empty table gives an empty result. No task sorts a whole
     source or the whole queue: both orders are cut into buckets, whose sums are added up first."""
     rows = common.fit_columns(docs, {id_col: "long", text_col: "string", source_col: "string"})
-    rows = common.cut(rows.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), words(F.col(text_col)).alias("size"), F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long").alias("turn")))
+    rows = common.cut(rows.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), row_hash(id_col, source_col, text_col).alias("row_hash"), words(F.col(text_col)).alias("size"), F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long").alias("turn")))
     wide = common.buckets_for(rows.count())
     aims = common.cut(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, repeats, share).withColumn("queue", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())).cast("long")))
 
@@ -88,6 +104,6 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, repeats: int = MOST
         here = F.struct(f.alias("a"), F.col("queue").alias("b"), F.col("turn").alias("c"), F.lit(k).alias("d"))
         there = F.struct(F.lit(float(end[0])).alias("a"), F.lit(int(end[1])).cast("long").alias("b"), F.lit(int(end[2])).cast("long").alias("c"), F.lit(int(end[3])).alias("d"))
         taken = taken + (here < there).cast("int")
-    done = queued.withColumn("copies", taken).select("doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "copies")
+    done = queued.withColumn("copies", taken).select("doc_id", "source", "row_hash", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "copies")
     idle = rows.join(aims.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).filter((F.col("size") == 0) | (F.col("target") <= 0))
-    return done.unionByName(idle.select("doc_id", "source", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"), F.lit(0).alias("copies")))
+    return done.unionByName(idle.select("doc_id", "source", "row_hash", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"), F.lit(0).alias("copies")))

@@ -67,7 +67,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.digests(bpe.decode(bpe.encode(docs, path, pattern).drop("text"), path, pattern))
+    return bpe.digests(bpe.round_trip(docs, path, pattern))
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +107,7 @@ lev AS (
   FROM w),
 aims AS (
   SELECT queue, source, source_size, budget,
-         least(most, weight * coalesce((SELECT min(level) FROM lev WHERE level <= stops_at), 1e300)) AS target
+         least(most, weight * coalesce((SELECT max(level) FROM lev WHERE level <= stops_at), 1e300)) AS target
   FROM lev),
 q AS (
   SELECT d.*, aims.queue, aims.source_size, aims.target, aims.budget,
