@@ -43,17 +43,18 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(counts * 2 > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the 64 bits as a signed long. Null and wordless texts have fingerprint 0."""
+def fingerprints(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """(doc_id, fp), and long columns to carry: the 64 bits as a signed long. Null and wordless texts have fingerprint 0."""
     common.arrow_batches(docs.sparkSession)
-    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType(), False)])
+    carry = carry or []
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType(), False), *[T.StructField(c, T.LongType()) for c in carry]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.array([fingerprint(shingle_hashes(t, size)) for t in b.column(1).cast(pa.string()).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64), pa.int64())], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64), pa.int64()), *b.columns[2:]], names=schema.names)
 
-    return common.fit_columns(docs, {id_col: "long", text_col: "string"}).mapInArrow(run, schema)
+    return common.fit_columns(docs, {id_col: "long", text_col: "string"} | dict.fromkeys(carry, "long")).mapInArrow(run, schema)
 
 
 def segments(differ: int) -> list[tuple[int, int]]:
@@ -87,19 +88,34 @@ def near(fps: DataFrame, differ: int) -> DataFrame:
     return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
 
 
-def group(docs: DataFrame, size: int = 5, differ: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _roots(rows: DataFrame, differ: int) -> DataFrame:
+    """(fp, root) of the distinct fingerprints of rows."""
+    nodes = common.written(rows.select("fp").distinct())
+    roots = components(near(nodes, differ))
+    return nodes.join(roots, nodes.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
+def group(docs: DataFrame, size: int = 5, differ: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp, component_id) per row: component_id is the smallest doc_id that links of `differ` bits at most reach.
 
     Rows of one fingerprint (exact copies, all wordless texts) are one node from the start, so a group of copies never makes
     pairs; only different fingerprints are joined. A null doc_id takes part; component_id is null where no member has an id.
     An empty table gives an empty result."""
     rows = common.written(fingerprints(docs, size, id_col, text_col))
-    nodes = common.written(rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(near(nodes.select("fp"), differ))
-    nodes = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first")).join(_roots(rows, differ), "fp")
     ids = nodes.groupBy("root").agg(F.min("first").alias("component_id"))
     return rows.join(nodes.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
+def keep_one(docs: DataFrame, size: int = 5, differ: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs with the smallest doc_id of each group (nulls last; then by a hash of the text); of repeated rows one stays. All columns are kept."""
+    key = [F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit((1 << 63) - 1)), F.xxhash64(F.col(f"`{text_col}`").cast("string"))]
+    keyed = docs.withColumns({"_id": key[0], "_text": key[1]})
+    rows = common.written(fingerprints(keyed, size, "_id", text_col, ["_text"]))
+    firsts = rows.groupBy("fp").agg(F.min(F.struct("doc_id", "_text")).alias("first"))
+    firsts = firsts.join(_roots(rows, differ), "fp").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("_id"), F.col("first._text").alias("_text"))
+    return keyed.join(firsts, ["_id", "_text"], "left_semi").dropDuplicates(["_id", "_text"]).drop("_id", "_text")
+
+
 def hex16(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")

@@ -155,25 +155,26 @@ def _runs(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 _KEYS = [T.StructField("dk", T.LongType()), T.StructField("th", T.LongType())]
 
 
-def _base(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows with their key: dk is the id, and th tells rows of one id apart (0 where ids are unique)."""
-    rows = common.fit_columns(docs, {id_col: "long", text_col: "string"}).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+def _base(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -> DataFrame:
+    """Rows with their key: dk is the id, and th tells rows of one id apart (0 where ids are unique). Columns to carry are one struct."""
+    rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"), F.struct(*[F.col(f"`{c}`") for c in carry] or [F.lit(0).alias("none")]).alias("carried"))
     rows = rows.withColumn("dk", F.coalesce("doc_id", F.lit(NO_ID).cast("long")))
     repeated = not rows.groupBy("dk").count().filter("count > 1").isEmpty()
     return rows.withColumn("th", F.xxhash64("doc_id", "text") if repeated else F.lit(0).cast("long"))
 
 
-def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, as_text: bool = False) -> DataFrame:
     """Removes each byte that a `length`-byte string covers which also starts earlier: in a smaller id, or before in the same document.
 
-    Returns doc_id, n_bytes, spans (maximal removed runs [start, end) of the UTF-8 text, in order) and kept (the other bytes).
+    Returns doc_id, n_bytes, spans (maximal removed runs [start, end) of the UTF-8 text, in order), kept (the other bytes) and carried (a struct of
+    the columns named in carry). as_text: kept is a string, without characters that lost a byte.
     Texts are judged as given, whole; matches never cross documents. A null text is empty, a null id comes before all others, rows of one
     id are ordered by a hash of their text, and each further copy of a row repeats the first in whole. An empty table gives an
     empty result. length must lie between 40 and 224."""
     if not GRAM + 8 <= length <= 224:
         raise ValueError("length must lie between 40 and 224")
     common.arrow_batches(docs.sparkSession, 500)
-    base = _base(docs, id_col, text_col)
+    base = _base(docs, id_col, text_col, carry or [])
     window = length - GRAM + 1
 
     # 1. a row per snippet, dealt by bucket; place = first suffix << 16 | suffixes << 8 | gram behind the first
@@ -201,7 +202,7 @@ def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
     rows = common.written(rows.select("dk", "th", "place", F.when(~F.col("repeats"), F.col("bucket")).alias("bucket")))
 
     # 2. snippets that differ within a bucket get their bytes and meet there to be sorted
-    text = base.select("dk", "th", "text", "doc_id")
+    text = base.select("dk", "th", "text", "doc_id", "carried")
     wanted = rows.filter("bucket IS NOT NULL").groupBy("dk").agg(F.collect_list(F.struct("th", "place", "bucket")).alias("w"))
     sent = T.StructType([*_KEYS, T.StructField("bucket", T.LongType()), T.StructField("place", T.LongType()), T.StructField("bytes", T.BinaryType())])
 
@@ -216,7 +217,7 @@ def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), [pa.int64()] * 4 + [pa.binary()])], names=sent.names)
 
-    held = text.join(wanted, "dk").select("dk", "th", "text", "w", "doc_id").mapInArrow(fetch, sent)
+    held = text.join(wanted, "dk").select("dk", "th", "text", "w", "doc_id", "carried").mapInArrow(fetch, sent)
     spans = T.StructType([*_KEYS, T.StructField("low", T.LongType()), T.StructField("high", T.LongType())])
 
     def sort_block(block: list[tuple]) -> pa.RecordBatch | None:
@@ -259,7 +260,7 @@ def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
 
     # 3. each document's spans meet its text
     gone = repeats.unionByName(sorted_spans).groupBy("dk").agg(F.collect_list(F.struct("th", "low", "high")).alias("w"))
-    result = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType(), False), T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))), T.StructField("kept", T.BinaryType())])
+    result = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType(), False), T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))), T.StructField("kept", T.StringType() if as_text else T.BinaryType()), base.schema["carried"]])
     arrow = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,7 +282,7 @@ def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
                 edges = [0, *[x for s in spans_[-1] for x in (s["start"], s["end"])], len(t)]
                 kept.append(b"".join(t[a:z] for a, z in zip(edges[::2], edges[1::2])))
                 sizes.append(len(t))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(spans_, pa.list_(arrow)), pa.array(kept, pa.binary())], names=result.names)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(spans_, pa.list_(arrow)), pa.array([k.decode(errors="ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary()), b.column(5)], names=result.names)
 
     whole_rows = text.join(gone, "dk", "left").withColumn("rank", F.row_number().over(Window.partitionBy("dk", "th").orderBy(F.lit(1))))
-    return whole_rows.select("doc_id", "th", "text", "w", "rank").mapInArrow(remove, result)
+    return whole_rows.select("doc_id", "th", "text", "w", "rank", "carried").mapInArrow(remove, result)
