@@ -1,10 +1,62 @@
-"""A corpus pipeline: every stage works on all that its predecessor kept."""
+"""A corpus pipeline: quality filter, near-copies, repeated passages, mix of sources, tokens. Every stage works on all its predecessor kept."""
 
 from __future__ import annotations
 
-STAGES: list = []
+import uuid
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from docloom.llm import bpe, common, mixing, quality, simhash, suffixes
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier doesn't reject."""
+    space = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(docs, space).filter("predicted = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def unlike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of copies and near copies: fingerprints of five-word shingles that differ in five bits of 64 at most."""
+    return simhash.keep_one(docs, size=5, differ=5)
+
+
+def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, less what is covered by 100-byte strings that start earlier, too; a character that loses a byte goes. n_chars follows the text.
+
+    A null text stays null; a text that is all repeats becomes empty."""
+    rest = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    found = suffixes.dedup(docs.withColumn("_null", F.col("text").isNull()), length=100, carry=[*rest, "_null"], as_text=True)
+    text = F.when(~F.col("carried._null"), F.col("kept"))
+    columns = {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.length("text").cast("long")} | {c: F.col(f"carried.`{c}`") for c in rest}
+    return found.withColumn("text", text).select(*[columns[c].alias(c) for c in docs.columns])
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, as often as it takes them."""
+    return mixing.mixed(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, lang, source, n_tokens, ids and whether the decoded ids are the text again."""
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    rows = docs.select("doc_id", "lang", "source", "text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("was"))
+    found = bpe.round_trip(rows, path, pattern)
+    return found.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.sha2("decoded", 256) == F.col("was")).alias("exact"))
+
+
+STAGES = [("quality", good), ("near_copies", unlike), ("repeats", unrepeated), ("mix", mixture), ("tokens", tokens)]
+
+#: SQL can't express the classifier, XXH64 or the merges.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; each one's rows are written as Parquet in the shared folder and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    base = f"{common.shared_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        stage(spark, docs, sf_dir).write.parquet(f"{base}/{k}")
+        docs = spark.read.parquet(f"{base}/{k}")
+    return STAGES[-1][1](spark, docs, sf_dir)
