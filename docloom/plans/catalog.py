@@ -1,11 +1,402 @@
-"""All queries of the library's own operators and the SQL they are held against."""
+"""All queries of the library's own operators, and the DuckDB SQL they are held against.
+
+Each runs over the whole table; small sets of special rows, the same on both sides, are added where the tables lack a case.
+"""
 
 from __future__ import annotations
 
+import os
+from collections.abc import Callable
+from functools import cache
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import text as X
+from ..operators import chunk, dedup, enrich, identity, image
+from ..operators.taxonomy import Taxonomy, keyword_hits
+from . import workflow
+
+TAXONOMY = os.path.join(os.path.dirname(os.path.dirname(__file__)), "data", "taxonomy.json")
+
+# --- special rows -------------------------------------------------------------------------------
+
+TEXTS = [
+    (-1, "a NUL b nul nulx NUL NUL"), (-2, "x1234567y 12345 ١٢٣٤٥٦"), (-3, "a...b..c ... d"), (-4, " ends\x1c"), (-5, "ÉNUL NUL."),
+    (-6, "été 3.14 10:30 a.b.c"), (-7, ", x ;y :z :"), (-8, "“curly” ‘quotes’"), (-9, "a\nb \nc\t d"), (-10, "1999x in _2001_ or 2005."), (-11, "in 1850, 1987 and 2021"),
+    (-12, "\n \nhttp://x.y\nWWW.z\n  A title \nmore"), (-13, "t" * 199), (-14, "t" * 200), (-15, "t" * 201), (-16, "https://a\nwww.b"), (-17, ""), (-18, "   "), (-19, "Bread eau!? loaf-crust, oak: plank plank. " * 30),
+    (-20, "quest erst trial quest"), (-21, " ".join(["oak"] * 99)), (-22, " ".join(["oak"] * 100)), (-23, " ".join(f"w{i}" for i in range(500))), (-24, " ".join(f"w{i}" for i in range(501))),
+]
+NAMES = ["a [123456]_chunk_2.txt", "foo_chunk_12.txt", "foo_2020_1.txt", "foo.txt", "b [12345].txt", "c [1234567].txt", "d_7_8_9.txt", "[654321] [111111].pdf"]
+TITLES = ["Report 2020 v2 12345", "02000", "snake_case", "...", "1" * 30 + " long", "1899 1900 2100 2101", "Déjà Vu\t2001"]
+META = [("f1", "A Real Title 2"), ("f2", ""), ("f3", None), ("f4", "https www. arXiv"), ("f5", "A Real Title"), ("f6", "A real, title!"), ("f7", " untitled untitled ")]
+FIRST_PAGES = [("f2", "\n  \n First Line 10\nsecond"), ("f3", "   \n")]
+FILES = [("x/one.pdf", "A metadata title"), ("x/two.pdf", "short"), ("x/three.pdf", None), ("x/four [1].a.pdf", "  five5 ")]
+SPANS = [("x/two.pdf", 1, 1, 9.0, "small but long"), ("x/two.pdf", 1, 2, 20.0, "big"), ("x/two.pdf", 2, 1, 12.0, " the first of the biggest "), ("x/two.pdf", 2, 2, 12.0, "the second of them"), ("x/two.pdf", 6, 1, 99.0, "beyond the first pages"), ("x/three.pdf", 1, 1, 5.0, "tiny")]
+PAGES = [("x/three.pdf", 1, " \n "), ("x/three.pdf", 2, "\nshort\nlonger line"), ("x/three.pdf", 3, " A first line \nmore"), ("x/two.pdf", 1, "never looked at")]
+FENCES = [(-1, "a ```x``` b"), (-2, "```one``````two```"), (-3, "open ```fence"), (-4, "```only```"), (-5, ""), (-6, "```a\nb``` \n```c```")]
+PIXELS = [("grey", 100, 100, 100), ("grey", 50, 50, 50), ("red", 0, 0, 255), ("red", 0, 0, 250), ("mix", 10, 200, 30), ("mix", 90, 20, 220), ("mix", 0, 0, 0)]
+OCR = [("grey", 10), ("red", 11), ("mix", 50), ("none", 3)]
+USED = ["100000", "100002", "x", "99", "100001 "]
+OLD = [("100001", "old title"), ("100003", "another"), ("999999", "kept")]
+CHUNK_FILES = [("c [100001]_chunk_9.txt", "nine"), ("c [100001]_chunk_10.txt", "ten"), ("q_5.txt", "five"), ("none.txt", "no id")]
+
+
+def _sql(v: object) -> str:
+    """A value as a SQL literal; control characters are spelled as chr()."""
+    if v is None:
+        return "NULL"
+    if not isinstance(v, str):
+        return repr(v)
+    parts, plain = [], ""
+    for ch in v:
+        if ord(ch) < 32 or ord(ch) == 0x85:
+            parts += [f"'{plain}'"] * bool(plain) + [f"chr({ord(ch)})"]
+            plain = ""
+        else:
+            plain += ch.replace("'", "''")
+    parts += [f"'{plain}'"] if plain or not parts else []
+    return "(" + " || ".join(parts) + ")"
+
+
+def _values(rows: list, name: str, columns: str) -> str:
+    listed = ", ".join("(" + ", ".join(_sql(v) for v in (r if isinstance(r, tuple) else (r,))) + ")" for r in rows)
+    return f"(SELECT * FROM (VALUES {listed}) AS {name}({columns}))"
+
+
+def _frame(spark: SparkSession, rows: list, schema: str) -> DataFrame:
+    return spark.createDataFrame([r if isinstance(r, tuple) else (r,) for r in rows], schema)
+
+
+# --- inputs -------------------------------------------------------------------------------------
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _documents(spark: SparkSession, sf_dir: str, special: bool = True) -> DataFrame:
+    """unique_id, file_name, text of all documents and of the special texts."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    if special:
+        docs = docs.unionByName(_frame(spark, TEXTS, "doc_id long, text string"))
+    unique_id = (F.lit(100000) + F.col("doc_id")).cast("string")
+    return docs.select(unique_id.alias("unique_id"), F.concat(F.lit("doc ["), unique_id, F.lit("].txt")).alias("file_name"), "text")
+
+
+def _docs_sql(special: bool = True) -> str:
+    union = f" UNION ALL SELECT doc_id::BIGINT, text FROM {_values(TEXTS, 'v', 'doc_id, text')}" if special else ""
+    return f"d0 AS (SELECT doc_id, text FROM documents{union}), d AS (SELECT (100000 + doc_id)::VARCHAR AS unique_id, 'doc [' || (100000 + doc_id) || '].txt' AS file_name, text FROM d0)"
+
+
+def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "labels").select((F.lit(100000) + F.col("doc_id")).cast("string").alias("unique_id")).distinct()
+
+
+@cache
+def _taxonomy() -> Taxonomy:
+    with open(TAXONOMY, encoding="utf-8") as f:
+        return Taxonomy.parse(f.read())
+
+
+def _tokenizer() -> tuple[Callable, tuple]:
+    """The rank file where it is installed, else words."""
+    try:
+        import public_tokenizers as p
+    except ImportError:
+        return chunk.Words, ()
+    return chunk.RankFile, (p.path("byte_bpe_50k.tiktoken"), p.PATTERN)
+
+
+# --- SQL of the text rules ----------------------------------------------------------------------
+
+_WS, _W = r"[\t-\r\x1c-\x20\x{85}\p{Z}]", r"[\p{L}\p{N}_]"
+
+
+def _g(c: str, pattern: str, to: str = "") -> str:
+    return f"regexp_replace({c}, '{pattern}', '{to}', 'g')"
+
+
+def _strip(c: str) -> str:
+    return _g(c, f"^{_WS}+|{_WS}+$")
+
+
+def _words(c: str) -> str:
+    return f"list_filter(string_split_regex({c}, '{_WS}+'), lambda w: w <> '')"
+
+
+def _ocr(c: str) -> str:
+    nul = rf"(?i)(^|[^\p{{L}}\p{{N}}_])NUL($|[^\p{{L}}\p{{N}}_])"
+    for pattern, to in ((nul, r"\1\2"), (nul, r"\1\2"), (r"\x00|\p{Nd}{6,}", ""), (r"[\n\t]+", " "), (_WS + "{2,}", " "), (r"\.{2,}", ".")):
+        c = _g(c, pattern, to)
+    return _strip(c)
+
+
+def _normal(c: str) -> str:
+    c = _g(f"nfc_normalize({c})", _WS + "+([.,;!?])", r"\1")
+    c = _g(c, f"([.,!?;:])({_W})", r"\1 \2")
+    c = _strip(_g(_g(c, r"[ \t]+", " "), _WS + "{2,}", " "))
+    return f"translate({c}, '“”‘’', '\"\"''''')"
+
+
+def _plain(c: str) -> str:
+    return _strip("lower(" + _g(c, r"[^\p{L}\p{N}_\t-\r\x1c-\x20\x{85}\p{Z}]") + ")")
+
+
+def _skip(c: str, n: int = 500) -> str:
+    return f"CASE WHEN len({_words(c)}) > {n} THEN array_to_string({_words(c)}[{n + 1}:], ' ') ELSE {c} END"
+
+
+def _file_title(c: str) -> str:
+    c = _g(_g(f"lower({c})", r"\p{Nd}+"), r"[^\p{L}\p{N}_\t-\r\x1c-\x20\x{85}\p{Z}]")
+    c = _g(_strip(c), _WS + "+", "_")
+    for s in X.PROHIBITED:
+        c = f"replace({c}, '{s}', '')"
+    return f"coalesce(nullif({_g(c, '^_+|_+$')}, ''), 'unknown_title')"
+
+
+def _clean_title(c: str) -> str:
+    w = _words(_g(f"lower({c})", r"[^a-z0-9\t-\r\x1c-\x20\x{85}\p{Z}]"))
+    return f"array_to_string(list_filter({w}, lambda w: NOT regexp_matches(w, '^[0-9]+$') OR coalesce(try_cast(w AS INT) BETWEEN 1900 AND 2100, false)), '_')"
+
+
+_YEAR = rf"coalesce(nullif(regexp_extract(text, '(^|[^\p{{L}}\p{{N}}_])((19|20)\p{{Nd}}{{2}})($|[^\p{{L}}\p{{N}}_])', 2), ''), 'Unknown')"
+_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
+_LINE = f"coalesce(substr(list_filter(list_transform(string_split_regex(text, '{_BREAK}'), lambda l: {_strip('l')}), lambda l: l <> '' AND NOT regexp_matches(l, '^(?i)(http|www)'))[1], 1, 200), 'Untitled')"
+_ID = r"nullif(regexp_extract({c}, '\[(\p{{Nd}}{{6}})\]', 1), '')"
+_CHUNK_ID = r"coalesce(nullif(regexp_extract({c}, '\[(\p{{Nd}}{{6}})\]', 1), ''), nullif(regexp_extract({c}, '_(\p{{Nd}}+)(?:_\p{{Nd}}+)?\.txt$', 1), ''), 'unknown')"
+
+
+def _taxonomy_sql() -> str:
+    rows = [(dim, i, label, j, k.lower()) for dim, labels in _taxonomy().labels.items() for i, (label, ks) in enumerate(labels) for j, k in enumerate(ks)]
+    return f"tax AS (SELECT * FROM {_values(rows, 't', 'dim, label_ord, label, kw_ord, keyword')})"
+
+
+#: Cleaned texts, hits as rows, and the taxonomy.
+def _hits_sql(special: bool = True) -> str:
+    return (
+        f"WITH {_docs_sql(special)}, {_taxonomy_sql()}, c AS MATERIALIZED (SELECT unique_id, file_name, text, {_skip('p')} AS t FROM (SELECT *, {_plain('text')} AS p FROM d)), "
+        "hits AS MATERIALIZED (SELECT unique_id, dim, label_ord, label, count(*)::INT AS hits FROM c JOIN tax ON contains(t, keyword) GROUP BY ALL)"
+    )
+
+
+def _top1_sql(dim: str, default: str) -> str:
+    return f"SELECT c.unique_id, coalesce(h.label, '{default}') AS {dim} FROM c LEFT JOIN (SELECT unique_id, label FROM hits WHERE dim = '{dim}' QUALIFY row_number() OVER (PARTITION BY unique_id ORDER BY hits DESC, label_ord) = 1) h USING (unique_id)"
+
+
+_TAGS = "SELECT c.unique_id, coalesce(string_agg(h.label, ',' ORDER BY h.label), '') AS tags FROM c LEFT JOIN (SELECT unique_id, label FROM hits WHERE dim = 'tag' QUALIFY row_number() OVER (PARTITION BY unique_id ORDER BY hits DESC, label_ord) <= 5) h USING (unique_id) GROUP BY c.unique_id"
+_RELEVANCE = (
+    f"SELECT unique_id, CASE WHEN n < 100 OR m = 0 THEN 1 ELSE greatest(1, least(100, round_even(log10(1 + m / n * 1000) * 77, 0)::INT)) END AS relevance FROM "
+    f"(SELECT c.unique_id, len({_words('c.t')}) AS n, coalesce(sum((len(c.t) - len(replace(c.t, keyword, ''))) // len(keyword)), 0)::DOUBLE AS m FROM c LEFT JOIN tax ON dim = 'tag' GROUP BY c.unique_id, c.t)"
+)
+
+
+# --- queries ------------------------------------------------------------------------------------
+
+
+def _each(rule: Callable, out: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, d: _documents(spark, d).select("unique_id", rule(F.col("text")).alias(out))
+
+
+def _each_sql(rule: str, out: str) -> str:
+    return f"WITH {_docs_sql()} SELECT unique_id, {rule} AS {out} FROM d"
+
+
+def _cleaned(spark: SparkSession, d: str, special: bool = True) -> DataFrame:
+    return _documents(spark, d, special).withColumn("t", X.skip_words(X.strip_punct_lower(F.col("text"))))
+
+
+def _title_from_text(spark: SparkSession, d: str) -> DataFrame:
+    special = _frame(spark, META, "path string, meta string").join(_frame(spark, FIRST_PAGES, "path string, page string"), "path", "left")
+    docs = _table(spark, d, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("path"), F.lit(None).cast("string").alias("meta"), F.col("text").alias("page"))
+    return docs.unionByName(special).select("path", X.file_title(F.col("meta"), F.col("page")).alias("title"))
+
+
+_TITLE_SQL = (
+    "f AS (SELECT 'd' || doc_id AS path, NULL::VARCHAR AS meta, text AS page FROM documents UNION ALL "
+    f"SELECT m.path, m.meta, p.page FROM {_values(META, 'm', 'path, meta')} m LEFT JOIN {_values(FIRST_PAGES, 'p', 'path, page')} p USING (path)), "
+    f"titles AS (SELECT path, {_file_title('t')} AS title FROM (SELECT path, coalesce(nullif(meta, ''), list_filter(list_transform(string_split(page, chr(10)), lambda l: {_strip('l')}), lambda l: l <> '')[1], 'unknown_title') AS t FROM f))"
+)
+
+
+def _records(spark: SparkSession, d: str) -> DataFrame:
+    """Metadata of three chunks per document, so that the last one's must win."""
+    docs = _documents(spark, d)
+    parts = docs.select("unique_id", "text", F.explode(F.array(F.lit(1), F.lit(9), F.lit(10))).alias("n"))
+    named = parts.select(F.concat(F.lit("doc ["), "unique_id", F.lit("]_chunk_"), F.col("n").cast("string"), F.lit(".txt")).alias("file_name"), F.concat(F.lit("part "), F.col("n").cast("string"), F.lit("\n"), "text").alias("text"))
+    return enrich.metadata(named, _taxonomy())
+
+
+def _last(spark: SparkSession, d: str) -> DataFrame:
+    return enrich.stored(enrich.last_chunk_wins(_records(spark, d)))
+
+
+def _last_sql() -> str:
+    base = _hits_sql().replace(_docs_sql(), f"{_docs_sql().replace('d AS (', 'd1 AS (')}, d AS (SELECT unique_id, file_name, 'part 9' || chr(10) || text AS text FROM d1)")
+    label = lambda dim, default: f"({_top1_sql(dim, default)})"
+    return (
+        f"{base} SELECT c.unique_id, {_LINE.replace('text', 'c.text')} AS title, {_YEAR.replace('text', 'c.text')} AS year, k.category, g.tags, r.research_type, s.sentiment_type, v.relevance FROM c "
+        f"JOIN {label('category', 'Uncategorized')} k USING (unique_id) JOIN ({_TAGS}) g USING (unique_id) JOIN {label('research_type', 'Unclassified')} r USING (unique_id) "
+        f"JOIN {label('sentiment_type', 'General Analysis')} s USING (unique_id) JOIN ({_RELEVANCE}) v USING (unique_id) WHERE {_ID.format(c='c.file_name')} IS NOT NULL"
+    )
+
+
+def _upsert(spark: SparkSession, d: str) -> DataFrame:
+    old = _frame(spark, OLD, "unique_id string, title string")
+    new = _documents(spark, d, False).select("unique_id", X.first_line_title(F.col("text")).alias("title"))
+    return enrich.upsert(old, new)
+
+
+def _chunk_join(spark: SparkSession, d: str) -> DataFrame:
+    docs = _documents(spark, d, False).select("file_name", "text").unionByName(_frame(spark, CHUNK_FILES, "file_name string, text string"))
+    records = enrich.metadata(_documents(spark, d, False).join(_labelled(spark, d), "unique_id", "left_semi"), _taxonomy())
+    return enrich.final_documents(docs, records, F.size(X.words(F.col("text"))))
+
+
+def _chunk_meta(spark: SparkSession, d: str) -> DataFrame:
+    return _chunk_join(spark, d).select("chunk_file", F.col("metadata.unique_id").alias("unique_id"), F.col("metadata.title").alias("title"), F.col("metadata.year").alias("year"), F.array_join("metadata.tags", ",").alias("tags"))
+
+
+def _final_json(spark: SparkSession, d: str) -> DataFrame:
+    return _chunk_join(spark, d).select("chunk_file", "file_name", F.col("metadata.category").alias("category"), F.col("metadata.research_type").alias("research_type"), F.col("metadata.sentiment_type").alias("sentiment_type"), F.col("chunk.text").alias("text"), F.col("chunk.token_count").alias("token_count"))
+
+
+def _join_sql(select: str) -> str:
+    return (
+        f"{_hits_sql(False)}, files AS (SELECT file_name AS chunk_file, text FROM d UNION ALL SELECT file_name, text FROM {_values(CHUNK_FILES, 'v', 'file_name, text')}), "
+        f"m AS (SELECT c.unique_id, {_LINE.replace('text', 'c.text')} AS title, {_YEAR.replace('text', 'c.text')} AS year, k.category, g.tags, r.research_type, s.sentiment_type FROM c "
+        f"JOIN ({_top1_sql('category', 'Uncategorized')}) k USING (unique_id) JOIN ({_TAGS}) g USING (unique_id) JOIN ({_top1_sql('research_type', 'Unclassified')}) r USING (unique_id) "
+        f"JOIN ({_top1_sql('sentiment_type', 'General Analysis')}) s USING (unique_id) WHERE c.unique_id IN (SELECT (100000 + doc_id)::VARCHAR FROM labels)), "
+        f"k AS (SELECT *, {_CHUNK_ID.format(c='chunk_file')} AS unique_id FROM files) SELECT {select} FROM k LEFT JOIN m USING (unique_id)"
+    )
+
+
+def _bpe_chunks(spark: SparkSession, d: str) -> DataFrame:
+    make, args = _tokenizer()
+    return chunk.chunk_documents(_documents(spark, d).drop("file_name"), make, args)
+
+
+def _word_chunks(spark: SparkSession, d: str) -> DataFrame:
+    return chunk.chunk_documents(_documents(spark, d, False).drop("file_name"), chunk.Words, (), max_tokens=120, overlap=0)
+
+
+_WORD_CHUNKS_SQL = (
+    f"WITH RECURSIVE {_docs_sql(False)}, "
+    "s0 AS (SELECT unique_id, string_split(regexp_replace(text, '([.!?…][.!?…\"''”’)\\]]*)" + _WS + "+', '\\1' || chr(1), 'g'), chr(1)) AS s FROM d), "
+    f"s1 AS (SELECT unique_id, unnest(s) AS s, generate_subscripts(s, 1) AS i FROM s0), s AS MATERIALIZED (SELECT unique_id, i, {_strip('s')} AS s, len({_words('s')}) AS n FROM s1), "
+    "p AS (SELECT unique_id, i, 1 AS chunk_no, n AS tok FROM s WHERE i = 1 UNION ALL "
+    "SELECT s.unique_id, s.i, p.chunk_no + (p.tok + s.n > 120)::INT, CASE WHEN p.tok + s.n > 120 THEN s.n ELSE p.tok + s.n END FROM p JOIN s ON s.unique_id = p.unique_id AND s.i = p.i + 1), "
+    f"g AS (SELECT unique_id, chunk_no, {_strip(chr(34) + 'x' + chr(34))} AS text, token_count FROM (SELECT p.unique_id, p.chunk_no, string_agg(s.s, ' ' ORDER BY s.i) AS x, max(p.tok)::INT AS token_count FROM p JOIN s USING (unique_id, i) GROUP BY ALL)) "
+    "SELECT unique_id, chunk_no::INT AS chunk_no, text, token_count FROM g WHERE text <> ''"
+)
+
+
+def _token_count(spark: SparkSession, d: str) -> DataFrame:
+    make, args = _tokenizer()
+    return _documents(spark, d).select("unique_id", chunk.token_count(F.col("text"), make, args).alias("token_count"))
+
+
+def _skip_existing(spark: SparkSession, d: str) -> DataFrame:
+    chunks = _documents(spark, d, False).select("unique_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("chunk_no"))
+    existing = _labelled(spark, d).select("unique_id", F.lit(1).alias("chunk_no"))
+    return chunk.new_chunks(chunks, existing)
+
+
+def _colours(spark: SparkSession, d: str) -> DataFrame:
+    events = _table(spark, d, "events").select(F.col("user_id").cast("string").alias("image_id"), (F.col("event_id") % 256).alias("b"), (F.col("event_id") * 7 % 256).alias("g"), (F.col("event_id") * 31 % 251).alias("r"))
+    return image.colorfulness(events.unionByName(_frame(spark, PIXELS, "image_id string, b long, g long, r long")))
+
+
+_COLOUR_SQL = (
+    "px AS (SELECT user_id::VARCHAR AS image_id, (event_id % 256)::DOUBLE AS b, (event_id * 7 % 256)::DOUBLE AS g, (event_id * 31 % 251)::DOUBLE AS r FROM events UNION ALL "
+    f"SELECT image_id, b, g, r FROM {_values(PIXELS, 'v', 'image_id, b, g, r')}), "
+    "colour AS (SELECT image_id, sqrt(stddev_pop(abs(r - g)) ** 2 + stddev_pop(abs(0.5 * (r + g) - b)) ** 2) + 0.3 * sqrt(avg(abs(r - g)) ** 2 + avg(abs(0.5 * (r + g) - b)) ** 2) AS c FROM px GROUP BY 1)"
+)
+
+
+def _summary(spark: SparkSession, d: str) -> DataFrame:
+    """Repair, normalise and classify all documents; counts per category, and mean relevance."""
+    t = X.skip_words(X.strip_punct_lower(F.col("text")))
+    docs = _documents(spark, d).withColumn("text", X.normalize_text(X.clean_ocr_text(F.col("text")))).withColumn("t", t)
+    found = docs.select(_taxonomy().top1(F.col("t"), "category").alias("category"), _taxonomy().relevance(F.col("t")).alias("relevance"))
+    return found.groupBy("category").agg(F.count("*").alias("n"), F.sum("relevance").alias("relevance"))
+
+
+def _summary_sql() -> str:
+    base = _hits_sql().replace(_docs_sql(), f"{_docs_sql().replace('d AS (', 'd1 AS (')}, d AS MATERIALIZED (SELECT unique_id, file_name, {_normal(_ocr('text'))} AS text FROM d1)")
+    return f"{base} SELECT category, count(*) AS n, sum(relevance)::BIGINT AS relevance FROM ({_top1_sql('category', 'Uncategorized')}) JOIN ({_RELEVANCE}) USING (unique_id) GROUP BY category"
+
+
+def _workflow(spark: SparkSession, d: str) -> DataFrame:
+    make, args = _tokenizer()
+    final = workflow.run(_documents(spark, d), _taxonomy(), make, args)["final"]
+    return enrich.as_json(final)
+
+
+def _survivors(spark: SparkSession, d: str) -> DataFrame:
+    return dedup.exact_dedup(_table(spark, d, "documents").select("doc_id", "text", "source"), "doc_id", "text")
+
+
+_QUERIES: dict[str, tuple[Callable, str | None]] = {
+    "exact_dedup": (_survivors, "SELECT doc_id, text, source FROM documents QUALIFY row_number() OVER (PARTITION BY strlen(text), sha256(text) ORDER BY doc_id) = 1"),
+    "dup_pairs": (lambda s, d: dedup.removed(_table(s, d, "documents"), "doc_id", "text"), "SELECT doc_id AS duplicate, survivor FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY strlen(text), sha256(text)) AS survivor FROM documents) WHERE doc_id <> survivor"),
+    "prefix_dup_pairs": (lambda s, d: dedup.prefix_groups(_table(s, d, "documents"), "text"), "SELECT strlen(text)::BIGINT AS n_bytes, sha256(array_slice(encode(text), 1, 1024)) AS prefix_sha256, count(*) AS n_files FROM documents GROUP BY ALL HAVING count(*) > 1"),
+    "title_from_text": (_title_from_text, f"WITH {_TITLE_SQL} SELECT path, title FROM titles"),
+    "unique_titles": (lambda s, d: dedup.unique_titles(_title_from_text(s, d)), f"WITH {_TITLE_SQL} SELECT path, title, CASE WHEN n = 0 THEN title ELSE title || '_' || n END AS unique_title FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY path) - 1 AS n FROM titles)"),
+    "clean_title_years": (lambda s, d: _frame(s, TITLES, "title string").unionByName(_table(s, d, "part").select(F.col("p_name").alias("title"))).select("title", X.clean_title(F.col("title")).alias("clean")), f"SELECT title, {_clean_title('title')} AS clean FROM (SELECT title FROM {_values(TITLES, 'v', 'title')} UNION ALL SELECT p_name FROM part)"),
+    "title_ladder": (
+        lambda s, d: identity.title_ladder(_frame(s, FILES, "path string, meta_title string"), _frame(s, SPANS, "path string, page_no int, span_ord int, font_size double, text string"), _frame(s, PAGES, "path string, page_no int, text string")),
+        f"SELECT f.path, coalesce(CASE WHEN len({_strip('f.meta_title')}) > 5 THEN {_strip('f.meta_title')} END, s.t, p.l, {_g(_g('f.path', '^.*/'), '[.][^.]*$')}) AS title FROM {_values(FILES, 'f', 'path, meta_title')} f "
+        f"LEFT JOIN (SELECT path, {_strip('text')} AS t FROM {_values(SPANS, 's', 'path, page_no, span_ord, font_size, text')} WHERE page_no <= 5 AND len({_strip('text')}) > 5 QUALIFY row_number() OVER (PARTITION BY path ORDER BY font_size DESC, page_no, span_ord) = 1) s USING (path) "
+        f"LEFT JOIN (SELECT path, string_split({_strip('text')}, chr(10))[1] AS l FROM {_values(PAGES, 'p', 'path, page_no, text')} WHERE page_no <= 5 AND len(string_split({_strip('text')}, chr(10))[1]) > 5 QUALIFY row_number() OVER (PARTITION BY path ORDER BY page_no) = 1) p USING (path)",
+    ),
+    "assign_ids": (
+        lambda s, d: identity.assign_ids(_table(s, d, "documents").select("doc_id"), _frame(s, USED, "unique_id string").select(X.strip(F.col("unique_id")).alias("unique_id")), [F.col("doc_id")]),
+        f"SELECT doc_id, id::VARCHAR AS unique_id FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS n FROM documents) JOIN (SELECT id, row_number() OVER (ORDER BY id) AS n FROM range(100000, 1000000) r(id) WHERE id NOT IN (SELECT try_cast(trim(u) AS BIGINT) FROM {_values(USED, 'v', 'u')} WHERE try_cast(trim(u) AS BIGINT) IS NOT NULL)) USING (n)",
+    ),
+    "id_from_name": (lambda s, d: _frame(s, NAMES, "name string").union(_documents(s, d).select("file_name")).select("name", X.id_from_name(F.col("name")).alias("unique_id")), f"WITH {_docs_sql()} SELECT name, {_ID.format(c='name')} AS unique_id FROM (SELECT name FROM {_values(NAMES, 'v', 'name')} UNION ALL SELECT file_name FROM d)"),
+    "id_from_name_fallback": (lambda s, d: _frame(s, NAMES, "name string").union(_documents(s, d).select("file_name")).select("name", X.id_from_chunk_name(F.col("name")).alias("unique_id")), f"WITH {_docs_sql()} SELECT name, {_CHUNK_ID.format(c='name')} AS unique_id FROM (SELECT name FROM {_values(NAMES, 'v', 'name')} UNION ALL SELECT file_name FROM d)"),
+    "clean_ocr_text": (_each(X.clean_ocr_text, "cleaned"), _each_sql(_ocr("text"), "cleaned")),
+    "normalize_text": (_each(X.normalize_text, "normal"), _each_sql(_normal("text"), "normal")),
+    "nfc": (_each(X.nfc, "normal"), _each_sql("nfc_normalize(text)", "normal")),
+    "strip_punct_lower": (_each(X.strip_punct_lower, "cleaned"), _each_sql(_plain("text"), "cleaned")),
+    "skip_words": (_each(X.skip_words, "rest"), _each_sql(_skip("text"), "rest")),
+    "year": (_each(X.year, "year"), _each_sql(_YEAR, "year")),
+    "first_line_title": (_each(X.first_line_title, "title"), _each_sql(_LINE, "title")),
+    "taxonomy_dim": (lambda s, d: _taxonomy().table(s).withColumn("keyword", F.lower("keyword")), f"WITH {_taxonomy_sql()} SELECT dim, label_ord, label, kw_ord, keyword FROM tax"),
+    "keyword_hits": (lambda s, d: keyword_hits(_cleaned(s, d), _taxonomy(), "unique_id", "t"), f"{_hits_sql()} SELECT unique_id, dim, label_ord, label, hits FROM hits"),
+    "category": (lambda s, d: _cleaned(s, d).select("unique_id", _taxonomy().top1(F.col("t"), "category").alias("category")), f"{_hits_sql()} {_top1_sql('category', 'Uncategorized')}"),
+    "research_type": (lambda s, d: _cleaned(s, d).select("unique_id", _taxonomy().top1(F.col("t"), "research_type").alias("research_type")), f"{_hits_sql()} {_top1_sql('research_type', 'Unclassified')}"),
+    "sentiment_type": (lambda s, d: _cleaned(s, d).select("unique_id", _taxonomy().top1(F.col("t"), "sentiment_type").alias("sentiment_type")), f"{_hits_sql()} {_top1_sql('sentiment_type', 'General Analysis')}"),
+    "tags_top5": (lambda s, d: _cleaned(s, d).select("unique_id", F.array_join(_taxonomy().tags(F.col("t")), ",").alias("tags")), f"{_hits_sql()} {_TAGS}"),
+    "relevance": (lambda s, d: _cleaned(s, d).select("unique_id", _taxonomy().relevance(F.col("t")).alias("relevance")), f"{_hits_sql()} {_RELEVANCE}"),
+    "metadata_last_chunk_wins": (_last, _last_sql()),
+    "metadata_upsert": (_upsert, f"WITH {_docs_sql(False)} SELECT unique_id, title FROM {_values(OLD, 'o', 'unique_id, title')} WHERE unique_id NOT IN (SELECT unique_id FROM d) UNION ALL SELECT unique_id, {_LINE} FROM d"),
+    "chunk_metadata_join": (_chunk_meta, _join_sql("chunk_file, unique_id, coalesce(title, '') AS title, coalesce(year, '') AS year, coalesce(tags, '') AS tags")),
+    "final_json_struct": (_final_json, _join_sql(f"chunk_file, unique_id || '.pdf' AS file_name, coalesce(category, '') AS category, coalesce(research_type, '') AS research_type, coalesce(sentiment_type, '') AS sentiment_type, text, len({_words('text')})::INT AS token_count")),
+    "segments_fences": (
+        lambda s, d: chunk.segments_table(_frame(s, FENCES, "id long, text string").unionByName(_table(s, d, "documents").select(F.col("doc_id").alias("id"), "text")), "id"),
+        f"WITH f AS (SELECT id, text FROM {_values(FENCES, 'v', 'id, text')} UNION ALL SELECT doc_id, text FROM documents), x AS (SELECT id, string_split_regex(text, '```[\\s\\S]*?```') AS gaps, regexp_extract_all(text, '```[\\s\\S]*?```') AS codes FROM f), "
+        "y AS (SELECT id, generate_subscripts(gaps, 1) AS i, gaps, codes FROM x), z AS (SELECT id, 2 * i AS o, 'text' AS kind, gaps[i] AS text FROM y UNION ALL SELECT id, 2 * i + 1, 'code', codes[i] FROM y) "
+        "SELECT id, row_number() OVER (PARTITION BY id ORDER BY o)::INT AS seg_no, kind, text FROM z WHERE text IS NOT NULL AND text <> ''",
+    ),
+    "chunks_words_no_overlap": (_word_chunks, _WORD_CHUNKS_SQL),
+    "chunks_bpe_overlap": (_bpe_chunks, None),
+    "token_count": (_token_count, None),
+    "skip_existing_chunks": (_skip_existing, f"WITH {_docs_sql(False)} SELECT unique_id, n::INT AS chunk_no FROM d, (SELECT unnest([1, 2]) AS n) WHERE NOT (n = 1 AND unique_id IN (SELECT (100000 + doc_id)::VARCHAR FROM labels))"),
+    "colorfulness": (lambda s, d: _colours(s, d).select("image_id", F.round("colorfulness", 6).alias("colorfulness")), f"WITH {_COLOUR_SQL} SELECT image_id, round(c, 6) AS colorfulness FROM colour"),
+    "image_relevance": (
+        lambda s, d: _colours(s, d).join(_frame(s, OCR, "image_id string, ocr_words int"), "image_id", "left").select("image_id", image.keep(F.col("colorfulness"), F.coalesce("ocr_words", F.lit(11))).alias("keep")),
+        f"WITH {_COLOUR_SQL} SELECT image_id, c >= 10 OR coalesce(w, 11) <= 10 AS keep FROM colour LEFT JOIN {_values(OCR, 'o', 'image_id, w')} o USING (image_id)",
+    ),
+    "pipeline_summary": (_summary, _summary_sql()),
+    "workflow_json": (_workflow, None),
+}
+
 
-def queries() -> dict:
-    return {}
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: q for name, (q, _) in _QUERIES.items()}
 
 
-def oracle_sql() -> dict:
-    return {}
+def oracle_sql() -> dict[str, str]:
+    return {name: sql for name, (_, sql) in _QUERIES.items() if sql}
