@@ -42,6 +42,11 @@ def targets(sizes: DataFrame, weights: Sequence[float], repeats: int, share: flo
     return t.select("source", "source_size", target.alias("target"))
 
 
+def _within(turn: Column) -> Column:
+    """Whether half of a document's copy, in the given pass over its source, lies within the target."""
+    return F.col("cum") + turn * F.col("source_size") - F.col("size") / 2.0 <= F.col("target")
+
+
 def row_hash(id_col: str, source_col: str, text_col: str) -> Column:
     return F.xxhash64(F.col(f"`{id_col}`").cast("long"), F.col(f"`{source_col}`").cast("string"), F.col(f"`{text_col}`").cast("string"))
 
@@ -63,8 +68,9 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, repeats: int = MOST
 
     Every source's documents are shuffled by a hash of doc_id and queue up, up to `repeats` times over. A copy's virtual
     finish time is its source's cumulative words, this copy with them, over the source's target. All copies are put in order of
-    finish time, and taken while their cumulative words stay within the budget. A document longer than what a target leaves is
-    not cut; a source's taken words differ from its target by a document or so.
+    finish time, and taken while their cumulative words stay within the budget. A copy of which more than half lies beyond its source's target stays
+    out, so that others' words never fill a gap that a long document leaves. Documents aren't cut: a source's taken words differ from its target by
+    less than its longest document.
 
     A null source is a source of its own, ranked last; null or blank text has size 0 and nothing is taken of it; repeated rows
     queue each on their own (identical ones are interchangeable); an empty table gives an empty result. No task sorts a whole
@@ -81,7 +87,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, repeats: int = MOST
     queued = common.cut(queued.filter((F.col("size") > 0) & (F.col("target") > 0)))
 
     # at most `repeats` copies a document; only their finish times are needed to find the last one taken
-    copies = queued.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))).withColumn("finish", finish)
+    copies = queued.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))).filter(_within(F.col("pass"))).withColumn("finish", finish)
     copies = copies.withColumn("slice", F.floor(F.least(F.col("finish"), F.lit(float(2 * repeats))) * wide)).select("queue", "doc_id", "turn", "pass", "size", "finish", "slice")
     total = aims.agg(F.sum("source_size")).first()[0] or 0
     budget = float(total) * float(share)
@@ -103,7 +109,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, repeats: int = MOST
         f = (F.col("cum") + k * F.col("source_size")) / F.col("target")
         here = F.struct(f.alias("a"), F.col("queue").alias("b"), F.col("turn").alias("c"), F.lit(k).alias("d"))
         there = F.struct(F.lit(float(end[0])).alias("a"), F.lit(int(end[1])).cast("long").alias("b"), F.lit(int(end[2])).cast("long").alias("c"), F.lit(int(end[3])).alias("d"))
-        taken = taken + (here < there).cast("int")
+        taken = taken + (_within(F.lit(k)) & (here < there)).cast("int")
     done = queued.withColumn("copies", taken).select("doc_id", "source", "row_hash", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "copies")
     idle = rows.join(aims.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).filter((F.col("size") == 0) | (F.col("target") <= 0))
     return done.unionByName(idle.select("doc_id", "source", "row_hash", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"), F.lit(0).alias("copies")))

@@ -115,7 +115,7 @@ q AS (
   FROM d JOIN aims ON d.source IS NOT DISTINCT FROM aims.source),
 copies AS (
   SELECT q.*, pass, (cum + pass * source_size)::DOUBLE / target AS finish
-  FROM q, (SELECT unnest([0, 1, 2]) AS pass) WHERE size > 0 AND target > 0),
+  FROM q, (SELECT unnest([0, 1, 2]) AS pass) WHERE size > 0 AND target > 0 AND cum + pass * source_size - size / 2.0::DOUBLE <= target),
 ordered AS (
   SELECT *, sum(size) OVER (ORDER BY finish, queue, turn, pass ROWS UNBOUNDED PRECEDING) AS upto FROM copies),
 taken AS (
