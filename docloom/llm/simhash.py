@@ -58,8 +58,8 @@ def fingerprints(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: s
 
 
 def segments(differ: int) -> list[tuple[int, int]]:
-    """(first bit, number of bits) of the fewest segments of which one differs by at most one bit: were all to differ by two, more than `differ` bits would."""
-    n = differ // 2 + 1
+    """(first bit, number of bits) of the fewest segments, two at least, of which one differs by at most one bit: were all to differ by two, more than `differ` bits would."""
+    n = max(2, differ // 2 + 1)
     at = [BITS * i // n for i in range(n + 1)]
     return [(a, b - a) for a, b in zip(at, at[1:])]
 
