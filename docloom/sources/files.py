@@ -39,9 +39,9 @@ def append_ids(ids: DataFrame, path: str) -> None:
     ids.select("unique_id").write.mode("append").text(path)
 
 
-def metadata_json(spark: SparkSession, folder: str) -> DataFrame:
-    """Records of JSON files; broken ones, and ones without an identifier, are left out, so that a later join gives them empty fields."""
-    return spark.read.schema(METADATA_JSON).option("multiLine", True).option("mode", "DROPMALFORMED").json(folder).filter("unique_id IS NOT NULL")
+def metadata_json(spark: SparkSession, folder: str, one_per_file: bool = False) -> DataFrame:
+    """Records of JSON files, an object a line, or one object, over several lines, a file; broken ones, and ones without an identifier, are left out, so that a later join gives them empty fields."""
+    return spark.read.schema(METADATA_JSON).option("multiLine", one_per_file).option("mode", "DROPMALFORMED").json(folder).filter("unique_id IS NOT NULL")
 
 
 def write_metadata(records: DataFrame, folder: str) -> None:
