@@ -22,9 +22,11 @@ NONE = np.int32(2**31 - 1)
 #: Matrices are as wide as a power of two up to this; longer pieces are merged with a heap.
 WIDEST = 256
 #: Cells of a matrix at most.
-CELLS = 1 << 20
+CELLS = 1 << 18
 #: Pieces whose ids a worker remembers; it forgets all of them beyond.
-REMEMBERED = 150_000
+REMEMBERED = 100_000
+#: Rows of an Arrow batch: few, since every piece of a batch is held.
+ROWS = 250
 
 _worker: dict = {}
 
@@ -225,15 +227,23 @@ def read_ranks(path: str) -> bytes:
         return f.read()
 
 
+def _lists(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
+
+
+def _binaries(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out: str = "ids") -> DataFrame:
     """Adds the ids of each whole text, split by the pattern, without special tokens: array<int>, empty for null or empty text.
 
     Every row is encoded on its own: repeated rows give the same ids, an empty table an empty result, and all other columns are
     kept (one named like `out` is replaced). Memory follows the batch, and a text of any length is encoded whole."""
     spark = docs.sparkSession
-    common.arrow_batches(spark)
+    common.arrow_batches(spark, ROWS)
     raw = spark.sparkContext.broadcast(read_ranks(path))
-    base = docs.drop(out) if out.lower() not in (text_col.lower(),) else docs
+    base = docs.drop(out)
     schema = T.StructType([*base.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType(), False))])
     at = [f.name for f in base.schema.fields].index(text_col)
 
@@ -241,8 +251,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out
         encoder = _encoder(raw, pattern)
         for b in batches:
             ids, offsets = encoder.encode(b.column(at).cast(pa.string()).to_pylist())
-            ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
-            yield pa.RecordBatch.from_arrays([*b.columns, ids], names=[*b.schema.names, out])
+            yield pa.RecordBatch.from_arrays([*b.columns, _lists(ids, offsets)], names=[*b.schema.names, out])
 
     return base.mapInArrow(run, schema)
 
@@ -260,12 +269,31 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids", ou
             ids = b.column(at)
             lengths = np.nan_to_num(ids.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64)
             data, ends = vocabulary.decode(ids.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(lengths)]))
-            whole = pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
-            yield pa.RecordBatch.from_arrays([*b.columns, whole], names=[*b.schema.names, out])
+            yield pa.RecordBatch.from_arrays([*b.columns, _binaries(data, ends)], names=[*b.schema.names, out])
 
     return encoded.mapInArrow(run, schema)
 
 
+def round_trip(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """encode() and decode() of the ids in one pass: one Python worker a task instead of two. The text column is dropped."""
+    spark = docs.sparkSession
+    common.arrow_batches(spark, ROWS)
+    raw = spark.sparkContext.broadcast(read_ranks(path))
+    base = docs.drop(ids, out)
+    kept = [f for f in base.schema.fields if f.name != text_col]
+    schema = T.StructType([*kept, T.StructField(ids, T.ArrayType(T.IntegerType(), False)), T.StructField(out, T.BinaryType())])
+    at = [f.name for f in base.schema.fields].index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(raw, pattern)
+        for b in batches:
+            flat, offsets = encoder.encode(b.column(at).cast(pa.string()).to_pylist())
+            data, ends = encoder.vocabulary.decode(flat, offsets)
+            yield pa.RecordBatch.from_arrays([*[b.column(f.name) for f in kept], _lists(flat, offsets), _binaries(data, ends)], names=schema.names)
+
+    return base.mapInArrow(run, schema)
+
+
 def digests(encoded: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of rows with ids and decoded."""
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
