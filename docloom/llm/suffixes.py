@@ -30,6 +30,8 @@ PERIOD = 32
 COVER = (0, 1, 2, 3, 7, 11, 15, 19, 25)
 #: Bytes of snippets that a task lays out at a time, if a bucket isn't larger.
 BLOCK_BYTES = 4 << 20
+#: Snippets of a bucket that one task sorts at most. The suffixes of a larger one are told apart by 128-bit hashes instead, which spread over all tasks.
+HOT = 50_000
 #: What a null doc_id counts as: it comes before all others.
 NO_ID = -(1 << 63)
 
@@ -163,6 +165,25 @@ def _base(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -> Data
     return rows.withColumn("th", F.xxhash64("doc_id", "text") if repeated else F.lit(0).cast("long"))
 
 
+def _hot_spans(joined: DataFrame, length: int) -> DataFrame:
+    """(dk, th, low, high) of the suffixes of hot buckets that an equal one precedes, by hashes: least (dk, th, place) per hash, combined before the shuffle."""
+    out = T.StructType([*_KEYS, *[T.StructField(n, T.LongType()) for n in ("low", "h1", "h2")]])
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for d, h, t, w in zip(*(b.column(i).to_pylist() if i != 2 else b.column(i).cast(pa.binary()).to_pylist() for i in range(4))):
+                places = sorted({p for x in w if x["th"] == h for p in range(x["place"] >> 16, (x["place"] >> 16) + (x["place"] >> 8 & 255))})
+                view = memoryview(t)
+                whole = np.array([[v >> 64, v & (1 << 64) - 1] for v in (xxhash.xxh3_128_intdigest(view[p : p + length]) for p in places)], np.uint64).reshape(-1, 2).view(np.int64)
+                n = len(places)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, d)), pa.array(np.full(n, h)), pa.array(places, pa.int64()), pa.array(whole[:, 0]), pa.array(whole[:, 1])], names=out.names)
+
+    rows = common.written(joined.mapInArrow(spread, out))
+    at = F.struct("dk", "th", "low")
+    first = rows.groupBy("h1", "h2").agg(F.min(at).alias("first"))
+    return rows.join(first, ["h1", "h2"]).filter(at > F.col("first")).select("dk", "th", "low", (F.col("low") + length).alias("high"))
+
+
 def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, as_text: bool = False) -> DataFrame:
     """Removes each byte that a `length`-byte string covers which also starts earlier: in a smaller id, or before in the same document.
 
@@ -173,12 +194,13 @@ def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
     empty result. length must lie between 40 and 224."""
     if not GRAM + 8 <= length <= 224:
         raise ValueError("length must lie between 40 and 224")
-    common.arrow_batches(docs.sparkSession, 500)
+    common.arrow_batches(docs.sparkSession, 1000)
     base = _base(docs, id_col, text_col, carry or [])
     window = length - GRAM + 1
 
-    # 1. a row per snippet, dealt by bucket; place = first suffix << 16 | suffixes << 8 | gram behind the first
-    out = T.StructType([*_KEYS, *[T.StructField(n, T.LongType()) for n in ("bucket", "whole", "place")]])
+    # 1. a row per snippet, dealt by bucket; place = first suffix << 16 | suffixes << 8 | gram behind the first. Of equal snippets in a batch only
+    # the first is dealt; the others are known to repeat it, and go as (low, high) to buckets of their own.
+    out = T.StructType([*_KEYS, *[T.StructField(n, T.LongType()) for n in ("bucket", "whole", "place", "low", "high")]])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -187,23 +209,44 @@ def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
             for i, t in enumerate(b.column(2).cast(pa.binary()).to_pylist()):
                 if len(t) >= length:
                     found += [(np.full(len(g), dk[i]), np.full(len(g), th[i]), g, w, (first << 16) | (count << 8) | near) for g, first, count, near, w in snippets(t, length)]
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), pa.int64()) for c in zip(*found)], names=out.names)
+            if not found:
+                continue
+            rows = np.array([np.concatenate(c) for c in zip(*found)])
+            rows = rows[:, np.lexsort((rows[4], rows[1], rows[0], rows[3], rows[2]))]
+            same = np.concatenate([[False], (rows[2:4, 1:] == rows[2:4, :-1]).all(axis=0)])
+            copy = np.concatenate([[False], (rows[:, 1:] == rows[:, :-1]).all(axis=0)])  # of a copy of the document
+            d, h, _, _, place = rows[:, same & ~copy]
+            o = np.lexsort((place, h, d))
+            d, h, low = d[o], h[o], place[o] >> 16
+            high = low + (place[o] >> 8 & 255) + length - 1
+            new = np.concatenate([[True], (d[1:] != d[:-1]) | (h[1:] != h[:-1]) | (low[1:] > high[:-1])]) if len(d) else np.zeros(0, bool)
+            k = np.flatnonzero(new)
+            known = [d[k], h[k], low[k], np.maximum.reduceat(high, k) if len(k) else high]
+            rows = rows[:, ~same]
+            n, m = rows.shape[1], len(k)
+            alone = known[0] * 0x9E3779B1 + known[2]
+            cols = [np.concatenate(c) for c in ((rows[0], known[0]), (rows[1], known[1]), (rows[2], alone), (rows[3], np.zeros(m, np.int64)), (rows[4], np.zeros(m, np.int64)), (np.zeros(n, np.int64), known[2]), (np.zeros(n, np.int64), known[3]))]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=out.names)
 
     rows = base.select("dk", "th", "text").mapInArrow(cut, out)
-    mine, whole = Window.partitionBy("bucket"), ["whole", "dk", "th", "place"]
+    whole = ["whole", "dk", "th", "place"]
+    mine = Window.partitionBy("bucket", F.col("high") > 0)
     order = mine.orderBy(*whole)
-    rows = rows.withColumns({"least": F.min("whole").over(mine), "most": F.max("whole").over(mine), "n": F.count("*").over(mine)}).filter("n > 1")
-    before = {f"p_{c}": F.lag(c).over(order) for c in whole}
-    rows = rows.withColumns(before)
+    rows = rows.withColumns({"least": F.min("whole").over(mine), "most": F.max("whole").over(mine), "n": F.count("*").over(mine)}).filter("n > 1 OR high > 0")
+    rows = rows.withColumns({f"p_{c}": F.lag(c).over(order) for c in whole})
     copy = (F.col("p_whole") == F.col("whole")) & (F.col("p_dk") == F.col("dk")) & (F.col("p_th") == F.col("th")) & (F.col("p_place") == F.col("place"))
     rows = rows.withColumn("copy", F.coalesce(copy, F.lit(False))).withColumn("repeats", F.coalesce(F.col("p_whole") == F.col("whole"), F.lit(False)))
-    rows = rows.filter("NOT copy AND (repeats OR least <> most)")
-    rows = common.written(rows.select("dk", "th", "place", F.when(~F.col("repeats"), F.col("bucket")).alias("bucket")))
+    rows = rows.filter("high > 0 OR (NOT copy AND (repeats OR least <> most))")
+    first = F.shiftright("place", 16)
+    known = F.col("high") > 0
+    rows = common.written(rows.select("dk", "th", "place", F.when(~known & ~F.col("repeats"), F.col("bucket")).alias("bucket"), (F.col("n") > HOT).alias("hot"), F.when(known, F.col("low")).otherwise(first).alias("low"), F.when(known, F.col("high")).otherwise(first + F.shiftright("place", 8).bitwiseAND(F.lit(255)) + length - 1).alias("high")))
 
     # 2. snippets that differ within a bucket get their bytes and meet there to be sorted
     text = base.select("dk", "th", "text", "doc_id", "carried")
-    wanted = rows.filter("bucket IS NOT NULL").groupBy("dk").agg(F.collect_list(F.struct("th", "place", "bucket")).alias("w"))
+    def joined(some: DataFrame) -> DataFrame:
+        wanted = some.groupBy("dk").agg(F.collect_list(F.struct("th", "place", "bucket")).alias("w"))
+        return text.join(wanted, "dk").select("dk", "th", "text", "w", "doc_id", "carried")
+
     sent = T.StructType([*_KEYS, T.StructField("bucket", T.LongType()), T.StructField("place", T.LongType()), T.StructField("bytes", T.BinaryType())])
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,7 +260,7 @@ def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), [pa.int64()] * 4 + [pa.binary()])], names=sent.names)
 
-    held = text.join(wanted, "dk").select("dk", "th", "text", "w", "doc_id", "carried").mapInArrow(fetch, sent)
+    held = joined(rows.filter("bucket IS NOT NULL AND NOT hot")).mapInArrow(fetch, sent)
     spans = T.StructType([*_KEYS, T.StructField("low", T.LongType()), T.StructField("high", T.LongType())])
 
     def sort_block(block: list[tuple]) -> pa.RecordBatch | None:
@@ -255,8 +298,10 @@ def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
 
     # buckets are dealt and put in order by their gram
     sorted_spans = held.repartition("bucket").sortWithinPartitions("bucket", "dk", "th", "place").mapInArrow(sort_buckets, spans)
-    low = F.shiftright("place", 16)
-    repeats = rows.filter("bucket IS NULL").select("dk", "th", low.alias("low"), (low + F.shiftright("place", 8).bitwiseAND(F.lit(255)) + length - 1).alias("high"))
+    repeats = rows.filter("bucket IS NULL").select("dk", "th", "low", "high")
+    hot = rows.filter("bucket IS NOT NULL AND hot")
+    if not hot.isEmpty():
+        repeats = repeats.unionByName(_hot_spans(joined(hot), length))
 
     # 3. each document's spans meet its text
     gone = repeats.unionByName(sorted_spans).groupBy("dk").agg(F.collect_list(F.struct("th", "low", "high")).alias("w"))
