@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import cut, shared_dir
+
+__all__ = ["arrow_batches", "buckets_for", "cut", "fit_columns", "running_sum", "shared_dir", "sweep", "written"]
+
 #: Rows that one bucket of a distributed running sum holds on average.
 BUCKET_ROWS = 4096
 #: Rows an Arrow batch holds at most, so that a batch of long texts stays small.
@@ -19,22 +22,7 @@ def arrow_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir of the session; a new local one only where it is unset."""
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if where is None:
-        where = tempfile.mkdtemp(prefix="docloom-")
-        spark.sparkContext.setCheckpointDir(where)
-    return where
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with a reliable checkpoint in the shared folder."""
-    spark = df.sparkSession
-    where = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(where)
-    return df.checkpoint(eager=True)
+_tables: list[str] = []
 
 
 def written(df: DataFrame) -> DataFrame:
@@ -42,9 +30,18 @@ def written(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _tables.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Deletes the tables that written() made in this process; to be called when no result is read any more."""
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _tables:
+        path = jvm.org.apache.hadoop.fs.Path(_tables.pop())
+        path.getFileSystem(hadoop).delete(path, True)
+
+
 def fit_columns(df: DataFrame, needed: dict[str, str]) -> DataFrame:
     """Only the columns an operator works on, cast to its types; a missing one is null. Extra columns never clash."""
     have = {c.lower(): c for c in df.columns}

@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import common
 
 
+def stars(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
+    """The least node that each of n nodes reaches over the links."""
+    root = np.arange(n)
+    while True:
+        least = np.minimum(root[u], root[v])
+        new = root.copy()
+        np.minimum.at(new, root[u], least)
+        np.minimum.at(new, root[v], least)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
 def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root) of every node of the links (u, v), both long and non-null: root is the smallest node reachable.
 

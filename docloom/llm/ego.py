@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common
-from .components import components
+from .components import components, stars
 from .vectors import matrix, widened
 
 #: Vectors of an interval that is joined as one task, and of the smallest interval that the recursion cuts.
@@ -68,20 +68,6 @@ def join_intervals(boxes: list[tuple[np.ndarray, np.ndarray]], eps: float) -> It
             todo += [(a, b, c, m), (a, b, m, d)]
 
 
-def stars(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
-    """The least node that each of n nodes reaches over the links."""
-    root = np.arange(n)
-    while True:
-        least = np.minimum(root[u], root[v])
-        new = root.copy()
-        np.minimum.at(new, root[u], least)
-        np.minimum.at(new, root[v], least)
-        new = new[new]
-        if (new == root).all():
-            return root
-        root = new
-
-
 def links(a: np.ndarray, b: np.ndarray, weight_a: np.ndarray, weight_b: np.ndarray, same: bool, cosine: float, project: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of two intervals of unit vectors, in order: how many vectors each of a and of b links to, and the components' roots (places in a, then in b)."""
     eps = math.sqrt(2 - 2 * cosine) + LOOSE

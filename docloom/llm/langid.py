@@ -6,6 +6,7 @@ backwards; every byte gets a probability of each language from both states, and
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -126,20 +127,22 @@ class Network:
         return out
 
 
-def train(texts: list[bytes], labels: list[str], seed: int = 5) -> Network:
-    """A network for the labels' languages, fitted to windows of the texts with Adam; languages count equally."""
+def some_windows(data: bytes) -> np.ndarray:
+    """PER_DOCUMENT windows of a text at most, from anywhere in it; which ones follows from the text alone."""
+    w = windows(data)
+    if len(w) > PER_DOCUMENT:
+        w = w[np.sort(np.random.default_rng(zlib.crc32(data)).choice(len(w), PER_DOCUMENT, replace=False))]
+    return w
+
+
+def train(samples: list[np.ndarray], labels: list[str], seed: int = 5) -> Network:
+    """A network for the labels' languages, fitted to each document's windows with Adam; languages count equally."""
     rng = np.random.default_rng(seed)
     languages = sorted(set(labels))
     net = Network.fresh(languages, rng)
-    xs, ys = [], []
-    for t, y in zip(texts, labels):
-        w = windows(t)
-        if len(w) > PER_DOCUMENT:
-            w = w[np.sort(rng.choice(len(w), PER_DOCUMENT, replace=False))]
-        xs.append(w), ys.append(np.full(len(w), languages.index(y)))
-    if not xs or len(languages) < 2:
+    if len(languages) < 2 or not sum(map(len, samples)):
         return net
-    x, y = np.concatenate(xs), np.concatenate(ys)
+    x, y = np.concatenate(samples), np.repeat([languages.index(k) for k in labels], [len(w) for w in samples])
     by = [p for p in (np.flatnonzero(y == k) for k in range(len(languages))) if len(p)]
     m = {k: np.zeros_like(v) for k, v in net.weights.items()}
     v = {k: np.zeros_like(w) for k, w in net.weights.items()}
@@ -170,12 +173,20 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         return Network.fresh([], np.random.default_rng(0))
     rates = docs.sparkSession.createDataFrame([(k, min(1.0, 1.5 * per_language / n)) for k, n in counts.items()], "lang string, rate double")
     turn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    got = rows.withColumn("turn", turn).join(rates, "lang").filter("turn < rate").select("lang", "turn", "text").collect()
-    texts, labels = [], []
+    picked = rows.withColumn("turn", turn).join(rates, "lang").filter("turn < rate").select("lang", "turn", "text")
+
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            taken = [some_windows(t).tobytes() for t in b.column(2).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(taken, pa.binary())], names=["lang", "turn", "windows"])
+
+    common.arrow_batches(docs.sparkSession, 200)
+    got = picked.mapInArrow(sample, "lang string, turn double, windows binary").collect()
+    samples, labels = [], []
     for lang in sorted(counts):
-        for r in sorted((r for r in got if r[0] == lang), key=lambda r: (r[1], r[2]))[:per_language]:
-            texts.append(r[2].encode()), labels.append(lang)
-    return train(texts, labels)
+        for r in sorted(tuple(r) for r in got if r[0] == lang)[:per_language]:
+            samples.append(np.frombuffer(r[2], np.int16).reshape(-1, WINDOW)), labels.append(lang)
+    return train(samples, labels)
 
 
 def predict(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -56,7 +56,7 @@ def op5_ego(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import simhash
 
-    found = simhash.group(_table(spark, sf_dir, "documents"), size=4, differ=4)
+    found = simhash.group(_table(spark, sf_dir, "documents"), size=4, differ=4, tables=1)
     return found.select("doc_id", simhash.hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 

@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import common
-from .components import components
+from .components import components, stars
 
 SEED = 42
 BITS = 64
 #: Shingles whose bits are counted at a time.
 BLOCK = 1 << 16
+#: Links that a task holds before it reduces them to one per node.
+PAIRS = 1 << 20
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
@@ -43,20 +45,32 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(counts * 2 > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """(doc_id, fp), and long columns to carry: the 64 bits as a signed long. Null and wordless texts have fingerprint 0."""
+def fingerprints(docs: DataFrame, size: int, tables: int = 1, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """(doc_id, fps), and long columns to carry: fingerprints as signed longs, the first one of the hashes themselves and the others, if more tables are
+    asked for, of hashes mixed from them. Null and wordless texts have fingerprint 0 in each."""
     common.arrow_batches(docs.sparkSession)
     carry = carry or []
-    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fp", T.LongType(), False), *[T.StructField(c, T.LongType()) for c in carry]])
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("fps", T.ArrayType(T.LongType(), False), False), *[T.StructField(c, T.LongType()) for c in carry]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = np.array([fingerprint(shingle_hashes(t, size)) for t in b.column(1).cast(pa.string()).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64), pa.int64()), *b.columns[2:]], names=schema.names)
+            hashes = (shingle_hashes(t, size) for t in b.column(1).cast(pa.string()).to_pylist())
+            fps = np.array([[fingerprint(mixed(h, t)) for t in range(tables)] for h in hashes], np.uint64).reshape(-1)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(fps) + 1, tables), pa.int32()), pa.array(fps.view(np.int64), pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column(0), lists, *b.columns[2:]], names=schema.names)
 
     return common.fit_columns(docs, {id_col: "long", text_col: "string"} | dict.fromkeys(carry, "long")).mapInArrow(run, schema)
 
 
+def mixed(hashes: np.ndarray, table: int) -> np.ndarray:
+    """Hashes of another table from those of the first: independent bits, table 0 as they are."""
+    if table == 0:
+        return hashes
+    h = (hashes ^ np.uint64(0x9E3779B97F4A7C15 * table % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(29))
+
+
 def segments(differ: int) -> list[tuple[int, int]]:
     """(first bit, number of bits) of the fewest segments, two at least, of which one differs by at most one bit: were all to differ by two, more than `differ` bits would."""
     n = max(2, differ // 2 + 1)
@@ -64,56 +78,96 @@ def segments(differ: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(at, at[1:])]
 
 
-def variants(fp: Column, differ: int, side: int) -> Column:
-    """The signatures of a fingerprint on one side of the join: each whole segment, and each segment less one bit, for the bits that are `side`.
-
-    Two segments that differ in one bit share the variant without that bit, from opposite sides; equal ones share the whole."""
+def variants(fps: Column, differ: int, tables: int) -> Column:
+    """Rows (key, fp): of each table's fingerprint every segment less one bit, for each of its bits. Segments that differ by at most one bit share a variant."""
     found = []
-    for k, (first, width) in enumerate(segments(differ)):
-        part = F.shiftrightunsigned(fp, first).bitwiseAND(F.lit((1 << width) - 1))
-        tag = lambda t: F.lit(t << 56)
-        found.append(part.bitwiseOR(tag(BITS + k)))
-        for b in range(width):
-            gone = part.bitwiseAND(F.lit(((1 << width) - 1) ^ (1 << b))).bitwiseOR(tag(first + b))
-            found.append(F.when(F.shiftrightunsigned(fp, first + b).bitwiseAND(F.lit(1)) == side, gone))
-    return F.explode(F.filter(F.array(*found), lambda x: x.isNotNull()))
+    for t in range(tables):
+        fp = F.get(fps, F.lit(t))
+        for first, width in segments(differ):
+            part = F.shiftrightunsigned(fp, first).bitwiseAND(F.lit((1 << width) - 1))
+            found += [F.struct(part.bitwiseAND(F.lit(((1 << width) - 1) ^ (1 << b))).bitwiseOR(F.lit((t * BITS + first + b) << 40)).alias("key"), fp.alias("fp")) for b in range(width)]
+    return F.explode(F.array(*found))
+
+
+def near_in_buckets(key: np.ndarray, fp: np.ndarray, node: np.ndarray, differ: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (u, v) that tie together all nodes of equal keys whose fingerprints differ in `differ` bits at most; rows are in order of the key.
+
+    Rows are compared with the next one, the next but one and so on, while the key lasts. Only one link per node is kept, never the pairs."""
+    names, place = np.unique(node, return_inverse=True)
+    fp = np.ascontiguousarray(fp).view(np.uint64)
+    root = np.arange(len(names))
+    at, step, held = np.flatnonzero(key[1:] == key[:-1]), 1, []
+    while len(at):
+        a, b = place[at], place[at + step]
+        hit = (np.bitwise_count(fp[at] ^ fp[at + step]) <= differ) & (a != b)
+        held.append((a[hit], b[hit]))
+        step += 1
+        at = at[at + step < len(key)]
+        at = at[key[at + step] == key[at]]
+        if not len(at) or sum(len(h[0]) for h in held) > PAIRS:
+            u, v = (np.concatenate(x) for x in zip(*held))
+            tied = np.flatnonzero(root != np.arange(len(root)))
+            root, held = stars(np.concatenate([u, tied]), np.concatenate([v, root[tied]]), len(names)), []
+    tied = np.flatnonzero(root != np.arange(len(root)))
+    return names[tied], names[root[tied]]
+
+
+def near(nodes: DataFrame, differ: int, tables: int = 1) -> DataFrame:
+    """Links (u, v) of nodes (node, fps) that differ by at most `differ` bits in one of the tables: not each pair, but ones that reach the same nodes."""
+    rows = nodes.select(variants(F.col("fps"), differ, tables).alias("x"), "node").select("x.key", "x.fp", "node")
+    out = T.StructType([T.StructField("u", T.LongType()), T.StructField("v", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = [np.empty(0, np.int64)] * 3
+        for b in _then_none(batches):
+            new = [c.to_numpy(zero_copy_only=False) for c in b.columns] if b is not None else [np.empty(0, np.int64)] * 3
+            key, fp, node = (np.concatenate(x) for x in zip(rest, new))
+            whole = len(key) if b is None else int(np.searchsorted(key, key[-1])) if len(key) else 0  # the last key may go on
+            rest = [key[whole:], fp[whole:], node[whole:]]
+            u, v = near_in_buckets(key[:whole], fp[:whole], node[:whole], differ)
+            if len(u):
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=out.names)
+
+    common.arrow_batches(nodes.sparkSession, 100_000)
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, out)
+
+
+def _then_none(batches: Iterator) -> Iterator:
+    yield from batches
+    yield None
 
 
-def near(fps: DataFrame, differ: int) -> DataFrame:
-    """(u, v) of the distinct fingerprints (column fp) that differ in 1 to `differ` bits; each such pair."""
-    left = fps.select(variants(F.col("fp"), differ, 0).alias("key"), F.col("fp").alias("u"))
-    right = fps.select(variants(F.col("fp"), differ, 1).alias("key"), F.col("fp").alias("v"))
-    whole = F.col("key") >= F.lit(BITS << 56)
-    pairs = left.join(right, "key").filter((F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= differ) & (~whole | (F.col("u") < F.col("v"))))
-    return pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+def _roots(rows: DataFrame, differ: int, tables: int) -> DataFrame:
+    """(node, root) of the distinct fingerprints of rows."""
+    nodes = common.written(rows.select("node", "fps").distinct())
+    roots = components(near(nodes, differ, tables)).withColumnRenamed("node", "_node")
+    return nodes.join(roots, F.col("node") == F.col("_node"), "left").select("node", F.coalesce("root", "node").alias("root"))
 
 
-def _roots(rows: DataFrame, differ: int) -> DataFrame:
-    """(fp, root) of the distinct fingerprints of rows."""
-    nodes = common.written(rows.select("fp").distinct())
-    roots = components(near(nodes, differ))
-    return nodes.join(roots, nodes.fp == roots.node, "left").select("fp", F.coalesce("root", "fp").alias("root"))
+def _node(tables: int) -> Column:
+    return F.get("fps", F.lit(0)) if tables == 1 else F.xxhash64("fps")
 
 
-def group(docs: DataFrame, size: int = 5, differ: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id) per row: component_id is the smallest doc_id that links of `differ` bits at most reach.
+def group(docs: DataFrame, size: int = 5, differ: int = 6, tables: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, fp, component_id) per row: component_id is the smallest doc_id reachable by links of fingerprints that differ in `differ` bits at most, in
+    one table at least; fp is the first table's.
 
-    Rows of one fingerprint (exact copies, all wordless texts) are one node from the start, so a group of copies never makes
-    pairs; only different fingerprints are joined. A null doc_id takes part; component_id is null where no member has an id.
+    Rows of equal fingerprints (exact copies, all wordless texts) are one node from the start, so a group of copies never makes
+    pairs; only different nodes are compared. A null doc_id takes part; component_id is null where no member has an id.
     An empty table gives an empty result."""
-    rows = common.written(fingerprints(docs, size, id_col, text_col))
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first")).join(_roots(rows, differ), "fp")
+    rows = common.written(fingerprints(docs, size, tables, id_col, text_col).withColumn("node", _node(tables)))
+    nodes = rows.groupBy("node").agg(F.min("doc_id").alias("first")).join(_roots(rows, differ, tables), "node")
     ids = nodes.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rows.join(nodes.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return rows.join(nodes.join(ids, "root").select("node", "component_id"), "node").select("doc_id", F.get("fps", F.lit(0)).alias("fp"), "component_id")
 
 
-def keep_one(docs: DataFrame, size: int = 5, differ: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, size: int = 5, differ: int = 6, tables: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs with the smallest doc_id of each group (nulls last; then by a hash of the text); of repeated rows one stays. All columns are kept."""
     key = [F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit((1 << 63) - 1)), F.xxhash64(F.col(f"`{text_col}`").cast("string"))]
     keyed = docs.withColumns({"_id": key[0], "_text": key[1]})
-    rows = common.written(fingerprints(keyed, size, "_id", text_col, ["_text"]))
-    firsts = rows.groupBy("fp").agg(F.min(F.struct("doc_id", "_text")).alias("first"))
-    firsts = firsts.join(_roots(rows, differ), "fp").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("_id"), F.col("first._text").alias("_text"))
+    rows = common.written(fingerprints(keyed, size, tables, "_id", text_col, ["_text"]).withColumn("node", _node(tables)))
+    firsts = rows.groupBy("node").agg(F.min(F.struct("doc_id", "_text")).alias("first"))
+    firsts = firsts.join(_roots(rows, differ, tables), "node").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("_id"), F.col("first._text").alias("_text"))
     return keyed.join(firsts, ["_id", "_text"], "left_semi").dropDuplicates(["_id", "_text"]).drop("_id", "_text")
 
 

@@ -105,7 +105,8 @@ def topk(vectors: DataFrame, is_query: Column, k: int, scale: float, id_col: str
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=schema.names)
 
     common.arrow_batches(vectors.sparkSession, 16)
-    pairs = data.join(asked, ["q", "block"]).select("ids", "width", "data", "q_ids", "q_width", "q_data")
+    parallel = max(1, min(n * m, 4 * vectors.sparkSession.sparkContext.defaultParallelism))
+    pairs = data.join(asked, ["q", "block"]).repartition(parallel, "q", "block").select("ids", "width", "data", "q_ids", "q_width", "q_data")
     found = pairs.mapInArrow(search, schema)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

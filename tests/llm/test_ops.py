@@ -63,8 +63,9 @@ def brute_suffixes(rows, length):
     return out
 
 
-@pytest.mark.parametrize("length", [40, 100])
-def test_suffixes(spark, docs, length):
+@pytest.mark.parametrize(("length", "hot"), [(40, 50_000), (100, 50_000), (100, 2)])
+def test_suffixes(spark, docs, length, hot, monkeypatch):
+    monkeypatch.setattr(suffixes, "HOT", hot)
     got = suffixes.dedup(docs, length=length).collect()
     # rows of one id are put in order by a hash of their text; the brute-force version is told that order
     order = {(r.doc_id, r.text): r.h for r in docs.select("doc_id", "text", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("h")).collect()}
@@ -320,9 +321,9 @@ def test_simhash(spark, docs, empty, size, differ):
     for r, (i, *_) in zip(root, rows):
         if i is not None:
             least[r] = min(least.get(r, i), i)
-    got = simhash.group(docs, size, differ).withColumn("hex", simhash.hex16(F.col("fp"))).collect()
+    got = simhash.group(docs, size, differ, 1).withColumn("hex", simhash.hex16(F.col("fp"))).collect()
     assert Counter((r.doc_id, r.hex, r.component_id) for r in got) == Counter((i, f"{f:016x}", least.get(r)) for (i, *_), f, r in zip(rows, fps, root))
-    kept = simhash.keep_one(docs, size, differ)
+    kept = simhash.keep_one(docs, size, differ, 1)
     assert kept.columns == docs.columns and kept.count() == len(set(root))
     assert Counter(r.doc_id for r in kept.collect()) == Counter(least.get(r) for r in set(root))
     assert simhash.group(empty).count() == 0 and simhash.keep_one(empty).count() == 0
@@ -339,8 +340,48 @@ def test_variants_find_every_near_pair(spark, differ):
                 g ^= 1 << b
             fps.add(g)
     signed = {f - (1 << 64) if f >> 63 else f for f in fps}
-    got = {(r.u, r.v) for r in simhash.near(spark.createDataFrame([(f,) for f in signed], "fp long"), differ).collect()}
-    assert got == {(a, b) for a in signed for b in signed if a < b and bin((a ^ b) & (1 << 64) - 1).count("1") <= differ}
+    nodes = spark.createDataFrame([(f, [f]) for f in signed], "node long, fps array<long>")
+    got = {(r.u, r.v) for r in simhash.near(nodes, differ).collect()}
+    links = [(a, b) for a in signed for b in signed if a < b and bin((a ^ b) & (1 << 64) - 1).count("1") <= differ]
+    assert reach(got) == reach(links)
+
+
+def reach(links):
+    root = {x: x for e in links for x in e}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(root[a], root[b])
+            changed |= root[a] != low or root[b] != low
+            root[a] = root[b] = low
+    return root
+
+
+def test_more_tables(spark, docs):
+    rows = special_docs()
+    hashes = [simhash.shingle_hashes(t, 5) for _, t, _, _ in rows]
+    fps = [[simhash.fingerprint(simhash.mixed(h, t)) for t in range(3)] for h in hashes]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if any(bin(a ^ b).count("1") <= 6 for a, b in zip(fps[i], fps[j])):
+                root = [root[j] if r == root[i] else r for r in root]
+    least = {}
+    for r, (i, *_) in zip(root, rows):
+        if i is not None:
+            least[r] = min(least.get(r, i), i)
+    got = simhash.group(docs, 5, 6, 3).collect()
+    assert Counter((r.doc_id, r.component_id) for r in got) == Counter((i, least.get(r)) for (i, *_), r in zip(rows, root))
+    assert simhash.keep_one(docs, 5, 6, 3).count() == len(set(root))
+
+
+def test_hot_bucket(monkeypatch):
+    monkeypatch.setattr(simhash, "PAIRS", 50)
+    rng = np.random.default_rng(0)
+    fp = np.array([(1 << int(b)) for b in rng.integers(0, 64, 500)], np.uint64).view(np.int64)
+    u, v = simhash.near_in_buckets(np.zeros(500, np.int64), fp, np.arange(500), 2)
+    assert len(u) == 499 and (v == 0).all()
 
 
 def test_components(spark):
