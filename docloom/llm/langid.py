@@ -193,7 +193,7 @@ def predict(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col:
     """Adds lang_pred and score, the pooled probability of that language, from the whole text alone.
 
     A null text, or one without a letter, is `und` with score 0, as is any text where nothing was learned. A text of any length goes through in
-    blocks of windows. Repeated rows are labelled alike, other columns are kept, and an empty table gives an empty result."""
+    blocks of windows. Repeated rows are labelled alike, other columns but ones named lang_pred and score are kept, and an empty table gives an empty result."""
     common.arrow_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(network)
     base = docs.drop("lang_pred", "score")

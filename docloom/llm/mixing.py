@@ -55,11 +55,11 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     """The mix itself: the rows of docs that it takes, each as often as it takes it, with all their columns."""
     taken = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **how)
     taken = taken.groupBy("doc_id", "row_hash").agg(F.sum("copies").cast("int").alias("copies")).filter("copies > 0")
-    taken = taken.select(F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("row_hash").alias("_hash"), F.col("copies").alias("_copies"))
-    keyed = docs.withColumns({"_id": F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(0)), "_hash": row_hash(id_col, source_col, text_col)})
+    taken = taken.select(F.coalesce("doc_id", F.lit(0)).alias("_docloom_id"), F.col("row_hash").alias("_docloom_hash"), F.col("copies").alias("_docloom_copies"))
+    keyed = docs.withColumns({"_docloom_id": F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(0)), "_docloom_hash": row_hash(id_col, source_col, text_col)})
     # repeated rows are one here; their copies are added up
-    found = keyed.join(taken, ["_id", "_hash"]).dropDuplicates(["_id", "_hash"])
-    return found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_id", "_hash", "_copies", "_copy")
+    found = keyed.join(taken, ["_docloom_id", "_docloom_hash"]).dropDuplicates(["_docloom_id", "_docloom_hash"])
+    return found.withColumn("_docloom_copy", F.explode(F.sequence(F.lit(1), F.col("_docloom_copies")))).drop("_docloom_id", "_docloom_hash", "_docloom_copies", "_docloom_copy")
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, repeats: int = MOST_REPEATS, share: float = 1.0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:

@@ -123,7 +123,7 @@ def score(docs: DataFrame, space: Space, threshold: float = 0.3, id_col: str = "
     """Adds score (0 to 1, higher: label 1 likelier) and predicted (1 from the threshold on) to each row, from its whole text alone.
 
     A null or blank text has no term and gets the learned labels' share of 1. Repeated rows score alike, other columns are
-    kept, and an empty table gives an empty result."""
+    kept but for ones named score and predicted, and an empty table gives an empty result."""
     common.arrow_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(space)
     base = docs.drop("score", "predicted")

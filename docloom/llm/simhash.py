@@ -164,11 +164,11 @@ def group(docs: DataFrame, size: int = 5, differ: int = 6, tables: int = 4, id_c
 def keep_one(docs: DataFrame, size: int = 5, differ: int = 6, tables: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs with the smallest doc_id of each group (nulls last; then by a hash of the text); of repeated rows one stays. All columns are kept."""
     key = [F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit((1 << 63) - 1)), F.xxhash64(F.col(f"`{text_col}`").cast("string"))]
-    keyed = docs.withColumns({"_id": key[0], "_text": key[1]})
-    rows = common.written(fingerprints(keyed, size, tables, "_id", text_col, ["_text"]).withColumn("node", _node(tables)))
-    firsts = rows.groupBy("node").agg(F.min(F.struct("doc_id", "_text")).alias("first"))
-    firsts = firsts.join(_roots(rows, differ, tables), "node").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("_id"), F.col("first._text").alias("_text"))
-    return keyed.join(firsts, ["_id", "_text"], "left_semi").dropDuplicates(["_id", "_text"]).drop("_id", "_text")
+    keyed = docs.withColumns({"_docloom_id": key[0], "_docloom_text": key[1]})
+    rows = common.written(fingerprints(keyed, size, tables, "_docloom_id", text_col, ["_docloom_text"]).withColumn("node", _node(tables)))
+    firsts = rows.groupBy("node").agg(F.min(F.struct("doc_id", "_docloom_text")).alias("first"))
+    firsts = firsts.join(_roots(rows, differ, tables), "node").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.doc_id").alias("_docloom_id"), F.col("first._docloom_text").alias("_docloom_text"))
+    return keyed.join(firsts, ["_docloom_id", "_docloom_text"], "left_semi").dropDuplicates(["_docloom_id", "_docloom_text"]).drop("_docloom_id", "_docloom_text")
 
 
 def hex16(fp: Column) -> Column:
