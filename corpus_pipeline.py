@@ -14,7 +14,8 @@ from docloom.llm import bpe, common, mixing, quality, simhash, suffixes
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject."""
     space = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score(docs, space).filter("predicted = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    return quality.score(rows, space).filter("predicted = 1").select("row.*")
 
 
 def unlike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,8 +29,8 @@ def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null text stays null; a text that is all repeats becomes empty."""
     rest = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    found = suffixes.dedup(docs.withColumn("_null", F.col("text").isNull()), length=100, carry=[*rest, "_null"], as_text=True)
-    text = F.when(~F.col("carried._null"), F.col("kept"))
+    found = suffixes.dedup(docs.withColumn("_docloom_null", F.col("text").isNull()), length=100, carry=[*rest, "_docloom_null"], as_text=True)
+    text = F.when(~F.col("carried._docloom_null"), F.col("kept"))
     columns = {"doc_id": F.col("doc_id"), "text": F.col("text"), "n_chars": F.length("text").cast("long")} | {c: F.col(f"carried.`{c}`") for c in rest}
     return found.withColumn("text", text).select(*[columns[c].alias(c) for c in docs.columns])
 
