@@ -1,4 +1,4 @@
-"""Scalar rules over text columns. All but nfc() stay inside the JVM."""
+"""Scalar rules over text columns. All but part of nfc() stay inside the JVM."""
 
 from __future__ import annotations
 
@@ -48,11 +48,15 @@ def clean_ocr_text(c: Column) -> Column:
 
 
 @F.pandas_udf(T.StringType())
-def nfc(s: pd.Series) -> pd.Series:
-    """Unicode normal form C, which Spark has no function for."""
+def _nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
 
 
+def nfc(c: Column) -> Column:
+    """Unicode normal form C, which Spark has no function for. Characters below U+0300 are in that form already, so only texts with others go to Python."""
+    return F.coalesce(_nfc(F.when(c.rlike("[^\\x00-\\u02ff]"), c)), c)
+
+
 def fix_punctuation_spacing(c: Column) -> Column:
     """No white space before . , ; ! ? and one space between . , ! ? ; : and a word character."""
     return F.regexp_replace(F.regexp_replace(c, f"{WS}+([.,;!?])", "$1"), f"([.,!?;:])({W})", "$1 $2")

@@ -68,7 +68,8 @@ class Taxonomy:
         A text of less than 100 words, or without a match, has 1; halves round to even."""
         keywords = [k.lower() for _, ks in self.labels["tag"] for k in ks]
         times = lambda n, k: n + ((F.length(cleaned) - F.length(F.replace(cleaned, k, F.lit("")))) / F.length(k)).cast("long")
-        matches = F.aggregate(F.array(*[F.lit(k) for k in keywords]), F.lit(0).cast("long"), times) if keywords else F.lit(0)
+        there = F.filter(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains(cleaned, k))
+        matches = F.aggregate(there, F.lit(0).cast("long"), times) if keywords else F.lit(0)
         n = F.size(X.words(cleaned))
         density = matches / n * PER_WORDS
         scaled = F.greatest(F.lit(LOWEST), F.least(F.lit(HIGHEST), F.bround(F.log10(1 + density) * FACTOR, 0).cast("int")))
