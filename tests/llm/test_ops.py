@@ -323,9 +323,6 @@ def test_simhash(spark, docs, empty, size, differ):
             least[r] = min(least.get(r, i), i)
     got = simhash.group(docs, size, differ, 1).withColumn("hex", simhash.hex16(F.col("fp"))).collect()
     assert Counter((r.doc_id, r.hex, r.component_id) for r in got) == Counter((i, f"{f:016x}", least.get(r)) for (i, *_), f, r in zip(rows, fps, root))
-    kept = simhash.keep_one(docs, size, differ, 1)
-    assert kept.columns == docs.columns and kept.count() == len(set(root))
-    assert Counter(r.doc_id for r in kept.collect()) == Counter(least.get(r) for r in set(root))
     assert simhash.group(empty).count() == 0 and simhash.keep_one(empty).count() == 0
 
 
@@ -373,7 +370,26 @@ def test_more_tables(spark, docs):
             least[r] = min(least.get(r, i), i)
     got = simhash.group(docs, 5, 6, 3).collect()
     assert Counter((r.doc_id, r.component_id) for r in got) == Counter((i, least.get(r)) for (i, *_), r in zip(rows, root))
-    assert simhash.keep_one(docs, 5, 6, 3).count() == len(set(root))
+
+
+@pytest.mark.parametrize("cells", [1 << 21, 200])
+def test_keep_one(spark, docs, cells, monkeypatch):
+    monkeypatch.setattr(simhash, "CELLS", cells)
+    rows = sorted(docs.withColumn("h", F.xxhash64("text")).collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0, r.h))
+    fps = [[simhash.fingerprint(simhash.mixed(simhash.shingle_hashes(r.text, 2), t)) for t in range(2)] for r in rows]
+    sets = [set(simhash.shingle_hashes(r.text, 2).tolist()) for r in rows]
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if any(bin(a ^ b).count("1") <= 9 for a, b in zip(fps[i], fps[j])):
+                root = [root[j] if r == root[i] else r for r in root]
+    kept = []
+    for i in range(len(rows)):
+        if not any(root[i] == root[k] and (not sets[i] | sets[k] or len(sets[i] & sets[k]) >= 0.6 * len(sets[i] | sets[k])) for k in kept):
+            kept.append(i)
+    got = simhash.keep_one(docs, 2, 9, 2, 0.6)
+    assert got.columns == docs.columns and Counter((r.doc_id, r.text) for r in got.collect()) == Counter((rows[k].doc_id, rows[k].text) for k in kept)
+    assert len(kept) < len({r.text for r in rows})
 
 
 def test_hot_bucket(monkeypatch):
