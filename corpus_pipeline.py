@@ -19,9 +19,9 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def unlike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies and near copies: of four fingerprints of five-word shingles one differs in six bits of 64 at most. That
-    finds nearly all pairs with nine tenths of their shingles in common, and most from eight tenths on."""
-    return simhash.keep_one(docs, size=5, differ=6, tables=4)
+    """Documents that are neither copies nor near copies of an earlier one that stays: sets of five-word shingles with a Jaccard similarity of 0.8 or more,
+    among candidates of which one fingerprint in three differs in seven bits of 64 at most."""
+    return simhash.keep_one(docs, size=5, differ=7, tables=3, least=0.8)
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
