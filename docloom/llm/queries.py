@@ -90,6 +90,27 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"), [1.0] * SHARDS)
 
 
+OP1_SQL = """
+WITH d AS MATERIALIZED (
+  SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+p AS (
+  SELECT doc_id, unnest(range(0, n - 99)) AS i, unnest(list_transform(range(0, n - 99), lambda i: array_slice(b, i + 1, i + 100))) AS x
+  FROM d WHERE n >= 100),
+w AS (SELECT doc_id, i, row_number() OVER (PARTITION BY x ORDER BY doc_id, i) > 1 AS later FROM p),
+s AS (SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100, true) AS new FROM w WHERE later),
+g AS (SELECT doc_id, i, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM s),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS z FROM g GROUP BY doc_id, span),
+pieces AS (
+  SELECT d.doc_id, coalesce(lag(z) OVER (PARTITION BY d.doc_id ORDER BY a), 0) AS k0, a AS k1 FROM d JOIN spans USING (doc_id)
+  UNION ALL SELECT d.doc_id, coalesce(max(z), 0), any_value(d.n) FROM d LEFT JOIN spans USING (doc_id) GROUP BY d.doc_id),
+kept AS (
+  SELECT p.doc_id, string_agg(CASE WHEN k1 > k0 THEN hex(array_slice(b, k0 + 1, k1)) ELSE '' END, '' ORDER BY k0) AS h
+  FROM pieces p JOIN d USING (doc_id) GROUP BY p.doc_id),
+sums AS (SELECT doc_id, sum(z - a) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT d.doc_id, d.n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(h)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)
+"""
 OP2_SQL = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -158,6 +179,27 @@ s AS (
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
 FROM s QUALIFY rank <= 20
 """
+OP10_SQL = """
+WITH RECURSIVE bits(i, k, v) AS (
+  SELECT i::BIGINT, 0, i::BIGINT FROM range(256) r(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END FROM bits WHERE k < 8),
+t AS (SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8),
+d AS (
+  SELECT doc_id, coalesce(strlen(text), 0) + 8 AS size,
+         xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT)),
+                         lambda c, x: xor(c >> 8, t[(xor(c, x) % 256 + 1)::INT])), 4294967295::BIGINT) AS text_crc32
+  FROM documents, t),
+u AS (
+  SELECT doc_id, s, -ln((('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '/' || s), 1, 15))::BIGINT::DOUBLE + 0.5::DOUBLE) / 1152921504606846976::DOUBLE) AS score
+  FROM (SELECT DISTINCT doc_id FROM documents), (SELECT unnest(range(25)) AS s)),
+o AS (
+  SELECT doc_id, arg_min(s, (score, s)) FILTER (s < 24) AS shard, arg_min(s, (score, s)) AS grown_shard,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '/-1'), 1, 15))::BIGINT % greatest(1, ceil((SELECT count(*) FROM documents) / 4096)::BIGINT // 24) AS bucket
+  FROM u GROUP BY doc_id)
+SELECT d.doc_id, d.size::BIGINT AS size, d.text_crc32, 'key' AS law, o.shard::INT AS shard,
+       row_number() OVER (PARTITION BY o.shard ORDER BY o.bucket, d.doc_id NULLS FIRST, d.size, d.text_crc32) - 1 AS slot, o.grown_shard::INT AS grown_shard
+FROM d JOIN o ON d.doc_id IS NOT DISTINCT FROM o.doc_id
+"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -165,4 +207,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": OP2_SQL, "op4_warc": OP4_SQL, "op5_ego": OP5_SQL, "op9_vafile": OP9_SQL}
+    return {"op1_suffixes": OP1_SQL, "op2_mixing": OP2_SQL, "op4_warc": OP4_SQL, "op5_ego": OP5_SQL, "op9_vafile": OP9_SQL, "op10_sharding": OP10_SQL}

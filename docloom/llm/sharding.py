@@ -10,9 +10,15 @@ from pyspark.sql import functions as F
 from . import common
 
 
+def turn(key: Column, shard: int) -> Column:
+    """60 bits of the MD5 of the key's digits, a stroke and the shard's number; a null key has no digits."""
+    text = F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(f"/{shard}"))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")
+
+
 def score(key: Column, shard: int, weight: float) -> Column:
     """-ln(u) / weight with u in (0, 1) from a hash of key and shard: the smallest score owns the record, and a shard wins in proportion to its weight."""
-    u = (F.shiftrightunsigned(F.xxhash64(key, F.lit(shard)), 11).cast("double") + 0.5) / float(1 << 53)
+    u = (turn(key, shard).cast("double") + 0.5) / float(1 << 60)
     return -F.log(u) / float(weight)
 
 
@@ -39,7 +45,7 @@ def shard(docs: DataFrame, weights: Sequence[float], more_weight: float = 1.0, i
         F.coalesce(F.crc32(F.col(text_col).cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
     )
     wide = common.buckets_for(docs.count())
-    rows = common.cut(rows.withColumns({"shard": owner(F.col("doc_id"), weights), "grown_shard": owner(F.col("doc_id"), [*weights, more_weight]), "bucket": F.pmod(F.xxhash64("doc_id", F.lit(n + 1)), F.lit(max(1, wide // n)))}))
+    rows = common.cut(rows.withColumns({"shard": owner(F.col("doc_id"), weights), "grown_shard": owner(F.col("doc_id"), [*weights, more_weight]), "bucket": F.pmod(turn(F.col("doc_id"), -1), F.lit(max(1, wide // n)))}))
     order = [F.col("doc_id").asc_nulls_first(), "size", "text_crc32"]
     rows = common.running_sum(rows, ["shard"], "bucket", order, F.lit(1).cast("long"), "number")
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("number") - 1).alias("slot"), "grown_shard")

@@ -508,9 +508,8 @@ def test_vafile(spark, monkeypatch):
 
 def brute_owner(i, weights):
     def score(s, w):
-        h = xxhash.xxh64_intdigest((i).to_bytes(8, "little", signed=True), 42) if i is not None else 42
-        h = xxhash.xxh64_intdigest(s.to_bytes(4, "little"), h)
-        return -np.log(((h >> 11) + 0.5) / (1 << 53)) / w
+        x = int(hashlib.md5(f"{'' if i is None else i}/{s}".encode()).hexdigest()[:15], 16)
+        return -np.log((float(x) + 0.5) / (1 << 60)) / w
 
     return min(range(len(weights)), key=lambda s: score(s, weights[s]) if weights[s] else float("inf"))
 
