@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import chunk, dedup, enrich, identity, image
 from ..operators.taxonomy import Taxonomy, keyword_hits
+from ..sources import extract, files
 from . import workflow
 
 TAXONOMY = os.path.join(os.path.dirname(os.path.dirname(__file__)), "data", "taxonomy.json")
@@ -219,6 +220,30 @@ _TITLE_SQL = (
 )
 
 
+_TITLE = "<title>([^<]*)</title>"
+
+
+def _title_ladder(spark: SparkSession, d: str) -> DataFrame:
+    """Web pages as files: their title element is the metadata title, their source the first page; and special rows."""
+    html = _table(spark, d, "pages").select(F.concat(F.lit("p/"), F.col("page_id").cast("string"), F.lit(".htm")).alias("path"), "html")
+    files = html.select("path", F.regexp_extract("html", _TITLE, 1).alias("meta_title")).unionByName(_frame(spark, FILES, "path string, meta_title string"))
+    pages = html.select("path", F.lit(1).alias("page_no"), F.col("html").alias("text")).unionByName(_frame(spark, PAGES, "path string, page_no int, text string"))
+    return identity.title_ladder(files, _frame(spark, SPANS, "path string, page_no int, span_ord int, font_size double, text string"), pages)
+
+
+_LADDER_SQL = (
+    f"files AS (SELECT path, regexp_extract(html, '{_TITLE}', 1) AS meta_title FROM h UNION ALL SELECT * FROM {_values(FILES, 'v', 'path, meta_title')}), "
+    f"firsts AS (SELECT path, 1 AS page_no, html AS text FROM h UNION ALL SELECT * FROM {_values(PAGES, 'v', 'path, page_no, text')})"
+)
+
+
+def _extracted(spark: SparkSession, d: str) -> DataFrame:
+    """Documents as files through the extraction ladder: a back-end that finds nothing, then one that decodes."""
+    made = extract.Extractor(pages=[lambda content: [], lambda content: content.decode().split("\f")])
+    rows = extract.extract(_documents(spark, d).select(F.col("unique_id").alias("path"), F.col("text").cast("binary").alias("content")), made)
+    return rows.filter("kind = 'text'").select("path", "text", "status")
+
+
 def _records(spark: SparkSession, d: str) -> DataFrame:
     """Metadata of three chunks per document, so that the last one's must win."""
     docs = _documents(spark, d)
@@ -345,11 +370,22 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "unique_titles": (lambda s, d: dedup.unique_titles(_title_from_text(s, d)), f"WITH {_TITLE_SQL} SELECT path, title, CASE WHEN n = 0 THEN title ELSE title || '_' || n END AS unique_title FROM (SELECT *, row_number() OVER (PARTITION BY title ORDER BY path) - 1 AS n FROM titles)"),
     "clean_title_years": (lambda s, d: _frame(s, TITLES, "title string").unionByName(_table(s, d, "part").select(F.col("p_name").alias("title"))).select("title", X.clean_title(F.col("title")).alias("clean")), f"SELECT title, {_clean_title('title')} AS clean FROM (SELECT title FROM {_values(TITLES, 'v', 'title')} UNION ALL SELECT p_name FROM part)"),
     "title_ladder": (
-        lambda s, d: identity.title_ladder(_frame(s, FILES, "path string, meta_title string"), _frame(s, SPANS, "path string, page_no int, span_ord int, font_size double, text string"), _frame(s, PAGES, "path string, page_no int, text string")),
-        f"SELECT f.path, coalesce(CASE WHEN len({_strip('f.meta_title')}) > 5 THEN {_strip('f.meta_title')} END, s.t, p.l, {_g(_g('f.path', '^.*/'), '[.][^.]*$')}) AS title FROM {_values(FILES, 'f', 'path, meta_title')} f "
+        _title_ladder,
+        f"WITH h AS (SELECT 'p/' || page_id || '.htm' AS path, html FROM pages), {_LADDER_SQL} SELECT f.path, coalesce(CASE WHEN len({_strip('f.meta_title')}) > 5 THEN {_strip('f.meta_title')} END, s.t, p.l, {_g(_g('f.path', '^.*/'), '[.][^.]*$')}) AS title FROM files f "
         f"LEFT JOIN (SELECT path, {_strip('text')} AS t FROM {_values(SPANS, 's', 'path, page_no, span_ord, font_size, text')} WHERE page_no <= 5 AND len({_strip('text')}) > 5 QUALIFY row_number() OVER (PARTITION BY path ORDER BY font_size DESC, page_no, span_ord) = 1) s USING (path) "
-        f"LEFT JOIN (SELECT path, string_split({_strip('text')}, chr(10))[1] AS l FROM {_values(PAGES, 'p', 'path, page_no, text')} WHERE page_no <= 5 AND len(string_split({_strip('text')}, chr(10))[1]) > 5 QUALIFY row_number() OVER (PARTITION BY path ORDER BY page_no) = 1) p USING (path)",
+        f"LEFT JOIN (SELECT path, string_split({_strip('text')}, chr(10))[1] AS l FROM firsts WHERE page_no <= 5 AND len(string_split({_strip('text')}, chr(10))[1]) > 5 QUALIFY row_number() OVER (PARTITION BY path ORDER BY page_no) = 1) p USING (path)",
+    ),
+    "extract_text": (_extracted, f"WITH {_docs_sql()} SELECT unique_id AS path, text, CASE WHEN {_strip('text')} = '' THEN 'blank' ELSE 'ok' END AS status FROM d"),
+    "initial_bytes": (
+        lambda s, d: files.initial_bytes(_documents(s, d).select(F.col("unique_id").alias("path"), F.col("text").cast("binary").alias("content"))).select("path", F.hex("prefix").alias("prefix")),
+        f"WITH {_docs_sql()} SELECT unique_id AS path, hex(array_slice(encode(text), 1, 1024)) AS prefix FROM d",
+    ),
+    "with_id": (
+        lambda s, d: _documents(s, d).select("unique_id", X.with_id(F.regexp_replace("file_name", r"\.[^.]*$", ""), F.col("unique_id")).alias("again"), X.with_id(X.clean_title(F.col("text")), F.col("unique_id")).alias("named")),
+        f"WITH {_docs_sql()} SELECT unique_id, 'doc [' || unique_id || ']' AS again, {_clean_title('text')} || ' [' || unique_id || ']' AS named FROM d",
     ),
+    "word_count": (_each(lambda c: F.size(X.words(c)), "n"), _each_sql(f"len({_words('text')})::INT", "n")),
+    "clean_year": (_each(lambda c: X.clean_year(F.substring(c, 1, 4)), "year"), _each_sql(r"CASE WHEN regexp_matches(substr(text, 1, 4), '^\p{Nd}{4}$') THEN substr(text, 1, 4) ELSE 'Unknown' END", "year")),
     "assign_ids": (
         lambda s, d: identity.assign_ids(_table(s, d, "documents").select("doc_id"), _frame(s, USED, "unique_id string").select(X.strip(F.col("unique_id")).alias("unique_id")), [F.col("doc_id")]),
         f"SELECT doc_id, id::VARCHAR AS unique_id FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS n FROM documents) JOIN (SELECT id, row_number() OVER (ORDER BY id) AS n FROM range(100000, 1000000) r(id) WHERE id NOT IN (SELECT try_cast(trim(u) AS BIGINT) FROM {_values(USED, 'v', 'u')} WHERE try_cast(trim(u) AS BIGINT) IS NOT NULL)) USING (n)",
