@@ -64,15 +64,18 @@ class Space:
 
     def __init__(self, counts: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS):
         self.weight = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + np.float32(0.1)
-        x = self._weighted(counts).astype(np.float64)
-        _, axes = np.linalg.eigh(x.T @ x)  # the right singular vectors of the term matrix, least first
+        gram = np.zeros((counts.shape[1], counts.shape[1]))
+        for i in range(0, len(counts), BLOCK):
+            x = self._weighted(counts[i : i + BLOCK]).astype(np.float64)
+            gram += x.T @ x
+        _, axes = np.linalg.eigh(gram)  # the right singular vectors of the term matrix, least first
         self.axes = np.ascontiguousarray(axes[:, ::-1][:, :dimensions]).astype(np.float32)
         self.labels = labels.astype(np.float32)
         self.prior = float(labels.mean()) if len(labels) else 0.5
-        self.vectors = self.project(counts)
+        self.vectors = np.concatenate([self.project(counts[i : i + BLOCK]) for i in range(0, max(1, len(counts)), BLOCK)])
 
     def _weighted(self, counts: np.ndarray) -> np.ndarray:
-        x = np.log1p(counts) * self.weight
+        x = np.log1p(counts.astype(np.float32)) * self.weight
         return x / np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-9)
 
     def project(self, counts: np.ndarray) -> np.ndarray:
@@ -111,12 +114,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            counts = [terms(t).astype(np.float32).tobytes() for t in b.column(1).cast(pa.binary()).to_pylist()]
+            counts = [np.minimum(terms(t), 65535).astype(np.uint16).tobytes() for t in b.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(counts, pa.binary())], names=["doc_id", "label", "counts"])
 
     got = {r[0]: r for r in sorted(tuple(x) for x in taught.mapInArrow(run, "doc_id long, label int, counts binary").collect())}
-    counts = np.array([np.frombuffer(r[2], np.float32) for r in got.values()], np.float32).reshape(len(got), TERMS)
-    return Space(counts, np.array([r[1] for r in got.values()], np.float32))
+    labels = np.array([r[1] for r in got.values()], np.float32)
+    counts = np.frombuffer(b"".join(r[2] for r in got.values()), np.uint16).reshape(-1, TERMS)
+    del got
+    return Space(counts, labels)
 
 
 def score(docs: DataFrame, space: Space, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

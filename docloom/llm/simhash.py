@@ -80,15 +80,16 @@ def segments(differ: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(at, at[1:])]
 
 
-def variants(fps: Column, differ: int, tables: int) -> Column:
-    """Rows (key, fp): of each table's fingerprint every segment less one bit, for each of its bits. Segments that differ by at most one bit share a variant."""
-    found = []
-    for t in range(tables):
-        fp = F.get(fps, F.lit(t))
-        for first, width in segments(differ):
-            part = F.shiftrightunsigned(fp, first).bitwiseAND(F.lit((1 << width) - 1))
-            found += [F.struct(part.bitwiseAND(F.lit(((1 << width) - 1) ^ (1 << b))).bitwiseOR(F.lit((t * BITS + first + b) << 40)).alias("key"), fp.alias("fp")) for b in range(width)]
-    return F.explode(F.array(*found))
+def variants(fp: np.ndarray, differ: int, table: int) -> np.ndarray:
+    """(n, BITS) keys of fingerprints: every segment less one bit, for each of its bits, marked with the table and the bit. Segments that differ by at most
+    one bit share a key."""
+    fp = fp.view(np.uint64)
+    out = np.empty((len(fp), BITS), np.uint64)
+    for first, width in segments(differ):
+        part = fp >> np.uint64(first) & np.uint64((1 << width) - 1)
+        for b in range(width):
+            out[:, first + b] = part & np.uint64(~(1 << b) & (1 << 64) - 1) | np.uint64((table * BITS + first + b) << 40)
+    return out.view(np.int64)
 
 
 def near_in_buckets(key: np.ndarray, fp: np.ndarray, node: np.ndarray, differ: int) -> tuple[np.ndarray, np.ndarray]:
@@ -116,7 +117,16 @@ def near_in_buckets(key: np.ndarray, fp: np.ndarray, node: np.ndarray, differ: i
 
 def near(nodes: DataFrame, differ: int, tables: int = 1) -> DataFrame:
     """Links (u, v) of nodes (node, fps) that differ by at most `differ` bits in one of the tables: not each pair, but ones that reach the same nodes."""
-    rows = nodes.select(variants(F.col("fps"), differ, tables).alias("x"), "node").select("x.key", "x.fp", "node")
+    keyed = T.StructType([T.StructField(c, T.LongType()) for c in ("key", "fp", "node")])
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            node, fps = b.column(0).to_numpy(), b.column(1).flatten().to_numpy().reshape(-1, tables)
+            for t in range(tables):
+                cols = variants(np.ascontiguousarray(fps[:, t]), differ, t).ravel(), np.repeat(fps[:, t], BITS), np.repeat(node, BITS)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=keyed.names)
+
+    rows = nodes.select("node", "fps").repartition("node").mapInArrow(spread, keyed)
     out = T.StructType([T.StructField("u", T.LongType()), T.StructField("v", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,7 +140,7 @@ def near(nodes: DataFrame, differ: int, tables: int = 1) -> DataFrame:
             if len(u):
                 yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=out.names)
 
-    common.arrow_batches(nodes.sparkSession, 100_000)
+    common.arrow_batches(nodes.sparkSession, 20_000)
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, out)
 
 
