@@ -173,7 +173,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         return Network.fresh([], np.random.default_rng(0))
     rates = docs.sparkSession.createDataFrame([(k, min(1.0, 1.5 * per_language / n)) for k, n in counts.items()], "lang string, rate double")
     turn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    picked = rows.withColumn("turn", turn).join(rates, "lang").filter("turn < rate").select("lang", "turn", "text")
+    # a row per language, as counted: small enough to be sent to every executor
+    picked = rows.withColumn("turn", turn).join(F.broadcast(rates), "lang").filter("turn < rate").select("lang", "turn", "text")
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
