@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -17,6 +18,11 @@ PROHIBITED = ("arxiv", "https", "untitled", "www")
 UNKNOWN_TITLE, UNTITLED, UNKNOWN = "unknown_title", "Untitled", "Unknown"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, f"^{WS}+|{WS}+\\z", "")
 
@@ -53,7 +59,8 @@ def _nfc(s: pd.Series) -> pd.Series:
 
 
 def nfc(c: Column) -> Column:
-    """Unicode normal form C, which Spark has no function for. Characters below U+0300 are in that form already, so only texts with others go to Python."""
+    """Unicode normal form C, which Spark has no function for. Characters below U+0300 are in that form already, so only texts with others go to Python.
+    c is used thrice: give it as a column, not as a long expression."""
     return F.coalesce(_nfc(F.when(c.rlike("[^\\x00-\\u02ff]"), c)), c)
 
 
@@ -134,8 +141,8 @@ def strip_punct_lower(c: Column) -> Column:
 
 def skip_words(c: Column, n: int = 500) -> Column:
     """What follows the first n words, joined by single spaces; a text of n words or less as it is."""
-    w = words(c)
-    return F.when(F.size(w) > n, F.array_join(F.slice(w, n + 1, F.greatest(F.size(w) - n, F.lit(0))), " ")).otherwise(c)
+    rest = lambda t, w: F.when(F.size(w) > n, F.array_join(F.slice(w, n + 1, F.greatest(F.size(w) - n, F.lit(0))), " ")).otherwise(t)
+    return let(c, lambda t: let(words(t), lambda w: rest(t, w)))
 
 
 def year(c: Column) -> Column:
