@@ -13,13 +13,14 @@ __all__ = ["arrow_batches", "buckets_for", "cut", "fit_columns", "running_sum",
 
 #: Rows that one bucket of a distributed running sum holds on average.
 BUCKET_ROWS = 4096
-#: Rows an Arrow batch holds at most, so that a batch of long texts stays small.
-BATCH_ROWS = 1000
+#: Rows and bytes an Arrow batch holds at most, so that a batch of long texts stays small.
+BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20
 
 
 def arrow_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Bounds the Arrow batches sent to Python workers."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 _tables: list[str] = []
