@@ -95,10 +95,13 @@ def variants(fp: np.ndarray, differ: int, table: int) -> np.ndarray:
 def near_in_buckets(key: np.ndarray, fp: np.ndarray, node: np.ndarray, differ: int) -> tuple[np.ndarray, np.ndarray]:
     """Links (u, v) that tie together all nodes of equal keys whose fingerprints differ in `differ` bits at most; rows are in order of the key.
 
-    Rows are compared with the next one, the next but one and so on, while the key lasts. Only one link per node is kept, never the pairs."""
+    Rows are compared with the next one, the next but one and so on, while the key lasts. Only one link per node is kept, never the pairs, and a bucket
+    whose nodes are all tied is left: a large group of near copies takes a few steps, not as many as it has members."""
     names, place = np.unique(node, return_inverse=True)
     fp = np.ascontiguousarray(fp).view(np.uint64)
     root = np.arange(len(names))
+    new = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
+    runs, run = np.flatnonzero(new), np.cumsum(new) - 1
     at, step, held = np.flatnonzero(key[1:] == key[:-1]), 1, []
     while len(at):
         a, b = place[at], place[at + step]
@@ -111,6 +114,9 @@ def near_in_buckets(key: np.ndarray, fp: np.ndarray, node: np.ndarray, differ: i
             u, v = (np.concatenate(x) for x in zip(*held))
             tied = np.flatnonzero(root != np.arange(len(root)))
             root, held = stars(np.concatenate([u, tied]), np.concatenate([v, root[tied]]), len(names)), []
+            of = root[place]
+            done = np.minimum.reduceat(of, runs) == np.maximum.reduceat(of, runs)
+            at = at[~done[run[at]]]
     tied = np.flatnonzero(root != np.arange(len(root)))
     return names[tied], names[root[tied]]
 
