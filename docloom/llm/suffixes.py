@@ -77,25 +77,33 @@ def snippets(data: bytes, length: int) -> Iterator[tuple[np.ndarray, np.ndarray,
         yield h[gram].view(np.int64), first + at, count, near, whole.view(np.int64)
 
 
-def _words(text: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Eight bytes from each place, big end first."""
-    w = np.zeros(len(at), np.uint64)
+def _words(text: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, big end first."""
+    w = np.zeros(len(text) - 8, np.uint64)
     for k in range(8):
-        w = (w << np.uint64(8)) | text[at + k]
+        w <<= np.uint64(8)
+        w |= text[k : len(text) - 8 + k]
     return w
 
 
-def _ranks(keys: list[np.ndarray]) -> np.ndarray:
-    """Dense ranks of rows by the keys, the first one the most significant."""
-    order = np.lexsort(keys[::-1])
-    new = np.zeros(len(order), np.int64)
-    for k in keys:
-        new[1:] |= k[order][1:] != k[order][:-1]
-    out = np.empty(len(order), np.int64)
+def _dense(key: np.ndarray) -> np.ndarray:
+    """Dense ranks of numbers."""
+    order = np.argsort(key)
+    new = np.zeros(len(key), np.int64)
+    new[1:] = key[order[1:]] != key[order[:-1]]
+    out = np.empty(len(key), np.int64)
     out[order] = np.cumsum(new)
     return out
 
 
+def _ranks(keys: list[np.ndarray]) -> np.ndarray:
+    """Dense ranks of rows by the keys, the first one the most significant: two at a time, as one number of their own dense ranks."""
+    ranks = [_dense(k) for k in keys]
+    while len(ranks) > 1:
+        ranks = [_dense(a * (int(b.max(initial=0)) + 1) + b) for a, b in zip(ranks[::2], ranks[1::2])] + (ranks[-1:] if len(ranks) % 2 else [])
+    return ranks[0]
+
+
 def repeated_suffixes(bucket: np.ndarray, doc: np.ndarray, low: np.ndarray, near: np.ndarray, count: np.ndarray, texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
     """(snippet, suffix in it) of the suffixes that an equal one in a smaller (doc, place) precedes.
 
@@ -109,15 +117,19 @@ def repeated_suffixes(bucket: np.ndarray, doc: np.ndarray, low: np.ndarray, near
     start = base[:-1] + pad
     at = np.arange(int(sizes.sum())) + np.repeat(start - (np.cumsum(sizes) - sizes), sizes)
     text[at] = np.frombuffer(b"".join(texts), np.uint8)
-    # ranks of the cover's sample, sorted once: PERIOD bytes, then pairs of ranks a period, two, four ... apart
+    # ranks of the cover's sample, sorted once: PERIOD bytes, then pairs of ranks a period, two, four ... apart; places between snippets have rank 0
     blocks = base[-1] // PERIOD
+    inside = np.zeros(len(text), bool)
+    inside[at] = True
     sample = (np.arange(blocks)[:, None] * PERIOD + np.array(COVER)).ravel()
-    rank = _ranks([_words(text, sample + k) for k in range(0, PERIOD, 8)])
-    step, per = 1, len(COVER)
+    live = np.flatnonzero(inside[sample])
+    word = _words(text)
+    rank, step, per = np.zeros(len(sample), np.int64), 1, len(COVER)
+    rank[live] = _ranks([word[sample[live] + k] for k in range(0, PERIOD, 8)]) + 1
     while step * PERIOD < length:
-        far = np.zeros_like(rank)
-        far[: -step * per or None] = rank[step * per :] + 1 if step * per < len(rank) else 0
-        rank, step = _ranks([rank, far]), step * 2
+        far = np.concatenate([rank, np.zeros(step * per, np.int64)])[live + step * per]
+        rank[live] = _ranks([rank[live], far]) + 1
+        step *= 2
     residue_rank = np.full(PERIOD, -1)
     residue_rank[list(COVER)] = np.arange(per)
     to_sample = np.array([next(d for d in range(PERIOD) if (r + d) % PERIOD in COVER) for r in range(PERIOD)])
@@ -126,18 +138,18 @@ def repeated_suffixes(bucket: np.ndarray, doc: np.ndarray, low: np.ndarray, near
     place = np.arange(len(snippet)) - np.repeat(np.cumsum(count) - count, count)
     pos = start[snippet] + place
     gap = to_sample[pos % PERIOD]
-    lead = _words(text, pos) & ~((~np.uint64(0)) >> (8 * gap).astype(np.uint64))
+    lead = word[pos] & ~((~np.uint64(0)) >> (8 * gap).astype(np.uint64))
     s = pos + gap
     tail = rank[(s // PERIOD) * per + residue_rank[s % PERIOD]]
     offset = near[snippet] - place
     key = bucket[snippet] * 4096 + offset
-    order = np.lexsort((tail, lead, key))
+    order = np.argsort(_ranks([key, lead, tail]))
     # neighbours with the same first bytes: leading words differ mostly in the first ones
     same = key[order][1:] == key[order][:-1]
     for k in range(0, length, 8):
         live = np.flatnonzero(same)
         k = min(k, length - 8)
-        same[live] = _words(text, pos[order[live]] + k) == _words(text, pos[order[live + 1]] + k)
+        same[live] = word[pos[order[live]] + k] == word[pos[order[live + 1]] + k]
     # of each class of equal suffixes, all but the first in (doc, place)
     alike = np.concatenate([[False], same]) | np.concatenate([same, [False]])
     members, cls = order[alike], np.concatenate([[0], np.cumsum(~same)])[alike]
@@ -157,12 +169,12 @@ def _runs(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 _KEYS = [T.StructField("dk", T.LongType()), T.StructField("th", T.LongType())]
 
 
-def _base(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -> DataFrame:
-    """Rows with their key: dk is the id, and th tells rows of one id apart (0 where ids are unique). Columns to carry are one struct."""
+def _base(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -> tuple[DataFrame, str]:
+    """Rows with dk, the id, and th, which tells rows of one id apart (0 where ids are unique); and which of the two names a row. Columns to carry are one struct."""
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"), F.struct(*[F.col(f"`{c}`") for c in carry] or [F.lit(0).alias("none")]).alias("carried"))
     rows = rows.withColumn("dk", F.coalesce("doc_id", F.lit(NO_ID).cast("long")))
     repeated = not rows.groupBy("dk").count().filter("count > 1").isEmpty()
-    return rows.withColumn("th", F.xxhash64("doc_id", "text") if repeated else F.lit(0).cast("long"))
+    return rows.withColumn("th", F.xxhash64("doc_id", "text") if repeated else F.lit(0).cast("long")), "th" if repeated else "dk"
 
 
 def _hot_spans(joined: DataFrame, length: int) -> DataFrame:
@@ -195,7 +207,7 @@ def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
     if not GRAM + 8 <= length <= 224:
         raise ValueError("length must lie between 40 and 224")
     common.arrow_batches(docs.sparkSession, 1000)
-    base = _base(docs, id_col, text_col, carry or [])
+    base, key = _base(docs, id_col, text_col, carry or [])
     window = length - GRAM + 1
 
     # 1. a row per snippet, dealt by bucket; place = first suffix << 16 | suffixes << 8 | gram behind the first. Of equal snippets in a batch only
@@ -243,9 +255,10 @@ def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
 
     # 2. snippets that differ within a bucket get their bytes and meet there to be sorted
     text = base.select("dk", "th", "text", "doc_id", "carried")
+
     def joined(some: DataFrame) -> DataFrame:
-        wanted = some.groupBy("dk").agg(F.collect_list(F.struct("th", "place", "bucket")).alias("w"))
-        return text.join(wanted, "dk").select("dk", "th", "text", "w", "doc_id", "carried")
+        wanted = some.groupBy(F.col(key).alias("_key")).agg(F.collect_list(F.struct("th", "place", "bucket")).alias("w"))
+        return text.join(wanted, F.col(key) == F.col("_key")).select("dk", "th", "text", "w", "doc_id", "carried")
 
     sent = T.StructType([*_KEYS, T.StructField("bucket", T.LongType()), T.StructField("place", T.LongType()), T.StructField("bytes", T.BinaryType())])
 
@@ -304,7 +317,7 @@ def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
         repeats = repeats.unionByName(_hot_spans(joined(hot), length))
 
     # 3. each document's spans meet its text
-    gone = repeats.unionByName(sorted_spans).groupBy("dk").agg(F.collect_list(F.struct("th", "low", "high")).alias("w"))
+    gone = repeats.unionByName(sorted_spans).groupBy(F.col(key).alias("_key")).agg(F.collect_list(F.struct("th", "low", "high")).alias("w"))
     result = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType(), False), T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))), T.StructField("kept", T.StringType() if as_text else T.BinaryType()), base.schema["carried"]])
     arrow = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
@@ -329,5 +342,5 @@ def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
                 sizes.append(len(t))
             yield pa.RecordBatch.from_arrays([ids, pa.array(sizes, pa.int64()), pa.array(spans_, pa.list_(arrow)), pa.array([k.decode(errors="ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary()), b.column(5)], names=result.names)
 
-    whole_rows = text.join(gone, "dk", "left").withColumn("rank", F.row_number().over(Window.partitionBy("dk", "th").orderBy(F.lit(1))))
+    whole_rows = text.join(gone, F.col(key) == F.col("_key"), "left").withColumn("rank", F.row_number().over(Window.partitionBy("dk", "th").orderBy(F.lit(1))))
     return whole_rows.select("doc_id", "th", "text", "w", "rank", "carried").mapInArrow(remove, result)
