@@ -66,7 +66,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, repeats: int = MOST
     """Mixes all documents; returns doc_id, source, row_hash (of both and the text), size (words), source_size, target, taken (words, repeats
     counted), copies.
 
-    Every source's documents are shuffled by a hash of doc_id and queue up, up to `repeats` times over. A copy's virtual
+    Every source's documents are shuffled by a hash of doc_id and text and queue up, up to `repeats` times over. A copy's virtual
     finish time is its source's cumulative words, this copy with them, over the source's target. All copies are put in order of
     finish time, and taken while their cumulative words stay within the budget. A copy of which more than half lies beyond its source's target stays
     out, so that others' words never fill a gap that a long document leaves. Documents aren't cut: a source's taken words differ from its target by
@@ -76,7 +76,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, repeats: int = MOST
     queue each on their own (identical ones are interchangeable); an empty table gives an empty result. No task sorts a whole
     source or the whole queue: both orders are cut into buckets, whose sums are added up first."""
     rows = common.fit_columns(docs, {id_col: "long", text_col: "string", source_col: "string"})
-    rows = common.cut(rows.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), row_hash(id_col, source_col, text_col).alias("row_hash"), words(F.col(text_col)).alias("size"), F.conv(F.substring(F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), 1, 15), 16, 10).cast("long").alias("turn")))
+    rows = common.cut(rows.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), row_hash(id_col, source_col, text_col).alias("row_hash"), words(F.col(text_col)).alias("size"), F.conv(F.substring(F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit("/"), F.coalesce(F.col(text_col), F.lit(""))).cast("binary")), 1, 15), 16, 10).cast("long").alias("turn")))
     wide = common.buckets_for(rows.count())
     aims = common.cut(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, repeats, share).withColumn("queue", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())).cast("long")))
 

@@ -114,7 +114,7 @@ FROM d JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)
 OP2_SQL = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS turn
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '/' || coalesce(text, '')), 1, 15))::BIGINT AS turn
   FROM documents),
 src AS (
   SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS queue,
@@ -194,10 +194,10 @@ u AS (
   FROM (SELECT DISTINCT doc_id FROM documents), (SELECT unnest(range(25)) AS s)),
 o AS (
   SELECT doc_id, arg_min(s, (score, s)) FILTER (s < 24) AS shard, arg_min(s, (score, s)) AS grown_shard,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '/-1'), 1, 15))::BIGINT % greatest(1, ceil((SELECT count(*) FROM documents) / 4096)::BIGINT // 24) AS bucket
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || '/-1'), 1, 15))::BIGINT AS turn
   FROM u GROUP BY doc_id)
 SELECT d.doc_id, d.size::BIGINT AS size, d.text_crc32, 'key' AS law, o.shard::INT AS shard,
-       row_number() OVER (PARTITION BY o.shard ORDER BY o.bucket, d.doc_id NULLS FIRST, d.size, d.text_crc32) - 1 AS slot, o.grown_shard::INT AS grown_shard
+       row_number() OVER (PARTITION BY o.shard ORDER BY (o.turn + d.text_crc32) % greatest(1, ceil((SELECT count(*) FROM documents) / 4096)::BIGINT // 24), d.doc_id NULLS FIRST, d.size, d.text_crc32) - 1 AS slot, o.grown_shard::INT AS grown_shard
 FROM d JOIN o ON d.doc_id IS NOT DISTINCT FROM o.doc_id
 """
 

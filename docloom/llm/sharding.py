@@ -36,7 +36,7 @@ def shard(docs: DataFrame, weights: Sequence[float], more_weight: float = 1.0, i
     Adds size (UTF-8 bytes of the text, none for null, plus 8), text_crc32 (of those bytes), law `key`, shard, slot (from 0,
     gapless within the shard) and grown_shard (the shard if one more of weight more_weight were there: rows move only into
     it). Rows of equal key share a shard; repeated rows get a slot each; an empty table gives an empty result. Slots follow
-    a hash of the key, the key, then size and CRC. They are dealt in buckets, so no task sorts a whole shard."""
+    a bucket, the key, then size and CRC. Buckets are a hash of key and CRC, so no task sorts a whole shard, nor all rows of one key (or of none)."""
     n = len(weights)
     rows = common.fit_columns(docs, {id_col: "long", text_col: "string"})
     rows = rows.select(
@@ -45,7 +45,7 @@ def shard(docs: DataFrame, weights: Sequence[float], more_weight: float = 1.0, i
         F.coalesce(F.crc32(F.col(text_col).cast("binary")), F.lit(0)).cast("long").alias("text_crc32"),
     )
     wide = common.buckets_for(docs.count())
-    rows = common.cut(rows.withColumns({"shard": owner(F.col("doc_id"), weights), "grown_shard": owner(F.col("doc_id"), [*weights, more_weight]), "bucket": F.pmod(turn(F.col("doc_id"), -1), F.lit(max(1, wide // n)))}))
+    rows = common.cut(rows.withColumns({"shard": owner(F.col("doc_id"), weights), "grown_shard": owner(F.col("doc_id"), [*weights, more_weight]), "bucket": F.pmod(turn(F.col("doc_id"), -1) + F.col("text_crc32"), F.lit(max(1, wide // n)))}))
     order = [F.col("doc_id").asc_nulls_first(), "size", "text_crc32"]
     rows = common.running_sum(rows, ["shard"], "bucket", order, F.lit(1).cast("long"), "number")
     return rows.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("number") - 1).alias("slot"), "grown_shard")
