@@ -58,9 +58,14 @@ def write_text(docs: DataFrame, folder: str) -> None:
     docs.select("unique_id", "text").write.mode("overwrite").partitionBy("unique_id").option("lineSep", "\n").text(folder)
 
 
+def write_images(images: DataFrame, folder: str) -> None:
+    """Images with their bytes as a Parquet table, in folders by extension."""
+    images.write.mode("overwrite").partitionBy("extension").parquet(folder)
+
+
 def write_table_rows(tables: DataFrame, folder: str) -> None:
-    """Extracted tables (unique_id, table_no, row_no, cells map<string,string>) as CSV with a header, a folder per table."""
-    rows = tables.select("unique_id", "table_no", F.to_json("cells").alias("cells"))
+    """Extracted tables (unique_id, table_no, row_no, cells map<string,string>) as CSV with a header, a folder per table; cells are a JSON object, for columns differ between tables."""
+    rows = tables.select("unique_id", "table_no", "row_no", F.to_json("cells").alias("cells"))
     rows.write.mode("overwrite").partitionBy("unique_id", "table_no").option("header", True).csv(folder)
 
 

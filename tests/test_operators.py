@@ -190,14 +190,23 @@ def test_pixels(spark):
 # --- extraction ---------------------------------------------------------------------------------
 
 
-def test_extraction_ladder(spark):
+def test_extraction_ladder(spark, tmp_path):
     def first(content):
         if content == b"broken":
             raise ValueError("no")
         return {b"good": ["p1", "p2"], b"scan": [" ", ""]}.get(content, [])
 
     made = extract.Extractor(pages=[first, lambda c: ["", "backup"] if c != b"empty" else []], ocr=lambda c: ["seen"] if c == b"scan" else [], images=lambda c: [(1, "png", b"i"), (1, "png", b"skip"), (2, "jpg", b"bad")] if c == b"good" else 1 / 0, tables=lambda c: [[{"a": "1"}]], keep_image=lambda i: {b"i": True, b"skip": False}[i])
-    rows = extract.extract(spark.createDataFrame([(x.decode(), x) for x in (b"good", b"scan", b"broken", b"empty")], "path string, content binary"), made).collect()
+    found = extract.extract(spark.createDataFrame([(x.decode(), x) for x in (b"good", b"scan", b"broken", b"empty")], "path string, content binary"), made)
+    rows = found.collect()
+    assert extract.texts(found).count() == 4 and [(r.page_no, r.image_no, bytes(r.content)) for r in extract.images(found).collect()] == [(1, 1, b"i")]
+    assert {(r.path, r.table_no, r.row_no, r.cells["a"]) for r in extract.table_rows(found).collect()} == {(p, 1, 1, "1") for p in ("good", "scan", "broken", "empty")}
+    assert extract.problems(found).count() == 4
+    files.write_images(extract.images(found), str(tmp_path / "i"))
+    files.write_table_rows(extract.table_rows(found).withColumnRenamed("path", "unique_id"), str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "i")).count() == 1 and spark.read.option("header", True).csv(str(tmp_path / "t")).count() == 4
+    files.write_text(extract.texts(found).withColumnRenamed("path", "unique_id"), str(tmp_path / "x"))
+    assert spark.read.text(str(tmp_path / "x"), wholetext=True).count() >= 3
     text = {r.path: (r.text, r.status) for r in rows if r.kind == "text"}
     assert text["good"] == ("p1\np2", "ok") and text["scan"] == (" \nseen\n", "ok") and text["broken"] == ("backup", "ok") and text["empty"][1] == "blank"
     pictures = [(r.page_no, r.item_no, r.status == "ok") for r in rows if r.kind == "image" and r.path == "good"]
