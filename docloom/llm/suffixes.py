@@ -29,9 +29,9 @@ PIECE = (1 << 20) - 256
 PERIOD = 32
 COVER = (0, 1, 2, 3, 7, 11, 15, 19, 25)
 #: Bytes of snippets that a task lays out at a time, if a bucket isn't larger.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 #: Snippets of a bucket that one task sorts at most. The suffixes of a larger one are told apart by 128-bit hashes instead, which spread over all tasks.
-HOT = 50_000
+HOT = 10_000
 #: What a null doc_id counts as: it comes before all others.
 NO_ID = -(1 << 63)
 

@@ -63,7 +63,7 @@ def brute_suffixes(rows, length):
     return out
 
 
-@pytest.mark.parametrize(("length", "hot"), [(40, 50_000), (100, 50_000), (100, 2)])
+@pytest.mark.parametrize(("length", "hot"), [(40, 10_000), (100, 10_000), (100, 2)])
 def test_suffixes(spark, docs, length, hot, monkeypatch):
     monkeypatch.setattr(suffixes, "HOT", hot)
     got = suffixes.dedup(docs, length=length).collect()
