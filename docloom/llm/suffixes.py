@@ -190,7 +190,7 @@ def _hot_spans(joined: DataFrame, length: int) -> DataFrame:
                 n = len(places)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(n, d)), pa.array(np.full(n, h)), pa.array(places, pa.int64()), pa.array(whole[:, 0]), pa.array(whole[:, 1])], names=out.names)
 
-    rows = common.written(joined.mapInArrow(spread, out))
+    rows = joined.mapInArrow(spread, out)  # read twice, from one exchange of texts that the caller's plan shares
     at = F.struct("dk", "th", "low")
     first = rows.groupBy("h1", "h2").agg(F.min(at).alias("first"))
     return rows.join(first, ["h1", "h2"]).filter(at > F.col("first")).select("dk", "th", "low", (F.col("low") + length).alias("high"))
