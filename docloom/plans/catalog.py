@@ -16,6 +16,7 @@ from ..functions import text as X
 from ..operators import chunk, dedup, enrich, identity, image
 from ..operators.taxonomy import Taxonomy, keyword_hits
 from ..sources import extract, files
+from ..session import spread
 from . import workflow
 
 TAXONOMY = os.path.join(os.path.dirname(os.path.dirname(__file__)), "data", "taxonomy.json")
@@ -78,7 +79,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _documents(spark: SparkSession, sf_dir: str, special: bool = True) -> DataFrame:
     """unique_id, file_name, text of all documents and of the special texts."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     if special:
         docs = docs.unionByName(_frame(spark, TEXTS, "doc_id long, text string"))
     unique_id = (F.lit(100000) + F.col("doc_id")).cast("string")

@@ -22,3 +22,9 @@ def cut(df: DataFrame) -> DataFrame:
     if df.sparkSession.sparkContext.getCheckpointDir() is None:
         df.sparkSession.sparkContext.setCheckpointDir(where)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deals the rows out anew if the input comes in fewer partitions than there are cores, as one small file does; larger inputs are left as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
