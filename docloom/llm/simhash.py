@@ -251,23 +251,31 @@ def _repeats(sets: DataFrame, least: float) -> DataFrame:
     return out
 
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """docs with a row's place, (_docloom_id, _docloom_text), and _docloom_node, equal for equal texts and for all wordless ones."""
+    text = F.col(f"`{text_col}`").cast("string")
+    wordless = ~F.coalesce(text, F.lit("")).rlike(r"[^ \t\n\x0B\f\r]")
+    place = {"_docloom_id": F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit((1 << 63) - 1)), "_docloom_text": F.xxhash64(text)}
+    return docs.withColumns(place | {"_docloom_node": F.when(wordless, F.lit(0).cast("long")).otherwise(F.xxhash64(text))})
+
+
 def keep_one(docs: DataFrame, size: int = 5, differ: int = 7, tables: int = 3, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that are no copies and no near copies of an earlier row that stays: in order of doc_id (nulls last), then of a hash of the text.
 
     Fingerprints find components of candidates. Within one a document goes if its set of shingles has a Jaccard similarity of `least` or more with that of an
-    earlier document that stays; rows of equal fingerprints are copies, and the first of them stands for all. All columns are
-    kept; of repeated rows one stays. Wordless texts are copies of each other. An empty table gives an empty result."""
-    key = [F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit((1 << 63) - 1)), F.xxhash64(F.col(f"`{text_col}`").cast("string"))]
-    keyed = docs.withColumns({"_docloom_id": key[0], "_docloom_text": key[1]})
-    rows = common.written(fingerprints(keyed, size, tables, "_docloom_id", text_col, ["_docloom_text"]).withColumn("node", _node(tables)))
-    firsts = rows.groupBy("node").agg(F.min(F.struct("doc_id", "_docloom_text")).alias("first"))
+    earlier document that stays. Rows of equal texts are copies, and the first of them stands for all; different texts of equal fingerprints are compared
+    like all others. All columns are kept; of repeated rows one stays. Wordless texts are copies of each other. An empty table gives an empty result."""
+    keyed = _keyed(docs, id_col, text_col)
+    rows = common.written(fingerprints(keyed, size, tables, "_docloom_id", text_col, ["_docloom_text", "_docloom_node"]).withColumn("node", _node(tables)))
+    firsts = rows.groupBy("_docloom_node").agg(F.min(F.struct("doc_id", "_docloom_text")).alias("first"), F.min("node").alias("node"))
     firsts = common.written(firsts.select("node", F.col("first.doc_id").alias("doc_id"), F.col("first._docloom_text").alias("text_hash")))
     roots = components(near(common.written(rows.select("node", "fps").distinct()), differ, tables))
-    linked = firsts.join(roots, "node").select("doc_id", "text_hash", "root")
+    rooted = firsts.join(roots, "node", "left").select("doc_id", "text_hash", F.coalesce("root", "node").alias("root"))
+    linked = rooted.join(rooted.groupBy("root").count().filter("count > 1").select("root"), "root")
     texts = keyed.select(F.col("_docloom_id").alias("doc_id"), F.col("_docloom_text").alias("text_hash"), F.col(f"`{text_col}`").alias("text"))
     sets = common.written(_shingle_sets(texts.join(linked, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"]), size))
     kept = firsts.join(_repeats(sets, least), ["doc_id", "text_hash"], "left_anti").select(F.col("doc_id").alias("_docloom_id"), F.col("text_hash").alias("_docloom_text"))
-    return keyed.join(kept, ["_docloom_id", "_docloom_text"], "left_semi").dropDuplicates(["_docloom_id", "_docloom_text"]).drop("_docloom_id", "_docloom_text")
+    return keyed.join(kept, ["_docloom_id", "_docloom_text"], "left_semi").dropDuplicates(["_docloom_id", "_docloom_text"]).drop("_docloom_id", "_docloom_text", "_docloom_node")
 
 
 def hex16(fp: Column) -> Column:

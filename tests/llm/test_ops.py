@@ -392,6 +392,16 @@ def test_keep_one(spark, docs, cells, monkeypatch):
     assert len(kept) < len({r.text for r in rows})
 
 
+def test_keep_one_equal_fingerprints(spark):
+    words = lambda n: " ".join(f"w{n}x{k}" for k in range(30))
+    rows = [(10 * r + n, f"{words(10 * r + n)} {filler * 400}", "en", "s") for r, filler in enumerate((". ", "0 ", "| ")) for n in range(3)]
+    rows += [(90, rows[0][1].upper(), "en", "s"), (91, rows[4][1], "en", "s"), (92, " \x0b\x0c\r", "en", "s"), (93, None, "en", "s"), (94, "\xa0", "en", "s")]
+    hashes = [simhash.shingle_hashes(t, 5) for _, t, _, _ in rows[:3]]
+    assert len({tuple(simhash.fingerprint(simhash.mixed(h, t)) for t in range(3)) for h in hashes}) == 1
+    got = simhash.keep_one(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted(r.doc_id for r in got) == [0, 1, 2, 10, 11, 12, 20, 21, 22, 92, 94]
+
+
 def test_hot_bucket(monkeypatch):
     monkeypatch.setattr(simhash, "PAIRS", 50)
     rng = np.random.default_rng(0)
