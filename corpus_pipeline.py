@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, common, mixing, quality, simhash, suffixes
+from docloom.llm import bpe, common, jaccard, mixing, quality, suffixes
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,9 +19,9 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def unlike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are neither copies nor near copies of an earlier one that stays: sets of five-word shingles with a Jaccard similarity of 0.8 or more,
-    among candidates of which one fingerprint in three differs in seven bits of 64 at most."""
-    return simhash.keep_one(docs, size=5, differ=7, tables=3, least=0.8)
+    """Documents that are neither copies nor near copies of an earlier one that stays: sets of five-word shingles with a Jaccard similarity of 0.8 or more.
+    A prefix filter finds every such pair."""
+    return jaccard.keep_unlike(docs, size=5, least=0.8)
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -251,7 +251,7 @@ def _repeats(sets: DataFrame, least: float) -> DataFrame:
     return out
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def placed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """docs with a row's place, (_docloom_id, _docloom_text), and _docloom_node, equal for equal texts and for all wordless ones."""
     text = F.col(f"`{text_col}`").cast("string")
     wordless = ~F.coalesce(text, F.lit("")).rlike(r"[^ \t\n\x0B\f\r]")
@@ -265,7 +265,7 @@ def keep_one(docs: DataFrame, size: int = 5, differ: int = 7, tables: int = 3, l
     Fingerprints find components of candidates. Within one a document goes if its set of shingles has a Jaccard similarity of `least` or more with that of an
     earlier document that stays. Rows of equal texts are copies, and the first of them stands for all; different texts of equal fingerprints are compared
     like all others. All columns are kept; of repeated rows one stays. Wordless texts are copies of each other. An empty table gives an empty result."""
-    keyed = _keyed(docs, id_col, text_col)
+    keyed = placed(docs, id_col, text_col)
     rows = common.written(fingerprints(keyed, size, tables, "_docloom_id", text_col, ["_docloom_text", "_docloom_node"]).withColumn("node", _node(tables)))
     firsts = rows.groupBy("_docloom_node").agg(F.min(F.struct("doc_id", "_docloom_text")).alias("first"), F.min("node").alias("node"))
     firsts = common.written(firsts.select("node", F.col("first.doc_id").alias("doc_id"), F.col("first._docloom_text").alias("text_hash")))
