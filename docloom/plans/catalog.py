@@ -102,11 +102,9 @@ def _taxonomy() -> Taxonomy:
 
 
 def _tokenizer() -> tuple[Callable, tuple]:
-    """The rank file where it is installed, else words."""
-    try:
-        import public_tokenizers as p
-    except ImportError:
-        return chunk.Words, ()
+    """The rank file; an ImportError where it isn't installed, as words would give other chunks and counts."""
+    import public_tokenizers as p
+
     return chunk.RankFile, (p.path("byte_bpe_50k.tiktoken"), p.PATTERN)
 
 
