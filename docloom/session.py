@@ -1,16 +1,23 @@
-"""Session helpers: the shared folder, cutting lineage."""
+"""Session helpers: the shared folder, cutting lineage, tables of a run and their removal."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Paths that written() and folder() made in this process and that are still there.
+_made: list[str] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; a new local folder only where it is unset."""
+    """spark.checkpoint.dir of the session. Where it is unset, a new folder of this machine, but only if all executors run on it: in a local session. On a cluster that is an error."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if where is None:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         where = tempfile.mkdtemp(prefix="docloom-")
         spark.sparkContext.setCheckpointDir(where)
     return where
@@ -24,6 +31,33 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def folder(spark: SparkSession, kind: str) -> str:
+    """A new path in the shared folder, for sweep() to delete."""
+    path = f"{shared_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Cuts the lineage with a Parquet table in the shared folder: columns compressed, read with pruning."""
+    path = folder(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def mark() -> int:
+    """What sweep() takes to leave everything made up to now."""
+    return len(_made)
+
+
+def sweep(spark: SparkSession, since: int = 0) -> None:
+    """Deletes the tables and folders made in this process since the mark; to be called when no result is read from them any more."""
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while len(_made) > since:
+        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+        path.getFileSystem(hadoop).delete(path, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Deals the rows out anew if the input comes in fewer partitions than there are cores, as one small file does; larger inputs are left as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
