@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import base64
-import heapq
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -19,13 +18,13 @@ from . import common
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: No merge.
 NONE = np.int32(2**31 - 1)
-#: Matrices are as wide as a power of two up to this; longer pieces are merged with a heap.
-WIDEST = 256
-#: Cells of a matrix at most.
+#: Matrices are as wide as a power of two. In ones wider than this, a round does all the merges of a row's minimum that come one after another.
+NARROW = 256
+#: Cells of a matrix at most, if one row doesn't have more.
 CELLS = 1 << 18
 #: Pieces whose ids a worker remembers; it forgets all of them beyond.
 REMEMBERED = 100_000
-#: Rows of an Arrow batch: few, since every piece of a batch is held.
+#: Rows encoded at a time: few, since all their pieces are held.
 ROWS = 250
 
 _worker: dict = {}
@@ -123,32 +122,48 @@ class Vocabulary:
                 rank[rr, kk] = np.where(last, NONE, self.pair(ids[rr, kk], np.where(last, -1, ids[rr, np.minimum(kk + 1, most - 1)])))
         return out
 
-    def _heap(self, piece: bytes) -> np.ndarray:
-        """The same merges for one long piece, in n log n."""
-        ids = self.byte[np.frombuffer(piece, np.uint8)].tolist()
-        n = len(ids)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        first = self.pair(np.array(ids[:-1], np.int32), np.array(ids[1:], np.int32))
-        heap = [(int(r), i, ids[i], ids[i + 1]) for i, r in enumerate(first) if r != NONE]
-        heapq.heapify(heap)
-        dead = bytearray(n)
-
-        def push(i: int) -> None:
-            if i >= 0 and after[i] < n:
-                r = int(self.pair(np.array([ids[i]], np.int32), np.array([ids[after[i]]], np.int32))[0])
-                if r != NONE:
-                    heapq.heappush(heap, (r, i, ids[i], ids[after[i]]))
-
-        while heap:
-            r, i, a, b = heapq.heappop(heap)
-            if dead[i] or ids[i] != a or after[i] >= n or ids[after[i]] != b:
-                continue
-            k = after[i]
-            dead[k], ids[i], after[i] = 1, r, after[k]
-            if after[k] < n:
-                before[after[k]] = i
-            push(before[i]), push(i)
-        return np.array([x for x, gone in zip(ids, dead) if not gone], np.int32)
+    def _wide(self, rows: list[bytes], width: int) -> list[np.ndarray]:
+        """The same merges for long rows: a round merges every pair of a row's minimum rank from the left, as the rounds of _matrix would one by one. Where a merge
+        makes a pair of a lower rank, that one comes first, so the round keeps to the leftmost merge."""
+        n = len(rows)
+        lengths = np.array([len(r) for r in rows])
+        inside = np.arange(width) < lengths[:, None]
+        ids = np.full((n, width + 2), -1, np.int32)  # two columns of none, so that all neighbours exist
+        ids[:, :width][inside] = self.byte[np.frombuffer(b"".join(rows), np.uint8)]
+        rank = self.pair(ids[:, :-1], ids[:, 1:])
+        while True:
+            least = rank.min(axis=1)
+            r, c = np.nonzero((rank == least[:, None]) & (least != NONE)[:, None])
+            if not len(r):
+                return [ids[k, : lengths[k]].copy() for k in range(n)]
+            # of pairs that overlap, every other one
+            new = np.concatenate([[True], (r[1:] != r[:-1]) | (c[1:] != c[:-1] + 1)])
+            run = np.flatnonzero(new)[np.cumsum(new) - 1]
+            r, c = (x[(np.arange(len(r)) - run) % 2 == 0] for x in (r, c))
+            made = least[r]
+            after_merge = np.concatenate([[False], (r[1:] == r[:-1]) & (c[1:] == c[:-1] + 2)])
+            left = np.where(after_merge, made, np.where(c > 0, ids[r, c - 1], -1))
+            lower = np.minimum(self.pair(left, made), self.pair(made, ids[r, c + 2])) < made
+            if lower.any():
+                first = np.concatenate([[True], r[1:] != r[:-1]])
+                ok = first | ~np.isin(r, r[lower])
+                r, c, made = r[ok], c[ok], made[ok]
+            # right halves leave, and the rest of the row moves up
+            ids[r, c] = made
+            gone = np.bincount(r, minlength=n)
+            number = np.arange(len(r)) - np.concatenate([[0], np.cumsum(gone)])[r]
+            stays = np.arange(ids.shape[1]) < lengths[:, None]
+            stays[r, c + 1] = False
+            lengths = lengths - gone
+            most = int(lengths.max())
+            held, ranks = ids[stays], rank[stays[:, :-1]]
+            inside = np.arange(most + 2) < lengths[:, None]
+            ids, rank = np.full((n, most + 2), -1, np.int32), np.full((n, most + 1), NONE, np.int32)
+            ids[inside], rank[inside[:, :-1]] = held, ranks
+            at = c - number
+            for k in (at - 1, at):
+                ok = k >= 0
+                rank[r[ok], k[ok]] = self.pair(ids[r[ok], k[ok]], ids[r[ok], k[ok] + 1])
 
     def encode_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
         """Ids of each piece."""
@@ -160,14 +175,11 @@ class Vocabulary:
             else:
                 by.setdefault(1 << (len(p) - 1).bit_length(), []).append(i)
         for width, members in by.items():
-            if width > WIDEST:
-                for i in members:
-                    out[i] = self._heap(pieces[i])
-                continue
             step = max(1, CELLS // width)
+            merged = self._matrix if width <= NARROW else self._wide
             for k in range(0, len(members), step):
                 part = members[k : k + step]
-                for i, ids in zip(part, self._matrix([pieces[i] for i in part], width)):
+                for i, ids in zip(part, merged([pieces[i] for i in part], width)):
                     out[i] = ids
         return out
 
@@ -241,7 +253,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out
     Every row is encoded on its own: repeated rows give the same ids, an empty table an empty result, and all other columns are
     kept (one named like `out` is replaced). Memory follows the batch, and a text of any length is encoded whole."""
     spark = docs.sparkSession
-    common.arrow_batches(spark, ROWS)
+    common.arrow_batches(spark)
     raw = spark.sparkContext.broadcast(read_ranks(path))
     base = docs.drop(out)
     schema = T.StructType([*base.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType(), False))])
@@ -249,7 +261,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(raw, pattern)
-        for b in batches:
+        for b in common.slices(batches, ROWS):
             ids, offsets = encoder.encode(b.column(at).cast(pa.string()).to_pylist())
             yield pa.RecordBatch.from_arrays([*b.columns, _lists(ids, offsets)], names=[*b.schema.names, out])
 
@@ -257,9 +269,12 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", out
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
-    """Replaces the ids column by the bytes they stand for (null ids: no bytes); other columns are kept."""
+    """Adds the bytes that the ids stand for; null or empty ids are no bytes. All columns are kept, but one named like `out` is replaced. Repeated rows give the
+    same bytes, and an empty table an empty result. ids must be ones of the rank file."""
     spark = encoded.sparkSession
+    common.arrow_batches(spark)
     raw = spark.sparkContext.broadcast(read_ranks(path))
+    encoded = encoded.drop(out)
     schema = T.StructType([*encoded.schema.fields, T.StructField(out, T.BinaryType())])
     at = [f.name for f in encoded.schema.fields].index(ids_col)
 
@@ -275,9 +290,10 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids", ou
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """encode() and decode() of the ids in one pass: one Python worker a task instead of two. The text column is dropped."""
+    """encode() and decode() of the ids in one pass: one Python worker a task instead of two. The text column is dropped, and ones named like ids or out are replaced; the
+    others are kept. A null or empty text has no ids and no bytes; repeated rows give the same, and an empty table an empty result."""
     spark = docs.sparkSession
-    common.arrow_batches(spark, ROWS)
+    common.arrow_batches(spark)
     raw = spark.sparkContext.broadcast(read_ranks(path))
     base = docs.drop(ids, out)
     kept = [f for f in base.schema.fields if f.name != text_col]
@@ -286,7 +302,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text_col: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(raw, pattern)
-        for b in batches:
+        for b in common.slices(batches, ROWS):
             flat, offsets = encoder.encode(b.column(at).cast(pa.string()).to_pylist())
             data, ends = encoder.vocabulary.decode(flat, offsets)
             yield pa.RecordBatch.from_arrays([*[b.column(f.name) for f in kept], _lists(flat, offsets), _binaries(data, ends)], names=schema.names)
@@ -295,5 +311,6 @@ def round_trip(docs: DataFrame, path: str, pattern: str, text_col: str = "text",
 
 
 def digests(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of rows with ids and decoded."""
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of rows with ids and decoded, neither of them null; empty ones have the digest of nothing. Rows are kept as often as they
+    are there; a null doc_id stays null."""
     return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import cut, shared_dir
+from ..session import cut, folder, mark, shared_dir, sweep, written
 
-__all__ = ["arrow_batches", "buckets_for", "cut", "fit_columns", "running_sum", "shared_dir", "sweep", "written"]
+__all__ = ["arrow_batches", "buckets_for", "cut", "fit_columns", "folder", "mark", "running_sum", "shared_dir", "sized", "slices", "sweep", "written"]
 
 #: Rows that one bucket of a distributed running sum holds on average.
 BUCKET_ROWS = 4096
@@ -17,30 +18,33 @@ BUCKET_ROWS = 4096
 BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20
 
 
-def arrow_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bounds the Arrow batches sent to Python workers."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def arrow_batches(spark: SparkSession) -> None:
+    """Bounds the Arrow batches sent to Python workers, for the session, since plans are made when a result is read. All operators share these bounds; one
+    that wants fewer rows at a time takes slices(), one that wants more sized()."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-_tables: list[str] = []
-
-
-def written(df: DataFrame) -> DataFrame:
-    """Cuts the lineage with a Parquet table in the shared folder: columns compressed, read with pruning."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _tables.append(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def sweep(spark: SparkSession) -> None:
-    """Deletes the tables that written() made in this process; to be called when no result is read any more."""
-    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _tables:
-        path = jvm.org.apache.hadoop.fs.Path(_tables.pop())
-        path.getFileSystem(hadoop).delete(path, True)
+def slices(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches of `rows` rows at most."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
+def sized(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """Batches of `rows` rows, but for the last one."""
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= rows:
+            whole = pa.concat_batches(held)
+            for i in range(0, n - n % rows, rows):
+                yield whole.slice(i, rows)
+            held, n = [whole.slice(n - n % rows)], n % rows
+    if n:
+        yield pa.concat_batches(held)
 
 
 def fit_columns(df: DataFrame, needed: dict[str, str]) -> DataFrame:

@@ -38,11 +38,9 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import uuid
-
     from . import common, warc
 
-    path = f"{common.shared_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    path = common.folder(spark, "warc")
     warc.write(_table(spark, sf_dir, "pages"), path)
     return warc.resolve(warc.reassemble(warc.read_records(spark, path)))
 

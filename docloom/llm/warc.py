@@ -6,10 +6,10 @@ import base64
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,8 @@ LEAST_REVISIT = 1000
 SEGMENT = 16 << 10
 #: Bytes of a chunk of the transfer framing.
 CHUNK = 4 << 10
+#: Bytes of an archive that are decompressed at a time, rows that are framed or read at a time, and records of a batch that leaves.
+READ, ROWS, OUT_ROWS = 1 << 20, 250, 2000
 #: Bytes of records an archive file should hold.
 ARCHIVE = 16 << 20
 #: All records' date: archives depend on their pages only.
@@ -88,47 +90,107 @@ def records(record_id: str, page_id: int | None, url: str | None, payload: bytes
             yield _record([("WARC-Type", "continuation"), ("WARC-Record-ID", f"<{record_id}:{n}>"), *shared, ("WARC-Segment-Origin-ID", f"<{record_id}>"), number, total], block[a:b])
 
 
-def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(fields, block) of an archive's records, by their Content-Length."""
-    at = 0
-    while at < len(data):
-        end = data.find(b"\r\n\r\n", at)
-        if end < 0 or not data.startswith(b"WARC/", at):
-            raise ValueError(f"no record at byte {at}")
-        fields = {}
-        for line in data[at:end].decode().split("\r\n")[1:]:
+def unpacked(raw: bytes, size: int = READ) -> Iterator[bytes]:
+    """The bytes of an archive, some at a time: all members of a gzip file, one after another, or the file as it is. ValueError where a member is broken or ends early."""
+    if raw[:2] != b"\x1f\x8b":
+        for i in range(0, len(raw), size):
+            yield raw[i : i + size]
+        return
+    view, at = memoryview(raw), 0
+    while at < len(raw) and any(view[at : at + 2]):  # zeros may pad the end
+        member = zlib.decompressobj(31)
+        while not member.eof:
+            if at >= len(raw):
+                raise ValueError("a gzip member ends early")
+            given = view[at : at + size]
+            try:
+                yield member.decompress(given)
+            except zlib.error as e:
+                raise ValueError(f"broken gzip member: {e}") from e
+            at += len(given) - len(member.unused_data)
+
+
+def parse(parts: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """(fields, block) of the records of an archive that comes in parts, by their Content-Length; one record is held at a time."""
+    parts, held, done = iter(parts), bytearray(), 0
+
+    def more() -> bool:
+        part = next(parts, None)
+        held.extend(part or b"")
+        return part is not None
+
+    while True:
+        while held[:2] == b"\r\n" or len(held) < 2:
+            if held[:2] == b"\r\n":
+                del held[:2]
+                done += 2
+            elif not more():
+                if held:
+                    raise ValueError(f"no record at byte {done}")
+                return
+        seen = 0
+        while (end := held.find(b"\r\n\r\n", seen)) < 0 and held[:5] == b"WARC/"[: len(held)]:
+            seen = max(0, len(held) - 3)
+            if not more():
+                break
+        if end < 0 or not held.startswith(b"WARC/"):
+            raise ValueError(f"no record at byte {done}")
+        fields, last = {}, None
+        for line in bytes(held[:end]).decode(errors="replace").split("\r\n")[1:]:
+            if line[:1] in (" ", "\t") and last:  # a folded line
+                fields[last] += " " + line.strip()
+                continue
             k, _, v = line.partition(":")
-            fields[k.strip().lower()] = v.strip()
-        first, n = end + 4, int(fields["content-length"])
-        if len(data) < first + n:
-            raise ValueError(f"the record at byte {at} ends early")
-        yield fields, data[first : first + n]
-        at = first + n
-        while data.startswith(b"\r\n", at):
-            at += 2
+            last = k.strip().lower()
+            fields[last] = v.strip()
+        first, n = end + 4, int(fields.get("content-length", "-1"))
+        if n < 0:
+            raise ValueError(f"the record at byte {done} has no length")
+        while len(held) < first + n:
+            if not more():
+                raise ValueError(f"the record at byte {done} ends early")
+        yield fields, bytes(held[first : first + n])
+        del held[: first + n]
+        done += first + n
 
 
 def write(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> None:
     """Writes a record per page into gzip archives under path (part-*.txt.gz, each a WARC file), by Spark's own writer.
 
-    Of the pages whose payloads are equal and have LEAST_REVISIT bytes or more, the one with the largest page_id (of repeated rows: one of them) is
-    stored as a response, and the others as revisits of it. Null html is an empty payload; a null id or url leaves its field out. An
-    empty table writes no record. Equal payloads are found by a pre-aggregated digest, so copies never meet in a task as pairs."""
-    common.arrow_batches(pages.sparkSession, 500)
+    Of the pages whose payloads are equal and have LEAST_REVISIT bytes or more, the one with the largest page_id (of several: the largest url, then one
+    of the equal rows) is stored as a response, and the others as revisits of it. Null html is an empty payload; a null id or url leaves its
+    field out and counts as the smallest. An empty table writes no record. Equal payloads are found by a pre-aggregated digest, so copies never meet in a task as
+    pairs; short payloads, empty ones with them, meet nowhere."""
+    common.arrow_batches(pages.sparkSession)
     rows = common.fit_columns(pages, {id_col: "long", url_col: "string", html_col: "string"}).toDF("page_id", "url", "html")
-    rows = rows.withColumn("html", F.coalesce("html", F.lit("")).cast("binary")).withColumns({"digest": F.unhex(F.sha1("html")), "n": F.octet_length("html").cast("long")})
+    rows = rows.withColumn("html", F.coalesce("html", F.lit("")).cast("binary"))
+    digest = F.unhex(F.sha1("html"))
+    again = not rows.groupBy("page_id").count().filter("count > 1").isEmpty()
+    if again:  # equal rows are one with a number of copies, added up before the shuffle
+        rows = rows.groupBy("page_id", "url", digest.alias("digest")).agg(F.first("html").alias("html"), F.count("*").alias("copies"))
+    else:
+        rows = rows.withColumns({"digest": digest, "copies": F.lit(1).cast("long")})
+    rows = rows.withColumn("n", F.octet_length("html").cast("long"))
     count, size = rows.agg(F.count("*"), F.sum("n")).first()
     per_file = max(1, int(ARCHIVE / (1000 + (size or 0) / max(1, count))))
-    groups = rows.filter(F.col("n") >= LEAST_REVISIT).groupBy("digest").agg(F.max("page_id").alias("last"), F.count("*").alias("members")).filter("members > 1")
-    rows = rows.join(groups, "digest", "left").withColumn("tie", F.row_number().over(Window.partitionBy("digest", "page_id").orderBy("url")))
-    uuid = lambda page, tie: F.regexp_replace(F.md5(F.concat_ws("/", F.coalesce(page.cast("string"), F.lit("-")), tie.cast("string"), F.hex("digest")).cast("binary")), "^(.{8})(.{4})(.{4})(.{4})", "urn:uuid:$1-$2-$3-$4-")
-    stored = F.col("members").isNull() | (F.col("page_id").eqNullSafe(F.col("last")) & (F.col("tie") == 1))
-    rows = rows.select("page_id", "url", "html", "digest", uuid(F.col("page_id"), F.col("tie")).alias("record_id"), F.when(~stored, uuid(F.col("last"), F.lit(1))).alias("refers_to"))
+    at = F.struct("page_id", "url")
+    groups = rows.filter(F.col("n") >= LEAST_REVISIT).groupBy("digest").agg(F.max(at).alias("last"), F.sum("copies").alias("members")).filter("members > 1").withColumnRenamed("digest", "of")
+    # a short payload looks for a key that no digest has, each for its own
+    wanted = F.when(F.col("n") >= LEAST_REVISIT, F.col("digest")).otherwise(F.unhex(F.md5(F.concat_ws("/", "page_id", "url").cast("binary"))))
+    rows = rows.withColumn("_wanted", wanted).join(groups, F.col("_wanted") == F.col("of"), "left")
+    name = lambda page, url: F.regexp_replace(F.md5(F.concat_ws("/", F.coalesce(page.cast("string"), F.lit("-")), F.hex("digest"), F.coalesce(url, F.lit("-"))).cast("binary")), "^(.{8})(.{4})(.{4})(.{4})", "urn:uuid:$1-$2-$3-$4-")
+    stored = F.col("members").isNull() | at.eqNullSafe(F.col("last"))
+    rows = rows.select("page_id", "url", "html", "digest", name(F.col("page_id"), F.col("url")).alias("record_id"), stored.alias("stored"), F.when(F.col("members").isNotNull(), name(F.col("last.page_id"), F.col("last.url"))).alias("of"), "copies")
 
     def frame(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out = [r[:-1] for page, url, html, digest, record_id, refers_to in zip(*(c.to_pylist() for c in b.columns)) for r in records(record_id, page, url, html, digest, refers_to)]
-            yield pa.RecordBatch.from_arrays([pa.array([r.decode() for r in out], pa.string())], names=["value"])  # the writer's line end is the last byte
+        for b in common.slices(batches, ROWS):
+            out = []
+            for page, url, html, digest, record_id, stored, of, copies in zip(*(c.to_pylist() for c in b.columns)):
+                for k in range(copies):
+                    revisits = None if of is None or (stored and k == 0) else of
+                    out += [r[:-1].decode() for r in records(record_id if k == 0 else f"{record_id}:copy-{k}", page, url, html, digest, revisits)]
+            for i in range(0, len(out), OUT_ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array(out[i : i + OUT_ROWS], pa.string())], names=["value"])  # the writer's line end is the last byte
 
     rows.mapInArrow(frame, "value string").write.option("compression", "gzip").option("lineSep", "\n").option("maxRecordsPerFile", per_file).text(path)
 
@@ -137,47 +199,62 @@ _RECORD = T.StructType([*[T.StructField(c, T.StringType()) for c in ("record_id"
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """All records of the archives under path, plain or gzip, whatever Spark can read them from."""
+    """All records of the archives under path, plain or gzip with any number of members, of whatever name, from wherever Spark can read them.
+
+    A file is decompressed some bytes at a time, so what is held is its raw bytes and one record. An empty folder or file gives no record; a record that
+    breaks off, or bytes that are none, are a ValueError. Fields that are missing are null; a segment number that is no number is one of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for data in b.column(0):
-                raw = data.as_py()
-                raw = zlib.decompress(raw, 31) if raw[:2] == b"\x1f\x8b" else raw
                 rows = []
-                for f, block in parse(raw):
+                for f, block in parse(unpacked(data.as_py())):
                     bare = lambda k: f[k].strip("<>") if k in f else None  # noqa: B023,E731
-                    rows.append((bare("warc-record-id"), f.get("warc-type"), f.get("warc-page-id"), bare("warc-refers-to"), f.get("warc-payload-digest"), bare("warc-segment-origin-id"), int(f["warc-segment-number"]) if "warc-segment-number" in f else None, int(f["warc-segment-total-length"]) if "warc-segment-total-length" in f else None, block))
-                    if len(rows) == 2000:
+                    number = lambda k: int(f[k]) if f.get(k, "").isdigit() else None  # noqa: B023,E731
+                    rows.append((bare("warc-record-id"), f.get("warc-type"), f.get("warc-page-id"), bare("warc-refers-to"), f.get("warc-payload-digest"), bare("warc-segment-origin-id"), number("warc-segment-number"), number("warc-segment-total-length"), block))
+                    if len(rows) == ROWS:
                         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), _ARROW)], names=_RECORD.names)
                         rows = []
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), _ARROW)], names=_RECORD.names)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+    files = spark.read.format("binaryFile").load(path).select("content")
     return files.mapInArrow(run, _RECORD)
 
 
 _ARROW = [pa.string()] * 6 + [pa.int64()] * 2 + [pa.binary()]
 
 
+def sha1_of(digest: str | None) -> str | None:
+    """The hexadecimal SHA-1 of a digest field, in base 32 or 16; null for another algorithm, or none."""
+    algorithm, _, value = (digest or "").partition(":")
+    if algorithm.lower() != "sha1":
+        return None
+    try:
+        return value.lower() if len(value) == 40 else base64.b32decode(value.upper()).hex()
+    except ValueError:
+        return None
+
+
 def reassemble(found: DataFrame) -> DataFrame:
     """One row per response and revisit: record_id, page_id, type, refers_to, payload, payload_digest and problem.
 
     Continuation records are grouped by the record they go on from and put in order of their number; numbers must run from 1, and the last
     one's total length must be that of all blocks. Chunked framing is decoded, and the digest of the payload is held against the
-    field; what doesn't fit is named in `problem` (null: sound), with a null payload. A revisit has no payload of its own."""
+    field, if that is a SHA-1; what doesn't fit is named in `problem` (null: sound), with a null payload. A revisit has no payload of its own. Records of other
+    types are left out. Records without an id, with an empty block, or repeated whole, are rows each; a repeated segment is a problem. An empty table gives an empty result."""
     part = F.struct("number", "block", "total")
     keep = ["type", "page_id", "refers_to", "digest"]
-    whole = found.filter("number IS NULL").select("record_id", *keep, F.array(part).alias("parts"))
-    cut = found.filter("number IS NOT NULL").withColumn("of", F.coalesce("origin", "record_id"))
+    found = found.filter("type IN ('response', 'revisit', 'continuation')")
+    whole = found.filter("number IS NULL AND type <> 'continuation'").select("record_id", *keep, F.array(part).alias("parts"))
+    cut = found.filter("number IS NOT NULL OR type = 'continuation'").withColumn("of", F.coalesce("origin", "record_id"))
     first = lambda c: F.max(F.when(F.col("number") == 1, F.col(c))).alias(c)
     cut = cut.groupBy("of").agg(*[first(c) for c in keep], F.sort_array(F.collect_list(part)).alias("parts")).withColumnRenamed("of", "record_id")
     out = T.StructType([*[T.StructField(c, T.StringType()) for c in ("record_id", "type")], T.StructField("page_id", T.LongType()), T.StructField("refers_to", T.StringType()), T.StructField("payload", T.BinaryType()), T.StructField("payload_digest", T.StringType()), T.StructField("problem", T.StringType())])
 
     def payload(parts: list[dict]) -> bytes:
         block = b"".join(p["block"] for p in parts)
-        if parts[0]["number"] is not None:
+        if len(parts) > 1 or parts[0]["number"] is not None:
             if [p["number"] for p in parts] != list(range(1, len(parts) + 1)):
                 raise ValueError("a segment is missing or repeated")
             if parts[-1]["total"] != len(block):
@@ -188,11 +265,11 @@ def reassemble(found: DataFrame) -> DataFrame:
         return body
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.slices(batches, ROWS):
             rows = []
             for record_id, kind, page, refers_to, digest, parts in zip(*(c.to_pylist() for c in b.columns)):
-                page = int(page) if page is not None else None
-                name = base64.b32decode(digest.partition(":")[2]).hex() if digest else None
+                page = int(page) if page is not None and page.lstrip("-").isdigit() else None
+                name = sha1_of(digest)
                 if kind == "revisit":
                     rows.append((record_id, kind, page, refers_to, None, name, None))
                     continue
@@ -204,12 +281,14 @@ def reassemble(found: DataFrame) -> DataFrame:
                     rows.append((record_id, kind, page, None, None, name, str(e)))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), [pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary(), pa.string(), pa.string()])] if rows else [pa.array([], k) for k in (pa.string(), pa.string(), pa.int64(), pa.string(), pa.binary(), pa.string(), pa.string())], names=out.names)
 
-    common.arrow_batches(found.sparkSession, 500)
+    common.arrow_batches(found.sparkSession)
     return whole.unionByName(cut).mapInArrow(run, out)
 
 
 def resolve(whole: DataFrame) -> DataFrame:
-    """Per response and revisit: page_id, payload_bytes, payload_digest, record_type, refers_to (the response's page_id) and problem; a revisit's figures are the response's."""
+    """Per response and revisit: page_id, payload_bytes, payload_digest, record_type, refers_to (the response's page_id) and problem; a revisit's figures are the response's.
+
+    A revisit whose response isn't there has a null refers_to and says so in `problem`; ids that are null stay null. Payloads don't travel: only their sizes and digests meet. An empty table gives an empty result."""
     rows = common.written(whole.select("record_id", "page_id", "type", "refers_to", F.octet_length("payload").cast("long").alias("payload_bytes"), "payload_digest", "problem"))
     stored = rows.filter("type = 'response'").select(F.col("record_id").alias("refers_to"), F.col("page_id").alias("of"), F.col("payload_bytes").alias("n"))
     done = rows.filter("type = 'revisit'").join(stored, "refers_to", "left").select("page_id", F.col("n").alias("payload_bytes"), "payload_digest", F.col("type").alias("record_type"), F.col("of").alias("refers_to"), F.when(F.col("n").isNull(), "the response is missing").alias("problem"))

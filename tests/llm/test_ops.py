@@ -209,7 +209,7 @@ def test_framing():
     for n in (0, 1, 4096, 4097, 20000):
         p = "".join(rng.choice("aé日\r\n0 ") for _ in range(n)).encode()
         assert warc.unchunked(warc.chunked(p)) == p
-        found = list(warc.parse(b"".join(warc.records("urn:x", 7, "http://x/\r\ny", p, hashlib.sha1(p).digest(), None))))
+        found = list(warc.parse(iter([b"".join(warc.records("urn:x", 7, "http://x/\r\ny", p, hashlib.sha1(p).digest(), None))])))
         assert all(len(block) <= warc.SEGMENT for _, block in found) and [f["warc-type"] for f, _ in found] == ["response"] + ["continuation"] * (len(found) - 1)
     for broken in (b"", b"5\r\nabc\r\n0\r\n\r\n", b"zz\r\n", b"3\r\nabcXX0\r\n\r\n"):
         with pytest.raises(ValueError):
@@ -235,6 +235,28 @@ def test_warc(spark, tmp_path):
     assert warc.reassemble(warc.read_records(spark, str(tmp_path / "e"))).count() == 0
 
 
+def test_warc_members_and_names(spark, tmp_path):
+    """Standard archives: a gzip member per record, any file name, plain ones, records of other types; broken ones are errors."""
+    import gzip
+
+    pages = [(k, f"p{k} " * (9000 if k == 3 else 20)) for k in range(5)]
+    each = [list(warc.records(f"urn:uuid:{k}", k, "http://x", t.encode(), hashlib.sha1(t.encode()).digest(), None)) for k, t in pages]
+    info = b"WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Record-ID: <urn:i>\r\nX: a\r\n b\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+    (tmp_path / "crawl-00.warc.gz").write_bytes(b"".join(gzip.compress(r) for r in [info, *sum(each[:3], [])]) + b"\0" * 20)
+    (tmp_path / "more.warc").write_bytes(info + b"".join(sum(each[3:], [])))
+    (tmp_path / "empty.warc").write_bytes(b"")
+    found = warc.read_records(spark, str(tmp_path))
+    assert found.filter("type = 'response'").count() == 5 and found.filter("type = 'warcinfo'").count() == 2
+    whole = warc.reassemble(found).collect()
+    assert {(r.page_id, bytes(r.payload).decode(), r.problem) for r in whole} == {(k, t, None) for k, t in pages}
+    data = b"".join(gzip.compress(r) for r in sum(each, []))
+    for size in (1, 7, 1 << 20):  # wherever a part ends
+        assert [b for _, b in warc.parse(warc.unpacked(data, size))] == [b for _, b in warc.parse([b"".join(sum(each, []))])]
+    for broken in (data[:-4], data[:50], b"\x1f\x8bjunk", b"WARC/1.1\r\nX: 1\r\n\r\n", b"junk", b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc"):
+        with pytest.raises(ValueError):
+            list(warc.parse(warc.unpacked(broken)))
+
+
 def test_warc_damage(spark, tmp_path):
     pages = spark.createDataFrame([(1, "u", "z" * 50000), (2, "u", "fine")], "page_id long, url string, html string")
     warc.write(pages, str(tmp_path / "w"))
@@ -280,7 +302,7 @@ def brute_links(rows, cosine):
 
 
 def test_ego(spark, monkeypatch):
-    monkeypatch.setattr(ego, "BLOCK", 64)
+    monkeypatch.setattr(ego, "INTERVAL_BYTES", 64 * 8 * 12)
     monkeypatch.setattr(ego, "LEAF", 16)
     rows = special_vectors(np.random.default_rng(3))
     for cosine in (0.9, 0.6):
@@ -294,8 +316,29 @@ def test_interval_join_skips_only_distant():
     rng = np.random.default_rng(1)
     points = np.sort(rng.random((64, 1)) * 20, axis=0)
     boxes = [(p - 0.05, p + 0.05) for p in points]
-    got = set(ego.join_intervals(boxes, 0.5))
+    got = set(ego.join_intervals(boxes, None, 0.5))
     assert got == {(i, j) for i in range(64) for j in range(i, 64) if ego.apart(*boxes[i], *boxes[j]) <= 0.5} and len(got) < 64 * 65 // 4
+    got = set(ego.join_intervals(boxes[:20], boxes[15:], 0.5))
+    assert got == {(i, j) for i in range(20) for j in range(49) if ego.apart(*boxes[i], *boxes[15 + j]) <= 0.5}
+    assert not list(ego.join_intervals([], None, 1)) and not list(ego.join_intervals(boxes, [], 1))
+
+
+def test_ego_skips_on_clusters(spark, monkeypatch, caplog):
+    """On vectors in clusters most pairs of leaves are skipped, and pairs grow with the table, not with its square."""
+    monkeypatch.setattr(ego, "LEAF", 32)
+    monkeypatch.setattr(ego, "INTERVAL_BYTES", 128 * 8 * 16)
+    kept = []
+    for n in (1500, 6000):
+        rows = [(i, v.tolist()) for i, v in enumerate(clusters(np.random.default_rng(4), n, 16, 0.02))]
+        caplog.clear()
+        with caplog.at_level("INFO", ego.__name__):
+            got = ego.group(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+        skipped, _, everything = (int(x) if x.isdigit() else 0 for x in caplog.messages[-1].split()[:3])
+        kept.append(everything - skipped)
+        assert skipped > 0.6 * everything
+        if n == 1500:
+            assert Counter(tuple(r) for r in got) == brute_links(rows, 0.9)
+    assert kept[1] < 4**1.2 * kept[0], kept
 
 
 # --- 6: simhash ---------------------------------------------------------------------------------
@@ -457,8 +500,36 @@ def test_bpe_random(tokenizer):
     ids, at = encoder.encode(texts)
     for i, t in enumerate(texts):
         assert ids[at[i] : at[i + 1]].tolist() == real.encode_ordinary(t)
-    for word in ("antidisestablishmentarianism" * 12, "é" * 40):  # matrix and heap agree
-        assert vocabulary._heap(word.encode()).tolist() == vocabulary._matrix([word.encode()], 512)[0].tolist()
+    rows = ["antidisestablishmentarianism" * 12, "é" * 40, "a" * 300, "abab" * 70 + "a", "日本語" * 50] + ["".join(rng.choice("aeinrst") for _ in range(300)) for _ in range(40)]
+    for word in rows:  # one merge a round and several give the same
+        assert vocabulary._wide([word.encode()], 512)[0].tolist() == vocabulary._matrix([word.encode()], 512)[0].tolist()
+    together = vocabulary._wide([w.encode() for w in rows], 512)
+    assert all(a.tolist() == vocabulary._matrix([w.encode()], 512)[0].tolist() for a, w in zip(together, rows))
+
+
+def test_bpe_lower_ranks_come_first():
+    """Ranks in an order that no training gives: a merge may make a pair of a lower rank."""
+    import base64
+
+    rng = random.Random(7)
+    for _ in range(30):
+        tokens = {bytes([b]) for b in b"abc"} | {"".join(rng.choice("abc") for _ in range(rng.randint(2, 5))).encode() for _ in range(25)}
+        order = sorted(t for t in tokens if len(t) == 1) + rng.sample(sorted(t for t in tokens if len(t) > 1), sum(len(t) > 1 for t in tokens))
+        vocabulary = bpe.Vocabulary(b"\n".join(base64.b64encode(t) + b" %d" % i for i, t in enumerate(order)))
+        for n in (1, 2, 7, 400):
+            word = "".join(rng.choice("abc") for _ in range(n)).encode()
+            assert vocabulary._wide([word], 512)[0].tolist() == vocabulary._matrix([word], 512)[0].tolist()
+
+
+def test_bpe_long_texts(spark, tokenizer):
+    path, pattern, real = tokenizer
+    rng = random.Random(12)
+    texts = ["x" * 200_000, "".join(rng.choice("abcdefghij") for _ in range(20_000)), " \n" * 50_000, "the cat " * 60_000, "z" * 70_000 + "ä日" * 9_000]
+    rows = bpe.round_trip(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("decoded", F.lit(1)), path, pattern).collect()
+    for r in rows:
+        assert list(r.ids) == real.encode_ordinary(texts[r.doc_id]) and bytes(r.decoded).decode() == texts[r.doc_id]
+    clash = bpe.decode(bpe.encode(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), path, pattern).withColumn("decoded", F.lit(1)), path, pattern)
+    assert clash.columns == ["doc_id", "text", "ids", "decoded"] and bytes(clash.first().decoded) == b"a b"
 
 
 # --- 8: quality ---------------------------------------------------------------------------------
@@ -513,6 +584,56 @@ def test_vafile(spark, monkeypatch):
     assert vafile.topk(spark.createDataFrame([(20, [1.0])], "vec_id long, embedding array<float>"), F.lit(True), 20, 64.0).count() == 0
 
 
+def brute_top(rows, is_query, k, scale):
+    ok = [(i, [int(np.floor(scale * float(x))) for x in v]) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
+    want = Counter()
+    for q, qv in ok:
+        if is_query(q):
+            best = sorted((-sum(a * b for a, b in zip(qv, v)), i) for i, v in ok if i != q)[:k]
+            want.update((q, n, i, -s) for n, (s, i) in enumerate(best, 1))
+    return want
+
+
+def test_vafile_large_components(spark):
+    rng = np.random.default_rng(1)
+    rows = [(20, [1e8, 0.5, 0.0]), (1, [0.02, 0.0, 0.0]), (2, [2e6, 1.0, 3.0]), (3, [-1e6, 0.0, 0.25]), (40, [1.0, 2.0])] + [(100 + 2 * i + 1, (rng.normal(size=3) * 10.0 ** rng.integers(-2, 6)).tolist()) for i in range(60)]
+    schema = "vec_id long, embedding array<double>"
+    got = Counter(tuple(r) for r in vafile.topk(spark.createDataFrame(rows, schema), F.col("vec_id") % 20 == 0, 200, 64.0).collect())
+    assert got == brute_top(rows, lambda q: q % 20 == 0, 200, 64) and (20, 1, 2) in {t[:3] for t in got}
+    assert {t[3] for t in got if t[0] == 20 and t[2] == 1} == {6_400_000_000}
+    with pytest.raises(Exception, match="64 bits"):
+        vafile.topk(spark.createDataFrame([(20, [1e10]), (1, [1e10])], schema), F.col("vec_id") == 20, 2, 64.0).collect()
+    rows = [(20, [1e10, 1.0]), (1, [0.5, 1.0]), (2, [-2e5, 0.0])]  # sums within 64 bits of products that need exact numbers
+    got = Counter(tuple(r) for r in vafile.topk(spark.createDataFrame(rows, schema), F.col("vec_id") == 20, 2, 64.0).collect())
+    assert got == brute_top(rows, lambda q: q == 20, 2, 64)
+
+
+def clusters(rng, n, d, spread, each=100):
+    """n unit vectors, `each` of them about every centre, so that links grow with the table."""
+    m = np.repeat(rng.normal(size=(-(-n // each), d)), each, axis=0)[:n] + spread * rng.normal(size=(n, d))
+    return m / np.linalg.norm(m, axis=1, keepdims=True)
+
+
+def test_vafile_skips_on_clusters(spark, monkeypatch, caplog):
+    monkeypatch.setattr(vafile, "BLOCK", 50)
+    monkeypatch.setattr(vafile, "QUERIES", 20)
+    rows = [(i, v.tolist()) for i, v in enumerate(clusters(np.random.default_rng(2), 1000, 16, 0.05))]
+    with caplog.at_level("INFO", vafile.__name__):
+        got = Counter(tuple(r) for r in vafile.topk(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, 20, 64.0).collect())
+    assert got == brute_top(rows, lambda q: q % 20 == 0, 20, 64)
+    skipped, _, everything = caplog.messages[-1].split()[:3]
+    assert int(skipped) > 0.4 * int(everything)
+
+
+def test_certain_reads_in_order():
+    rng = np.random.default_rng(5)
+    data, q = np.floor(rng.normal(size=(500, 8)) * 60), np.floor(rng.normal(size=8) * 60)
+    exact = (data @ q).astype(int)
+    ids, scores, read = vafile.certain(q, np.arange(500), data, exact + 50.0, 10)
+    want = sorted(range(500), key=lambda i: (-exact[i], i))[:10]
+    assert ids.tolist() == want and scores.tolist() == exact[want].tolist() and read < 200
+
+
 # --- 10: sharding -------------------------------------------------------------------------------
 
 
