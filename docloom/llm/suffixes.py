@@ -3,9 +3,11 @@
 A suffix here is what follows a byte of a document, and only its first `length` bytes matter. Suffixes are dealt into buckets, and one
 bucket is sorted at a time. A suffix's bucket is the least-hashed 32-byte gram among its first `length` bytes together with the place of
 that gram, which follows from those bytes alone: equal suffixes meet in one bucket, wherever they start. Neighbouring suffixes of a document
-that share the gram travel as one snippet. Snippets that agree in whole need no sorting: all but the first repeat it. Of
-the others, a task lays a block of snippets out with their grams at multiples of the cover period, sorts the sample of a difference cover
-once by doubling, and then sorts each bucket by at most eight leading bytes and the rank of the sample suffix that follows them.
+that share the gram travel as one snippet. A task lays a block of buckets' snippets out with their grams at multiples of the cover period, sorts the sample of a
+difference cover once by doubling, and then sorts each bucket by at most eight leading bytes and the rank of the sample suffix that follows them.
+
+Of snippets whose bytes are the same only the first is laid out, for the others repeat it; bytes are compared, never hashes alone. A bucket of too many snippets for a
+task is dealt anew, to parts by chance, each of which drops what repeats within it, and then to buckets by one more gram of a suffix's bytes, as often as it takes.
 """
 
 from __future__ import annotations
@@ -14,7 +16,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,8 +31,10 @@ PERIOD = 32
 COVER = (0, 1, 2, 3, 7, 11, 15, 19, 25)
 #: Bytes of snippets that a task lays out at a time, if a bucket isn't larger.
 BLOCK_BYTES = 1 << 20
-#: Snippets of a bucket that one task sorts at most. The suffixes of a larger one are told apart by 128-bit hashes instead, which spread over all tasks.
+#: Snippets of a bucket that is sorted in one place; a larger one is split first, into parts of so many.
 HOT = 10_000
+#: Rows of a batch of snippets that leaves a task's function.
+OUT_ROWS = 5000
 #: What a null doc_id counts as: it comes before all others.
 NO_ID = -(1 << 63)
 
@@ -60,8 +63,8 @@ def _leftmost_least(h: np.ndarray, window: int) -> np.ndarray:
     return (v & _LOW).astype(np.int64)
 
 
-def snippets(data: bytes, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Runs of suffixes in one bucket: arrays of gram hash, first suffix, number of suffixes, place of the gram behind the first, and a hash of the snippet."""
+def snippets(data: bytes, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Runs of suffixes in one bucket: arrays of gram hash, first suffix, number of suffixes, and place of the gram behind the first."""
     window = length - GRAM + 1
     view = memoryview(data)
     for at in range(0, len(data) - length + 1, PIECE):
@@ -71,10 +74,25 @@ def snippets(data: bytes, length: int) -> Iterator[tuple[np.ndarray, np.ndarray,
         first = np.concatenate([[0], np.flatnonzero(least[1:] != least[:-1]) + 1])
         count = np.diff(np.concatenate([first, [len(least)]]))
         gram = least[first]
-        near = gram - first
-        x = xxhash.xxh3_64_intdigest
-        whole = np.array([x(view[a:b], c) for a, b, c in zip((first + at).tolist(), (first + at + count + length - 1).tolist(), near.tolist())], np.uint64)
-        yield h[gram].view(np.int64), first + at, count, near, whole.view(np.int64)
+        yield h[gram].view(np.int64), first + at, count, gram - first
+
+
+def split(text: bytes, near: int, count: int, level: int, length: int) -> Iterator[tuple[int, int, int]]:
+    """(gram, first suffix, number of suffixes) of the runs of a snippet's suffixes that share one more gram, at the same distance: the least-hashed of those that the
+    `level` grams already used leave over. The number names both the gram and its distance. Grams that a suffix has used follow from its bytes, as the first one does."""
+    window = length - GRAM + 1
+    h = _gram_hashes(np.frombuffer(text, np.uint8))
+    used = [near]
+    for _ in range(level - 1):  # all suffixes of the snippet share these
+        rest = h.copy()
+        rest[used] = ~np.uint64(0)
+        used.append(int(_leftmost_least(rest, window)[0]))
+    h[used] = ~np.uint64(0)
+    least = _leftmost_least(h, window)[:count]
+    first = np.concatenate([[0], np.flatnonzero(least[1:] != least[:-1]) + 1])
+    for a, n in zip(first.tolist(), np.diff(np.concatenate([first, [count]])).tolist()):
+        g = int(least[a])
+        yield (int(h[g]) * 0x9E3779B97F4A7C15 + (g - near) * 0xBF58476D1CE4E5B9) & (1 << 64) - 1, a, n
 
 
 def _words(text: np.ndarray) -> np.ndarray:
@@ -177,23 +195,108 @@ def _base(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -> tupl
     return rows.withColumn("th", F.xxhash64("doc_id", "text") if repeated else F.lit(0).cast("long")), "th" if repeated else "dk"
 
 
-def _hot_spans(joined: DataFrame, length: int) -> DataFrame:
-    """(dk, th, low, high) of the suffixes of hot buckets that an equal one precedes, by hashes: least (dk, th, place) per hash, combined before the shuffle."""
-    out = T.StructType([*_KEYS, *[T.StructField(n, T.LongType()) for n in ("low", "h1", "h2")]])
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for d, h, t, w in zip(*(b.column(i).to_pylist() if i != 2 else b.column(i).cast(pa.binary()).to_pylist() for i in range(4))):
-                places = sorted({p for x in w if x["th"] == h for p in range(x["place"] >> 16, (x["place"] >> 16) + (x["place"] >> 8 & 255))})
-                view = memoryview(t)
-                whole = np.array([[v >> 64, v & (1 << 64) - 1] for v in (xxhash.xxh3_128_intdigest(view[p : p + length]) for p in places)], np.uint64).reshape(-1, 2).view(np.int64)
-                n = len(places)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, d)), pa.array(np.full(n, h)), pa.array(places, pa.int64()), pa.array(whole[:, 0]), pa.array(whole[:, 1])], names=out.names)
-
-    rows = joined.mapInArrow(spread, out)  # read twice, from one exchange of texts that the caller's plan shares
-    at = F.struct("dk", "th", "low")
-    first = rows.groupBy("h1", "h2").agg(F.min(at).alias("first"))
-    return rows.join(first, ["h1", "h2"]).filter(at > F.col("first")).select("dk", "th", "low", (F.col("low") + length).alias("high"))
+_SPANS = T.StructType([*_KEYS, T.StructField("low", T.LongType()), T.StructField("high", T.LongType())])
+_SENT = T.StructType([*_KEYS, *[T.StructField(n, T.LongType()) for n in ("bucket", "place")], T.StructField("bytes", T.BinaryType())])
+
+
+def _span(place: int, length: int) -> tuple[int, int]:
+    """Where a snippet's bytes start and end in its document."""
+    low = place >> 16
+    return low, low + (place >> 8 & 255) + length - 1
+
+
+def _firsts(rows: list[tuple], length: int) -> tuple[list[tuple], list[tuple]]:
+    """Snippets (dk, th, bucket, place, bytes) of one or more buckets, in the order of these: the first of those with equal bytes and gram place in each bucket, and the
+    spans (dk, th, low, high) of the others, whose every suffix the first one has, too. A row that is there twice is a copy of the document's, and counts once."""
+    seen: dict[tuple, tuple] = {}
+    spans = []
+    for row in rows:
+        key = row[2], row[3] & 255, row[4]
+        first = seen.setdefault(key, row)
+        if first is not row and first[:4] != row[:4]:
+            spans.append((row[0], row[1], *_span(row[3], length)))
+    return list(seen.values()), spans
+
+
+def _in_buckets(batches: Iterator[pa.RecordBatch], done, enough: int) -> Iterator[list[tuple]]:
+    """Rows of sorted batches, whole buckets at a time: `done` is called with lists whose bytes exceed `enough`, if one bucket's don't."""
+    block: list[tuple] = []
+    held, last = 0, None
+    for b in batches:
+        for row in zip(*(b.column(i).to_pylist() for i in range(5))):
+            if held > enough and row[2] != last:
+                yield from done(block)
+                block, held = [], 0
+            block.append(row)
+            held += len(row[4])
+            last = row[2]
+    if block:
+        yield from done(block)
+
+
+def _as_batch(rows: list[tuple], schema: T.StructType) -> pa.RecordBatch:
+    kinds = [pa.binary() if isinstance(f.dataType, T.BinaryType) else pa.int64() for f in schema.fields]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=schema.names)
+
+
+def _cooled(hot: DataFrame, length: int) -> tuple[DataFrame, list[DataFrame]]:
+    """Snippets of buckets that are too large, in buckets that aren't, and the spans found on the way.
+
+    Each round deals a hot bucket's snippets to parts of HOT by a hash of their place; a part drops those that repeat another one of it, and cuts the others at one more
+    gram. Copies of one snippet are a HOTth of what they were after a round, and snippets that differ have other grams, so rounds are few. What is as hot after a
+    round as before it goes on as it is: it has one bucket, whatever its size."""
+    done, spans, level = [], [], 1
+    # a part's firsts, and, with a null bucket, the spans it found; a span's place is its start and its end is the bucket's column below
+    both = T.StructType([*_SENT.fields, T.StructField("high", T.LongType())])
+    before = None
+    while True:
+        size = hot.groupBy("bucket").agg(F.count("*").alias("n"))
+        parts = F.ceil(F.col("n") / HOT)
+        dealt = hot.join(size, "bucket").withColumn("part", F.pmod(F.xxhash64("dk", "th", "place"), parts)).select("dk", "th", F.xxhash64("bucket", "part").alias("deal"), "bucket", "place", "bytes")
+
+        def collapse(batches: Iterator[pa.RecordBatch], level: int = level) -> Iterator[pa.RecordBatch]:
+            def settle(block: list[tuple]) -> Iterator[pa.RecordBatch]:
+                kept, found = _firsts(sorted(block, key=lambda r: r[:2] + (r[3] >> 16,)), length)
+                rows = [(d, h, None, low, None, high) for d, h, low, high in found]
+                for d, h, bucket, place, text in kept:
+                    low, count, near = place >> 16, place >> 8 & 255, place & 255
+                    for gram, a, n in split(text, near, count, level, length):
+                        key = (bucket * 0x9E3779B97F4A7C15 + gram) & (1 << 64) - 1
+                        rows.append((d, h, key - (1 << 64) if key >> 63 else key, (low + a) << 16 | n << 8 | near - a, text[a : a + n + length - 1], None))
+                for i in range(0, len(rows), OUT_ROWS):
+                    yield _as_batch(rows[i : i + OUT_ROWS], both)
+
+            block: list[tuple] = []
+            last = None
+            for b in batches:
+                for d, h, deal, *row in zip(*(b.column(i).to_pylist() for i in range(6))):
+                    if deal != last and block:
+                        yield from settle(block)
+                        block = []
+                    block.append((d, h, *row))
+                    last = deal
+            if block:
+                yield from settle(block)
+
+        found = common.written(dealt.repartition("deal").sortWithinPartitions("deal").mapInArrow(collapse, both))
+        spans.append(found.filter("bucket IS NULL").select("dk", "th", F.col("place").alias("low"), "high"))
+        rows = found.filter("bucket IS NOT NULL").drop("high")
+        size = rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+        large = common.written(size.filter(F.col("n") > HOT))
+        # what is alone in its bucket repeats nothing
+        done.append(rows.join(size.filter(F.col("n") <= HOT).select("bucket"), "bucket", "left_semi"))
+        now = large.agg(F.sum("n")).first()[0] or 0
+        if not now:
+            break
+        hot = rows.join(large.select("bucket"), "bucket", "left_semi")
+        if before is not None and now >= before:
+            done.append(hot)
+            break
+        before, level = now, level + 1
+    out = done[0]
+    for d in done[1:]:
+        out = out.unionByName(d)
+    return out.select(*_SENT.names), spans
 
 
 def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None, as_text: bool = False) -> DataFrame:
@@ -206,115 +309,119 @@ def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
     empty result. length must lie between 40 and 224."""
     if not GRAM + 8 <= length <= 224:
         raise ValueError("length must lie between 40 and 224")
-    common.arrow_batches(docs.sparkSession, 1000)
+    common.arrow_batches(docs.sparkSession)
     base, key = _base(docs, id_col, text_col, carry or [])
-    window = length - GRAM + 1
 
-    # 1. a row per snippet, dealt by bucket; place = first suffix << 16 | suffixes << 8 | gram behind the first. Of equal snippets in a batch only
-    # the first is dealt; the others are known to repeat it, and go as (low, high) to buckets of their own.
-    out = T.StructType([*_KEYS, *[T.StructField(n, T.LongType()) for n in ("bucket", "whole", "place", "low", "high")]])
+    # 1. a row per snippet, dealt by bucket; place = first suffix << 16 | suffixes << 8 | gram behind the first. Of snippets of a batch with equal bytes only
+    # the first is dealt; the others repeat it, and go as (low, high) to buckets of their own.
+    out = T.StructType([*_KEYS, *[T.StructField(n, T.LongType()) for n in ("bucket", "place", "high")]])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             dk, th = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            texts = b.column(2).cast(pa.binary()).to_pylist()
             found = []
-            for i, t in enumerate(b.column(2).cast(pa.binary()).to_pylist()):
+            for i, t in enumerate(texts):
                 if len(t) >= length:
-                    found += [(np.full(len(g), dk[i]), np.full(len(g), th[i]), g, w, (first << 16) | (count << 8) | near) for g, first, count, near, w in snippets(t, length)]
+                    found += [(np.full(len(g), dk[i]), np.full(len(g), th[i]), g, (first << 16) | (count << 8) | near, np.full(len(g), i)) for g, first, count, near in snippets(t, length)]
             if not found:
                 continue
             rows = np.array([np.concatenate(c) for c in zip(*found)])
-            rows = rows[:, np.lexsort((rows[4], rows[1], rows[0], rows[3], rows[2]))]
-            same = np.concatenate([[False], (rows[2:4, 1:] == rows[2:4, :-1]).all(axis=0)])
-            copy = np.concatenate([[False], (rows[:, 1:] == rows[:, :-1]).all(axis=0)])  # of a copy of the document
-            d, h, _, _, place = rows[:, same & ~copy]
-            o = np.lexsort((place, h, d))
-            d, h, low = d[o], h[o], place[o] >> 16
-            high = low + (place[o] >> 8 & 255) + length - 1
+            # in order of bucket and form, then of document and place: neighbours of one form may be equal
+            rows = rows[:, np.lexsort((rows[3], rows[1], rows[0], rows[3] & 0xFFFF, rows[2]))]
+            alike = np.flatnonzero((rows[2, 1:] == rows[2, :-1]) & (rows[3, 1:] & 0xFFFF == rows[3, :-1] & 0xFFFF)) + 1
+            # each is held against the first of its run; one that differs from that is dealt like any other
+            firsts = np.arange(rows.shape[1])
+            same = np.zeros(rows.shape[1], bool)
+            new = np.ones(rows.shape[1], bool)
+            new[alike] = False
+            start = np.maximum.accumulate(np.where(new, firsts, 0))
+            copy = np.zeros(rows.shape[1], bool)  # of the document
+            copy[1:] = (rows[:2, 1:] == rows[:2, :-1]).all(axis=0) & (rows[2:4, 1:] == rows[2:4, :-1]).all(axis=0)
+            at, place = rows[4].tolist(), rows[3].tolist()
+            for k, f in zip(alike.tolist(), start[alike].tolist()):
+                (a, z), (c, y) = _span(place[k], length), _span(place[f], length)
+                same[k] = texts[at[k]][a:z] == texts[at[f]][c:y]
+            d, h, _, spot, _ = rows[:, same & ~copy]
+            o = np.lexsort((spot, h, d))
+            d, h, low = d[o], h[o], spot[o] >> 16
+            high = low + (spot[o] >> 8 & 255) + length - 1
             new = np.concatenate([[True], (d[1:] != d[:-1]) | (h[1:] != h[:-1]) | (low[1:] > high[:-1])]) if len(d) else np.zeros(0, bool)
             k = np.flatnonzero(new)
             known = [d[k], h[k], low[k], np.maximum.reduceat(high, k) if len(k) else high]
-            rows = rows[:, ~same]
-            n, m = rows.shape[1], len(k)
+            rows = rows[:, ~same & ~copy]
+            n = rows.shape[1]
             alone = known[0] * 0x9E3779B1 + known[2]
-            cols = [np.concatenate(c) for c in ((rows[0], known[0]), (rows[1], known[1]), (rows[2], alone), (rows[3], np.zeros(m, np.int64)), (rows[4], np.zeros(m, np.int64)), (np.zeros(n, np.int64), known[2]), (np.zeros(n, np.int64), known[3]))]
+            cols = [np.concatenate(c) for c in ((rows[0], known[0]), (rows[1], known[1]), (rows[2], alone), (rows[3], known[2]), (np.zeros(n, np.int64), known[3]))]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=out.names)
 
     rows = base.select("dk", "th", "text").mapInArrow(cut, out)
-    whole = ["whole", "dk", "th", "place"]
-    mine = Window.partitionBy("bucket", F.col("high") > 0)
-    order = mine.orderBy(*whole)
-    rows = rows.withColumns({"least": F.min("whole").over(mine), "most": F.max("whole").over(mine), "n": F.count("*").over(mine)}).filter("n > 1 OR high > 0")
-    rows = rows.withColumns({f"p_{c}": F.lag(c).over(order) for c in whole})
-    copy = (F.col("p_whole") == F.col("whole")) & (F.col("p_dk") == F.col("dk")) & (F.col("p_th") == F.col("th")) & (F.col("p_place") == F.col("place"))
-    rows = rows.withColumn("copy", F.coalesce(copy, F.lit(False))).withColumn("repeats", F.coalesce(F.col("p_whole") == F.col("whole"), F.lit(False)))
-    rows = rows.filter("high > 0 OR (NOT copy AND (repeats OR least <> most))")
-    first = F.shiftright("place", 16)
     known = F.col("high") > 0
-    rows = common.written(rows.select("dk", "th", "place", F.when(~known & ~F.col("repeats"), F.col("bucket")).alias("bucket"), (F.col("n") > HOT).alias("hot"), F.when(known, F.col("low")).otherwise(first).alias("low"), F.when(known, F.col("high")).otherwise(first + F.shiftright("place", 8).bitwiseAND(F.lit(255)) + length - 1).alias("high")))
+    rows = rows.withColumn("n", F.count("*").over(Window.partitionBy("bucket"))).filter(known | (F.col("n") > 1))
+    rows = common.written(rows.select("dk", "th", "place", F.when(~known, F.col("bucket")).alias("bucket"), (F.col("n") > HOT).alias("hot"), "high"))
 
-    # 2. snippets that differ within a bucket get their bytes and meet there to be sorted
+    # 2. snippets that share a bucket get their bytes and meet there to be sorted
     text = base.select("dk", "th", "text", "doc_id", "carried")
 
-    def joined(some: DataFrame) -> DataFrame:
-        wanted = some.groupBy(F.col(key).alias("_key")).agg(F.collect_list(F.struct("th", "place", "bucket")).alias("w"))
-        return text.join(wanted, F.col(key) == F.col("_key")).select("dk", "th", "text", "w", "doc_id", "carried")
-
-    sent = T.StructType([*_KEYS, T.StructField("bucket", T.LongType()), T.StructField("place", T.LongType()), T.StructField("bytes", T.BinaryType())])
-
-    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for d, h, t, w in zip(*(b.column(i).to_pylist() if i != 2 else b.column(i).cast(pa.binary()).to_pylist() for i in range(4))):
-                for x in w:
-                    if x["th"] == h:
-                        low = x["place"] >> 16
-                        rows.append((d, h, x["bucket"], x["place"], t[low : low + (x["place"] >> 8 & 255) + length - 1]))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), [pa.int64()] * 4 + [pa.binary()])], names=sent.names)
-
-    held = joined(rows.filter("bucket IS NOT NULL AND NOT hot")).mapInArrow(fetch, sent)
-    spans = T.StructType([*_KEYS, T.StructField("low", T.LongType()), T.StructField("high", T.LongType())])
-
-    def sort_block(block: list[tuple]) -> pa.RecordBatch | None:
+    wanted = rows.filter("bucket IS NOT NULL").groupBy(F.col(key).alias("_key")).agg(F.collect_list(F.struct("th", "place", "bucket", "hot")).alias("w"))
+    joined = text.join(wanted, F.col(key) == F.col("_key")).select("dk", "th", "text", "w")
+
+    def fetch(hot: bool):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                w = b.column(3)
+                flat, ends = w.values, w.offsets.to_numpy()
+                of, place, bucket, is_hot = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+                for i, (d, h, t) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist())):
+                    at = slice(ends[i], ends[i + 1])
+                    own = (of[at] == h) & (is_hot[at] == hot)
+                    places = place[at][own]
+                    texts = [t[a:z] for a, z in (_span(p, length) for p in places.tolist())]
+                    n = len(texts)
+                    for k in range(0, n, OUT_ROWS):
+                        m = min(OUT_ROWS, n - k)
+                        cols = np.full(m, d), np.full(m, h), bucket[at][own][k : k + m], places[k : k + m]
+                        yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols], pa.array(texts[k : k + m], pa.binary())], names=_SENT.names)
+
+        return run
+
+    def sort_block(block: list[tuple]) -> Iterator[pa.RecordBatch]:
+        block, spans = _firsts(block, length)
+        if spans:
+            yield _as_batch(spans, _SPANS)
+        counts: dict[int, int] = {}
+        for r in block:
+            counts[r[2]] = counts.get(r[2], 0) + 1
+        block = [r for r in block if counts[r[2]] > 1]
+        if not block:
+            return
         dk, th, bucket, place, texts = (list(c) for c in zip(*block))
         place = np.array(place, np.int64)
         low, count, near = place >> 16, place >> 8 & 255, place & 255
         docs_ = _ranks([np.array(dk, np.int64), np.array(th, np.int64)])
         k, j = repeated_suffixes(_ranks([np.array(bucket, np.int64)]), docs_, low, near, count, texts, length)
         if not len(k):
-            return None
+            return
         o = np.lexsort((j, k))
         k, j = k[o], j[o]
         first = np.concatenate([[True], (k[1:] != k[:-1]) | (j[1:] != j[:-1] + 1)])
         last = np.concatenate([first[1:], [True]])
         k1 = k[first]
         cols = [np.array(dk, np.int64)[k1], np.array(th, np.int64)[k1], low[k1] + j[first], low[k1] + j[last] + length]
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=spans.names)
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=_SPANS.names)
 
     def sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block: list[tuple] = []
-        held_bytes, last, row = 0, None, None
-        for b in batches:
-            for row, before in zip(rows := list(zip(*(b.column(i).to_pylist() for i in range(5)))), [row, *rows]):
-                if row == before:  # from a copy of the row
-                    continue
-                if held_bytes > BLOCK_BYTES and row[2] != last:
-                    if (done := sort_block(block)) is not None:
-                        yield done
-                    block, held_bytes = [], 0
-                block.append(row)
-                held_bytes += len(row[4])
-                last = row[2]
-        if block and (done := sort_block(block)) is not None:
-            yield done
-
+        return _in_buckets(batches, sort_block, BLOCK_BYTES)
+
+    held = joined.mapInArrow(fetch(False), _SENT)
+    repeats = rows.filter("bucket IS NULL").select("dk", "th", F.col("place").alias("low"), "high")
+    if not rows.filter("hot AND bucket IS NOT NULL").isEmpty():
+        cooled, found = _cooled(common.written(joined.mapInArrow(fetch(True), _SENT)), length)
+        held = held.unionByName(cooled)
+        for f in found:
+            repeats = repeats.unionByName(f)
     # buckets are dealt and put in order by their gram
-    sorted_spans = held.repartition("bucket").sortWithinPartitions("bucket", "dk", "th", "place").mapInArrow(sort_buckets, spans)
-    repeats = rows.filter("bucket IS NULL").select("dk", "th", "low", "high")
-    hot = rows.filter("bucket IS NOT NULL AND hot")
-    if not hot.isEmpty():
-        repeats = repeats.unionByName(_hot_spans(joined(hot), length))
+    sorted_spans = held.repartition("bucket").sortWithinPartitions("bucket", "dk", "th", "place").mapInArrow(sort_buckets, _SPANS)
 
     # 3. each document's spans meet its text
     gone = repeats.unionByName(sorted_spans).groupBy(F.col(key).alias("_key")).agg(F.collect_list(F.struct("th", "low", "high")).alias("w"))

@@ -91,10 +91,53 @@ def test_suffixes_text_and_pieces(spark, empty, monkeypatch):
     out = {r.doc_id: (r.kept, r.carried.k) for r in suffixes.dedup(spark.createDataFrame(rows, "doc_id long, text string").withColumn("k", F.lit("c")), length=100, carry=["k"], as_text=True).collect()}
     assert out[2][0].startswith("ü") and out[2][0].endswith("y") and len(out[2][0]) < 10 and out[1][1] == "c"
     data = bytes(random.Random(1).choices(b"abcd", k=5000))
-    whole = {(int(a) + int(o)) for g, f, c, n, w in suffixes.snippets(data, 100) for a, m in zip(f, c) for o in range(m)}
+    whole = {(int(a) + int(o)) for g, f, c, n in suffixes.snippets(data, 100) for a, m in zip(f, c) for o in range(m)}
     assert whole == set(range(len(data) - 99))
     monkeypatch.setattr(suffixes, "PIECE", 777)
-    assert {(int(a) + int(o)) for g, f, c, n, w in suffixes.snippets(data, 100) for a, m in zip(f, c) for o in range(m)} == whole
+    assert {(int(a) + int(o)) for g, f, c, n in suffixes.snippets(data, 100) for a, m in zip(f, c) for o in range(m)} == whole
+
+
+def test_hot_buckets_are_split(spark, monkeypatch):
+    """Few snippets to a part: buckets are split by more grams, round by round, and copies drop in parts."""
+    monkeypatch.setattr(suffixes, "HOT", 6)
+    rng = random.Random(8)
+    common = "".join(rng.choice("abcd") for _ in range(70))
+    around = ["".join(rng.choice("abcd") for _ in range(60)) for _ in range(5)]
+    rows = [(i, rng.choice(around) + common + rng.choice(around)[: rng.randint(20, 60)] + (common if i % 3 else "")) for i in range(150)]
+    got = {r.doc_id: bytes(r.kept) for r in suffixes.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(9), length=100).collect()}
+    assert got == {w[0]: w[3] for w in brute_suffixes(rows, 100)}
+
+
+def test_split_depends_on_the_suffix_alone():
+    rng = random.Random(2)
+    text = "".join(rng.choice("abcdef") for _ in range(400)).encode()
+    for data in (text, text[37:], b"zz" + text):
+        for level in (1, 2, 3):
+            names = {}
+            for _, first, count, near in suffixes.snippets(data, 100):
+                for f, c, n in zip(first.tolist(), count.tolist(), near.tolist()):
+                    todo = [(f, c, n, 0)]
+                    for step in range(1, level + 1):
+                        todo = [(f + a, m, n - a, (key, gram)) for f, c, n, key in todo for gram, a, m in suffixes.split(data[f : f + c + 99], n, c, step, 100)]
+                    for f, c, n, key in todo:
+                        names |= {data[f + k : f + k + 100]: (key, n - k) for k in range(c)}
+            assert len(names) == len(data) - 99
+            if data is text:
+                want = dict(names) if level == 1 else want | names
+            else:
+                assert all(names[k] == want[k] for k in names if k in want and level == 3)
+
+
+def test_one_gram_in_100000_snippets(spark):
+    rng = random.Random(5)
+    grams = ["".join(rng.choice("abcdefgh") for _ in range(32)) for _ in range(20_000)]
+    least = min(grams, key=lambda g: int(suffixes._gram_hashes(np.frombuffer(g.encode(), np.uint8))[0]))
+    rows = [(i, "".join(rng.choices("abcdefgh", k=75)) + least + "".join(rng.choices("abcdefgh", k=75))) for i in range(100_200)]
+    rows += [(200_000 + i, rows[i * 7][1]) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)
+    got = suffixes.dedup(docs, length=100)
+    gone = {r.doc_id: r.n for r in got.select("doc_id", F.aggregate("spans", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["start"]).alias("n")).filter("n > 0").collect()}
+    assert gone == {200_000 + i: 182 for i in range(300)}
 
 
 def test_cover():
