@@ -50,11 +50,13 @@ def mark() -> int:
     return len(_made)
 
 
-def sweep(spark: SparkSession, since: int = 0) -> None:
-    """Deletes the tables and folders made in this process since the mark; to be called when no result is read from them any more."""
+def sweep(spark: SparkSession, since: int = 0, *but: str) -> None:
+    """Deletes the tables and folders made in this process since the mark, but for the paths named; to be called when no result is read from the others any more."""
     jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while len(_made) > since:
-        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+    gone = [p for p in _made[since:] if p not in but]
+    _made[since:] = [p for p in _made[since:] if p in but]
+    for p in gone:
+        path = jvm.org.apache.hadoop.fs.Path(p)
         path.getFileSystem(hadoop).delete(path, True)
 
 
