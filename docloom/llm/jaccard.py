@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,16 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import common, simhash
+from . import common, similar, simhash
 from .components import components
 
 #: Bytes of text whose shingles one part of the count holds on average.
 PART_BYTES = 8 << 20
 #: Rows of an Arrow batch of shingles.
 OUT_ROWS = 1 << 17
-#: Shingles of a component that one task goes through at most.
-CELLS = 1 << 21
-
 PARTS = T.StructType([T.StructField("part", T.LongType()), *[T.StructField(c, T.BinaryType()) for c in ("key", "node", "n")]])
 COMMON = T.StructType([T.StructField(c, T.LongType()) for c in ("node", "n", "key", "df")])
 
@@ -31,11 +26,6 @@ def shingle_set(text: str | None, size: int) -> np.ndarray:
     return np.unique(simhash.shingle_hashes(text, size))
 
 
-def enough(n: int, least: float) -> int:
-    """Shingles that a set of n shares at least with any set that has a similarity of `least` or more with it."""
-    return max(1, math.ceil(least * n - 1e-9))
-
-
 def _enough(n: Column, least: float) -> Column:
     return F.greatest(F.lit(1), F.ceil(F.lit(least) * n - F.lit(1e-9)))
 
@@ -102,80 +92,6 @@ def links(keys: DataFrame) -> DataFrame:
     return keys.join(low, "key").filter("node <> v").select(F.col("node").alias("u"), "v").distinct()
 
 
-def repeated(sets: list[np.ndarray], keys: list[list[int]], least: float) -> list[int]:
-    """Places of the sets that are similar to an earlier one which isn't repeated itself; similar sets share a key."""
-    kept, gone = defaultdict(list), []
-    for i, x in enumerate(sets):
-        near = {k for s in keys[i] for k in kept[s]}
-        if any(simhash.similarity(x, sets[k]) >= least for k in near if least * len(x) <= len(sets[k]) <= len(x) / least):
-            gone.append(i)
-        else:
-            for s in keys[i]:
-                kept[s].append(i)
-    return gone
-
-
-def _with_sets(rows: DataFrame, size: int) -> DataFrame:
-    """Rows (root, doc_id, text_hash, node, keys) with n and shingles in place of text."""
-    fields = [T.StructField(c, T.LongType()) for c in ("root", "doc_id", "text_hash", "node")]
-    out = T.StructType([*fields, T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("n", T.LongType()), T.StructField("shingles", T.ArrayType(T.LongType(), False))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = [shingle_set(t, size).view(np.int64) for t in b.column(5).cast(pa.string()).to_pylist()]
-            n = np.array([len(x) for x in sets], np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(np.concatenate([*sets, np.empty(0, np.int64)]), pa.int64()))
-            yield pa.RecordBatch.from_arrays([*b.columns[:5], pa.array(n), lists], names=out.names)
-
-    common.arrow_batches(rows.sparkSession)
-    return rows.select(*out.names[:5], "text").mapInArrow(run, out)
-
-
-def _repeats(sets: DataFrame, least: float) -> DataFrame:
-    """(doc_id, text_hash) of the documents that are similar to an earlier one of their component which stays.
-
-    A component that fits in a task is gone through there, in order. From a larger one the first document is compared with all others, in parallel;
-    it stays, those similar to it go, and the rest is taken up again, until what is left fits. No pairs of a component are ever made."""
-    found, todo = [], sets
-    where = ["doc_id", "text_hash"]
-    schema = T.StructType([T.StructField(c, T.LongType()) for c in where])
-
-    def settle(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-        gone = [held[k][:2] for k in repeated([x for *_, x in held], [s for _, _, s, _ in held], least)]
-        if gone:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*gone)], names=schema.names)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, last = [], None
-        for b in batches:
-            for root, i, h, s, x in zip(*(b.column(c).to_pylist() for c in range(4)), b.column(4)):
-                if root != last and held:
-                    yield from settle(held)
-                    held = []
-                held.append((i, h, s, x.values.to_numpy()))
-                last = root
-        if held:
-            yield from settle(held)
-
-    while True:
-        large = common.written(todo.groupBy("root").agg(F.sum("n").alias("cells")).filter(F.col("cells") > CELLS).select("root"))
-        fits = todo.join(large, "root", "left_anti").select("root", *where, "keys", "shingles")
-        found.append(common.written(fits.repartition("root").sortWithinPartitions("root", *where).mapInArrow(run, schema)))
-        if large.isEmpty():
-            break
-        rest = todo.join(large, "root")
-        first = rest.groupBy("root").agg(F.min_by(F.struct(F.struct(*where).alias("at"), "n", "shingles"), F.struct(*where)).alias("first"))
-        both = F.size(F.array_intersect("shingles", "first.shingles"))
-        rest = rest.join(first, "root").filter(F.struct(*where) != F.col("first.at")).withColumn("alike", both / (F.col("n") + F.col("first.n") - both) >= least).drop("first")
-        rest = common.written(rest)
-        found.append(rest.filter("alike").select(*where))
-        todo = rest.filter("NOT alike").drop("alike")
-    out = found[0]
-    for f in found[1:]:
-        out = out.union(f)
-    return out
-
-
 def keep_unlike(docs: DataFrame, size: int = 5, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that are no copies and no near copies of an earlier row that stays: in order of doc_id (nulls last), then of a hash of the text.
 
@@ -191,9 +107,8 @@ def keep_unlike(docs: DataFrame, size: int = 5, least: float = 0.8, id_col: str
     texts = texts.join(firsts.select("doc_id", "text_hash"), ["doc_id", "text_hash"], "left_semi").dropDuplicates(["doc_id", "text_hash"])
     keys = candidates(common_shingles(texts, size, parts), least)
     roots = components(links(keys))
-    linked = keys.join(roots, "node").groupBy("node", "root").agg(F.collect_list("key").alias("keys")).join(firsts.select("node", "doc_id", "text_hash"), "node")
-    linked = common.written(linked)
-    found = texts.drop("node").join(linked, ["doc_id", "text_hash"])
-    gone = _repeats(common.written(_with_sets(found, size)), least)
+    linked = common.written(roots.join(firsts.select("node", "doc_id", "text_hash"), "node"))
+    sets = similar.with_sets(texts.drop("node").join(linked, ["doc_id", "text_hash"]), lambda t: shingle_set(t, size))
+    gone = similar.later_copies(common.written(sets), least)
     kept = firsts.join(gone, ["doc_id", "text_hash"], "left_anti").select(F.col("doc_id").alias("_docloom_id"), F.col("text_hash").alias("_docloom_text"))
     return keyed.join(kept, ["_docloom_id", "_docloom_text"], "left_semi").dropDuplicates(["_docloom_id", "_docloom_text"]).drop("_docloom_id", "_docloom_text", "_docloom_node")

@@ -24,6 +24,8 @@ WINDOW, UNITS = 64, 8
 BLOCK = 2048
 #: Documents of a language that the network learns from, and windows of each, at most.
 PER_LANGUAGE, PER_DOCUMENT = 600, 6
+#: Languages that a network tells apart at most: more values of lang are an error, as no column of languages has them.
+LANGUAGES = 1000
 #: Steps of training, windows a step, and learning rate.
 STEPS, BATCH, RATE = 300, 256, 0.03
 #: The byte that pads.
@@ -165,24 +167,27 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE) -> Network:
     """Learns from documents that aren't held out and have a lang and a text: about per_language of each, picked by a hash of id and text.
 
-    First the languages are counted; then each is sampled at a rate that leaves twice the bound at most in expectation, and cut to the bound."""
+    A null id, text or lang teaches nothing, repeated rows count once, and an empty table gives a network without languages. First the languages are counted; then each is sampled at a rate that leaves twice the bound at most in expectation, and cut to the bound."""
     rows = common.fit_columns(docs, {id_col: "long", text_col: "string", lang_col: "string"}).toDF("doc_id", "text", "lang")
     rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
+    counts = {r[0]: r[1] for r in rows.groupBy("lang").count().limit(LANGUAGES + 1).collect()}
+    if len(counts) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
     if not counts:
         return Network.fresh([], np.random.default_rng(0))
     rates = docs.sparkSession.createDataFrame([(k, min(1.0, 1.5 * per_language / n)) for k, n in counts.items()], "lang string, rate double")
-    turn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    # a row per language, as counted: small enough to be sent to every executor
+    turn = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
+    # a row per language, LANGUAGES of them at most: small enough to be sent to every executor
     picked = rows.withColumn("turn", turn).join(F.broadcast(rates), "lang").filter("turn < rate").select("lang", "turn", "text")
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.slices(batches, 200):
             taken = [some_windows(t).tobytes() for t in b.column(2).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(taken, pa.binary())], names=["lang", "turn", "windows"])
 
-    common.arrow_batches(docs.sparkSession, 200)
-    got = picked.mapInArrow(sample, "lang string, turn double, windows binary").collect()
+    common.arrow_batches(docs.sparkSession)
+    # repeated rows are one, dropped before any of them travels
+    got = picked.mapInArrow(sample, "lang string, turn double, windows binary").groupBy("lang", "turn").agg(F.min("windows")).collect()
     samples, labels = [], []
     for lang in sorted(counts):
         for r in sorted(tuple(r) for r in got if r[0] == lang)[:per_language]:

@@ -12,8 +12,15 @@ from pyspark.sql import types as T
 
 from . import common
 
-#: Hashed terms, latent dimensions, neighbours that vote, and the power of the similarity that weighs a vote.
-TERMS, DIMENSIONS, NEIGHBOURS, SHARPNESS = 1024, 24, 15, 8
+#: Hashed terms of shapes, and of words and pairs of them; latent dimensions, neighbours that vote, and the power of the similarity that weighs a vote.
+SHAPES, WORDS, DIMENSIONS, NEIGHBOURS, SHARPNESS = 1024, 2048, 32, 15, 8
+TERMS = SHAPES + WORDS
+#: What the words' half of a text's vector weighs beside the shapes' half.
+WORD_WEIGHT = 1.0
+#: Rounds of the iteration that finds the latent axes.
+ROUNDS = 12
+#: Documents whose terms are counted at a time.
+ROWS = 250
 #: Labelled documents of each label that the classifier is fitted on at most; the broadcast vectors are bounded by it.
 PER_LABEL = 3000
 #: Documents whose products with all labelled vectors are taken at a time.
@@ -32,9 +39,20 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+#: What a byte at a place in its word, the last of them for all later ones, adds to the word's hash.
+_LETTER = np.random.Generator(np.random.PCG64(11)).integers(0, 1 << 63, (32, 256), dtype=np.int64).astype(np.uint64)
+_LETTER[:, 65:91] = _LETTER[:, 97:123]
+_LETTER[:, [9, 10, 11, 12, 13, 32]] = 0
+
+
+def _share(distinct: int, n: int) -> int:
+    """Eighths of n that are distinct, rounded up."""
+    return -(-8 * distinct // n)
+
+
 def terms(data: bytes) -> np.ndarray:
-    """Counts of a text's hashed terms: shapes of its words (runs of one byte class as one), pairs of neighbouring shapes, and how long the
-    words and the text are."""
+    """Counts of a text's hashed terms. Shapes: of its words (runs of one byte class as one), pairs of neighbouring shapes, the lengths of words and text, and which share
+    of the words, and of the lines, is distinct. Words: each one, A-Z as a-z, and pairs of neighbours."""
     b = np.frombuffer(data, np.uint8)
     c = _CLASS[b]
     out = np.zeros(TERMS, np.float32)
@@ -50,12 +68,27 @@ def terms(data: bytes) -> np.ndarray:
     shape = np.add.reduceat(h, first)
     end = np.concatenate([run, [len(c)]])[1:]
     last = np.concatenate([first[1:], [len(r)]]) - 1
-    length = end[np.where(inside[last], last, last - 1)] - run[first]
-    found = [_mixed(shape), _mixed(np.minimum(length, 20).astype(np.uint64) + _MIX), _mixed(np.array([len(first).bit_length() + (1 << 40)], np.uint64))]
+    starts = run[first]
+    length = end[np.where(inside[last], last, last - 1)] - starts
+    # a word's hash: the sum of its bytes', by their place
+    at = np.zeros(len(b), np.int64)
+    at[starts] = np.diff(np.concatenate([[0], starts]))
+    at = np.arange(len(b)) - np.cumsum(at)
+    word = _mixed(np.add.reduceat(_LETTER[np.clip(at, 0, 31), b], starts))
+    # a line's hash: the sum of its words', by their place; blank lines are none
+    of = np.searchsorted(np.flatnonzero(b == 10), starts)
+    opens = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+    behind = np.arange(len(of)) - np.repeat(opens, np.diff(np.concatenate([opens, [len(of)]])))
+    lines = np.add.reduceat(_mixed(word + _MIX * (behind + 1).astype(np.uint64)), opens)
+    shares = np.array([_share(len(np.unique(word)), len(word)) + (1 << 41), _share(len(np.unique(lines)), len(lines)) + (1 << 42)], np.uint64)
+    shapes = [_mixed(shape), _mixed(np.minimum(length, 20).astype(np.uint64) + _MIX), _mixed(np.array([len(first).bit_length() + (1 << 40)], np.uint64)), _mixed(shares)]
+    words = [word]
     if len(shape) > 1:
-        found.append(_mixed(shape[:-1] * np.uint64(3) + shape[1:]))
-    for h in found:
-        out += np.bincount((h % np.uint64(TERMS)).astype(np.int64), minlength=TERMS)
+        shapes.append(_mixed(shape[:-1] * np.uint64(3) + shape[1:]))
+        words.append(_mixed(word[:-1] * np.uint64(3) + word[1:]))
+    for some, low, n in ((shapes, 0, SHAPES), (words, SHAPES, WORDS)):
+        for h in some:
+            out[low : low + n] += np.bincount((h % np.uint64(n)).astype(np.int64), minlength=n)
     return out
 
 
@@ -64,19 +97,25 @@ class Space:
 
     def __init__(self, counts: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS):
         self.weight = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + np.float32(0.1)
-        gram = np.zeros((counts.shape[1], counts.shape[1]))
-        for i in range(0, len(counts), BLOCK):
-            x = self._weighted(counts[i : i + BLOCK]).astype(np.float64)
-            gram += x.T @ x
-        _, axes = np.linalg.eigh(gram)  # the right singular vectors of the term matrix, least first
-        self.axes = np.ascontiguousarray(axes[:, ::-1][:, :dimensions]).astype(np.float32)
+        x = np.concatenate([self._weighted(counts[i : i + BLOCK]) for i in range(0, max(1, len(counts)), BLOCK)])
+        # the leading right singular vectors of the term matrix, by subspace iteration
+        axes = np.random.default_rng(3).normal(size=(counts.shape[1], min(dimensions + 8, counts.shape[1])))
+        for _ in range(ROUNDS):
+            axes = np.linalg.qr(axes)[0].astype(np.float32)
+            axes = np.add.reduce([x[i : i + BLOCK].T @ (x[i : i + BLOCK] @ axes) for i in range(0, max(1, len(x)), BLOCK)]).astype(np.float64)
+        axes = np.linalg.qr(axes)[0]
+        inner = x @ axes.astype(np.float32)
+        _, turn = np.linalg.eigh(inner.T.astype(np.float64) @ inner)
+        self.axes = np.ascontiguousarray((axes @ turn[:, ::-1])[:, :dimensions]).astype(np.float32)
         self.labels = labels.astype(np.float32)
         self.prior = float(labels.mean()) if len(labels) else 0.5
         self.vectors = np.concatenate([self.project(counts[i : i + BLOCK]) for i in range(0, max(1, len(counts)), BLOCK)])
 
     def _weighted(self, counts: np.ndarray) -> np.ndarray:
         x = np.log1p(counts.astype(np.float32)) * self.weight
-        return x / np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-9)
+        for half, w in ((x[:, :SHAPES], 1.0), (x[:, SHAPES:], WORD_WEIGHT)):
+            half *= np.float32(w) / np.maximum(np.sqrt((half * half).sum(axis=1, keepdims=True)), np.float32(1e-9))
+        return x
 
     def project(self, counts: np.ndarray) -> np.ndarray:
         v = self._weighted(counts) @ self.axes
@@ -104,20 +143,23 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", per_label: int = PER_LABEL) -> Space:
     """Learns from labelled documents that aren't held out: per_label of each label at most, the first ones by a hash of their id.
 
-    Labels other than 0 and 1, null texts and unlabelled documents teach nothing; a repeated document or label counts once."""
+    Labels other than 0 and 1, null texts and unlabelled documents teach nothing; a repeated document or label counts once (of several texts or labels of one id: the
+    least counts, the greater label). Empty tables give a space without documents, in which every score is 0.5."""
     spark = docs.sparkSession
-    common.arrow_batches(spark, 500)
+    common.arrow_batches(spark)
     marks = common.fit_columns(labels, {id_col: "long", label_col: "int"}).toDF("doc_id", "label").filter(~held_out(F.col("doc_id")) & F.col("label").isin(0, 1)).groupBy("doc_id").agg(F.max("label").alias("label"))
     picked = [tuple(r) for y in (0, 1) for r in marks.filter(F.col("label") == y).orderBy(F.xxhash64("doc_id")).limit(per_label).collect()]
     # at most 2 x per_label ids
     taught = common.fit_columns(docs, {id_col: "long", text_col: "string"}).toDF("doc_id", "text").filter("text IS NOT NULL").join(F.broadcast(spark.createDataFrame(picked, "doc_id long, label int")), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.slices(batches, ROWS):
             counts = [np.minimum(terms(t), 65535).astype(np.uint16).tobytes() for t in b.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(counts, pa.binary())], names=["doc_id", "label", "counts"])
 
-    got = {r[0]: r for r in sorted(tuple(x) for x in taught.mapInArrow(run, "doc_id long, label int, counts binary").collect())}
+    # one row of each id, the copies dropped before any of them travels
+    once = taught.mapInArrow(run, "doc_id long, label int, counts binary").groupBy("doc_id").agg(F.max("label").alias("label"), F.min("counts").alias("counts"))
+    got = {r[0]: r for r in sorted(tuple(x) for x in once.collect())}
     labels = np.array([r[1] for r in got.values()], np.float32)
     counts = np.frombuffer(b"".join(r[2] for r in got.values()), np.uint16).reshape(-1, TERMS)
     del got
@@ -136,7 +178,7 @@ def score(docs: DataFrame, space: Space, threshold: float = 0.3, id_col: str = "
     schema = T.StructType([*base.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in common.slices(batches, ROWS):
             counts = np.array([terms((t or "").encode()) for t in b.column(at).cast(pa.string()).to_pylist()], np.float32).reshape(-1, TERMS)
             s = model.value.scores(counts)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=schema.names)

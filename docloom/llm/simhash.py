@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import common
+from . import common, similar
 from .components import components, stars
 
 SEED = 42
@@ -20,8 +20,8 @@ BITS = 64
 BLOCK = 1 << 16
 #: Links that a task holds before it reduces them to one per node.
 PAIRS = 1 << 20
-#: Shingles of a component that one task goes through at most.
-CELLS = 1 << 21
+#: Rows of keys that a task goes through at a time.
+ROWS = 20_000
 
 
 def shingle_hashes(text: str | None, size: int) -> np.ndarray:
@@ -137,7 +137,7 @@ def near(nodes: DataFrame, differ: int, tables: int = 1) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = [np.empty(0, np.int64)] * 3
-        for b in _then_none(batches):
+        for b in _then_none(common.sized(batches, ROWS)):
             new = [c.to_numpy(zero_copy_only=False) for c in b.columns] if b is not None else [np.empty(0, np.int64)] * 3
             key, fp, node = (np.concatenate(x) for x in zip(rest, new))
             whole = len(key) if b is None else int(np.searchsorted(key, key[-1])) if len(key) else 0  # the last key may go on
@@ -146,7 +146,7 @@ def near(nodes: DataFrame, differ: int, tables: int = 1) -> DataFrame:
             if len(u):
                 yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=out.names)
 
-    common.arrow_batches(nodes.sparkSession, 20_000)
+    common.arrow_batches(nodes.sparkSession)
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, out)
 
 
@@ -179,78 +179,6 @@ def group(docs: DataFrame, size: int = 5, differ: int = 7, tables: int = 3, id_c
     return rows.join(nodes.join(ids, "root").select("node", "component_id"), "node").select("doc_id", F.get("fps", F.lit(0)).alias("fp"), "component_id")
 
 
-def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity of two sets, given as arrays of distinct numbers; 1 for two empty ones."""
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both / (len(a) + len(b) - both) if len(a) or len(b) else 1.0
-
-
-def repeated(sets: list[np.ndarray], least: float) -> list[int]:
-    """Places of the sets that are similar to an earlier one which isn't repeated itself."""
-    kept, gone = [], []
-    for i, x in enumerate(sets):
-        (gone if any(similarity(x, sets[k]) >= least for k in kept if least * len(x) <= len(sets[k]) <= len(x) / least) else kept).append(i)
-    return gone
-
-
-def _shingle_sets(rows: DataFrame, size: int) -> DataFrame:
-    """(root, doc_id, text_hash, n, shingles) of rows (root, doc_id, text_hash, text): distinct hashes, cut to 32 bits, in order."""
-    out = T.StructType([*[T.StructField(c, T.LongType()) for c in ("root", "doc_id", "text_hash", "n")], T.StructField("shingles", T.ArrayType(T.IntegerType(), False))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            sets = [np.unique(shingle_hashes(t, size).view(np.int64).astype(np.int32)) for t in b.column(3).cast(pa.string()).to_pylist()]
-            n = np.array([len(x) for x in sets], np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(np.concatenate([*sets, np.empty(0, np.int32)]), pa.int32()))
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(n), lists], names=out.names)
-
-    common.arrow_batches(rows.sparkSession)
-    return rows.select("root", "doc_id", "text_hash", "text").mapInArrow(run, out)
-
-
-def _repeats(sets: DataFrame, least: float) -> DataFrame:
-    """(doc_id, text_hash) of the documents that are similar to an earlier one of their component which stays.
-
-    A component that fits in a task is gone through there, in order. From a larger one the first document is compared with all others, in parallel;
-    it stays, those similar to it go, and the rest is taken up again, until what is left fits. No pairs of a component are ever made."""
-    found, todo = [], sets
-    where = ["doc_id", "text_hash"]
-    schema = T.StructType([T.StructField(c, T.LongType()) for c in where])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, last = [], None
-        for b in _then_none(batches):
-            rows = zip(*(b.column(i).to_pylist() for i in range(3)), b.column(3)) if b is not None else [(None, None, None, None)]
-            gone = []
-            for root, i, h, x in rows:
-                if (b is None or root != last) and held:
-                    gone += [held[k][:2] for k in repeated([x for _, _, x in held], least)]
-                    held = []
-                if b is not None:
-                    held.append((i, h, x.values.to_numpy()))
-                    last = root
-            if gone:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*gone)], names=schema.names)
-
-    while True:
-        large = common.written(todo.groupBy("root").agg(F.sum("n").alias("cells")).filter(F.col("cells") > CELLS).select("root"))
-        fits = todo.join(large, "root", "left_anti").select("root", *where, "shingles")
-        found.append(common.written(fits.repartition("root").sortWithinPartitions("root", *where).mapInArrow(run, schema)))
-        if large.isEmpty():
-            break
-        rest = todo.join(large, "root")
-        first = rest.groupBy("root").agg(F.min_by(F.struct(F.struct(*where).alias("at"), "n", "shingles"), F.struct(*where)).alias("first"))
-        both = F.size(F.array_intersect("shingles", "first.shingles"))
-        rest = rest.join(first, "root").filter(F.struct(*where) != F.col("first.at")).withColumn("alike", both / (F.col("n") + F.col("first.n") - both) >= least).drop("first")
-        rest = common.written(rest)
-        found.append(rest.filter("alike").select(*where))
-        todo = rest.filter("NOT alike").drop("alike")
-    out = found[0]
-    for f in found[1:]:
-        out = out.union(f)
-    return out
-
-
 def placed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """docs with a row's place, (_docloom_id, _docloom_text), and _docloom_node, equal for equal texts and for all wordless ones."""
     text = F.col(f"`{text_col}`").cast("string")
@@ -259,7 +187,7 @@ def placed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.withColumns(place | {"_docloom_node": F.when(wordless, F.lit(0).cast("long")).otherwise(F.xxhash64(text))})
 
 
-def keep_one(docs: DataFrame, size: int = 5, differ: int = 7, tables: int = 3, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, size: int = 5, differ: int = 4, tables: int = 1, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that are no copies and no near copies of an earlier row that stays: in order of doc_id (nulls last), then of a hash of the text.
 
     Fingerprints find components of candidates. Within one a document goes if its set of shingles has a Jaccard similarity of `least` or more with that of an
@@ -273,8 +201,9 @@ def keep_one(docs: DataFrame, size: int = 5, differ: int = 7, tables: int = 3, l
     rooted = firsts.join(roots, "node", "left").select("doc_id", "text_hash", F.coalesce("root", "node").alias("root"))
     linked = rooted.join(rooted.groupBy("root").count().filter("count > 1").select("root"), "root")
     texts = keyed.select(F.col("_docloom_id").alias("doc_id"), F.col("_docloom_text").alias("text_hash"), F.col(f"`{text_col}`").alias("text"))
-    sets = common.written(_shingle_sets(texts.join(linked, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"]), size))
-    kept = firsts.join(_repeats(sets, least), ["doc_id", "text_hash"], "left_anti").select(F.col("doc_id").alias("_docloom_id"), F.col("text_hash").alias("_docloom_text"))
+    found = texts.join(linked, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"])
+    sets = common.written(similar.with_sets(found, lambda t: np.unique(shingle_hashes(t, size))))
+    kept = firsts.join(similar.later_copies(sets, least), ["doc_id", "text_hash"], "left_anti").select(F.col("doc_id").alias("_docloom_id"), F.col("text_hash").alias("_docloom_text"))
     return keyed.join(kept, ["_docloom_id", "_docloom_text"], "left_semi").dropDuplicates(["_docloom_id", "_docloom_text"]).drop("_docloom_id", "_docloom_text", "_docloom_node")
 
 

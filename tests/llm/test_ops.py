@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, components, ego, langid, mixing, quality, sharding, simhash, suffixes, vafile, warc
+from docloom.llm import bpe, components, ego, langid, mixing, quality, sharding, similar, simhash, suffixes, vafile, warc
 
 DOCS = "doc_id long, text string, lang string, source string"
 WORDS = ["the", "of", "erth", "ingly", "tion", "réau", "übe", "x9"]
@@ -227,6 +227,38 @@ def test_network_gradients():
             assert abs((up - down) / 2e-2 - grads[name].reshape(-1)[k]) < 2e-3, name
 
 
+def plain_probabilities(net, data):
+    """The network byte by byte: each window forwards and backwards, a probability of each language at every byte, and their mean."""
+    sigmoid, h = lambda x: 1 / (1 + np.exp(-x)), langid.UNITS
+    total = np.zeros(len(net.languages))
+    for at in range(0, len(data), langid.WINDOW):
+        ids = list(data[at : at + langid.WINDOW])
+        ids += [langid.PAD] * (langid.WINDOW - len(ids))
+        states = {}
+        for d, order in (("f", range(langid.WINDOW)), ("b", range(langid.WINDOW - 1, -1, -1))):
+            s = np.zeros(h)
+            for t in order:
+                x, g = net.weights["e" + d][:, ids[t]].astype(float), net.weights["u" + d].astype(float) @ s
+                z, r = sigmoid(x[:h] + g[:h]), sigmoid(x[h : 2 * h] + g[h : 2 * h])
+                s = (1 - z) * s + z * np.tanh(x[2 * h :] + r * g[2 * h :])
+                states[d, t] = s
+        for t, b in enumerate(ids):
+            if b != langid.PAD:
+                y = net.weights["o"].astype(float) @ np.concatenate([states["f", t], states["b", t]]) + net.weights["c"][:, 0]
+                p = np.exp(y - y.max())
+                total += p / p.sum()
+    return total / len(data)
+
+
+def test_prediction_is_the_plain_network(spark):
+    net = langid.Network.fresh(["aa", "bb", "cc"], np.random.default_rng(6))
+    texts = ["a", "Straße über 12", "x" * 64, "é" * 33, sentence(40, random.Random(1))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in langid.predict(docs, net).collect():
+        p = plain_probabilities(net, texts[r.doc_id].encode())
+        assert r.lang_pred == net.languages[p.argmax()] and r.score == pytest.approx(p.max(), abs=1e-4)
+
+
 def test_language(spark, empty):
     rng = random.Random(4)
     make = {"aa": "the of and ing tion wh", "bb": "der die und sch ung ich", "cc": "ción que los para ñ é"}
@@ -460,7 +492,7 @@ def test_more_tables(spark, docs):
 
 @pytest.mark.parametrize("cells", [1 << 21, 200])
 def test_keep_one(spark, docs, cells, monkeypatch):
-    monkeypatch.setattr(simhash, "CELLS", cells)
+    monkeypatch.setattr(similar, "CELLS", cells)
     rows = sorted(docs.withColumn("h", F.xxhash64("text")).collect(), key=lambda r: (r.doc_id is None, r.doc_id or 0, r.h))
     fps = [[simhash.fingerprint(simhash.mixed(simhash.shingle_hashes(r.text, 2), t)) for t in range(2)] for r in rows]
     sets = [set(simhash.shingle_hashes(r.text, 2).tolist()) for r in rows]
@@ -484,7 +516,7 @@ def test_keep_one_equal_fingerprints(spark):
     rows += [(90, rows[0][1].upper(), "en", "s"), (91, rows[4][1], "en", "s"), (92, " \x0b\x0c\r", "en", "s"), (93, None, "en", "s"), (94, "\xa0", "en", "s")]
     hashes = [simhash.shingle_hashes(t, 5) for _, t, _, _ in rows[:3]]
     assert len({tuple(simhash.fingerprint(simhash.mixed(h, t)) for t in range(3)) for h in hashes}) == 1
-    got = simhash.keep_one(spark.createDataFrame(rows, DOCS)).collect()
+    got = simhash.keep_one(spark.createDataFrame(rows, DOCS), differ=7, tables=3).collect()
     assert sorted(r.doc_id for r in got) == [0, 1, 2, 10, 11, 12, 20, 21, 22, 92, 94]
 
 
@@ -595,6 +627,82 @@ def test_quality(spark, empty):
     assert quality.score(docs, quality.fit(empty, labels)).filter("score <> 0.5").count() == 0
 
 
+M64 = (1 << 64) - 1
+
+
+def plain_terms(data):
+    """The terms of a text word by word, in plain numbers."""
+
+    def mixed(h):
+        h = (h ^ h >> 31) * 0xBF58476D1CE4E5B9 & M64
+        return h ^ h >> 29
+
+    kind = lambda b: 0 if b in b" \t\n\x0b\x0c\r" else 1 if 97 <= b <= 122 or b >= 128 else 2 if 65 <= b <= 90 else 3 if 48 <= b <= 57 else b + 4
+    mix, out = 0x9E3779B97F4A7C15, Counter()
+    found, lines = [], []
+    for line in data.split(b"\n"):
+        here = line.split()
+        if here:
+            found += here
+            lines.append(here)
+    if not found:
+        return out
+
+    def shape(w):
+        runs = [k for i, k in enumerate(map(kind, w)) if i == 0 or kind(w[i - 1]) != k]
+        return sum(mixed((k * mix + min(i, 7)) & M64) for i, k in enumerate(runs)) & M64
+
+    def word(w):
+        return mixed(sum(int(quality._LETTER[min(i, 31), b]) for i, b in enumerate(w)) & M64)
+
+    shapes, words = [shape(w) for w in found], [word(w) for w in found]
+    whole = {sum(mixed((word(w) + mix * (i + 1)) & M64) for i, w in enumerate(ws)) & M64 for ws in lines}
+    share = lambda some, n: -(-8 * len(some) // n)
+    seen = [*shapes, *((min(len(w), 20) + mix) & M64 for w in found), len(found).bit_length() + (1 << 40), share(set(words), len(words)) + (1 << 41), share(whole, len(lines)) + (1 << 42), *((3 * a + b) & M64 for a, b in zip(shapes, shapes[1:]))]
+    out.update(mixed(h) % quality.SHAPES for h in seen)
+    out.update(quality.SHAPES + h % quality.WORDS for h in [*words, *(mixed((3 * a + b) & M64) for a, b in zip(words, words[1:]))])
+    return out
+
+
+def test_terms_are_plain_ones():
+    rng = random.Random(3)
+    texts = ["", " \n\t", "x", "the cat sat on a mat today", "xqz wvk jjq zz q vvv kkkkk", "A-1 b2B.\n\n same line\n same line \nx" + "y" * 80, *(t or "" for _, t, _, _ in special_docs())]
+    texts += ["".join(rng.choice("aB9 .é\n") for _ in range(rng.randint(1, 300))) for _ in range(40)]
+    for t in texts:
+        assert {i: int(n) for i, n in enumerate(quality.terms(t.encode())) if n} == dict(plain_terms(t.encode())), t
+    one, two = (quality.terms(t.encode()) for t in texts[3:5])
+    assert (one[quality.SHAPES :] != two[quality.SHAPES :]).any()  # words count, not only their shapes
+
+
+def test_quality_end_to_end(spark):
+    """Scores of documents from their texts by plain sums over words and labelled documents."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice(WORDS if i % 3 else ["BUY", "!!!", "now", "$$$", "9x"]) for _ in range(rng.randint(2, 50))), "en", None) for i in range(160)]
+    docs = spark.createDataFrame(rows, DOCS)
+    space = quality.fit(docs, spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(160)], "doc_id long, quality int"))
+    taught = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    counts = {r[0]: plain_terms(r[1].encode()) for r in rows}
+    weight = [np.log((1 + len(taught)) / (1 + sum(t in counts[r[0]] for r in taught))) + 0.1 for t in range(quality.TERMS)]
+
+    def vector(i):
+        halves = []
+        for low, high, w in ((0, quality.SHAPES, 1.0), (quality.SHAPES, quality.TERMS, quality.WORD_WEIGHT)):
+            h = {t: np.log1p(n) * weight[t] for t, n in counts[i].items() if low <= t < high}
+            norm = sum(x * x for x in h.values()) ** 0.5
+            halves += [(t, x * w / norm) for t, x in h.items()]
+        v = sum(x * space.axes[t].astype(float) for t, x in halves)
+        return v / np.sqrt((v * v).sum())
+
+    known = [(vector(r[0]), int(r[0] % 3 > 0)) for r in taught]
+    for r in quality.score(docs, space).collect():
+        v = vector(r.doc_id)
+        near = sorted(((float(v @ k), y) for k, y in known), reverse=True)
+        if near[quality.NEIGHBOURS - 1][0] - near[quality.NEIGHBOURS][0] < 1e-5:
+            continue  # a tie that rounding decides
+        votes = [(max(c, 0) ** quality.SHARPNESS, y) for c, y in near[: quality.NEIGHBOURS]]
+        assert r.score == pytest.approx(sum(w * y for w, y in votes) / sum(w for w, _ in votes), abs=1e-3)
+
+
 def test_scores_are_exact_votes():
     rng = np.random.default_rng(1)
     counts = rng.poisson(0.3, (200, quality.TERMS)).astype(np.float32)
