@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docloom.llm import bpe, common, jaccard, mixing, quality, suffixes
+from docloom.llm import bpe, common, jaccard, mixing, quality, simhash, suffixes
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier doesn't reject."""
+    """Documents that the quality classifier doesn't reject, all rows as they are. A null or empty text has the learned share of good labels as its score; repeated rows
+    go or stay together; an empty table gives an empty result."""
     space = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
     return quality.score(rows, space).filter("predicted = 1").select("row.*")
@@ -20,8 +19,12 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def unlike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are neither copies nor near copies of an earlier one that stays: sets of five-word shingles with a Jaccard similarity of 0.8 or more.
-    A prefix filter finds every such pair."""
-    return jaccard.keep_unlike(docs, size=5, least=0.8)
+
+    SimHash groups come first, and of each only one of several similar documents stays. Fingerprints miss some pairs, so an exact
+    prefix filter over what stays finds the rest: no two documents that are left are similar. A null text counts as an empty one, of which one stays; a null
+    doc_id comes last; of repeated rows one stays; an empty table gives an empty result."""
+    once = common.written(simhash.keep_one(docs, size=5, differ=4, tables=1, least=0.8))
+    return jaccard.keep_unlike(once, size=5, least=0.8)
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,12 +39,14 @@ def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, as often as it takes them."""
+    """The documents that the mix takes, as often as it takes them. A null source is one of its own; null and wordless texts are never taken, nor a source whose target
+    is 0; repeated rows queue each on their own; an empty table gives an empty result."""
     return mixing.mixed(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_tokens, ids and whether the decoded ids are the text again."""
+    """doc_id, lang, source, n_tokens, ids and whether the decoded ids are the text again: a row per row. A null or empty text has no ids; ids and sources that are null
+    stay so; an empty table gives an empty result."""
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     rows = docs.select("doc_id", "lang", "source", "text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("was"))
     found = bpe.round_trip(rows, path, pattern)
@@ -55,10 +60,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents; each one's rows are written as Parquet in the shared folder and read again."""
+    """All stages over documents; each one's rows are written as Parquet in the shared folder and read again. What a stage leaves there goes when the next one is
+    written; the last stage's input stays for its result to be read, until common.sweep()."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    base = f"{common.shared_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
-    for k, (_, stage) in enumerate(STAGES[:-1]):
-        stage(spark, docs, sf_dir).write.parquet(f"{base}/{k}")
-        docs = spark.read.parquet(f"{base}/{k}")
+    for _, stage in STAGES[:-1]:
+        since = common.mark()
+        path = common.folder(spark, "pipeline")
+        stage(spark, docs, sf_dir).write.parquet(path)
+        common.sweep(spark, since, path)
+        docs = spark.read.parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)
