@@ -88,7 +88,7 @@ def normalize_text(c: Column) -> Column:
 
 def file_title(meta_title: Column, first_page: Column) -> Column:
     """The metadata title if there is one, else the first line of the first page that isn't blank; cleaned, or unknown_title."""
-    line = F.get(F.filter(F.transform(F.split(first_page, "\n"), strip), lambda x: x != ""), F.lit(0))
+    line = F.nullif(strip(F.regexp_extract(first_page, f"^{WS}*([^\\n]*)", 1)), F.lit(""))  # white space before it may hold line ends
     t = F.lower(F.coalesce(F.nullif(meta_title, F.lit("")), line, F.lit(UNKNOWN_TITLE)))
     t = F.regexp_replace(F.regexp_replace(t, f"{D}+", ""), f"[^{W_CHARS}{WS_CHARS}]", "")
     t = F.regexp_replace(strip(t), f"{WS}+", "_")
@@ -126,9 +126,8 @@ def id_from_chunk_name(c: Column) -> Column:
 
 
 def with_id(base: Column, unique_id: Column) -> Column:
-    """The base name with its id in brackets, unless it has it."""
-    tag = F.concat(F.lit(" ["), unique_id, F.lit("]"))
-    return F.when(F.contains(base, tag), base).otherwise(F.concat(base, tag))
+    """The base name with its id in brackets, unless it holds the id, in brackets or not."""
+    return F.when(F.contains(base, unique_id), base).otherwise(F.concat(base, F.lit(" ["), unique_id, F.lit("]")))
 
 
 # --- metadata scalars ---------------------------------------------------------------------------

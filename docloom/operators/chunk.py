@@ -106,21 +106,22 @@ def pack(text: str, tokenizer, max_tokens: int = MAX_TOKENS, overlap: int = OVER
     return out + ([(held.strip(), n)] if held.strip() else [])
 
 
-def chunks_of(text: Column, make: Callable, args: tuple = (), max_tokens: int = MAX_TOKENS, overlap: int = OVERLAP) -> Column:
-    """array<struct<text, token_count>> of each text; make(*args) builds the tokenizer once in each worker. Null gives no chunk."""
+def chunks_of(text: Column, make: Callable, args: tuple = (), max_tokens: int = MAX_TOKENS, overlap: int = OVERLAP, split: Callable = sentences) -> Column:
+    """array<struct<text, token_count>> of each text; make(*args) builds the tokenizer once in each worker. split(text) gives the sentences of a text: a
+    function of some module, so that a model it needs is loaded once in a worker. Null gives no chunk."""
 
     @F.pandas_udf("array<struct<text:string,token_count:int>>")
     def run(s: pd.Series) -> pd.Series:
         tokenizer = _made(make, args)
-        return s.map(lambda t: [{"text": c, "token_count": n} for c, n in pack(t, tokenizer, max_tokens, overlap)] if t is not None else [])
+        return s.map(lambda t: [{"text": c, "token_count": n} for c, n in pack(t, tokenizer, max_tokens, overlap, split)] if t is not None else [])
 
     return run(text)
 
 
-def chunk_documents(docs: DataFrame, make: Callable, args: tuple = (), max_tokens: int = MAX_TOKENS, overlap: int = OVERLAP, text: str = "text") -> DataFrame:
+def chunk_documents(docs: DataFrame, make: Callable, args: tuple = (), max_tokens: int = MAX_TOKENS, overlap: int = OVERLAP, text: str = "text", split: Callable = sentences) -> DataFrame:
     """A row per chunk: the documents' other columns, chunk_no from 1, text and token_count. Each document is packed on its own; nothing is shuffled."""
     rest = [c for c in docs.columns if c != text]
-    found = docs.select(*rest, F.posexplode(chunks_of(F.col(text), make, args, max_tokens, overlap)).alias("_i", "_c"))
+    found = docs.select(*rest, F.posexplode(chunks_of(F.col(text), make, args, max_tokens, overlap, split)).alias("_i", "_c"))
     return found.select(*rest, (F.col("_i") + 1).alias("chunk_no"), F.col("_c.text").alias("text"), F.col("_c.token_count").alias("token_count"))
 
 

@@ -41,7 +41,7 @@ PIXELS = [("grey", 100, 100, 100), ("grey", 50, 50, 50), ("red", 0, 0, 255), ("r
 OCR = [("grey", 10), ("red", 11), ("mix", 50), ("none", 3)]
 USED = ["100000", "100002", "x", "99", "100001 "]
 OLD = [("100001", "old title"), ("100003", "another"), ("999999", "kept")]
-CHUNK_FILES = [("c [100001]_chunk_9.txt", "nine"), ("c [100001]_chunk_10.txt", "ten"), ("q_5.txt", "five"), ("none.txt", "no id")]
+CHUNK_FILES = [("c [100001]_chunk_9.txt", "nine"), ("c [100001]_chunk_10.txt", "ten"), ("q_5.txt", "five"), ("none.txt", "no id"), ("m [100000000]_chunk_1.txt", "no record"), ("m [099999]_chunk_1.txt", "none either")]
 
 
 def _sql(v: object) -> str:
@@ -244,15 +244,15 @@ def _extracted(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _records(spark: SparkSession, d: str) -> DataFrame:
-    """Metadata of three chunks per document, so that the last one's must win."""
+    """Three chunks per document, so that the last one's metadata must win."""
     docs = _documents(spark, d)
     parts = docs.select("unique_id", "text", F.explode(F.array(F.lit(1), F.lit(9), F.lit(10))).alias("n"))
     named = parts.select(F.concat(F.lit("doc ["), "unique_id", F.lit("]_chunk_"), F.col("n").cast("string"), F.lit(".txt")).alias("file_name"), F.concat(F.lit("part "), F.col("n").cast("string"), F.lit("\n"), "text").alias("text"))
-    return enrich.metadata(named, _taxonomy())
+    return named
 
 
 def _last(spark: SparkSession, d: str) -> DataFrame:
-    return enrich.stored(enrich.last_chunk_wins(_records(spark, d)))
+    return enrich.stored(enrich.document_metadata(_records(spark, d), _taxonomy()))
 
 
 def _last_sql() -> str:
@@ -273,7 +273,7 @@ def _upsert(spark: SparkSession, d: str) -> DataFrame:
 
 def _chunk_join(spark: SparkSession, d: str) -> DataFrame:
     docs = _documents(spark, d, False).select("file_name", "text").unionByName(_frame(spark, CHUNK_FILES, "file_name string, text string"))
-    records = enrich.metadata(_documents(spark, d, False).join(_labelled(spark, d), "unique_id", "left_semi"), _taxonomy())
+    records = enrich.metadata(_documents(spark, d, False), _taxonomy())
     return enrich.final_documents(docs, records, F.size(X.words(F.col("text"))))
 
 
@@ -290,7 +290,7 @@ def _join_sql(select: str) -> str:
         f"{_hits_sql(False)}, files AS (SELECT file_name AS chunk_file, text FROM d UNION ALL SELECT file_name, text FROM {_values(CHUNK_FILES, 'v', 'file_name, text')}), "
         f"m AS (SELECT c.unique_id, {_LINE.replace('text', 'c.text')} AS title, {_YEAR.replace('text', 'c.text')} AS year, k.category, g.tags, r.research_type, s.sentiment_type FROM c "
         f"JOIN ({_top1_sql('category', 'Uncategorized')}) k USING (unique_id) JOIN ({_TAGS}) g USING (unique_id) JOIN ({_top1_sql('research_type', 'Unclassified')}) r USING (unique_id) "
-        f"JOIN ({_top1_sql('sentiment_type', 'General Analysis')}) s USING (unique_id) WHERE c.unique_id IN (SELECT (100000 + doc_id)::VARCHAR FROM labels)), "
+        f"JOIN ({_top1_sql('sentiment_type', 'General Analysis')}) s USING (unique_id)), "
         f"k AS (SELECT *, {_CHUNK_ID.format(c='chunk_file')} AS unique_id FROM files) SELECT {select} FROM k LEFT JOIN m USING (unique_id)"
     )
 
@@ -361,8 +361,105 @@ def _survivors(spark: SparkSession, d: str) -> DataFrame:
     return dedup.exact_dedup(_table(spark, d, "documents").select("doc_id", "text", "source"), "doc_id", "text")
 
 
+def _survivors_of_repeated(spark: SparkSession, d: str) -> DataFrame:
+    """The same with every row of the table there twice."""
+    docs = _table(spark, d, "documents").select("doc_id", "text", "source")
+    return dedup.exact_dedup(docs.union(docs), "doc_id", "text")
+
+
+def _words_overlap(spark: SparkSession, d: str) -> DataFrame:
+    return chunk.chunk_documents(_documents(spark, d, False).drop("file_name"), chunk.Words, (), max_tokens=120, overlap=20)
+
+
+def _workflow_words(spark: SparkSession, d: str) -> DataFrame:
+    """The whole chain with words as tokens: its JSON, read again."""
+    made = enrich.as_json(workflow.run(_documents(spark, d, False), _taxonomy(), chunk.Words, (), 120, 20)["final"])
+    fields = "file_name string, metadata struct<unique_id:string,title:string,year:string,category:string,tags:array<string>,research_type:string,sentiment_type:string>, chunk struct<text:string,token_count:int>"
+    x = made.select("name", F.from_json("json", fields).alias("x"))
+    return x.select("name", "x.file_name", "x.metadata.unique_id", "x.metadata.title", "x.metadata.year", "x.metadata.category", F.array_join("x.metadata.tags", ",").alias("tags"), "x.metadata.research_type", "x.metadata.sentiment_type", "x.chunk.text", "x.chunk.token_count")
+
+
+def _chunk_sql(source: str, overlap: int) -> str:
+    """Tables of a recursive query: w, the chunks (unique_id, chunk_no, text, token_count) of at most 120 words of a table (unique_id, text), each with the last `overlap` words before it."""
+    tail = f"array_to_string(list_slice(regexp_extract_all(r.h, '{_WS}*[^{_WS[1:]}+'), greatest(1, len(regexp_extract_all(r.h, '{_WS}*[^{_WS[1:]}+')) - {overlap - 1}), 1000000), '')"
+    return (
+        f"s0 AS (SELECT unique_id, string_split(regexp_replace(text, '([.!?…][.!?…\"''”’)\\]]*)' || '{_WS}' || '+', '\\1' || chr(1), 'g'), chr(1)) AS s FROM {source}), "
+        f"s1 AS (SELECT unique_id, unnest(s) AS s, generate_subscripts(s, 1) AS i FROM s0), s AS MATERIALIZED (SELECT unique_id, i, {_strip('s')} AS s, len({_words('s')}) AS n FROM s1), "
+        "p AS (SELECT unique_id, i, 1 AS chunk_no, n AS tok FROM s WHERE i = 1 UNION ALL "
+        f"SELECT s.unique_id, s.i, p.chunk_no + (p.tok + s.n > 120)::INT, CASE WHEN p.tok + s.n > 120 THEN least({overlap}, p.tok) + s.n ELSE p.tok + s.n END FROM p JOIN s ON s.unique_id = p.unique_id AND s.i = p.i + 1), "
+        "g AS MATERIALIZED (SELECT p.unique_id, p.chunk_no, string_agg(' ' || s.s, '' ORDER BY s.i) AS x, max(p.tok)::INT AS token_count FROM p JOIN s USING (unique_id, i) GROUP BY ALL), "
+        f"r AS (SELECT unique_id, chunk_no, x AS h, token_count FROM g WHERE chunk_no = 1 UNION ALL SELECT g.unique_id, g.chunk_no, {tail} || g.x, g.token_count FROM r JOIN g ON g.unique_id = r.unique_id AND g.chunk_no = r.chunk_no + 1), "
+        f"w AS MATERIALIZED (SELECT unique_id, chunk_no::INT AS chunk_no, {_strip('h')} AS text, token_count FROM r)"
+    )
+
+
+def _workflow_sql() -> str:
+    docs = _docs_sql(False).replace("d AS (", "d1 AS (")
+    chain = (
+        f"{docs}, u AS MATERIALIZED (SELECT unique_id, {_ocr('text')} AS text FROM (SELECT unique_id, text FROM d1 QUALIFY row_number() OVER (PARTITION BY text ORDER BY unique_id) = 1)), {_chunk_sql('u', 20)}, "
+        f"chunks AS MATERIALIZED (SELECT unique_id, 'doc [' || unique_id || ']_chunk_' || chunk_no AS stem, {_normal('text')} AS text FROM w WHERE text <> ''), "
+        "d AS MATERIALIZED (SELECT unique_id, stem || '.txt' AS file_name, text FROM chunks QUALIFY row_number() OVER (PARTITION BY unique_id ORDER BY stem || '.txt' DESC) = 1)"
+    )
+    base = _hits_sql(False).replace(_docs_sql(False), chain).replace("WITH ", "WITH RECURSIVE ", 1)
+    return (
+        f"{base}, m AS (SELECT c.unique_id, {_LINE.replace('text', 'c.text')} AS title, {_YEAR.replace('text', 'c.text')} AS year, k.category, g.tags, r.research_type, s.sentiment_type FROM c "
+        f"JOIN ({_top1_sql('category', 'Uncategorized')}) k USING (unique_id) JOIN ({_TAGS}) g USING (unique_id) JOIN ({_top1_sql('research_type', 'Unclassified')}) r USING (unique_id) "
+        f"JOIN ({_top1_sql('sentiment_type', 'General Analysis')}) s USING (unique_id)) "
+        f"SELECT stem || '.json' AS name, unique_id || '.pdf' AS file_name, unique_id, title, year, category, tags, research_type, sentiment_type, text, len({_words('text')})::INT AS token_count FROM chunks JOIN m USING (unique_id)"
+    )
+
+
+def _stand_ins() -> extract.Extractor:
+    """Back-ends over documents' texts as files: the first line that has a figure is the metadata title, and words of the second one are spans."""
+
+    def title(content: bytes) -> str | None:
+        first = content.decode().split("\n")[0].strip()
+        return first if any(c in "0123456789" for c in first) else None
+
+    def spans(content: bytes) -> list[tuple[int, float, str]]:
+        lines = content.decode().split("\n")
+        return [(1, float(len(w)), w) for w in lines[1].split(" ")] if len(lines) > 1 else []
+
+    return extract.Extractor(pages=[lambda content: content.decode().split("\f")], title=title, spans=spans)
+
+
+def _files(spark: SparkSession, d: str) -> DataFrame:
+    return spread(_table(spark, d, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string"), F.lit(".pdf")).alias("path"), F.col("text").cast("binary").alias("content")))
+
+
+def _files_named(spark: SparkSession, d: str) -> DataFrame:
+    """Files to names: copies dropped, first titles, the title ladder, identifiers."""
+    used = _frame(spark, USED, "unique_id string").select(X.strip(F.col("unique_id")).alias("unique_id"))
+    heads = extract.heads(dedup.exact_dedup(_files(spark, d)), _stand_ins())
+    return workflow.named_files(heads, used)
+
+
+def _files_to_json(spark: SparkSession, d: str) -> DataFrame:
+    """The whole chain from files, with stand-ins for the libraries that read PDF files and words as tokens."""
+    used = _frame(spark, USED, "unique_id string").select(X.strip(F.col("unique_id")).alias("unique_id"))
+    out = workflow.run_files(_files(spark, d), _stand_ins(), used, _taxonomy(), chunk.Words, (), 120, 20)
+    return enrich.as_json(out["final"])
+
+
+def _files_sql() -> str:
+    first = "string_split(text, chr(10))[1]"
+    return (
+        "f AS (SELECT 'd' || doc_id || '.pdf' AS path, text FROM documents QUALIFY row_number() OVER (PARTITION BY text ORDER BY 'd' || doc_id || '.pdf') = 1), "
+        f"meta AS (SELECT path, text, CASE WHEN regexp_matches({_strip(first)}, '[0-9]') THEN nullif({_strip(first)}, '') END AS meta FROM f), "
+        f"firsts AS (SELECT path, {_file_title('t')} AS t FROM (SELECT path, coalesce(meta, list_filter(list_transform(string_split(string_split(text, chr(12))[1], chr(10)), lambda l: {_strip('l')}), lambda l: l <> '')[1], 'unknown_title') AS t FROM meta)), "
+        "uniq AS (SELECT path, CASE WHEN n = 0 THEN t ELSE t || '_' || n END AS first_title FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY path) - 1 AS n FROM firsts)), "
+        "sp AS (SELECT path, unnest(string_split(string_split(text, chr(10))[2], ' ')) AS w, generate_subscripts(string_split(string_split(text, chr(10))[2], ' '), 1) AS i FROM f WHERE contains(text, chr(10))), "
+        f"big AS (SELECT path, {_strip('w')} AS t FROM sp WHERE len({_strip('w')}) > 5 QUALIFY row_number() OVER (PARTITION BY path ORDER BY len(w) DESC, i) = 1), "
+        f"pg AS (SELECT path, unnest(string_split(text, chr(12))[1:5]) AS p, generate_subscripts(string_split(text, chr(12))[1:5], 1) AS n FROM f), "
+        f"ln AS (SELECT path, string_split({_strip('p')}, chr(10))[1] AS l FROM pg WHERE len(string_split({_strip('p')}, chr(10))[1]) > 5 QUALIFY row_number() OVER (PARTITION BY path ORDER BY n) = 1), "
+        "titled AS (SELECT path, first_title, coalesce(CASE WHEN len(meta) > 5 THEN meta END, big.t, ln.l, first_title) AS title FROM meta JOIN uniq USING (path) LEFT JOIN big USING (path) LEFT JOIN ln USING (path)), "
+        f"ids AS (SELECT path, id::VARCHAR AS unique_id FROM (SELECT path, row_number() OVER (ORDER BY path) AS n FROM f) JOIN (SELECT id, row_number() OVER (ORDER BY id) AS n FROM range(100000, 1000000) r(id) WHERE id NOT IN (SELECT try_cast(trim(u) AS BIGINT) FROM {_values(USED, 'v', 'u')} WHERE try_cast(trim(u) AS BIGINT) IS NOT NULL)) USING (n))"
+    )
+
+
 _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "exact_dedup": (_survivors, "SELECT doc_id, text, source FROM documents QUALIFY row_number() OVER (PARTITION BY strlen(text), sha256(text) ORDER BY doc_id) = 1"),
+    "exact_dedup_repeated": (_survivors_of_repeated, "SELECT doc_id, text, source FROM documents QUALIFY row_number() OVER (PARTITION BY strlen(text), sha256(text) ORDER BY doc_id) = 1"),
     "dup_pairs": (lambda s, d: dedup.removed(_table(s, d, "documents"), "doc_id", "text"), "SELECT doc_id AS duplicate, survivor FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY strlen(text), sha256(text)) AS survivor FROM documents) WHERE doc_id <> survivor"),
     "prefix_dup_pairs": (lambda s, d: dedup.prefix_groups(_table(s, d, "documents"), "text"), "SELECT strlen(text)::BIGINT AS n_bytes, sha256(array_slice(encode(text), 1, 1024)) AS prefix_sha256, count(*) AS n_files FROM documents GROUP BY ALL HAVING count(*) > 1"),
     "title_from_text": (_title_from_text, f"WITH {_TITLE_SQL} SELECT path, title FROM titles"),
@@ -380,11 +477,11 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
         f"WITH {_docs_sql()} SELECT unique_id AS path, hex(array_slice(encode(text), 1, 1024)) AS prefix FROM d",
     ),
     "with_id": (
-        lambda s, d: _documents(s, d).select("unique_id", X.with_id(F.regexp_replace("file_name", r"\.[^.]*$", ""), F.col("unique_id")).alias("again"), X.with_id(X.clean_title(F.col("text")), F.col("unique_id")).alias("named")),
-        f"WITH {_docs_sql()} SELECT unique_id, 'doc [' || unique_id || ']' AS again, {_clean_title('text')} || ' [' || unique_id || ']' AS named FROM d",
+        lambda s, d: _documents(s, d).select("unique_id", X.with_id(F.regexp_replace("file_name", r"\.[^.]*$", ""), F.col("unique_id")).alias("again"), X.with_id(X.clean_title(F.col("text")), F.col("unique_id")).alias("named"), X.with_id(F.concat(F.lit("report "), "unique_id"), F.col("unique_id")).alias("bare")),
+        f"WITH {_docs_sql()} SELECT unique_id, 'doc [' || unique_id || ']' AS again, CASE WHEN contains({_clean_title('text')}, unique_id) THEN {_clean_title('text')} ELSE {_clean_title('text')} || ' [' || unique_id || ']' END AS named, 'report ' || unique_id AS bare FROM d",
     ),
     "word_count": (_each(lambda c: F.size(X.words(c)), "n"), _each_sql(f"len({_words('text')})::INT", "n")),
-    "clean_year": (_each(lambda c: X.clean_year(F.substring(c, 1, 4)), "year"), _each_sql(r"CASE WHEN regexp_matches(substr(text, 1, 4), '^\p{Nd}{4}$') THEN substr(text, 1, 4) ELSE 'Unknown' END", "year")),
+    "clean_year": (_each(lambda c: X.clean_year(X.year(c)), "year"), _each_sql(rf"CASE WHEN regexp_matches({_YEAR}, '^\p{{Nd}}{{4}}$') THEN {_YEAR} ELSE 'Unknown' END", "year")),
     "assign_ids": (
         lambda s, d: identity.assign_ids(_table(s, d, "documents").select("doc_id"), _frame(s, USED, "unique_id string").select(X.strip(F.col("unique_id")).alias("unique_id")), [F.col("doc_id")]),
         f"SELECT doc_id, id::VARCHAR AS unique_id FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS n FROM documents) JOIN (SELECT id, row_number() OVER (ORDER BY id) AS n FROM range(100000, 1000000) r(id) WHERE id NOT IN (SELECT try_cast(trim(u) AS BIGINT) FROM {_values(USED, 'v', 'u')} WHERE try_cast(trim(u) AS BIGINT) IS NOT NULL)) USING (n)",
@@ -416,8 +513,10 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
         "SELECT id, row_number() OVER (PARTITION BY id ORDER BY o)::INT AS seg_no, kind, text FROM z WHERE text IS NOT NULL AND text <> ''",
     ),
     "chunks_words_no_overlap": (_word_chunks, _WORD_CHUNKS_SQL),
+    "chunks_words_overlap": (_words_overlap, f"WITH RECURSIVE {_docs_sql(False)}, {_chunk_sql('d', 20)} SELECT unique_id, chunk_no, text, token_count FROM w WHERE text <> ''"),
     "chunks_bpe_overlap": (_bpe_chunks, None),
     "token_count": (_token_count, None),
+    "token_count_words": (_each(lambda c: chunk.token_count(c, chunk.Words), "token_count"), _each_sql(f"len({_words('text')})::INT", "token_count")),
     "skip_existing_chunks": (_skip_existing, f"WITH {_docs_sql(False)} SELECT unique_id, n::INT AS chunk_no FROM d, (SELECT unnest([1, 2]) AS n) WHERE NOT (n = 1 AND unique_id IN (SELECT (100000 + doc_id)::VARCHAR FROM labels))"),
     "colorfulness": (lambda s, d: _colours(s, d).select("image_id", F.round("colorfulness", 6).alias("colorfulness")), f"WITH {_COLOUR_SQL} SELECT image_id, round(c, 6) AS colorfulness FROM colour"),
     "image_relevance": (
@@ -426,6 +525,9 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
     ),
     "pipeline_summary": (_summary, _summary_sql()),
     "workflow_json": (_workflow, None),
+    "workflow_words": (_workflow_words, _workflow_sql()),
+    "files_named": (_files_named, f"WITH {_files_sql()} SELECT path, first_title, title, unique_id, {_clean_title('title')} || ' [' || unique_id || '].pdf' AS file_name FROM titled JOIN ids USING (path)"),
+    "files_to_json": (_files_to_json, None),
 }
 
 

@@ -54,8 +54,8 @@ def write_documents(documents: DataFrame, folder: str) -> None:
 
 
 def write_text(docs: DataFrame, folder: str) -> None:
-    """A folder per unique_id with the text in it."""
-    docs.select("unique_id", "text").write.mode("overwrite").partitionBy("unique_id").option("lineSep", "\n").text(folder)
+    """Texts as a JSON object a line, with their unique_id: one table, however many documents there are."""
+    docs.select("unique_id", "text").write.mode("overwrite").json(folder)
 
 
 def write_images(images: DataFrame, folder: str) -> None:
@@ -63,10 +63,20 @@ def write_images(images: DataFrame, folder: str) -> None:
     images.write.mode("overwrite").partitionBy("extension").parquet(folder)
 
 
-def write_table_rows(tables: DataFrame, folder: str) -> None:
-    """Extracted tables (unique_id, table_no, row_no, cells map<string,string>) as CSV with a header, a folder per table; cells are a JSON object, for columns differ between tables."""
-    rows = tables.select("unique_id", "table_no", "row_no", F.to_json("cells").alias("cells"))
-    rows.write.mode("overwrite").partitionBy("unique_id", "table_no").option("header", True).csv(folder)
+def table_csv(tables: DataFrame) -> DataFrame:
+    """(unique_id, table_no, csv) of extracted tables' rows (unique_id, table_no, row_no, cells map<string,string>): a header of the table's own columns, in the order they come up,
+    then a line per row; a cell that a row doesn't have is empty. A table's rows meet in a task; tables of a document are small."""
+    found = tables.groupBy("unique_id", "table_no").agg(F.sort_array(F.collect_list(F.struct("row_no", F.map_entries("cells").alias("cells")))).alias("rows"))
+    found = found.withColumn("header", F.array_distinct(F.flatten(F.transform("rows", lambda r: F.transform(r["cells"], lambda c: c["key"])))))
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    line = lambda r: F.array_join(F.transform("header", lambda h: quoted(F.try_element_at(F.map_from_entries(r["cells"]), h))), ",")
+    lines = F.concat(F.array(F.array_join(F.transform("header", quoted), ",")), F.transform("rows", line))
+    return found.select("unique_id", "table_no", F.array_join(lines, "\n").alias("csv"))
+
+
+def write_tables(tables: DataFrame, folder: str) -> None:
+    """Extracted tables as CSV files with their own columns and a header, a folder per table."""
+    table_csv(tables).write.mode("overwrite").partitionBy("unique_id", "table_no").option("lineSep", "\n").text(folder)
 
 
 def append_new(df: DataFrame, path: str, keys: list[str]) -> None:

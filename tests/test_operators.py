@@ -1,13 +1,18 @@
 """Operators on small tables: invariants of the chunker, identifiers, taxonomy, sinks, extraction and streaming."""
 
+import json
 import math
+import os
+import random
 import sqlite3
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from docloom import session
 from docloom.operators import chunk, dedup, enrich, identity, image
 from docloom.operators.numbering import number
 from docloom.operators.taxonomy import Taxonomy
@@ -74,6 +79,13 @@ def test_dedup(spark):
     assert sorted(r.path for r in dedup.exact_dedup(df).collect()) == ["a", "c", "d", "e", "f"]
     assert [tuple(r) for r in dedup.removed(df).collect()] == [("b", "a")]
     assert dedup.exact_dedup(df.limit(0)).count() == 0
+    again = [("a", b"x"), ("a", b"x"), ("b", b"x"), ("b", b"z"), ("b", b"z"), (None, b"x"), (None, b"q"), (None, b"q"), ("d", None), ("d", None), ("e", b"y")]
+    df = spark.createDataFrame(again, "path string, content binary").withColumn("sha256", F.lit("clash"))
+    got = dedup.exact_dedup(df)
+    assert got.columns == df.columns
+    key = lambda r: (r[0] or "", r[1] or b"")
+    assert sorted(((r.path, r.content and bytes(r.content)) for r in got.collect()), key=key) == sorted([("a", b"x"), ("b", b"z"), (None, b"q"), ("d", None), ("d", None), ("e", b"y")], key=key)
+    assert sorted(map(tuple, dedup.removed(df).collect()), key=str) == sorted([("b", "a"), (None, "a")], key=str)
 
 
 def test_numbers(spark):
@@ -184,7 +196,8 @@ def test_pixels(spark):
     df = spark.createDataFrame([("c", (1, 2, 3, bytearray(data))), ("g", (1, 1, 1, bytearray(b"\x07"))), ("e", (0, 0, 3, bytearray()))], schema)
     got = sorted(tuple(r) for r in image.pixels(df).collect())
     assert got == [("c", 1, 2, 3), ("c", 4, 5, 6), ("g", 7, 7, 7)]
-    assert {r.image_id: r.colorfulness for r in image.colorfulness(image.pixels(df)).collect()}["g"] == 0
+    rows, whole = ({r.image_id: r.colorfulness for r in x.collect()} for x in (image.colorfulness(image.pixels(df)), image.image_colorfulness(df)))
+    assert rows["g"] == 0 and whole["e"] == 0 and whole["c"] == pytest.approx(rows["c"]) and whole["g"] == 0
 
 
 # --- extraction ---------------------------------------------------------------------------------
@@ -203,10 +216,11 @@ def test_extraction_ladder(spark, tmp_path):
     assert {(r.path, r.table_no, r.row_no, r.cells["a"]) for r in extract.table_rows(found).collect()} == {(p, 1, 1, "1") for p in ("good", "scan", "broken", "empty")}
     assert extract.problems(found).count() == 4
     files.write_images(extract.images(found), str(tmp_path / "i"))
-    files.write_table_rows(extract.table_rows(found).withColumnRenamed("path", "unique_id"), str(tmp_path / "t"))
-    assert spark.read.parquet(str(tmp_path / "i")).count() == 1 and spark.read.option("header", True).csv(str(tmp_path / "t")).count() == 4
+    files.write_tables(extract.table_rows(found).withColumnRenamed("path", "unique_id"), str(tmp_path / "t"))
+    read = spark.read.option("header", True).csv(str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "i")).count() == 1 and read.count() == 4 and {r.a for r in read.collect()} == {"1"}
     files.write_text(extract.texts(found).withColumnRenamed("path", "unique_id"), str(tmp_path / "x"))
-    assert spark.read.text(str(tmp_path / "x"), wholetext=True).count() >= 3
+    assert {r.unique_id: r.text for r in spark.read.json(str(tmp_path / "x")).collect()}["good"] == "p1\np2"
     text = {r.path: (r.text, r.status) for r in rows if r.kind == "text"}
     assert text["good"] == ("p1\np2", "ok") and text["scan"] == (" \nseen\n", "ok") and text["broken"] == ("backup", "ok") and text["empty"][1] == "blank"
     pictures = [(r.page_no, r.item_no, r.status == "ok") for r in rows if r.kind == "image" and r.path == "good"]
@@ -214,6 +228,126 @@ def test_extraction_ladder(spark, tmp_path):
     assert sum(r.kind == "table" for r in rows) == 4 and sum(r.kind == "problem" for r in rows) == 3
 
 
+def test_table_csv(spark):
+    rows = [("1", 1, 1, {"a": "x", "b": 'say "hi"'}), ("1", 1, 2, {"b": "2,5", "c": "line\nend"}), ("1", 2, 1, {"z": ""})]
+    got = {(r.unique_id, r.table_no): r.csv for r in files.table_csv(spark.createDataFrame(rows, "unique_id string, table_no int, row_no int, cells map<string,string>")).collect()}
+    import csv
+    import io
+
+    assert list(csv.reader(io.StringIO(got["1", 1]))) == [["a", "b", "c"], ["x", 'say "hi"', ""], ["", "2,5", "line\nend"]] and list(csv.reader(io.StringIO(got["1", 2]))) == [["z"], [""]]
+
+
+def test_relevant_images():
+    grey, red = np.full((50, 3), 90, np.uint8), np.tile(np.array([[0, 0, 255], [0, 255, 0]], np.uint8), (25, 1))
+    pictures = {b"grey": grey, b"red": red}
+    words = {b"grey": "w " * 11, b"red": "w " * 99}
+    rule = image.relevant(pictures.__getitem__, words.__getitem__)
+    assert not rule(b"grey") and rule(b"red")
+    words[b"grey"] = " one two "
+    assert rule(b"grey") and image.colourful(np.empty((0, 3))) == 0
+
+
+def split_at_bars(text):
+    return [part.strip() for part in text.split("|")]
+
+
+def test_sentence_model_is_passed_on(spark):
+    docs = spark.createDataFrame([("1", "a [100001].txt", "one two | three. four | five")], "unique_id string, file_name string, text string")
+    out = workflow.run(docs, TAX, chunk.Words, (), 2, 0, split=split_at_bars)
+    assert [r.text for r in out["chunks"].orderBy("chunk_no").collect()] == ["one two", "three. four", "five"]
+
+
+def test_files_to_json(spark, tmp_path):
+    """From a folder of files to nested JSON: copies go, titles come from the metadata, the biggest font, the first line or the first title, and every back-end is used."""
+    home = tmp_path / "in"
+    home.mkdir()
+    parts = {"b.pdf": "title=Deep Sea Report 2020\fFirst page aa xx. More aa.\fSecond page.", "a.PDF": "\fsmall big|BIGGEST WORDS\f", "copy.pdf": "title=Deep Sea Report 2020\fFirst page aa xx. More aa.\fSecond page.", "c.pdf": "\fA long first line\nrest of it", "d.pdf": "\f\n", "x.txt": "no"}
+    for name, text in parts.items():
+        (home / name).write_text(text)
+
+    def pages(content):
+        return content.decode().split("\f")[1:]
+
+    def spans(content):
+        if b"BIGGEST" not in content:
+            return []
+        return [(1, 8.0, "small big"), (1, 20.0, "BIGGEST WORDS"), (6, 99.0, "too late")]
+
+    def title(content):
+        head = content.decode().split("\f")[0]
+        return head[6:] if head else None
+
+    made = extract.Extractor(pages=[pages], ocr=lambda c: ["read aloud"] if c == b"\f\n" else [], images=lambda c: [(1, "png", b"keep"), (1, "png", b"drop")], tables=lambda c: [[{"k": "v"}]] if c.startswith(b"title") else 1 / 0, keep_image=lambda i: i == b"keep", title=title, spans=spans)
+    used = spark.createDataFrame([("100000",)], "unique_id string")
+    out = workflow.run_files(files.binary_files(spark, str(home)), made, used, TAX, chunk.Words, (), 6, 1)
+    name = lambda path: path.rsplit("/", 1)[1]
+    assert [(name(r.duplicate), name(r.survivor)) for r in out["removed"].collect()] == [("copy.pdf", "b.pdf")]
+    names = {name(r.path): (r.first_title, r.title, r.unique_id, r.file_name) for r in out["names"].collect()}
+    assert names == {
+        "a.PDF": ("small_bigbiggest_words", "BIGGEST WORDS", "100001", "biggest_words [100001].pdf"),
+        "b.pdf": ("deep_sea_report", "Deep Sea Report 2020", "100002", "deep_sea_report_2020 [100002].pdf"),
+        "c.pdf": ("a_long_first_line", "A long first line", "100003", "a_long_first_line [100003].pdf"),
+        "d.pdf": ("unknown_title", "unknown_title", "100004", "unknowntitle [100004].pdf"),
+    }
+    final = out["final"].collect()
+    assert {r.metadata.unique_id for r in final} == {"100001", "100002", "100003", "100004"}
+    assert {r.chunk_file for r in final if r.metadata.unique_id == "100002"} == {"deep_sea_report_2020 [100002]_chunk_1.txt", "deep_sea_report_2020 [100002]_chunk_2.txt"}
+    assert {r.chunk.text for r in final if r.metadata.unique_id == "100004"} == {"read aloud"}
+    assert {(r.unique_id, bytes(r.content)) for r in out["images"].collect()} == {(f"10000{k}", b"keep") for k in range(1, 5)}
+    assert [(r.unique_id, r.cells) for r in out["tables"].collect()] == [("100002", {"k": "v"})] and out["problems"].count() == 3
+    assert out["records"].count() == 4
+
+
+def test_large_taxonomy(spark):
+    """612 keywords in 72 labels, all dimensions in one projection, against plain counting."""
+    import itertools
+
+    words = ["".join(w) for w in itertools.product("aeiou", "lmnrst", "aeiou")] + ["".join(w) for w in itertools.product("bcdfgh", "aeiou", "lmnrst")]
+    rng = random.Random(4)
+    sizes = {"CATEGORY_KEYWORDS": (11, 119), "TAG_KEYWORDS": (51, 327), "RESEARCH_TYPE_KEYWORDS": (7, 102), "SENTIMENT_TYPE": (3, 64)}
+    raw = {dim: {f"{dim[:2]}{i}": [rng.choice(words) for _ in range(n // labels + (i < n % labels))] for i in range(labels)} for dim, (labels, n) in sizes.items()}
+    tax = Taxonomy.parse(json.dumps(raw))
+    assert tax.table(spark).count() == 612
+    texts = [" ".join(rng.choice(words) + rng.choice(words) for _ in range(rng.randint(1, 300))) for _ in range(30)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", tax.top1(F.col("t"), "category").alias("c"), tax.top1(F.col("t"), "research_type").alias("r"), tax.top1(F.col("t"), "sentiment_type").alias("s"), tax.tags(F.col("t")).alias("g"), tax.relevance(F.col("t")).alias("v"))
+
+    def best(t, key, n):
+        hits = [(-sum(k in t for k in ks), i, label) for i, (label, ks) in enumerate(raw[key].items())]
+        return [label for h, _, label in sorted(hits)[:n] if h < 0]
+
+    for r in df.collect():
+        t = texts[r.i]
+        assert (r.c, r.r, r.s) == tuple((best(t, k, 1) or [None])[0] for k in ("CATEGORY_KEYWORDS", "RESEARCH_TYPE_KEYWORDS", "SENTIMENT_TYPE")) and r.g == sorted(best(t, "TAG_KEYWORDS", 5))
+        m, n = sum(t.count(k) for ks in raw["TAG_KEYWORDS"].values() for k in ks), len(t.split())
+        assert r.v == (1 if n < 100 or not m else min(100, max(1, round(math.log10(1 + m / n * 1000) * 77))))
+
+
+# --- session ------------------------------------------------------------------------------------
+
+
+def test_sweep(spark):
+    since = session.mark()
+    one, two = session.written(spark.range(3)), session.written(spark.range(4))
+    paths = session._made[since:]
+    session.sweep(spark, since, paths[1])
+    assert two.count() == 4 and not os.path.exists(paths[0].removeprefix("file:")) and one is not two
+    session.sweep(spark, since)
+    assert not os.path.exists(paths[1].removeprefix("file:")) and session.mark() == since
+
+
+def test_shared_dir_must_be_named_on_a_cluster():
+    class Context:
+        master = "spark://x"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        session.shared_dir(Session)
+
+
 # --- streaming ----------------------------------------------------------------------------------
 
 
