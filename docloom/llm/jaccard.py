@@ -14,10 +14,12 @@ from . import common, similar, simhash
 from .components import components
 
 #: Bytes of text whose shingles one part of the count holds on average.
-PART_BYTES = 8 << 20
+PART_BYTES = 12 << 20
 #: Rows of an Arrow batch of shingles.
 OUT_ROWS = 1 << 17
-PARTS = T.StructType([T.StructField("part", T.LongType()), *[T.StructField(c, T.BinaryType()) for c in ("key", "node", "n")]])
+
+PARTS = T.StructType([T.StructField("part", T.LongType()), *[T.StructField(c, T.BinaryType()) for c in ("key", "node", "n", "rows")]])
+SHARED = T.StructType([T.StructField(c, T.LongType()) for c in ("node", "n", "shared")])
 COMMON = T.StructType([T.StructField(c, T.LongType()) for c in ("node", "n", "key", "df")])
 
 
@@ -30,49 +32,68 @@ def _enough(n: Column, least: float) -> Column:
     return F.greatest(F.lit(1), F.ceil(F.lit(least) * n - F.lit(1e-9)))
 
 
-def common_shingles(texts: DataFrame, size: int, parts: int) -> DataFrame:
-    """(node, n, key, df) of texts (node, text): each shingle that df > 1 nodes have, n the size of the node's set.
+def counted(texts: DataFrame, size: int, parts: int, which: bool) -> DataFrame:
+    """Of texts (node, text), the shingles that more than one node has: (node, n, key, df) of each, n the size of the node's set and df how many nodes have it; or,
+    if `which` isn't asked for, (node, n, shared), their number, in parts to be added up.
 
-    Shingles are dealt to parts by their hash, packed by the batch, and counted there."""
+    Shingles are dealt to parts by their hash, packed by the batch, and counted there. A key is 32 bits of the rest of the hash: keys that agree by chance make more
+    candidates, which are compared exactly, and never fewer."""
     common.arrow_batches(texts.sparkSession)
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             sets = [shingle_set(t, size) for t in b.column(1).cast(pa.string()).to_pylist()]
             lengths = np.array([len(x) for x in sets], np.int64)
-            key = np.concatenate([*sets, np.empty(0, np.uint64)])
-            at = (key % np.uint64(parts)).astype(np.int64)
-            order = np.argsort(at, kind="stable")
-            cuts = np.searchsorted(at[order], np.arange(parts + 1))
-            cols = key[order], np.repeat(b.column(0).to_numpy(), lengths)[order], np.repeat(lengths, lengths)[order].astype(np.int32)
-            used = np.flatnonzero(cuts[1:] > cuts[:-1])
-            blobs = [pa.array([c[cuts[p] : cuts[p + 1]].tobytes() for p in used], pa.binary()) for c in cols]
+            whole = np.concatenate([*sets, np.empty(0, np.uint64)])
+            at = (whole % np.uint64(parts)).astype(np.int64)
+            key = (whole // np.uint64(parts)).astype(np.uint32)
+            row = np.repeat(np.arange(len(sets)), lengths)
+            order = np.argsort(at, kind="stable")  # by part, then by row
+            key, row, at = key[order], row[order], at[order]
+            opens = np.flatnonzero(np.concatenate([[True], (at[1:] != at[:-1]) | (row[1:] != row[:-1])])) if len(at) else np.zeros(0, np.int64)
+            rows = np.diff(np.append(opens, len(at))).astype(np.int32)  # keys of a row in a part
+            used, first = np.unique(at[opens], return_index=True)
+            ends = np.append(first[1:], len(opens))
+            starts = np.append(opens, len(at))
+            nodes, n = b.column(0).to_numpy()[row[opens]], lengths[row[opens]].astype(np.int32)
+            cuts = [(key, starts[first], starts[ends]), (nodes, first, ends), (n, first, ends), (rows, first, ends)]
+            blobs = [pa.array([c[i:j].tobytes() for i, j in zip(a, z)], pa.binary()) for c, a, z in cuts]
             yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), *blobs], names=PARTS.names)
 
-    def shared(held: list[tuple[bytes, bytes, bytes]]) -> Iterator[pa.RecordBatch]:
-        key, node, n = (np.frombuffer(b"".join(x), kind) for x, kind in zip(zip(*held), (np.uint64, np.int64, np.int32)))
+    def shared(part: int, held: list[tuple[bytes, ...]]) -> Iterator[pa.RecordBatch]:
+        key, node, n, rows = (np.frombuffer(b"".join(x), kind) for x, kind in zip(zip(*held), (np.uint32, np.int64, np.int32, np.int32)))
+        place = np.repeat(np.arange(len(rows)), rows)
         order = np.argsort(key)
         starts = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
         df = np.diff(np.append(starts, len(key)))
         df = np.repeat(df, df)
         order, df = order[df > 1], df[df > 1]
+        place = place[order]
+        if not which:
+            of = np.bincount(place, minlength=len(rows))
+            some = np.flatnonzero(of)
+            for i in range(0, len(some), OUT_ROWS):
+                o = some[i : i + OUT_ROWS]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (node[o], n[o].astype(np.int64), of[o])], names=SHARED.names)
+            return
         for i in range(0, len(order), OUT_ROWS):
-            o = order[i : i + OUT_ROWS]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (node[o], n[o].astype(np.int64), key[o].view(np.int64), df[i : i + OUT_ROWS])], names=COMMON.names)
+            o, p = order[i : i + OUT_ROWS], place[i : i + OUT_ROWS]
+            names = key[o].astype(np.int64) * parts + part
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (node[p], n[p].astype(np.int64), names, df[i : i + OUT_ROWS])], names=COMMON.names)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, last = [], None
         for b in batches:
             for part, *blobs in zip(*(c.to_pylist() for c in b.columns)):
                 if part != last and held:
-                    yield from shared(held)
+                    yield from shared(last, held)
                     held = []
                 held.append(blobs)
                 last = part
         if held:
-            yield from shared(held)
+            yield from shared(last, held)
 
-    return texts.select("node", "text").mapInArrow(spread, PARTS).repartition("part").sortWithinPartitions("part").mapInArrow(count, COMMON)
+    return texts.select("node", "text").mapInArrow(spread, PARTS).repartition("part").sortWithinPartitions("part").mapInArrow(count, COMMON if which else SHARED)
 
 
 def candidates(shared: DataFrame, least: float) -> DataFrame:
@@ -100,15 +121,22 @@ def keep_unlike(docs: DataFrame, size: int = 5, least: float = 0.8, id_col: str
     of each other. An empty table gives an empty result."""
     spark = docs.sparkSession
     keyed = simhash.placed(docs, id_col, text_col)
-    firsts = keyed.groupBy(F.col("_docloom_node").alias("node")).agg(F.min(F.struct("_docloom_id", "_docloom_text")).alias("first"), F.max(F.octet_length(F.col(f"`{text_col}`").cast("string"))).alias("bytes"))
-    firsts = common.written(firsts.select("node", F.col("first._docloom_id").alias("doc_id"), F.col("first._docloom_text").alias("text_hash"), "bytes"))
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(firsts.agg(F.sum("bytes")).first()[0] or 0) // PART_BYTES))
-    texts = keyed.select(F.col("_docloom_id").alias("doc_id"), F.col("_docloom_text").alias("text_hash"), F.col("_docloom_node").alias("node"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    texts = texts.join(firsts.select("doc_id", "text_hash"), ["doc_id", "text_hash"], "left_semi").dropDuplicates(["doc_id", "text_hash"])
-    keys = candidates(common_shingles(texts, size, parts), least)
+    _, firsts, again = simhash.places(keyed.withColumn("_docloom_of", F.col(f"`{text_col}`")))
+    texts = keyed.select(F.col("_docloom_id").alias("doc_id"), F.col("_docloom_text").alias("text_hash"), F.col(f"`{text_col}`").cast("string").alias("text"))
+
+    def parts(some: DataFrame) -> int:
+        return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(some.agg(F.sum("bytes")).first()[0] or 0) // PART_BYTES))
+
+    def firsts_of(some: DataFrame) -> DataFrame:
+        """(node, text) of the first document of each node; of repeated rows both, which changes nothing but a count that is too high."""
+        return texts.join(some.select("doc_id", "text_hash", "node"), similar.PLACE).select("node", "text")
+
+    # first how many shingles each set shares with any other; only a set that shares enough of them may be similar to one, and takes further part
+    some = counted(firsts_of(firsts), size, parts(firsts), False).groupBy("node", "n").agg(F.sum("shared").alias("shared"))
+    some = common.written(firsts.join(some.filter(F.col("shared") >= _enough(F.col("n"), least)).select("node"), "node", "left_semi"))
+    found = counted(firsts_of(some), size, parts(some), True)
+    keys = candidates(found.distinct() if again else found, least)
     roots = components(links(keys))
-    linked = common.written(roots.join(firsts.select("node", "doc_id", "text_hash"), "node"))
-    sets = similar.with_sets(texts.drop("node").join(linked, ["doc_id", "text_hash"]), lambda t: shingle_set(t, size))
-    gone = similar.later_copies(common.written(sets), least)
-    kept = firsts.join(gone, ["doc_id", "text_hash"], "left_anti").select(F.col("doc_id").alias("_docloom_id"), F.col("text_hash").alias("_docloom_text"))
-    return keyed.join(kept, ["_docloom_id", "_docloom_text"], "left_semi").dropDuplicates(["_docloom_id", "_docloom_text"]).drop("_docloom_id", "_docloom_text", "_docloom_node")
+    linked = common.written(roots.join(some.select("node", "doc_id", "text_hash"), "node"))
+    sets = simhash.once(similar.with_sets(texts.join(linked, similar.PLACE), lambda t: shingle_set(t, size)), again)
+    return simhash.kept_rows(keyed, firsts, similar.later_copies(common.written(sets), least), again)

@@ -187,6 +187,15 @@ def placed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.withColumns(place | {"_docloom_node": F.when(wordless, F.lit(0).cast("long")).otherwise(F.xxhash64(text))})
 
 
+def places(keyed: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
+    """Of rows with their place: the first place of each node, (node, doc_id, text_hash, bytes), and whether a place is there more than once. Texts aren't shuffled for it."""
+    text = F.octet_length(F.col("_docloom_of").cast("string"))
+    rows = common.written(keyed.select(F.col("_docloom_node").alias("node"), F.col("_docloom_id").alias("doc_id"), F.col("_docloom_text").alias("text_hash"), text.alias("bytes")))
+    firsts = rows.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.max("bytes").alias("bytes"))
+    again = not rows.groupBy("doc_id", "text_hash").count().filter("count > 1").isEmpty()
+    return rows, common.written(firsts.select("node", "first.doc_id", "first.text_hash", "bytes")), again
+
+
 def keep_one(docs: DataFrame, size: int = 5, differ: int = 4, tables: int = 1, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that are no copies and no near copies of an earlier row that stays: in order of doc_id (nulls last), then of a hash of the text.
 
@@ -194,17 +203,28 @@ def keep_one(docs: DataFrame, size: int = 5, differ: int = 4, tables: int = 1, l
     earlier document that stays. Rows of equal texts are copies, and the first of them stands for all; different texts of equal fingerprints are compared
     like all others. All columns are kept; of repeated rows one stays. Wordless texts are copies of each other. An empty table gives an empty result."""
     keyed = placed(docs, id_col, text_col)
-    rows = common.written(fingerprints(keyed, size, tables, "_docloom_id", text_col, ["_docloom_text", "_docloom_node"]).withColumn("node", _node(tables)))
-    firsts = rows.groupBy("_docloom_node").agg(F.min(F.struct("doc_id", "_docloom_text")).alias("first"), F.min("node").alias("node"))
-    firsts = common.written(firsts.select("node", F.col("first.doc_id").alias("doc_id"), F.col("first._docloom_text").alias("text_hash")))
+    own = ["_docloom_id", "_docloom_text", "_docloom_node"]
+    _, firsts, again = places(keyed.withColumn("_docloom_of", F.col(f"`{text_col}`")))
+    rows = common.written(fingerprints(keyed, size, tables, "_docloom_id", text_col, own[1:]).withColumn("node", _node(tables)))
+    points = rows.groupBy("_docloom_node").agg(F.min("node").alias("point"))
     roots = components(near(common.written(rows.select("node", "fps").distinct()), differ, tables))
-    rooted = firsts.join(roots, "node", "left").select("doc_id", "text_hash", F.coalesce("root", "node").alias("root"))
-    linked = rooted.join(rooted.groupBy("root").count().filter("count > 1").select("root"), "root")
+    rooted = firsts.join(points, F.col("node") == F.col("_docloom_node")).join(roots.toDF("point", "root"), "point", "left").select("doc_id", "text_hash", F.coalesce("root", "point").alias("root"))
+    linked = common.written(rooted.join(rooted.groupBy("root").count().filter("count > 1").select("root"), "root"))
     texts = keyed.select(F.col("_docloom_id").alias("doc_id"), F.col("_docloom_text").alias("text_hash"), F.col(f"`{text_col}`").alias("text"))
-    found = texts.join(linked, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"])
-    sets = common.written(similar.with_sets(found, lambda t: np.unique(shingle_hashes(t, size))))
-    kept = firsts.join(similar.later_copies(sets, least), ["doc_id", "text_hash"], "left_anti").select(F.col("doc_id").alias("_docloom_id"), F.col("text_hash").alias("_docloom_text"))
-    return keyed.join(kept, ["_docloom_id", "_docloom_text"], "left_semi").dropDuplicates(["_docloom_id", "_docloom_text"]).drop("_docloom_id", "_docloom_text", "_docloom_node")
+    sets = once(similar.with_sets(texts.join(linked, similar.PLACE), lambda t: np.unique(shingle_hashes(t, size))), again)
+    return kept_rows(keyed, firsts, similar.later_copies(common.written(sets), least), again)
+
+
+def once(sets: DataFrame, again: bool) -> DataFrame:
+    """One row of each place."""
+    return sets.dropDuplicates(similar.PLACE) if again else sets
+
+
+def kept_rows(keyed: DataFrame, firsts: DataFrame, gone: DataFrame, again: bool) -> DataFrame:
+    """The rows of keyed that are the first of their node and not among those gone; of repeated rows one."""
+    kept = common.written(firsts.join(gone, similar.PLACE, "left_anti").select(F.col("doc_id").alias("_docloom_id"), F.col("text_hash").alias("_docloom_text")))
+    found = keyed.join(kept, ["_docloom_id", "_docloom_text"], "left_semi")
+    return (found.dropDuplicates(["_docloom_id", "_docloom_text"]) if again else found).drop("_docloom_id", "_docloom_text", "_docloom_node")
 
 
 def hex16(fp: Column) -> Column:
