@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from ..session import cut, folder, mark, shared_dir, sweep, written
 
-__all__ = ["arrow_batches", "buckets_for", "cut", "fit_columns", "folder", "mark", "running_sum", "shared_dir", "sized", "slices", "sweep", "written"]
+__all__ = ["arrow_batches", "buckets_for", "cut", "fit_columns", "folder", "mark", "running_sum", "shared_dir", "sized", "slices", "small", "sweep", "written"]
 
 #: Rows that one bucket of a distributed running sum holds on average.
 BUCKET_ROWS = 4096
+#: Rows, of a few numbers each, that are sent to every executor at most; a larger table is shuffled instead.
+BROADCAST_ROWS = 1 << 19
 #: Rows and bytes an Arrow batch holds at most, so that a batch of long texts stays small.
 BATCH_ROWS, BATCH_BYTES = 1000, 32 << 20
 
@@ -47,6 +49,11 @@ def sized(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBat
         yield pa.concat_batches(held)
 
 
+def small(table: DataFrame) -> DataFrame:
+    """A written table of narrow rows, marked for broadcast if it has BROADCAST_ROWS at most: counted, not guessed."""
+    return F.broadcast(table) if table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else table
+
+
 def fit_columns(df: DataFrame, needed: dict[str, str]) -> DataFrame:
     """Only the columns an operator works on, cast to its types; a missing one is null. Extra columns never clash."""
     have = {c.lower(): c for c in df.columns}

@@ -32,7 +32,7 @@ COVER = (0, 1, 2, 3, 7, 11, 15, 19, 25)
 #: Bytes of snippets that a task lays out at a time, if a bucket isn't larger.
 BLOCK_BYTES = 1 << 20
 #: Snippets of a bucket that is sorted in one place; a larger one is split first, into parts of so many.
-HOT = 10_000
+HOT = 40_000
 #: Rows of a batch of snippets that leaves a task's function.
 OUT_ROWS = 5000
 #: What a null doc_id counts as: it comes before all others.
@@ -363,27 +363,28 @@ def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
     # 2. snippets that share a bucket get their bytes and meet there to be sorted
     text = base.select("dk", "th", "text", "doc_id", "carried")
 
-    wanted = rows.filter("bucket IS NOT NULL").groupBy(F.col(key).alias("_key")).agg(F.collect_list(F.struct("th", "place", "bucket", "hot")).alias("w"))
-    joined = text.join(wanted, F.col(key) == F.col("_key")).select("dk", "th", "text", "w")
+    def joined(some: DataFrame) -> DataFrame:
+        """Texts with the snippets wanted of them; all columns of `text`, so that its exchange serves the last step, too."""
+        return text.join(some, F.col(key) == F.col("_key")).select("dk", "th", "text", "w", "doc_id", "carried")
 
-    def fetch(hot: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                w = b.column(3)
-                flat, ends = w.values, w.offsets.to_numpy()
-                of, place, bucket, is_hot = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
-                for i, (d, h, t) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist())):
-                    at = slice(ends[i], ends[i + 1])
-                    own = (of[at] == h) & (is_hot[at] == hot)
-                    places = place[at][own]
-                    texts = [t[a:z] for a, z in (_span(p, length) for p in places.tolist())]
-                    n = len(texts)
-                    for k in range(0, n, OUT_ROWS):
-                        m = min(OUT_ROWS, n - k)
-                        cols = np.full(m, d), np.full(m, h), bucket[at][own][k : k + m], places[k : k + m]
-                        yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols], pa.array(texts[k : k + m], pa.binary())], names=_SENT.names)
-
-        return run
+    def wanted(some: DataFrame) -> DataFrame:
+        return some.groupBy(F.col(key).alias("_key")).agg(F.collect_list(F.struct("th", "place", "bucket")).alias("w"))
+
+    def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            w = b.column(3)
+            flat, ends = w.values, w.offsets.to_numpy()
+            of, place, bucket = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
+            for i, (d, h, t) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist())):
+                at = slice(ends[i], ends[i + 1])
+                own = of[at] == h
+                places = place[at][own]
+                texts = [t[a:z] for a, z in (_span(p, length) for p in places.tolist())]
+                n = len(texts)
+                for k in range(0, n, OUT_ROWS):
+                    m = min(OUT_ROWS, n - k)
+                    cols = np.full(m, d), np.full(m, h), bucket[at][own][k : k + m], places[k : k + m]
+                    yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols], pa.array(texts[k : k + m], pa.binary())], names=_SENT.names)
 
     def sort_block(block: list[tuple]) -> Iterator[pa.RecordBatch]:
         block, spans = _firsts(block, length)
@@ -413,10 +414,13 @@ def dedup(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col:
     def sort_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _in_buckets(batches, sort_block, BLOCK_BYTES)
 
-    held = joined.mapInArrow(fetch(False), _SENT)
+    held = joined(wanted(rows.filter("bucket IS NOT NULL AND NOT hot"))).mapInArrow(fetch, _SENT)
     repeats = rows.filter("bucket IS NULL").select("dk", "th", F.col("place").alias("low"), "high")
-    if not rows.filter("hot AND bucket IS NOT NULL").isEmpty():
-        cooled, found = _cooled(common.written(joined.mapInArrow(fetch(True), _SENT)), length)
+    hot = rows.filter("bucket IS NOT NULL AND hot")
+    if (n_hot := hot.count()) > 0:
+        # where they are few, the places go to the texts
+        some = common.written(wanted(hot))
+        cooled, found = _cooled(common.written(joined(F.broadcast(some) if n_hot <= common.BROADCAST_ROWS else some).mapInArrow(fetch, _SENT)), length)
         held = held.unionByName(cooled)
         for f in found:
             repeats = repeats.unionByName(f)
