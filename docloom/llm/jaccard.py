@@ -19,7 +19,10 @@ PART_BYTES = 12 << 20
 OUT_ROWS = 1 << 17
 
 PARTS = T.StructType([T.StructField("part", T.LongType()), *[T.StructField(c, T.BinaryType()) for c in ("key", "node", "n", "rows")]])
-SHARED = T.StructType([T.StructField(c, T.LongType()) for c in ("node", "n", "shared")])
+#: Buckets that nodes are in while what a part found of them travels.
+NODE_BUCKETS = 64
+SHARED = T.StructType([T.StructField("bucket", T.LongType()), *[T.StructField(c, T.BinaryType()) for c in ("node", "n", "shared")]])
+ENOUGH = T.StructType([T.StructField("node", T.LongType())])
 COMMON = T.StructType([T.StructField(c, T.LongType()) for c in ("node", "n", "key", "df")])
 
 
@@ -34,7 +37,7 @@ def _enough(n: Column, least: float) -> Column:
 
 def counted(texts: DataFrame, size: int, parts: int, which: bool) -> DataFrame:
     """Of texts (node, text), the shingles that more than one node has: (node, n, key, df) of each, n the size of the node's set and df how many nodes have it; or,
-    if `which` isn't asked for, (node, n, shared), their number, in parts to be added up.
+    if `which` isn't asked for, their numbers, packed by buckets of nodes, to be added up by enough_shared().
 
     Shingles are dealt to parts by their hash, packed by the batch, and counted there. A key is 32 bits of the rest of the hash: keys that agree by chance make more
     candidates, which are compared exactly, and never fewer."""
@@ -70,11 +73,14 @@ def counted(texts: DataFrame, size: int, parts: int, which: bool) -> DataFrame:
         order, df = order[df > 1], df[df > 1]
         place = place[order]
         if not which:
-            of = np.bincount(place, minlength=len(rows))
+            of = np.bincount(place, minlength=len(rows)).astype(np.int32)
             some = np.flatnonzero(of)
-            for i in range(0, len(some), OUT_ROWS):
-                o = some[i : i + OUT_ROWS]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (node[o], n[o].astype(np.int64), of[o])], names=SHARED.names)
+            bucket = (node[some].view(np.uint64) % np.uint64(NODE_BUCKETS)).astype(np.int64)
+            some = some[np.argsort(bucket, kind="stable")]
+            ends = np.cumsum(np.bincount(bucket, minlength=NODE_BUCKETS))
+            cuts = [(k, some[z - c : z]) for k, (z, c) in enumerate(zip(ends.tolist(), np.bincount(bucket, minlength=NODE_BUCKETS).tolist())) if c]
+            if cuts:
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in cuts], pa.int64()), *[pa.array([c[o].tobytes() for _, o in cuts], pa.binary()) for c in (node, n, of)]], names=SHARED.names)
             return
         for i in range(0, len(order), OUT_ROWS):
             o, p = order[i : i + OUT_ROWS], place[i : i + OUT_ROWS]
@@ -96,6 +102,42 @@ def counted(texts: DataFrame, size: int, parts: int, which: bool) -> DataFrame:
     return texts.select("node", "text").mapInArrow(spread, PARTS).repartition("part").sortWithinPartitions("part").mapInArrow(count, COMMON if which else SHARED)
 
 
+def enough_shared(found: DataFrame, least: float, buckets: int) -> DataFrame:
+    """(node) of the nodes that share enough of their shingles with others, given what counted() found. Buckets are cut once more, so that a task adds up few nodes."""
+    cut = T.StructType([T.StructField("key", T.LongType()), *SHARED.fields[1:]])
+    times = max(1, -(-buckets // NODE_BUCKETS))
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for k, *blobs in zip(*(c.to_pylist() for c in b.columns)):
+                node, n, of = (np.frombuffer(x, t) for x, t in zip(blobs, (np.int64, np.int32, np.int32)))
+                at = (node.view(np.uint64) // np.uint64(NODE_BUCKETS) % np.uint64(times)).astype(np.int64)
+                used = np.unique(at)
+                yield pa.RecordBatch.from_arrays([pa.array(k * times + used), *[pa.array([c[at == u].tobytes() for u in used], pa.binary()) for c in (node, n, of)]], names=cut.names)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last = [], None
+
+        def done() -> pa.RecordBatch:
+            node, n, of = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*held), (np.int64, np.int32, np.int32)))
+            names, first, place = np.unique(node, return_index=True, return_inverse=True)
+            n = n[first]
+            need = np.maximum(1, np.ceil(least * n - 1e-9))
+            return pa.RecordBatch.from_arrays([pa.array(names[np.bincount(place, of, len(names)) >= need])], names=ENOUGH.names)
+
+        for b in batches:
+            for key, *blobs in zip(*(c.to_pylist() for c in b.columns)):
+                if key != last and held:
+                    yield done()
+                    held = []
+                held.append(blobs)
+                last = key
+        if held:
+            yield done()
+
+    return found.mapInArrow(spread, cut).repartition("key").sortWithinPartitions("key").mapInArrow(add, ENOUGH)
+
+
 def candidates(shared: DataFrame, least: float) -> DataFrame:
     """(node, key): the keys of which two sets that are similar have one in common.
 
@@ -121,22 +163,23 @@ def keep_unlike(docs: DataFrame, size: int = 5, least: float = 0.8, id_col: str
     of each other. An empty table gives an empty result."""
     spark = docs.sparkSession
     keyed = simhash.placed(docs, id_col, text_col)
-    _, firsts, again = simhash.places(keyed.withColumn("_docloom_of", F.col(f"`{text_col}`")))
+    spots, firsts, again = simhash.places(keyed.withColumn("_docloom_of", F.col(f"`{text_col}`")))
     texts = keyed.select(F.col("_docloom_id").alias("doc_id"), F.col("_docloom_text").alias("text_hash"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def parts(some: DataFrame) -> int:
         return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(some.agg(F.sum("bytes")).first()[0] or 0) // PART_BYTES))
 
-    def firsts_of(some: DataFrame) -> DataFrame:
-        """(node, text) of the first document of each node; of repeated rows both, which changes nothing but a count that is too high."""
-        return texts.join(some.select("doc_id", "text_hash", "node"), similar.PLACE).select("node", "text")
+    # where every row is a node of its own, as after a pass that leaves no copies, no row need be looked up
+    alone = not again and spots.count() == firsts.count()
+    nodes = keyed.select(F.col("_docloom_node").alias("node"), F.col(f"`{text_col}`").cast("string").alias("text")) if alone else texts.join(common.small(firsts.select(*similar.PLACE, "node")), similar.PLACE).select("node", "text")
 
     # first how many shingles each set shares with any other; only a set that shares enough of them may be similar to one, and takes further part
-    some = counted(firsts_of(firsts), size, parts(firsts), False).groupBy("node", "n").agg(F.sum("shared").alias("shared"))
-    some = common.written(firsts.join(some.filter(F.col("shared") >= _enough(F.col("n"), least)).select("node"), "node", "left_semi"))
-    found = counted(firsts_of(some), size, parts(some), True)
+    n = parts(firsts)
+    some = common.written(firsts.join(enough_shared(counted(nodes, size, n, False), least, n), "node", "left_semi"))
+    left = texts.join(common.small(some.select(*similar.PLACE, "node")), similar.PLACE).select("node", "text")
+    found = counted(left, size, parts(some), True)
     keys = candidates(found.distinct() if again else found, least)
     roots = components(links(keys))
     linked = common.written(roots.join(some.select("node", "doc_id", "text_hash"), "node"))
-    sets = simhash.once(similar.with_sets(texts.join(linked, similar.PLACE), lambda t: shingle_set(t, size)), again)
-    return simhash.kept_rows(keyed, firsts, similar.later_copies(common.written(sets), least), again)
+    sets = simhash.once(similar.with_sets(texts.join(common.small(linked), similar.PLACE), lambda t: shingle_set(t, size)), again)
+    return simhash.kept_rows(keyed, spots, firsts, similar.later_copies(common.written(sets), least), again)

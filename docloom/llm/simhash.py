@@ -204,15 +204,15 @@ def keep_one(docs: DataFrame, size: int = 5, differ: int = 4, tables: int = 1, l
     like all others. All columns are kept; of repeated rows one stays. Wordless texts are copies of each other. An empty table gives an empty result."""
     keyed = placed(docs, id_col, text_col)
     own = ["_docloom_id", "_docloom_text", "_docloom_node"]
-    _, firsts, again = places(keyed.withColumn("_docloom_of", F.col(f"`{text_col}`")))
+    spots, firsts, again = places(keyed.withColumn("_docloom_of", F.col(f"`{text_col}`")))
     rows = common.written(fingerprints(keyed, size, tables, "_docloom_id", text_col, own[1:]).withColumn("node", _node(tables)))
     points = rows.groupBy("_docloom_node").agg(F.min("node").alias("point"))
     roots = components(near(common.written(rows.select("node", "fps").distinct()), differ, tables))
     rooted = firsts.join(points, F.col("node") == F.col("_docloom_node")).join(roots.toDF("point", "root"), "point", "left").select("doc_id", "text_hash", F.coalesce("root", "point").alias("root"))
     linked = common.written(rooted.join(rooted.groupBy("root").count().filter("count > 1").select("root"), "root"))
     texts = keyed.select(F.col("_docloom_id").alias("doc_id"), F.col("_docloom_text").alias("text_hash"), F.col(f"`{text_col}`").alias("text"))
-    sets = once(similar.with_sets(texts.join(linked, similar.PLACE), lambda t: np.unique(shingle_hashes(t, size))), again)
-    return kept_rows(keyed, firsts, similar.later_copies(common.written(sets), least), again)
+    sets = once(similar.with_sets(texts.join(common.small(linked), similar.PLACE), lambda t: np.unique(shingle_hashes(t, size))), again)
+    return kept_rows(keyed, spots, firsts, similar.later_copies(common.written(sets), least), again)
 
 
 def once(sets: DataFrame, again: bool) -> DataFrame:
@@ -220,10 +220,11 @@ def once(sets: DataFrame, again: bool) -> DataFrame:
     return sets.dropDuplicates(similar.PLACE) if again else sets
 
 
-def kept_rows(keyed: DataFrame, firsts: DataFrame, gone: DataFrame, again: bool) -> DataFrame:
-    """The rows of keyed that are the first of their node and not among those gone; of repeated rows one."""
-    kept = common.written(firsts.join(gone, similar.PLACE, "left_anti").select(F.col("doc_id").alias("_docloom_id"), F.col("text_hash").alias("_docloom_text")))
-    found = keyed.join(kept, ["_docloom_id", "_docloom_text"], "left_semi")
+def kept_rows(keyed: DataFrame, spots: DataFrame, firsts: DataFrame, gone: DataFrame, again: bool) -> DataFrame:
+    """The rows of keyed that are the first of their node and not among those gone; of repeated rows one. What goes is named, not what stays: where that is little, texts stay where they are."""
+    kept = common.written(firsts.join(gone, similar.PLACE, "left_anti").select(*similar.PLACE))
+    out = common.written(spots.select(*similar.PLACE).distinct().join(kept, similar.PLACE, "left_anti").toDF("_docloom_id", "_docloom_text"))
+    found = keyed.join(common.small(out), ["_docloom_id", "_docloom_text"], "left_anti")
     return (found.dropDuplicates(["_docloom_id", "_docloom_text"]) if again else found).drop("_docloom_id", "_docloom_text", "_docloom_node")
 
 
