@@ -19,7 +19,7 @@ PART_BYTES = 12 << 20
 OUT_ROWS = 1 << 17
 
 PARTS = T.StructType([T.StructField("part", T.LongType()), *[T.StructField(c, T.BinaryType()) for c in ("key", "node", "n", "rows")]])
-#: Buckets that nodes are in while what a part found of them travels.
+#: Buckets, or a multiple of them where there are more parts, that nodes are in while what a part found of them travels.
 NODE_BUCKETS = 64
 SHARED = T.StructType([T.StructField("bucket", T.LongType()), *[T.StructField(c, T.BinaryType()) for c in ("node", "n", "shared")]])
 ENOUGH = T.StructType([T.StructField("node", T.LongType())])
@@ -37,11 +37,13 @@ def _enough(n: Column, least: float) -> Column:
 
 def counted(texts: DataFrame, size: int, parts: int, which: bool) -> DataFrame:
     """Of texts (node, text), the shingles that more than one node has: (node, n, key, df) of each, n the size of the node's set and df how many nodes have it; or,
-    if `which` isn't asked for, their numbers, packed by buckets of nodes, to be added up by enough_shared().
+    if `which` isn't asked for, their numbers, packed by buckets of nodes, to be added up by enough_shared(). There are as many
+    buckets as parts, at least, so that a task adds up few nodes.
 
     Shingles are dealt to parts by their hash, packed by the batch, and counted there. A key is 32 bits of the rest of the hash: keys that agree by chance make more
     candidates, which are compared exactly, and never fewer."""
     common.arrow_batches(texts.sparkSession)
+    buckets = NODE_BUCKETS * max(1, -(-parts // NODE_BUCKETS))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -75,12 +77,13 @@ def counted(texts: DataFrame, size: int, parts: int, which: bool) -> DataFrame:
         if not which:
             of = np.bincount(place, minlength=len(rows)).astype(np.int32)
             some = np.flatnonzero(of)
-            bucket = (node[some].view(np.uint64) % np.uint64(NODE_BUCKETS)).astype(np.int64)
+            bucket = (node[some].view(np.uint64) % np.uint64(buckets)).astype(np.int64)
             some = some[np.argsort(bucket, kind="stable")]
-            ends = np.cumsum(np.bincount(bucket, minlength=NODE_BUCKETS))
-            cuts = [(k, some[z - c : z]) for k, (z, c) in enumerate(zip(ends.tolist(), np.bincount(bucket, minlength=NODE_BUCKETS).tolist())) if c]
+            rows_in = np.bincount(bucket, minlength=buckets)
+            used, ends = np.flatnonzero(rows_in), np.cumsum(rows_in)
+            cuts = [some[z - c : z] for z, c in zip(ends[used].tolist(), rows_in[used].tolist())]
             if cuts:
-                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in cuts], pa.int64()), *[pa.array([c[o].tobytes() for _, o in cuts], pa.binary()) for c in (node, n, of)]], names=SHARED.names)
+                yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), *[pa.array([c[o].tobytes() for o in cuts], pa.binary()) for c in (node, n, of)]], names=SHARED.names)
             return
         for i in range(0, len(order), OUT_ROWS):
             o, p = order[i : i + OUT_ROWS], place[i : i + OUT_ROWS]
@@ -102,18 +105,8 @@ def counted(texts: DataFrame, size: int, parts: int, which: bool) -> DataFrame:
     return texts.select("node", "text").mapInArrow(spread, PARTS).repartition("part").sortWithinPartitions("part").mapInArrow(count, COMMON if which else SHARED)
 
 
-def enough_shared(found: DataFrame, least: float, buckets: int) -> DataFrame:
-    """(node) of the nodes that share enough of their shingles with others, given what counted() found. Buckets are cut once more, so that a task adds up few nodes."""
-    cut = T.StructType([T.StructField("key", T.LongType()), *SHARED.fields[1:]])
-    times = max(1, -(-buckets // NODE_BUCKETS))
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k, *blobs in zip(*(c.to_pylist() for c in b.columns)):
-                node, n, of = (np.frombuffer(x, t) for x, t in zip(blobs, (np.int64, np.int32, np.int32)))
-                at = (node.view(np.uint64) // np.uint64(NODE_BUCKETS) % np.uint64(times)).astype(np.int64)
-                used = np.unique(at)
-                yield pa.RecordBatch.from_arrays([pa.array(k * times + used), *[pa.array([c[at == u].tobytes() for u in used], pa.binary()) for c in (node, n, of)]], names=cut.names)
+def enough_shared(found: DataFrame, least: float) -> DataFrame:
+    """(node) of the nodes that share enough of their shingles with others, given what counted() found."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, last = [], None
@@ -135,7 +128,7 @@ def enough_shared(found: DataFrame, least: float, buckets: int) -> DataFrame:
         if held:
             yield done()
 
-    return found.mapInArrow(spread, cut).repartition("key").sortWithinPartitions("key").mapInArrow(add, ENOUGH)
+    return found.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(add, ENOUGH)
 
 
 def candidates(shared: DataFrame, least: float) -> DataFrame:
@@ -175,7 +168,7 @@ def keep_unlike(docs: DataFrame, size: int = 5, least: float = 0.8, id_col: str
 
     # first how many shingles each set shares with any other; only a set that shares enough of them may be similar to one, and takes further part
     n = parts(firsts)
-    some = common.written(firsts.join(enough_shared(counted(nodes, size, n, False), least, n), "node", "left_semi"))
+    some = common.written(firsts.join(enough_shared(counted(nodes, size, n, False), least), "node", "left_semi"))
     left = texts.join(common.small(some.select(*similar.PLACE, "node")), similar.PLACE).select("node", "text")
     found = counted(left, size, parts(some), True)
     keys = candidates(found.distinct() if again else found, least)
