@@ -97,7 +97,9 @@ class Space:
 
     def __init__(self, counts: np.ndarray, labels: np.ndarray, dimensions: int = DIMENSIONS):
         self.weight = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + np.float32(0.1)
-        x = np.concatenate([self._weighted(counts[i : i + BLOCK]) for i in range(0, max(1, len(counts)), BLOCK)])
+        x = np.empty(counts.shape, np.float32)
+        for i in range(0, len(counts), BLOCK):
+            x[i : i + BLOCK] = self._weighted(counts[i : i + BLOCK])
         # the leading right singular vectors of the term matrix, by subspace iteration
         axes = np.random.default_rng(3).normal(size=(counts.shape[1], min(dimensions + 8, counts.shape[1])))
         for _ in range(ROUNDS):
