@@ -1,4 +1,4 @@
-"""The queries of the ten operators, each over its whole table with production parameters, and their SQL."""
+"""The queries of the operators, each over its whole table with production parameters, and their SQL."""
 
 from __future__ import annotations
 
@@ -88,6 +88,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"), [1.0] * SHARDS)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import collocations
+
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import alerts
+
+    return alerts.missing_follow_ups(_table(spark, sf_dir, "clicks"), _table(spark, sf_dir, "sales"))
+
+
 OP1_SQL = """
 WITH d AS MATERIALIZED (
   SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
@@ -198,11 +210,66 @@ SELECT d.doc_id, d.size::BIGINT AS size, d.text_crc32, 'key' AS law, o.shard::IN
        row_number() OVER (PARTITION BY o.shard ORDER BY (o.turn + d.text_crc32) % greatest(1, ceil((SELECT count(*) FROM documents) / 4096)::BIGINT // 24), d.doc_id NULLS FIRST, d.size, d.text_crc32) - 1 AS slot, o.grown_shard::INT AS grown_shard
 FROM d JOIN o ON d.doc_id IS NOT DISTINCT FROM o.doc_id
 """
+OP11_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS MATERIALIZED (
+  SELECT lang, ws, count(*) AS m FROM (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p) WHERE len(ws) > 0 GROUP BY ALL),
+totals AS (SELECT lang, sum(m * len(ws))::HUGEINT AS n FROM w GROUP BY lang),
+starts AS (SELECT lang, ws, m, s, unnest(range(1, len(ws) - s + 2)) AS i FROM w, range(1, 6) r(s) WHERE s <= len(ws)),
+g AS MATERIALIZED (
+  SELECT lang, s::INT AS s, phrase, sum(m)::HUGEINT AS a FROM (SELECT lang, s, m, array_to_string(ws[i:i + s - 1], ' ') AS phrase FROM starts) GROUP BY ALL HAVING sum(m) >= 100),
+c AS (SELECT *, string_split(phrase, ' ') AS ws FROM g WHERE s > 1),
+cuts AS (SELECT *, unnest(range(1, s)) AS k FROM c),
+scored AS (
+  SELECT cuts.lang, cuts.phrase, cuts.s, cuts.a, x.a AS l, y.a AS r, n, k, 1000 * cuts.a * n // (x.a * y.a) AS score
+  FROM cuts JOIN totals USING (lang) JOIN g x ON x.lang = cuts.lang AND x.phrase = array_to_string(cuts.ws[1:k], ' ')
+  JOIN g y ON y.lang = cuts.lang AND y.phrase = array_to_string(cuts.ws[k + 1:], ' ')
+  QUALIFY row_number() OVER (PARTITION BY cuts.lang, cuts.phrase ORDER BY score, k) = 1),
+inner_sizes AS (SELECT lang, ws, s, a, unnest(range(2, s)) AS k FROM c WHERE s > 2),
+inner_starts AS (SELECT *, unnest(range(1, s - k + 2)) AS i FROM inner_sizes),
+held AS (SELECT lang, array_to_string(ws[i:i + k - 1], ' ') AS phrase, max(a) AS held FROM inner_starts GROUP BY ALL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM scored LEFT JOIN held USING (lang, phrase) WHERE held IS NULL OR 100 * held < 100 * a QUALIFY rank <= 2000
+"""
+OP13_SQL = """
+WITH RECURSIVE bits(i, k, v) AS (
+  SELECT i::BIGINT, 0, i::BIGINT FROM range(256) r(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END FROM bits WHERE k < 8),
+t AS (SELECT list(v ORDER BY i) AS t FROM bits WHERE k = 8),
+raw AS (
+  SELECT client_id, epoch_us(ts) AS us, 0 AS kind, arrived_at, click_id AS id
+  FROM (SELECT DISTINCT * FROM clicks WHERE kind = 'error' AND client_id IS NOT NULL AND ts IS NOT NULL)
+  UNION ALL SELECT client_id, epoch_us(sold_at), 1, arrived_at, sale_id FROM sales WHERE client_id IS NOT NULL AND sold_at IS NOT NULL),
+sums AS (
+  SELECT id, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(id::VARCHAR, ''))), '..'), lambda x: ('0x' || x)::BIGINT)),
+                             lambda c, x: xor(c >> 8, t[(xor(c, x) % 256 + 1)::INT])), 4294967295::BIGINT) AS crc
+  FROM (SELECT DISTINCT id FROM raw), t),
+dealt AS (
+  SELECT client_id, us, kind, coalesce(greatest(0, least(7, floor((epoch_us(arrived_at) // 3600000000 - 473352 + 80 * (crc % 4)) * 8 / 3648))), 7)::INT AS batch
+  FROM raw JOIN sums ON raw.id IS NOT DISTINCT FROM sums.id),
+marks AS (SELECT b::INT AS batch, (SELECT max(us) FROM dealt WHERE batch < b) - 345600000000 AS mark FROM range(8) r(b)),
+judged AS (SELECT dealt.*, coalesce(us < mark, false) AS late FROM dealt JOIN marks USING (batch)),
+c AS (SELECT client_id, us, count(*) AS n FROM judged WHERE kind = 0 AND NOT late GROUP BY ALL),
+s AS (SELECT DISTINCT client_id, us FROM judged WHERE kind = 1 AND NOT late),
+open AS (
+  SELECT c.client_id, c.us, c.us + 86400000000 AS due, coalesce(s.us <= c.us + 86400000000, false) AS cancelled, least(coalesce(s.us, c.us + 86400000000), c.us + 86400000000) AS until
+  FROM c ASOF LEFT JOIN s ON c.client_id = s.client_id AND s.us >= c.us),
+next AS (SELECT open.*, c.us AS next FROM open ASOF LEFT JOIN c ON open.client_id = c.client_id AND c.us > open.until),
+opened AS (
+  SELECT client_id, min(us) AS us FROM c GROUP BY client_id
+  UNION ALL SELECT o.client_id, n.next FROM opened o JOIN next n ON o.client_id = n.client_id AND o.us = n.us AND n.next IS NOT NULL),
+alerts AS (SELECT open.client_id, open.us, open.due FROM open JOIN opened USING (client_id, us) WHERE NOT cancelled)
+SELECT coalesce((SELECT min(m.batch) FROM marks m WHERE m.mark > a.due), 8)::INT AS batch, a.client_id, a.us AS opened_us, a.due AS due_us, sum(c.n)::BIGINT AS n_rows
+FROM alerts a JOIN c ON c.client_id = a.client_id AND c.us BETWEEN a.us AND a.due GROUP BY ALL
+UNION ALL SELECT batch, client_id, -1, -1, count(*)::BIGINT FROM judged WHERE late GROUP BY ALL
+"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_suffixes": op1_suffixes, "op2_mixing": op2_mixing, "op3_langid": op3_langid, "op4_warc": op4_warc, "op5_ego": op5_ego, "op6_simhash": op6_simhash, "op7_bpe": op7_bpe, "op8_quality": op8_quality, "op9_vafile": op9_vafile, "op10_sharding": op10_sharding}
+    return {"op1_suffixes": op1_suffixes, "op2_mixing": op2_mixing, "op3_langid": op3_langid, "op4_warc": op4_warc, "op5_ego": op5_ego, "op6_simhash": op6_simhash, "op7_bpe": op7_bpe, "op8_quality": op8_quality, "op9_vafile": op9_vafile, "op10_sharding": op10_sharding, "op11_collocations": op11_collocations, "op13_alerts": op13_alerts}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_suffixes": OP1_SQL, "op2_mixing": OP2_SQL, "op4_warc": OP4_SQL, "op5_ego": OP5_SQL, "op9_vafile": OP9_SQL, "op10_sharding": OP10_SQL}
+    return {"op1_suffixes": OP1_SQL, "op2_mixing": OP2_SQL, "op4_warc": OP4_SQL, "op5_ego": OP5_SQL, "op9_vafile": OP9_SQL, "op10_sharding": OP10_SQL, "op11_collocations": OP11_SQL, "op13_alerts": OP13_SQL}
