@@ -150,7 +150,7 @@ def missing_follow_ups(clicks: DataFrame, sales: DataFrame, batches: int = 8, ho
     s = spark.newSession()
     for k, v in {
         "spark.sql.shuffle.partitions": spark.conf.get("spark.sql.shuffle.partitions"), "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true", "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true", "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false", "spark.sql.streaming.stateStore.maintenanceInterval": "5s", "spark.sql.streaming.noDataMicroBatches.enabled": "false",
     }.items():
         s.conf.set(k, v)
     where = common.folder(spark, "alerts")
