@@ -94,6 +94,13 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents"))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import pii
+
+    found = pii.personal(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[pii.count("base", k).alias(f"n_{k}") for k in pii.KINDS], F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
+
+
 def op13_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import alerts
 
@@ -268,7 +275,7 @@ UNION ALL SELECT batch, client_id, -1, -1, count(*)::BIGINT FROM judged WHERE la
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_suffixes": op1_suffixes, "op2_mixing": op2_mixing, "op3_langid": op3_langid, "op4_warc": op4_warc, "op5_ego": op5_ego, "op6_simhash": op6_simhash, "op7_bpe": op7_bpe, "op8_quality": op8_quality, "op9_vafile": op9_vafile, "op10_sharding": op10_sharding, "op11_collocations": op11_collocations, "op13_alerts": op13_alerts}
+    return {"op1_suffixes": op1_suffixes, "op2_mixing": op2_mixing, "op3_langid": op3_langid, "op4_warc": op4_warc, "op5_ego": op5_ego, "op6_simhash": op6_simhash, "op7_bpe": op7_bpe, "op8_quality": op8_quality, "op9_vafile": op9_vafile, "op10_sharding": op10_sharding, "op11_collocations": op11_collocations, "op12_pii": op12_pii, "op13_alerts": op13_alerts}
 
 
 def oracle_sql() -> dict[str, str]:
