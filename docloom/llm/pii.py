@@ -37,6 +37,8 @@ AGAINST = r"(?i)version|\bv\.?\s*$|isbn|order|invoice|serial|sha|hash|token|comm
 CONTEXT = 30
 #: Lengths that one step of a running sum goes over.
 BLOCK = 128
+#: How much more a labeler's vote counts for what it says before anything is learned.
+PRIOR = 10.0
 LABELERS = ("form", "check", "gazetteer", "context", "edges")
 
 
@@ -101,7 +103,7 @@ def _candidate(kind: str, m: Column, start: Column, before: Column, after: Colum
     )
     size = F.when(F.length(m) < 12, "short").when(F.length(m) < 20, "middle").otherwise("long")
     marks = F.when(m.rlike(r"[()\[\]{}]"), "brackets").when(m.contains(" "), "blanks").when(m.contains("-"), "dashes").otherwise("plain")
-    features = F.array(F.concat(F.lit("left="), left), F.concat(F.lit("right="), right), F.concat(F.lit("size="), size), F.concat(F.lit("marks="), marks), F.when(form, "form=base").otherwise("form=other"), F.when(check, "check=right").otherwise("check=wrong"))
+    features = F.array(F.concat(F.lit("left="), left), F.concat(F.lit("right="), right), F.concat(F.lit("size="), size), F.concat(F.lit("marks="), marks), F.concat(F.lit("context="), F.get(votes, F.lit(3)).cast("string")), F.when(check, "check=right").otherwise("check=wrong"))
     return F.struct(F.lit(kind).alias("kind"), start.alias("start"), (start + F.length(m)).alias("end"), (form & check).alias("base"), votes.alias("votes"), features.alias("features"))
 
 
@@ -143,49 +145,51 @@ def candidates(docs: DataFrame) -> DataFrame:
 
 
 def reliabilities(patterns: DataFrame, rounds: int = 12) -> dict[str, float]:
-    """Log odds that each vote of each labeler gives a kind's candidate, and each kind's own, by expectation-maximisation over the patterns of votes: (kind, votes, features, n),
-    as many as there are kinds, votes and features together, whatever the input. Only sums per vote come to the driver."""
-    each = patterns.groupBy("kind", "votes").agg(F.sum("n").alias("n"))
-    each = common.written(each)
+    """Log odds that a candidate is personal, and what each vote of each labeler adds, by expectation-maximisation over the patterns of votes: (kind, votes, features, n),
+    as many as there are kinds, votes and features together, whatever the input. Kinds share the labelers' reliabilities, of which a labeler starts with PRIOR
+    times more for than against what it votes: without that, where nearly all candidates are good, rare forms would be a class of their own. Only sums per vote come to the driver."""
+    each = common.written(patterns.groupBy("votes").agg(F.sum("n").alias("n")))
     total = F.aggregate("votes", F.lit(0), lambda s, v: s + v)
     odds = F.when(total > 0, 2.0).when(total < 0, -2.0).otherwise(0.0)
+    prior = {f"{i}/{v}": (PRIOR**max(v, 0), PRIOR ** max(-v, 0)) for i in range(len(LABELERS)) for v in (-1, 0, 1)}
     weights: dict[str, float] = {}
     for _ in range(rounds):
-        p = 1 / (1 + F.exp(-odds))
-        named = F.concat(F.array(F.col("kind")), F.transform("votes", lambda v, i: F.concat_ws("/", F.col("kind"), i.cast("string"), v.cast("string"))))
-        sums = each.select(F.explode(named).alias("vote"), (F.col("n") * p).alias("yes"), (F.col("n") * (1 - p)).alias("no")).groupBy("vote").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")).collect()
-        weights = _weights({r["vote"]: (r["yes"], r["no"]) for r in sums}, 3)
-        if not weights:
-            return {}
-        odds = _odds(weights, F.col("kind"), F.transform("votes", lambda v, i: F.concat(i.cast("string"), F.lit("/"), v.cast("string"))))
+        weights = _weights(_sums(each, odds, _vote_names()), prior)
+        odds = _odds(weights, _vote_names())
     return weights
 
 
-def _weights(sums: dict[str, tuple[float, float]], values: int) -> dict[str, float]:
-    """Log odds of kinds, and of what `kind/...` adds, with one more of each value for and against."""
-    out = {}
-    for name, (yes, no) in sums.items():
-        kind, _, rest = name.partition("/")
-        if rest:
-            y, n = sums[kind]
-            out[name] = math.log((yes + 1) / (y + values)) - math.log((no + 1) / (n + values))
-        else:
-            out[name] = math.log((yes + 1) / (no + 1))
+def _vote_names() -> Column:
+    return F.transform("votes", lambda v, i: F.concat_ws("/", i.cast("string"), v.cast("string")))
+
+
+def _sums(patterns: DataFrame, odds: Column, names: Column) -> dict[str, tuple[float, float]]:
+    """How many are personal, and how many not, of those with each name; of all for ``."""
+    p = 1 / (1 + F.exp(-odds))
+    each = patterns.select(F.explode(F.concat(F.array(F.lit("")), names)).alias("name"), (F.col("n") * p).alias("yes"), (F.col("n") * (1 - p)).alias("no"))
+    return {r["name"]: (r["yes"], r["no"]) for r in each.groupBy("name").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")).collect()}
+
+
+def _weights(sums: dict[str, tuple[float, float]], prior: dict[str, tuple[float, float]]) -> dict[str, float]:
+    """Log odds of all, for ``, and what each name adds, given counts for and against it that come on top."""
+    yes, no = sums.get("", (0.0, 0.0))
+    more = [sum(x[i] for x in prior.values()) for i in (0, 1)]
+    out = {"": math.log((yes + 1) / (no + 1))}
+    for name in {*sums, *prior} - {""}:
+        y, n = sums.get(name, (0.0, 0.0))
+        a, b = prior.get(name, (1.0, 1.0))
+        out[name] = math.log((y + a) / (yes + more[0] + 1)) - math.log((n + b) / (no + more[1] + 1))
     return out
 
 
-def _odds(weights: dict[str, float], kind: Column, names: Column) -> Column:
+def _odds(weights: dict[str, float], names: Column) -> Column:
     table = F.create_map(*[F.lit(x) for item in sorted(weights.items()) for x in item])
-    of = lambda k: F.coalesce(F.try_element_at(table, k), F.lit(0.0))
-    return of(kind) + F.aggregate(names, F.lit(0.0), lambda s, x: s + of(F.concat_ws("/", kind, x)))
+    return F.lit(weights[""]) + F.aggregate(names, F.lit(0.0), lambda s, x: s + F.coalesce(F.try_element_at(table, x), F.lit(0.0)))
 
 
 def classifier(patterns: DataFrame, votes: dict[str, float]) -> dict[str, float]:
     """The span classifier's weights: naive Bayes over features, each candidate counted as personal as far as the votes make it so."""
-    p = 1 / (1 + F.exp(-_odds(votes, F.col("kind"), F.transform("votes", lambda v, i: F.concat(i.cast("string"), F.lit("/"), v.cast("string"))))))
-    named = F.concat(F.array(F.col("kind")), F.transform("features", lambda f: F.concat_ws("/", F.col("kind"), f)))
-    sums = patterns.select(F.explode(named).alias("f"), (F.col("n") * p).alias("yes"), (F.col("n") * (1 - p)).alias("no")).groupBy("f").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")).collect()
-    return _weights({r["f"]: (r["yes"], r["no"]) for r in sums}, 4)
+    return _weights(_sums(patterns, _odds(votes, _vote_names()), F.col("features")), {})
 
 
 def personal(docs: DataFrame, sure: float = 0.9) -> DataFrame:
@@ -195,11 +199,10 @@ def personal(docs: DataFrame, sure: float = 0.9) -> DataFrame:
     A null or empty text has none; repeated rows are found each; a null doc_id stays null; an empty table gives an empty result; further columns are left out."""
     found = common.written(candidates(docs))
     patterns = common.written(found.select(F.explode("found").alias("c")).groupBy("c.kind", "c.votes", "c.features").agg(F.count("*").alias("n")))
-    votes = reliabilities(patterns)
-    weights = classifier(patterns, votes) if votes else {}
+    weights = classifier(patterns, reliabilities(patterns))
     span = lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"))
     # a wrong checksum, part or number of digits rules a span out, whatever the classifier says
-    ok = (lambda c: c["base"] | F.array_contains(c["features"], "check=right") & (1 / (1 + F.exp(-_odds(weights, c["kind"], c["features"]))) >= sure)) if weights else (lambda c: c["base"])
+    ok = lambda c: c["base"] | F.array_contains(c["features"], "check=right") & (1 / (1 + F.exp(-_odds(weights, c["features"]))) >= sure)
     return found.select("doc_id", F.transform(F.filter("found", lambda c: c["base"]), span).alias("base"), F.transform(F.filter("found", ok), span).alias("spans"))
 
 

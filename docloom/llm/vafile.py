@@ -2,7 +2,7 @@
 
 Every vector is approximated by one byte a component, the number of a cell whose edges are quantiles of a sample. The approximations are scanned in blocks for
 bounds of each query's products; what may still be among the k best is read exactly, in the order of its bound, until the k-th result is certain. A block
-that no bound of its box lets reach a query's k-th best of the sample is left out before it travels.
+that no bound of its box lets reach the k-th best of the sample of any query of a block is left out before it travels.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ from .vectors import matrix, widened
 
 #: Rows of a block of approximations, and of a block of queries, at most.
 BLOCK, QUERIES = 4096, 4096
+#: Boxes of blocks that travel together.
+PACK = 512
 #: Rows that the cells' edges, the order of the blocks and the first bounds are taken from at most. They decide how much is read, never what is found.
 SAMPLE = 4096
 #: Cells a dimension is quantised into.
@@ -94,6 +96,11 @@ def limits(queries: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.n
     return about - spread, about + spread
 
 
+def highest(queries: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """(queries, boxes) of products that no row of a box exceeds; rounding is allowed for."""
+    return limits(queries, low, high)[1]
+
+
 class Scan:
     """What a block of queries has found in the approximations it has seen."""
 
@@ -107,6 +114,7 @@ class Scan:
         for i in range(0, len(self.queries), step):
             s = slice(i, i + step)
             least, most = limits(self.queries[s], low, high)
+            least, most = np.ceil(least), np.floor(most)  # products are integers: in cells of one integer the bounds meet
             own = self.ids[s, None] == ids[None, :]
             least[own], most[own] = -np.inf, -np.inf
             both = np.concatenate([self.best[s], least], axis=1)
@@ -119,7 +127,15 @@ class Scan:
 
     def _drop(self) -> None:
         q, ids, most, least = (np.concatenate(x) for x in zip(*self.held))
-        ok = most >= self.best.min(axis=1)[q]
+        bound = self.best.min(axis=1)[q]
+        ok = most >= bound
+        # what is known to tie with the k-th place matters by its id only: the k smallest
+        tied = np.flatnonzero(ok & (most == bound) & (least == most))
+        tied = tied[np.lexsort((ids[tied], q[tied]))]
+        if len(tied):
+            starts = np.flatnonzero(np.concatenate([[True], q[tied][1:] != q[tied][:-1]]))
+            place = np.arange(len(tied)) - np.repeat(starts, np.diff(np.append(starts, len(tied))))
+            ok[tied[place >= self.k]] = False
         self.held = [(q[ok], ids[ok], most[ok], least[ok])]
 
     def found(self) -> tuple[np.ndarray, ...]:
@@ -191,7 +207,7 @@ def topk(vectors: DataFrame, is_query: Column, k: int, scale: float, id_col: str
         return spark.createDataFrame([], empty)
     data, asked = _blocks(exact, total, model, width, k, False), _blocks(exact.filter("query"), queries, model, width, k, True)
     n = asked.count()
-    pairs, strips = _pairs(data, asked, n)
+    pairs, strips = _pairs(data, asked, n, width)
     found = common.written(_scan(pairs, data, asked, n, strips, model, width, k))
 
     # the k-th greatest lower bound of all of a query's blocks; what can't reach it goes
@@ -305,15 +321,30 @@ def _blocks(exact: DataFrame, count: int, model, width: int, k: int, queries: bo
     return common.written(dealt.withColumn("asked", F.xxhash64("data")).mapInArrow(make, schema))
 
 
-def _pairs(data: DataFrame, asked: DataFrame, n: int) -> tuple[DataFrame, int]:
-    """(q, block): blocks whose box lets a product reach the least first bound of a block of queries, of which there are n; and in how many strips a
-    block of queries goes over them. How many pairs are left out is logged."""
-    numbered = asked.select(F.col("block").alias("q"), F.col("low").alias("q_low"), F.col("high").alias("q_high"), "first", F.row_number().over(Window.orderBy("block")).alias("number"))  # a row per QUERIES queries
-    boxes = data.select("block", "low", "high", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("number")).join(numbered, "number")
-    ends = F.zip_with(F.arrays_zip("low", "high"), F.arrays_zip("q_low", "q_high"), lambda a, b: F.greatest(a["low"] * b["q_low"], a["low"] * b["q_high"], a["high"] * b["q_low"], a["high"] * b["q_high"]))
-    size = F.zip_with(F.arrays_zip("low", "high"), F.arrays_zip("q_low", "q_high"), lambda a, b: F.greatest(F.abs(a["low"]), F.abs(a["high"])) * F.greatest(F.abs(b["q_low"]), F.abs(b["q_high"])))
-    total = lambda x: F.aggregate(x, F.lit(0.0), lambda n, v: n + v)
-    pairs = common.written(boxes.filter(total(ends) + 1e-9 * total(size) + 1e-6 >= F.col("first")).select("q", "block"))
+def _pairs(data: DataFrame, asked: DataFrame, n: int, width: int) -> tuple[DataFrame, int]:
+    """(q, block): blocks whose box lets one of a block of queries, of which there are n, reach its first bound; and in how many strips a block of queries goes
+    over them. Boxes travel in packs, PACK blocks to one, and meet each block of queries once. How many pairs are left out is logged."""
+    packs = T.StructType([T.StructField(c, T.BinaryType()) for c in ("blocks", "low", "high")])
+    found = T.StructType([T.StructField("q", T.LongType()), T.StructField("block", T.LongType())])
+
+    def pack_boxes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in common.sized(batches, PACK):
+            low, high = (np.ascontiguousarray(c.flatten().to_numpy()).tobytes() for c in b.columns[1:])
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in (b.column(0).to_numpy().tobytes(), low, high)], names=packs.names)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for q, raw, firsts, blocks, low, high in zip(*(c.to_pylist() for c in b.columns)):
+                queries, firsts, blocks = np.frombuffer(raw).reshape(-1, width), np.frombuffer(firsts), np.frombuffer(blocks, np.int64)
+                low, high = (np.frombuffer(x).reshape(-1, width) for x in (low, high))
+                hit = np.zeros(len(blocks), bool)
+                for i in range(0, len(queries), 256):
+                    hit |= (highest(queries[i : i + 256], low, high) >= firsts[i : i + 256, None]).any(axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(hit.sum(), q), pa.int64()), pa.array(blocks[hit])], names=found.names)
+
+    numbered = asked.select(F.col("block").alias("q"), "data", "firsts", F.row_number().over(Window.orderBy("block")).alias("number"))  # a row per QUERIES queries
+    boxes = data.select("block", "low", "high").mapInArrow(pack_boxes, packs).withColumn("number", F.explode(F.sequence(F.lit(1), F.lit(n))))
+    pairs = common.written(boxes.join(numbered, "number").select("q", "data", "firsts", "blocks", "low", "high").mapInArrow(meet, found))
     blocks, kept = data.count(), pairs.count()
     everything = blocks * n
     _log.info("%d of %d pairs of blocks are skipped", everything - kept, everything)

@@ -1,0 +1,218 @@
+"""Operators 11 to 13 against brute force, on special rows: nulls, empty and long texts, ties, repeated rows, empty tables, clashing columns."""
+
+import random
+import re
+import string
+from collections import Counter
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from docloom.llm import alerts, collocations, pii
+
+DOCS = "doc_id long, text string, lang string"
+
+
+# --- 11: phrases --------------------------------------------------------------------------------
+
+
+def brute_phrases(rows, least, longest, top):
+    lower = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+    f, n = Counter(), Counter()
+    for _, text, lang in rows:
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(lower)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            n[lang or "und"] += len(words)
+            for s in range(1, longest + 1):
+                for i in range(len(words) - s + 1):
+                    f[lang or "und", tuple(words[i : i + s])] += 1
+    candidates = {k: a for k, a in f.items() if a >= least and len(k[1]) > 1}
+    held = {}
+    for (lang, w), a in candidates.items():
+        for s in range(2, len(w)):
+            for i in range(len(w) - s + 1):
+                held[lang, w[i : i + s]] = max(held.get((lang, w[i : i + s]), 0), a)
+    out = []
+    for (lang, w), a in candidates.items():
+        if held.get((lang, w), 0) < a:
+            score, _, left, right = min((1000 * a * n[lang] // (f[lang, w[:k]] * f[lang, w[k:]]), k, f[lang, w[:k]], f[lang, w[k:]]) for k in range(1, len(w)))
+            out.append((lang, " ".join(w), a, left, right, n[lang], score))
+    ranked = []
+    for lang in {r[0] for r in out}:
+        best = sorted((r for r in out if r[0] == lang), key=lambda r: (-r[6], -r[2], r[1].encode()))[:top]
+        ranked += [(r[0], i + 1, *r[1:]) for i, r in enumerate(best)]
+    return Counter(ranked)
+
+
+def phrase_rows():
+    rng = random.Random(3)
+    words = ["The", "of", "ÉTÉ", "x9", "a", "b", "c", "new", "york", "city hall"]
+    rows = [(i, " ".join(rng.choice(words) + rng.choice(["", "", "", ",", ".\n"]) for _ in range(rng.randint(0, 60))), rng.choice(["en", "en", "fr", None])) for i in range(150)]
+    rows += [(1, "New \t York  city hall; New York city hall!", "en")] * 30 + [(None, None, "en"), (7, "", None), (8, " .,;: \t", "en"), (9, "new york " * 4000, "fr")]
+    return rows
+
+
+def test_phrases_are_those_of_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "CHUNK", 50)
+    rows = phrase_rows()
+    docs = spark.createDataFrame(rows, DOCS).withColumn("phrase", F.lit("clash")).withColumn("m", F.lit(0))
+    got = Counter(tuple(r) for r in collocations.collocations(docs, least=20, top=25).collect())
+    assert got == brute_phrases(rows, 20, 5, 25)
+    assert got
+
+
+def test_phrases_of_nothing(spark):
+    assert collocations.collocations(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def test_phrase_filter_lets_every_frequent_one_pass(spark):
+    rows = [("en", f"w{i} w{i + 1}", 1) for i in range(500)]
+    bits = collocations.filter_of(spark.createDataFrame(rows, collocations.GRAMS), 2)
+    import pyarrow as pa
+
+    w = collocations.Words(pa.array(["en"] * 500), pa.array([r[1] for r in rows]))
+    at = w.fits(2).nonzero()[0]
+    assert len(at) == 500 and collocations.may_be(bits, w.hashes(at, 2)).all()
+
+
+# --- 12: personal data --------------------------------------------------------------------------
+
+BASE = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def brute_spans(text):
+    out = []
+    for kind, pattern in BASE.items():
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m.group())
+            worth = sum(int(c) if i % 2 == 0 else int(c) * 2 - 9 * (int(c) > 4) for i, c in enumerate(reversed(digits)))
+            good = {"email": True, "ip": all(int(p) <= 255 for p in m.group().split(".")) if kind == "ip" else True, "card": 13 <= len(digits) <= 19 and worth % 10 == 0, "phone": 9 <= len(digits) <= 15}[kind]
+            if good:
+                out.append((kind, m.start(), m.end()))
+    return out
+
+
+def personal_rows():
+    rng = random.Random(5)
+    parts = ["a@b.co", "_x@c.org", "1.2.3.4", ".5.6.7.8", "001.2.3.256", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (234) 567-8901", "+123", "(234) 567-8901", "joe (at) mail.com", "card", "call", "é𝄞", "@", ".", "-", " ", "9", "+"]
+    rows = [(i, "".join(rng.choice(parts) + rng.choice(["", " "]) for _ in range(rng.randint(0, 25))), "en") for i in range(300)]
+    rows += [(1, rows[1][1], "en")] * 2 + [(None, "mail a@b.de", None), (5, None, "en"), (6, "", "en")]
+    return rows + [(7, "1" * 30_000 + " a@b." + "c." * 20_000 + "d " + "x" * 100_000, "en"), (8, "a@b.cc 10.0.0.1 " * 5_000, "en")]
+
+
+def test_base_spans_are_those_of_the_patterns(spark):
+    rows = personal_rows()
+    docs = spark.createDataFrame(rows, DOCS).withColumn("spans", F.lit("clash")).withColumn("m_ip", F.lit(0))
+    got = pii.personal(docs).collect()
+    assert Counter((r.doc_id, tuple(map(tuple, r.base))) for r in got) == Counter((i, tuple(brute_spans(t))) for i, t, _ in rows)
+    for r in got:
+        assert {tuple(x) for x in r.base} <= {tuple(x) for x in r.spans}
+        for kind in pii.KINDS:
+            own = [x for x in r.spans if x.kind == kind]
+            assert all(a.end <= b.start for a, b in zip(own, own[1:]))
+
+
+def test_votes_add_what_looks_the_same_and_leave_what_fails(spark):
+    rng = random.Random(9)
+    plain = [(i, f"Please call or write: phone +1 (234) 567-8{rng.randint(100, 999)}, mail joe{i}@mail.com, {rng.randint(1, 9) * 111}.com", "en") for i in range(400)]
+    hidden = [(1000 + i, f"my phone is (234) 567-8{rng.randint(100, 999)} and my mail is joe{i} (at) mail.com now", "en") for i in range(40)]
+    clean = [(2000 + i, f"order number 41111111111111{10 + i} of version 1.2.3.4444 and 1 2 3", "en") for i in range(9) if i != 1]
+    got = {r.doc_id: r for r in pii.personal(spark.createDataFrame(plain + hidden + clean, DOCS)).collect()}
+    assert all({x.kind for x in got[i].spans} == {"phone", "email"} and not got[i].base for i, _, _ in hidden)
+    assert all(got[i].spans == got[i].base for i, _, _ in plain + clean)
+
+
+def test_personal_data_of_nothing(spark):
+    assert pii.personal(spark.createDataFrame([], DOCS)).collect() == []
+    assert [r.spans for r in pii.personal(spark.createDataFrame([(1, "no data")], "doc_id long, text string")).collect()] == [[]]
+
+
+def test_running_sums_of_long_lists(spark):
+    n = [0, 1, 127, 128, 129, 1000]
+    rows = [(k, [(i * 7) % 11 for i in range(k)] or [3]) for k in n]
+    for k, got in spark.createDataFrame(rows, "k int, x array<long>").select("k", pii.running(F.col("x"))).collect():
+        x = dict(rows)[k]
+        assert got == [sum(x[:i]) for i in range(len(x))]
+
+
+# --- 13: missing follow-ups ---------------------------------------------------------------------
+
+START = datetime(2024, 1, 1)
+CLICKS = "click_id long, ts timestamp_ntz, arrived_at timestamp_ntz, client_id long, kind string, batch int"
+SALES = "sale_id long, client_id long, sold_at timestamp_ntz, arrived_at timestamp_ntz, key string"
+
+
+def brute_alerts(clicks, sales, batches=8):
+    import zlib
+
+    us = lambda t: (t - datetime(1970, 1, 1)) // timedelta(microseconds=1)
+    number = lambda i, at: batches - 1 if at is None else max(0, min(batches - 1, (us(at) // 3_600_000_000 - 473352 + 80 * (zlib.crc32(("" if i is None else str(i)).encode()) % 4)) * batches // 3648))
+    events = [(number(i, a), c, us(t), 0) for i, t, a, c, k, _ in set(clicks) if k == "error" and c is not None and t is not None]
+    events += [(number(i, a), c, us(t), 1) for i, c, t, a, _ in sales if c is not None and t is not None]
+    marks = [max((e[2] for e in events if e[0] < b), default=-(10**18)) - 96 * alerts.HOUR for b in range(batches)]
+    late = Counter((b, c, -1, -1) for b, c, t, _ in events if t < marks[b])
+    out = [(*k, n) for k, n in late.items()]
+    day = 24 * alerts.HOUR
+
+    def close(c, x):
+        out.append((next((b for b in range(batches) if marks[b] > x[0] + day), batches), c, x[0], x[0] + day, x[1]))
+
+    for c in {e[1] for e in events}:
+        x = None
+        for t, kind in sorted((t, k) for b, who, t, k in events if who == c and t >= marks[b]):
+            if x and t > x[0] + day:
+                close(c, x)
+                x = None
+            if kind:
+                x = None
+            elif x:
+                x[1] += 1
+            else:
+                x = [t, 1]
+        if x:
+            close(c, x)
+    return Counter(out)
+
+
+def shop(rng, clients, n):
+    """Events at whole hours, so that times tie with each other, with ends of obligations and with the watermark."""
+    clicks, sales = [], []
+    for i in range(n):
+        at = START + timedelta(hours=rng.randint(0, 3600))
+        arrived = at + timedelta(hours=rng.choice([0, 0, 1, 90, 400]))
+        client = rng.choice(clients)
+        if rng.random() < 0.6:
+            clicks.append((i, at, arrived, client, rng.choice(["error", "error", "view", None]), 0))
+        else:
+            sales.append((i, client, at, arrived, "x"))
+    clicks += clicks[:40] + [(None, START, None, 1, "error", 0), (9001, None, START, 1, "error", 0), (9002, datetime(1850, 1, 1), START, 1, "error", 0), (9003, START, datetime(2019, 1, 1), None, "error", 0)]
+    sales += sales[:20] + [(9004, 2, None, START, "y"), (None, 2, START + timedelta(microseconds=1), START, "y")]
+    return clicks, sales
+
+
+@pytest.mark.parametrize("single", [False, True])
+def test_alerts_are_those_of_brute_force(spark, monkeypatch, single):
+    monkeypatch.setattr(alerts, "EVENTS_PER_KEY", 5)
+    monkeypatch.setattr(alerts, "RUN", 3)
+    clicks, sales = shop(random.Random(4), [1, 1, 1, 2, 3, 2**60 + 1, -5], 400)
+    got = alerts.missing_follow_ups(spark.createDataFrame(clicks, CLICKS), spark.createDataFrame(sales, SALES), single=single).collect()
+    assert Counter(tuple(r) for r in got) == brute_alerts(clicks, sales)
+    assert {r.batch for r in got} >= {1, 8}
+
+
+def test_alerts_of_nothing(spark):
+    assert alerts.missing_follow_ups(spark.createDataFrame([], CLICKS), spark.createDataFrame([], SALES)).collect() == []
+
+
+def test_equal_vectors_are_candidates_of_few(spark):
+    """Of rows that tie with the k-th place only the k smallest ids are held."""
+    import numpy as np
+
+    from docloom.llm import vafile
+
+    scan = vafile.Scan(np.arange(5), np.full((5, 3), 2.0), np.full(5, -np.inf), 20)
+    for i in range(0, 3000, 500):
+        scan.see(np.arange(i, i + 500), np.full((500, 3), 7.0), np.full((500, 3), 7.0))
+    q, ids, most, _ = scan.found()
+    assert (np.bincount(q) == 20).all() and (most == 42).all() and ids.max() == 20
