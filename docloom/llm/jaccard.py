@@ -155,8 +155,7 @@ def keep_unlike(docs: DataFrame, size: int = 5, least: float = 0.8, id_col: str
     found. Equal texts are copies, and the first of them stands for all. All columns are kept; of repeated rows one stays. Wordless texts are copies
     of each other. An empty table gives an empty result."""
     spark = docs.sparkSession
-    keyed = simhash.placed(docs, id_col, text_col)
-    spots, firsts, again = simhash.places(keyed.withColumn("_docloom_of", F.col(f"`{text_col}`")))
+    keyed, spots, firsts, again = simhash.places(simhash.placed(docs, id_col, text_col), text_col)
     texts = keyed.select(F.col("_docloom_id").alias("doc_id"), F.col("_docloom_text").alias("text_hash"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def parts(some: DataFrame) -> int:

@@ -179,21 +179,49 @@ def group(docs: DataFrame, size: int = 5, differ: int = 7, tables: int = 3, id_c
     return rows.join(nodes.join(ids, "root").select("node", "component_id"), "node").select("doc_id", F.get("fps", F.lit(0)).alias("fp"), "component_id")
 
 
+def node_name(text: Column) -> Column:
+    """The 64-bit name under which equal texts meet; places() tells different ones apart that share it."""
+    return F.xxhash64(text)
+
+
 def placed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """docs with a row's place, (_docloom_id, _docloom_text), and _docloom_node, equal for equal texts and for all wordless ones."""
     text = F.col(f"`{text_col}`").cast("string")
-    wordless = ~F.coalesce(text, F.lit("")).rlike(r"[^ \t\n\x0B\f\r]")
     place = {"_docloom_id": F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit((1 << 63) - 1)), "_docloom_text": F.xxhash64(text)}
-    return docs.withColumns(place | {"_docloom_node": F.when(wordless, F.lit(0).cast("long")).otherwise(F.xxhash64(text))})
+    return docs.withColumns(place | {"_docloom_node": F.when(_wordless(text), F.lit(0).cast("long")).otherwise(node_name(text))})
+
 
+def _wordless(text: Column) -> Column:
+    return ~F.coalesce(text, F.lit("")).rlike(r"[^ \t\n\x0B\f\r]")
 
-def places(keyed: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
-    """Of rows with their place: the first place of each node, (node, doc_id, text_hash, bytes), and whether a place is there more than once. Texts aren't shuffled for it."""
-    text = F.octet_length(F.col("_docloom_of").cast("string"))
-    rows = common.written(keyed.select(F.col("_docloom_node").alias("node"), F.col("_docloom_id").alias("doc_id"), F.col("_docloom_text").alias("text_hash"), text.alias("bytes")))
-    firsts = rows.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.max("bytes").alias("bytes"))
+
+def places(keyed: DataFrame, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame, bool]:
+    """Of rows with their place: the rows, whose nodes now are equal for equal texts only; the places, (node, doc_id, text_hash, bytes); the first place of each node;
+    and whether a place is there more than once. Texts aren't shuffled for it.
+
+    Texts are equal if 128 bits of another hash are, too. Of different texts of one name all but one get a name of those bits; they are few, and looked up."""
+    text = F.col(f"`{text_col}`").cast("string")
+    digest = F.when(_wordless(text), F.lit("")).otherwise(F.md5(text.cast("binary")))
+    size = F.octet_length(text)
+
+    def narrow(rows: DataFrame) -> DataFrame:
+        return common.written(rows.select(F.col("_docloom_node").alias("node"), F.col("_docloom_id").alias("doc_id"), F.col("_docloom_text").alias("text_hash"), size.alias("bytes"), F.unhex(digest).alias("digest")))
+
+    def first_of(rows: DataFrame) -> DataFrame:
+        return common.written(rows.groupBy("node").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.max("bytes").alias("bytes"), F.min("digest").alias("least"), F.max("digest").alias("most")))
+
+    rows = narrow(keyed)
+    firsts = first_of(rows)
+    shared = firsts.filter("least <> most")
+    if not shared.isEmpty():
+        others = common.written(rows.join(common.small(common.written(shared.select("node", "least"))), "node").filter("digest <> least").select(F.col("node").alias("_docloom_node"), F.hex("digest").alias("_docloom_digest")).distinct())
+        renamed = common.small(others).withColumn("_docloom_new", F.xxhash64("_docloom_node", "_docloom_digest"))
+        keyed = keyed.withColumn("_docloom_digest", F.upper(digest)).join(renamed, ["_docloom_node", "_docloom_digest"], "left")
+        keyed = keyed.withColumn("_docloom_node", F.coalesce("_docloom_new", "_docloom_node")).drop("_docloom_digest", "_docloom_new")
+        rows = narrow(keyed)
+        firsts = first_of(rows)
     again = not rows.groupBy("doc_id", "text_hash").count().filter("count > 1").isEmpty()
-    return rows, common.written(firsts.select("node", "first.doc_id", "first.text_hash", "bytes")), again
+    return keyed, rows, firsts.select("node", "first.doc_id", "first.text_hash", "bytes"), again
 
 
 def keep_one(docs: DataFrame, size: int = 5, differ: int = 4, tables: int = 1, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -202,9 +230,8 @@ def keep_one(docs: DataFrame, size: int = 5, differ: int = 4, tables: int = 1, l
     Fingerprints find components of candidates. Within one a document goes if its set of shingles has a Jaccard similarity of `least` or more with that of an
     earlier document that stays. Rows of equal texts are copies, and the first of them stands for all; different texts of equal fingerprints are compared
     like all others. All columns are kept; of repeated rows one stays. Wordless texts are copies of each other. An empty table gives an empty result."""
-    keyed = placed(docs, id_col, text_col)
+    keyed, spots, firsts, again = places(placed(docs, id_col, text_col), text_col)
     own = ["_docloom_id", "_docloom_text", "_docloom_node"]
-    spots, firsts, again = places(keyed.withColumn("_docloom_of", F.col(f"`{text_col}`")))
     rows = common.written(fingerprints(keyed, size, tables, "_docloom_id", text_col, own[1:]).withColumn("node", _node(tables)))
     points = rows.groupBy("_docloom_node").agg(F.min("node").alias("point"))
     roots = components(near(common.written(rows.select("node", "fps").distinct()), differ, tables))

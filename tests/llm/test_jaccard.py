@@ -78,3 +78,16 @@ def test_prefix_filter_misses_no_pair():
             (gone if any(similar.similarity(x, sets[k]) >= least for k in kept) else kept).append(i)
         assert similar.repeated(sets, least) == gone and gone
     assert similar.repeated([np.empty(0, np.uint64)] * 3, 0.8) == [1, 2] and similar.similarity(np.empty(0), np.empty(0)) == 1
+
+
+def test_texts_of_one_name_are_told_apart(spark, monkeypatch):
+    """Different texts whose 64-bit names agree are no copies of each other."""
+    from docloom.llm import simhash
+
+    rows = [(i, f"text number {i} has words of its own like w{i * 7} and v{i * 13} and u{i * 17} and t{i * 23}") for i in range(20)]
+    rows += [(100 + i, rows[i][1]) for i in range(5)] + [(200, ""), (201, None), (202, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(simhash, "node_name", lambda text: F.length(text).cast("long") % 3)
+    want = [*range(20), 200]
+    assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == want
+    assert sorted(r.doc_id for r in jaccard.keep_unlike(docs).collect()) == want
