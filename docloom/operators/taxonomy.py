@@ -1,18 +1,21 @@
 """Keyword taxonomies: labels by hits, and relevance by density.
 
 A keyword hits a text that contains it, anywhere, even within a word. Counting is one projection: the taxonomy is a literal in the
-plan, so a text is neither exploded nor shuffled. keyword_hits() gives the same counts as rows.
+plan, so a text is neither exploded nor shuffled. keyword_hits() gives the same counts as rows, and table_hits() those of a taxonomy that is a table of any size.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..session import written
 
 #: The dimensions' names in a taxonomy file, and what a text without a hit is.
 DIMENSIONS = {"category": "CATEGORY_KEYWORDS", "tag": "TAG_KEYWORDS", "research_type": "RESEARCH_TYPE_KEYWORDS", "sentiment_type": "SENTIMENT_TYPE"}
@@ -84,3 +87,46 @@ def keyword_hits(docs: DataFrame, taxonomy: Taxonomy, key: str, cleaned: str) ->
 
     per = [rows(dim) for dim in taxonomy.labels]
     return docs.select(key, F.explode(F.concat(*per)).alias("x")).select(key, "x.*")
+
+
+#: Keywords that one automaton has; more are gone through in further passes over the texts.
+SHARD = 200_000
+
+
+def _automaton(keywords: list[str]):
+    import ahocorasick
+
+    found = ahocorasick.Automaton()
+    for i, k in enumerate(keywords):
+        found.add_word(k, i)
+    found.make_automaton()
+    return found
+
+
+def table_hits(docs: DataFrame, keywords: DataFrame, key: str, cleaned: str) -> DataFrame:
+    """(key, dim, label_ord, label, hits) of every label with a hit, by a taxonomy of any size as a table (dim, label_ord, label, kw_ord, keyword); a keyword that is listed
+    twice counts twice, an empty one never.
+
+    Texts are gone through once for each SHARD keywords, whatever their number, by an automaton of them all; what is found of a text, each keyword once, meets the
+    table by keyword. Texts aren't shuffled. A null text has no hit; repeated keys add up."""
+    spark = docs.sparkSession
+    listed = written(keywords.filter("keyword <> ''").select("dim", "label_ord", "label", "kw_ord", F.lower("keyword").alias("keyword")))
+    shards = max(1, -(-listed.select("keyword").distinct().count() // SHARD))
+    place = F.pmod(F.xxhash64("keyword"), F.lit(shards))
+    found = None
+    for shard in range(shards):
+        words = spark.sparkContext.broadcast([r[0] for r in listed.filter(place == shard).select("keyword").distinct().toLocalIterator()])  # about SHARD keywords
+
+        def run(batches: Iterator[pa.RecordBatch], words=words) -> Iterator[pa.RecordBatch]:
+            automaton = _automaton(words.value)
+            for b in batches:
+                at, which = [], []
+                for i, text in enumerate(b.column(1).to_pylist()):
+                    hit = {k for _, k in automaton.iter(text)} if text and words.value else ()
+                    at += [i] * len(hit)
+                    which += [words.value[k] for k in hit]
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), pa.array(which, pa.string())], names=[key, "keyword"])
+
+        some = docs.select(key, cleaned).mapInArrow(run, f"`{key}` {docs.schema[key].dataType.simpleString()}, keyword string")
+        found = some if found is None else found.union(some)
+    return found.join(listed, "keyword").groupBy(key, "dim", "label_ord", "label").agg(F.count("*").cast("int").alias("hits"))

@@ -6,17 +6,18 @@ Each runs over the whole table; small sets of special rows, the same on both sid
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import cache
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import chunk, dedup, enrich, identity, image
-from ..operators.taxonomy import Taxonomy, keyword_hits
-from ..sources import extract, files
-from ..session import spread
+from ..operators.taxonomy import Taxonomy, keyword_hits, table_hits
+from ..session import folder, spread, written
+from ..sources import extract, files, named, pdf
 from . import workflow
 
 TAXONOMY = os.path.join(os.path.dirname(os.path.dirname(__file__)), "data", "taxonomy.json")
@@ -457,6 +458,50 @@ def _files_sql() -> str:
     )
 
 
+def _printed(spark: SparkSession, d: str) -> DataFrame:
+    """Items of all documents' texts, written as PDF files by name and read again; every third file has a title."""
+
+    def printed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                yield pa.record_batch([pa.array([f"doc [{i}].pdf"]), pa.array([pdf.text_pdf(text or "", f"Document {i}" if i % 3 == 0 else None)], pa.binary())], ["name", "content"])
+
+    where = folder(spark, "pdf")
+    named.write_named(spread(_table(spark, d, "documents").select("doc_id", "text")).mapInArrow(printed, "name string, content binary"), where)
+    found = pdf.read_items(files.binary_files(spark, where))
+    return written(found.withColumn("path", identity.stem(F.try_url_decode("path"))))
+
+
+def _printed_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as ruled tables, 25 to a file, written and read again."""
+
+    def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, rows in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                yield pa.record_batch([pa.array([f"table {i}.pdf"]), pa.array([pdf.table_pdf([r["cells"] for r in rows])], pa.binary())], ["name", "content"])
+
+    where = folder(spark, "pdf")
+    cells = F.array(F.col("c_custkey").cast("string"), F.coalesce("c_name", F.lit("")), F.col("c_nationkey").cast("string"), F.coalesce("c_mktsegment", F.lit("")))
+    tables = _table(spark, d, "customer").groupBy(F.floor(F.col("c_custkey") / 25).alias("no")).agg(F.array_sort(F.collect_list(F.struct(F.col("c_custkey").alias("k"), cells.alias("cells")))).alias("rows"))
+    named.write_named(tables.mapInArrow(drawn, "name string, content binary"), where)
+    found = written(pdf.read_items(files.binary_files(spark, where)).withColumn("path", identity.stem(F.try_url_decode("path"))))
+    return pdf.table_cells(found)
+
+
+def _pieces_sql() -> str:
+    return (
+        "l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents), "
+        "w AS (SELECT doc_id, unnest(regexp_extract_all(line, '(?s).{1,90}')) AS piece, i, generate_subscripts(regexp_extract_all(line, '(?s).{1,90}'), 1) AS j FROM l), "
+        "pieces AS MATERIALIZED (SELECT doc_id, piece, row_number() OVER (PARTITION BY doc_id ORDER BY i, j) AS n FROM w)"
+    )
+
+
+def _keyword_rows(spark: SparkSession, d: str) -> DataFrame:
+    """A taxonomy made of the benchmark's words: a label is an item, its keywords the words of over four letters, repeats included."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{5,}"), F.lit(0))
+    return _table(spark, d, "benchmark").select(F.lit("item").alias("dim"), F.col("item_id").cast("int").alias("label_ord"), F.col("item_id").cast("string").alias("label"), F.posexplode(words).alias("kw_ord", "keyword"))
+
+
 _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "exact_dedup": (_survivors, "SELECT doc_id, text, source FROM documents QUALIFY row_number() OVER (PARTITION BY strlen(text), sha256(text) ORDER BY doc_id) = 1"),
     "exact_dedup_repeated": (_survivors_of_repeated, "SELECT doc_id, text, source FROM documents QUALIFY row_number() OVER (PARTITION BY strlen(text), sha256(text) ORDER BY doc_id) = 1"),
@@ -497,6 +542,29 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "first_line_title": (_each(X.first_line_title, "title"), _each_sql(_LINE, "title")),
     "taxonomy_dim": (lambda s, d: _taxonomy().table(s).withColumn("keyword", F.lower("keyword")), f"WITH {_taxonomy_sql()} SELECT dim, label_ord, label, kw_ord, keyword FROM tax"),
     "keyword_hits": (lambda s, d: keyword_hits(_cleaned(s, d), _taxonomy(), "unique_id", "t"), f"{_hits_sql()} SELECT unique_id, dim, label_ord, label, hits FROM hits"),
+    "keyword_hits_table": (lambda s, d: table_hits(_cleaned(s, d), _taxonomy().table(s), "unique_id", "t"), f"{_hits_sql()} SELECT unique_id, dim, label_ord, label, hits FROM hits"),
+    "keyword_hits_words": (
+        lambda s, d: table_hits(_cleaned(s, d), _keyword_rows(s, d), "unique_id", "t"),
+        f"WITH {_docs_sql()}, c AS MATERIALIZED (SELECT unique_id, {_skip('p')} AS t FROM (SELECT *, {_plain('text')} AS p FROM d)), "
+        "k AS (SELECT item_id, unnest(regexp_extract_all(lower(text), '[a-z]{5,}')) AS keyword FROM benchmark), "
+        "there AS (SELECT unique_id, keyword FROM c JOIN (SELECT DISTINCT keyword FROM k) ON contains(t, keyword)) "
+        "SELECT unique_id, 'item' AS dim, item_id::INT AS label_ord, item_id::VARCHAR AS label, count(*)::INT AS hits FROM there JOIN k USING (keyword) GROUP BY ALL",
+    ),
+    "pdf_text": (
+        lambda s, d: pdf.texts(_printed(s, d)),
+        f"WITH {_pieces_sql()}, t AS (SELECT doc_id, string_agg(piece, chr(10) ORDER BY n) AS text, count(*) AS n FROM pieces GROUP BY doc_id) "
+        "SELECT 'doc [' || doc_id || ']' AS path, greatest(1, ceil(coalesce(n, 0) / 50))::INT AS n_pages, coalesce(t.text, '') AS text, CASE WHEN t.text IS NULL THEN 'blank' ELSE 'ok' END AS status FROM documents LEFT JOIN t USING (doc_id)",
+    ),
+    "pdf_titles": (
+        lambda s, d: identity.title_ladder(*pdf.head_parts(_printed(s, d))),
+        f"WITH {_pieces_sql()}, f AS (SELECT doc_id, {_strip('piece')} AS t FROM pieces WHERE n <= 250 AND len({_strip('piece')}) > 5 QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n) = 1) "
+        "SELECT 'doc [' || doc_id || ']' AS path, CASE WHEN doc_id % 3 = 0 THEN 'Document ' || doc_id ELSE coalesce(f.t, 'doc [' || doc_id || ']') END AS title FROM documents LEFT JOIN f USING (doc_id)",
+    ),
+    "pdf_tables": (
+        lambda s, d: _printed_tables(s, d),
+        "WITH r AS (SELECT 'table ' || (c_custkey // 25) AS path, row_number() OVER (PARTITION BY c_custkey // 25 ORDER BY c_custkey)::INT AS row_no, [c_custkey::VARCHAR, coalesce(c_name, ''), c_nationkey::VARCHAR, coalesce(c_mktsegment, '')] AS cells FROM customer) "
+        "SELECT path, 1 AS page_no, 1 AS table_no, row_no, generate_subscripts(cells, 1)::INT AS col_no, unnest(cells) AS text FROM r",
+    ),
     "category": (lambda s, d: _cleaned(s, d).select("unique_id", _taxonomy().top1(F.col("t"), "category").alias("category")), f"{_hits_sql()} {_top1_sql('category', 'Uncategorized')}"),
     "research_type": (lambda s, d: _cleaned(s, d).select("unique_id", _taxonomy().top1(F.col("t"), "research_type").alias("research_type")), f"{_hits_sql()} {_top1_sql('research_type', 'Unclassified')}"),
     "sentiment_type": (lambda s, d: _cleaned(s, d).select("unique_id", _taxonomy().top1(F.col("t"), "sentiment_type").alias("sentiment_type")), f"{_hits_sql()} {_top1_sql('sentiment_type', 'General Analysis')}"),
