@@ -374,9 +374,13 @@ def _words_overlap(spark: SparkSession, d: str) -> DataFrame:
 
 def _workflow_words(spark: SparkSession, d: str) -> DataFrame:
     """The whole chain with words as tokens: its JSON, read again."""
-    made = enrich.as_json(workflow.run(_documents(spark, d, False), _taxonomy(), chunk.Words, (), 120, 20)["final"])
+    return _read_again(workflow.run(_documents(spark, d, False), _taxonomy(), chunk.Words, (), 120, 20)["final"])
+
+
+def _read_again(final: DataFrame) -> DataFrame:
+    """The columns of the JSON of final documents."""
     fields = "file_name string, metadata struct<unique_id:string,title:string,year:string,category:string,tags:array<string>,research_type:string,sentiment_type:string>, chunk struct<text:string,token_count:int>"
-    x = made.select("name", F.from_json("json", fields).alias("x"))
+    x = enrich.as_json(final).select("name", F.from_json("json", fields).alias("x"))
     return x.select("name", "x.file_name", "x.metadata.unique_id", "x.metadata.title", "x.metadata.year", "x.metadata.category", F.array_join("x.metadata.tags", ",").alias("tags"), "x.metadata.research_type", "x.metadata.sentiment_type", "x.chunk.text", "x.chunk.token_count")
 
 
@@ -396,9 +400,14 @@ def _chunk_sql(source: str, overlap: int) -> str:
 
 def _workflow_sql() -> str:
     docs = _docs_sql(False).replace("d AS (", "d1 AS (")
+    return _chain_sql(f"{docs}, named AS (SELECT unique_id, 'doc [' || unique_id || ']' AS stem, text FROM d1 QUALIFY row_number() OVER (PARTITION BY text ORDER BY unique_id) = 1)")
+
+
+def _chain_sql(named: str) -> str:
+    """The JSON columns of the chunks of a table `named` (unique_id, stem, text)."""
     chain = (
-        f"{docs}, u AS MATERIALIZED (SELECT unique_id, {_ocr('text')} AS text FROM (SELECT unique_id, text FROM d1 QUALIFY row_number() OVER (PARTITION BY text ORDER BY unique_id) = 1)), {_chunk_sql('u', 20)}, "
-        f"chunks AS MATERIALIZED (SELECT unique_id, 'doc [' || unique_id || ']_chunk_' || chunk_no AS stem, {_normal('text')} AS text FROM w WHERE text <> ''), "
+        f"{named}, u AS MATERIALIZED (SELECT unique_id, {_ocr('text')} AS text FROM named), {_chunk_sql('u', 20)}, "
+        f"chunks AS MATERIALIZED (SELECT w.unique_id, named.stem || '_chunk_' || chunk_no AS stem, {_normal('w.text')} AS text FROM w JOIN named USING (unique_id) WHERE w.text <> ''), "
         "d AS MATERIALIZED (SELECT unique_id, stem || '.txt' AS file_name, text FROM chunks QUALIFY row_number() OVER (PARTITION BY unique_id ORDER BY stem || '.txt' DESC) = 1)"
     )
     base = _hits_sql(False).replace(_docs_sql(False), chain).replace("WITH ", "WITH RECURSIVE ", 1)
@@ -439,7 +448,7 @@ def _files_to_json(spark: SparkSession, d: str) -> DataFrame:
     """The whole chain from files, with stand-ins for the libraries that read PDF files and words as tokens."""
     used = _frame(spark, USED, "unique_id string").select(X.strip(F.col("unique_id")).alias("unique_id"))
     out = workflow.run_files(_files(spark, d), _stand_ins(), used, _taxonomy(), chunk.Words, (), 120, 20)
-    return enrich.as_json(out["final"])
+    return _read_again(out["final"])
 
 
 def _files_sql() -> str:
@@ -595,7 +604,7 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "workflow_json": (_workflow, None),
     "workflow_words": (_workflow_words, _workflow_sql()),
     "files_named": (_files_named, f"WITH {_files_sql()} SELECT path, first_title, title, unique_id, {_clean_title('title')} || ' [' || unique_id || '].pdf' AS file_name FROM titled JOIN ids USING (path)"),
-    "files_to_json": (_files_to_json, None),
+    "files_to_json": (_files_to_json, _chain_sql(f"{_files_sql()}, named AS (SELECT unique_id, {_clean_title('title')} || ' [' || unique_id || ']' AS stem, replace(text, chr(12), chr(10)) AS text FROM titled JOIN ids USING (path) JOIN f USING (path))")),
 }
 
 
