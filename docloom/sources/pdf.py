@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import extract
+
 #: Bytes that one stream may unpack to; a file with more is an error row.
 MOST = 256 << 20
 #: Rows of a batch of items.
@@ -494,6 +496,34 @@ def head_parts(found: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return files, spans, page_texts(found)
 
 
+def _page_text(shown: list[tuple]) -> str:
+    """The text of one page's spans, by the rule of lines()."""
+    out, last = "", None
+    for _, x0, y0, x1, _, size, text in shown:
+        if last and (abs(y0 - last[1]) > max(size, last[2]) * 0.5 or x0 < last[3]):
+            out += "\n"
+        elif last and x0 - last[0] > size * 0.15:
+            out += " "
+        out += text
+        last = x1, y0, size, x0
+    return out
+
+
+def own_extractor(most: int = 5) -> extract.Extractor:
+    """This reader as the back-end of sources.extract, for texts, metadata titles and the spans of the first pages; it raises what is wrong with a file."""
+
+    def spans_of(content: bytes, upto: int | None = None) -> list[list[tuple]]:
+        file = File(content)
+        if "Encrypt" in file.trailer:
+            raise ValueError("the file is encrypted")
+        return [[i for i in items(file, page) if i[0] == "span"] for page in file.pages()[:upto]]
+
+    return extract.Extractor(
+        pages=[lambda content: [_page_text(shown) for shown in spans_of(content)]], title=lambda content: File(content).title(),
+        spans=lambda content: [(no, i[5], i[6]) for no, shown in enumerate(spans_of(content, most), 1) for i in shown],
+    )
+
+
 # --- writing ------------------------------------------------------------------------------------
 
 
