@@ -91,23 +91,26 @@ def records(record_id: str, page_id: int | None, url: str | None, payload: bytes
 
 
 def unpacked(raw: bytes, size: int = READ) -> Iterator[bytes]:
-    """The bytes of an archive, some at a time: all members of a gzip file, one after another, or the file as it is. ValueError where a member is broken or ends early."""
+    """The bytes of an archive, `size` at a time at most: all members of a gzip file, one after another, or the file as it is. ValueError where a member is broken or ends early."""
     if raw[:2] != b"\x1f\x8b":
         for i in range(0, len(raw), size):
             yield raw[i : i + size]
         return
     view, at = memoryview(raw), 0
     while at < len(raw) and any(view[at : at + 2]):  # zeros may pad the end
-        member = zlib.decompressobj(31)
+        member, rest = zlib.decompressobj(31), b""
         while not member.eof:
-            if at >= len(raw):
-                raise ValueError("a gzip member ends early")
-            given = view[at : at + size]
+            given = rest or view[at : at + size]
+            at += 0 if rest else len(given)
             try:
-                yield member.decompress(given)
+                out = member.decompress(given, size)  # however well it was packed
             except zlib.error as e:
                 raise ValueError(f"broken gzip member: {e}") from e
-            at += len(given) - len(member.unused_data)
+            if not out and not given and not member.eof:
+                raise ValueError("a gzip member ends early")
+            rest = member.unconsumed_tail
+            yield out
+        at -= len(member.unused_data)
 
 
 def parse(parts: Iterable[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -242,13 +245,16 @@ def reassemble(found: DataFrame) -> DataFrame:
     Continuation records are grouped by the record they go on from and put in order of their number; numbers must run from 1, and the last
     one's total length must be that of all blocks. Chunked framing is decoded, and the digest of the payload is held against the
     field, if that is a SHA-1; what doesn't fit is named in `problem` (null: sound), with a null payload. A revisit has no payload of its own. Records of other
-    types are left out. Records without an id, with an empty block, or repeated whole, are rows each; a repeated segment is a problem. An empty table gives an empty result."""
+    types are left out. Records without an id, with an empty block, or repeated whole, are rows each; a repeated segment is a problem, and segments that name neither an origin nor themselves are rows each. An empty table gives an empty result."""
     part = F.struct("number", "block", "total")
     keep = ["type", "page_id", "refers_to", "digest"]
     found = found.filter("type IN ('response', 'revisit', 'continuation')")
     whole = found.filter("number IS NULL AND type <> 'continuation'").select("record_id", *keep, F.array(part).alias("parts"))
     cut = found.filter("number IS NOT NULL OR type = 'continuation'").withColumn("of", F.coalesce("origin", "record_id"))
-    first = lambda c: F.max(F.when(F.col("number") == 1, F.col(c))).alias(c)
+    own = lambda c: F.when(F.col("number") == 1, F.col(c))
+    first = lambda c: F.max(own(c)).alias(c)
+    lone = cut.filter("of IS NULL").select("record_id", *[own(c).alias(c) for c in keep], F.array(part).alias("parts"))
+    whole, cut = whole.unionByName(lone), cut.filter("of IS NOT NULL")
     cut = cut.groupBy("of").agg(*[first(c) for c in keep], F.sort_array(F.collect_list(part)).alias("parts")).withColumnRenamed("of", "record_id")
     out = T.StructType([*[T.StructField(c, T.StringType()) for c in ("record_id", "type")], T.StructField("page_id", T.LongType()), T.StructField("refers_to", T.StringType()), T.StructField("payload", T.BinaryType()), T.StructField("payload_digest", T.StringType()), T.StructField("problem", T.StringType())])
 

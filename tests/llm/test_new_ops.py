@@ -216,3 +216,30 @@ def test_equal_vectors_are_candidates_of_few(spark):
         scan.see(np.arange(i, i + 500), np.full((500, 3), 7.0), np.full((500, 3), 7.0))
     q, ids, most, _ = scan.found()
     assert (np.bincount(q) == 20).all() and (most == 42).all() and ids.max() == 20
+
+
+# --- 4: archives --------------------------------------------------------------------------------
+
+
+def test_archives_unpack_in_bounded_pieces():
+    import gzip
+
+    from docloom.llm import warc
+
+    data = gzip.compress(bytes(300 << 20)) + gzip.compress(b"tail" * 1000)
+    size, total, last = 1 << 16, 0, b""
+    for piece in warc.unpacked(data, size):
+        assert len(piece) <= size
+        total, last = total + len(piece), piece or last
+    assert total == (300 << 20) + 4000 and last.endswith(b"tail")
+    with pytest.raises(ValueError, match="ends early"):
+        list(warc.unpacked(data[: len(data) // 2], size))
+
+
+def test_segments_of_no_record_are_rows_each(spark):
+    from docloom.llm import warc
+
+    rows = [(None, None, "continuation", n, b"x", None) for n in [1, 2, None] * 10]
+    found = spark.createDataFrame(rows, "record_id string, origin string, type string, number int, block binary, total long")
+    found = found.selectExpr("*", "cast(null as string) page_id", "cast(null as string) refers_to", "cast(null as string) digest")
+    assert warc.reassemble(found).count() == 30
