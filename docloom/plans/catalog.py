@@ -18,6 +18,7 @@ from ..operators import chunk, dedup, enrich, identity, image
 from ..operators.taxonomy import Taxonomy, keyword_hits, table_hits
 from ..session import folder, spread, written
 from ..sources import extract, files, named, pdf
+from ..streaming import registry
 from . import workflow
 
 TAXONOMY = os.path.join(os.path.dirname(os.path.dirname(__file__)), "data", "taxonomy.json")
@@ -144,6 +145,20 @@ def _plain(c: str) -> str:
     return _strip("lower(" + _g(c, r"[^\p{L}\p{N}_\t-\r\x1c-\x20\x{85}\p{Z}]") + ")")
 
 
+def _random_sql(order: str, table: str, key: str, rounds: int = 6) -> str:
+    """Tables t (row number), o (the key's order of so many rows as there are and of USED) and free: the six-digit identifiers of a table's rows."""
+    mixed = lambda i, half, of: f"('0x' || md5('{key}:{i}:{half}:' || {of})[1:12])::BIGINT"
+    sql = (
+        f"u AS (SELECT DISTINCT try_cast(trim(u) AS BIGINT) AS id FROM {_values(USED, 'v', 'u')} WHERE try_cast(trim(u) AS BIGINT) BETWEEN 100000 AND 999999), "
+        f"t AS (SELECT *, row_number() OVER (ORDER BY {order}) - 1 AS n FROM {table}), r0b AS (SELECT n, n // 1000 AS a, n % 1000 AS b FROM range((SELECT count(*) FROM t) + (SELECT count(*) FROM u)) r(n))"
+    )
+    for i in range(1, rounds + 1):
+        sql += f", r{i}a AS (SELECT n, (a + {mixed(i, 'a', 'b')}) % 900 AS a, b FROM r{i - 1}b), r{i}b AS (SELECT n, a, (b + {mixed(i, 'b', 'a')}) % 1000 AS b FROM r{i}a)"
+    sql += f", o AS (SELECT n, a * 1000 + b + 100000 AS id FROM r{rounds}b)"
+    sql += ", again AS (SELECT n, row_number() OVER (ORDER BY n) AS k FROM o WHERE n < (SELECT count(*) FROM t) AND id IN (FROM u)), spare AS (SELECT id, row_number() OVER (ORDER BY n) AS k FROM o WHERE n >= (SELECT count(*) FROM t) AND id NOT IN (FROM u))"
+    return sql + ", free AS (SELECT n, id FROM o WHERE n < (SELECT count(*) FROM t) AND id NOT IN (FROM u) UNION ALL SELECT n, id FROM again JOIN spare USING (k))"
+
+
 def _skip(c: str, n: int = 500) -> str:
     return f"CASE WHEN len({_words(c)}) > {n} THEN array_to_string({_words(c)}[{n + 1}:], ' ') ELSE {c} END"
 
@@ -316,6 +331,27 @@ _WORD_CHUNKS_SQL = (
 )
 
 
+def _used(spark: SparkSession) -> DataFrame:
+    return _frame(spark, USED, "unique_id string").select(X.strip(F.col("unique_id")).alias("unique_id"))
+
+
+def _runs(spark: SparkSession, d: str) -> DataFrame:
+    """All documents in three runs, by their identifiers' remainder, which put copies and equal titles in different ones."""
+    docs = _table(spark, d, "documents")
+    body = F.col("text").cast("binary")
+    files = docs.select(F.lpad(F.col("doc_id").cast("string"), 12, "0").alias("path"), X.file_title(F.lit(None).cast("string"), F.col("text")).alias("title"), F.octet_length(body).cast("long").alias("n_bytes"), F.sha2(body, 256).alias("sha256"), (F.col("doc_id") % 3).alias("run"))
+    where = folder(spark, "registry")
+    found = [registry.run(files.filter(F.col("run") == b).drop("run"), where, b).withColumn("run", F.lit(b)) for b in range(3)]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+_RUNS_SQL = (
+    "SELECT path, CASE WHEN n = 0 THEN title ELSE title || '_' || n END AS unique_title, run FROM (SELECT path, title, run, row_number() OVER (PARTITION BY title ORDER BY run, path) - 1 AS n FROM "
+    "(SELECT lpad(doc_id::VARCHAR, 12, '0') AS path, title, (doc_id % 3)::INT AS run, text FROM documents JOIN (SELECT path AS p, title FROM titles) ON p = 'd' || doc_id "
+    "QUALIFY row_number() OVER (PARTITION BY coalesce(sha256(text), doc_id::VARCHAR) ORDER BY doc_id % 3, doc_id) = 1))"
+)
+
+
 def _token_count(spark: SparkSession, d: str) -> DataFrame:
     make, args = _tokenizer()
     return _documents(spark, d).select("unique_id", chunk.token_count(F.col("text"), make, args).alias("token_count"))
@@ -540,6 +576,15 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
         lambda s, d: identity.assign_ids(_table(s, d, "documents").select("doc_id"), _frame(s, USED, "unique_id string").select(X.strip(F.col("unique_id")).alias("unique_id")), [F.col("doc_id")]),
         f"SELECT doc_id, id::VARCHAR AS unique_id FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS n FROM documents) JOIN (SELECT id, row_number() OVER (ORDER BY id) AS n FROM range(100000, 1000000) r(id) WHERE id NOT IN (SELECT try_cast(trim(u) AS BIGINT) FROM {_values(USED, 'v', 'u')} WHERE try_cast(trim(u) AS BIGINT) IS NOT NULL)) USING (n)",
     ),
+    "random_ids": (
+        lambda s, d: identity.random_ids(_table(s, d, "documents").select("doc_id"), _used(s), [F.col("doc_id")], "docloom"),
+        f"WITH {_random_sql('doc_id', '(SELECT doc_id FROM documents)', 'docloom')} SELECT doc_id, id::VARCHAR AS unique_id FROM t JOIN free USING (n)",
+    ),
+    "random_ids_most_used": (
+        lambda s, d: identity.random_ids(_table(s, d, "customer").select("c_custkey"), _used(s).union(s.range(200000, 900000).select(F.col("id").cast("string"))), [F.col("c_custkey")], "docloom"),
+        "WITH " + _random_sql("c_custkey", "(SELECT c_custkey FROM customer)", "docloom").replace("999999), t AS", "999999 UNION SELECT * FROM range(200000, 900000)), t AS") + " SELECT c_custkey, id::VARCHAR AS unique_id FROM t JOIN free USING (n)",
+    ),
+    "titles_in_runs": (_runs, f"WITH {_TITLE_SQL} {_RUNS_SQL}"),
     "id_from_name": (lambda s, d: _frame(s, NAMES, "name string").union(_documents(s, d).select("file_name")).select("name", X.id_from_name(F.col("name")).alias("unique_id")), f"WITH {_docs_sql()} SELECT name, {_ID.format(c='name')} AS unique_id FROM (SELECT name FROM {_values(NAMES, 'v', 'name')} UNION ALL SELECT file_name FROM d)"),
     "id_from_name_fallback": (lambda s, d: _frame(s, NAMES, "name string").union(_documents(s, d).select("file_name")).select("name", X.id_from_chunk_name(F.col("name")).alias("unique_id")), f"WITH {_docs_sql()} SELECT name, {_CHUNK_ID.format(c='name')} AS unique_id FROM (SELECT name FROM {_values(NAMES, 'v', 'name')} UNION ALL SELECT file_name FROM d)"),
     "clean_ocr_text": (_each(X.clean_ocr_text, "cleaned"), _each_sql(_ocr("text"), "cleaned")),
