@@ -17,7 +17,7 @@ from ..functions import text as X
 from ..operators import chunk, dedup, enrich, identity, image
 from ..operators.taxonomy import Taxonomy, keyword_hits, table_hits
 from ..session import folder, spread, written
-from ..sources import extract, files, named, pdf
+from ..sources import extract, files, named, pdf, records
 from ..streaming import registry
 from . import workflow
 
@@ -287,6 +287,18 @@ def _upsert(spark: SparkSession, d: str) -> DataFrame:
     return enrich.upsert(old, new)
 
 
+def _record_table(spark: SparkSession, d: str) -> DataFrame:
+    """First lines of all documents as a table of records; then those of the labelled documents anew, as repaired text has them, and the special rows'."""
+    where = folder(spark, "records")
+    table = records.Records(spark, where.rsplit("/", 1)[1].replace("-", "_"), where, "unique_id string, title string", parts=4, buckets=4)
+    title = lambda docs, c: docs.select("unique_id", X.first_line_title(c).alias("title"))
+    docs = _documents(spark, d, False)
+    table.upsert(title(docs, F.col("text")))
+    again = docs.join(_labelled(spark, d), "unique_id", "left_semi")
+    table.upsert(title(again, X.clean_ocr_text(F.col("text"))).union(title(_documents(spark, d).join(docs.select("unique_id"), "unique_id", "left_anti"), F.col("text"))))
+    return table.rows()
+
+
 def _chunk_join(spark: SparkSession, d: str) -> DataFrame:
     docs = _documents(spark, d, False).select("file_name", "text").unionByName(_frame(spark, CHUNK_FILES, "file_name string, text string"))
     records = enrich.metadata(_documents(spark, d, False), _taxonomy())
@@ -626,6 +638,10 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
     "relevance": (lambda s, d: _cleaned(s, d).select("unique_id", _taxonomy().relevance(F.col("t")).alias("relevance")), f"{_hits_sql()} {_RELEVANCE}"),
     "metadata_last_chunk_wins": (_last, _last_sql()),
     "metadata_upsert": (_upsert, f"WITH {_docs_sql(False)} SELECT unique_id, title FROM {_values(OLD, 'o', 'unique_id, title')} WHERE unique_id NOT IN (SELECT unique_id FROM d) UNION ALL SELECT unique_id, {_LINE} FROM d"),
+    "metadata_table": (
+        _record_table,
+        f"WITH {_docs_sql()}, l AS (SELECT DISTINCT (100000 + doc_id)::VARCHAR AS unique_id FROM labels), x AS (SELECT unique_id, CASE WHEN unique_id IN (FROM l) AND unique_id::BIGINT >= 100000 THEN {_ocr('text')} ELSE text END AS text FROM d) SELECT unique_id, {_LINE} AS title FROM x",
+    ),
     "chunk_metadata_join": (_chunk_meta, _join_sql("chunk_file, unique_id, coalesce(title, '') AS title, coalesce(year, '') AS year, coalesce(tags, '') AS tags")),
     "final_json_struct": (_final_json, _join_sql(f"chunk_file, unique_id || '.pdf' AS file_name, coalesce(category, '') AS category, coalesce(research_type, '') AS research_type, coalesce(sentiment_type, '') AS sentiment_type, text, len({_words('text')})::INT AS token_count")),
     "segments_fences": (
