@@ -15,7 +15,7 @@ from ..operators.numbering import number
 from ..session import written
 
 #: Names share so many keys of the state by their hash. A registry keeps the number it began with.
-BUCKETS = 256
+BUCKETS = 64
 FEED = "name string, first string, n long"
 ANSWER = "batch long, name string, first string, before long"
 # the worker that Spark starts on the driver to look at a state's schema knows no files that were sent to the executors
@@ -35,8 +35,7 @@ class Taken(StatefulProcessor):
         for part in rows:
             found = []
             for name, first, n in zip(part["name"], part["first"], part["n"].tolist()):
-                old = self.held.getValue((name,)) if self.held.containsKey((name,)) else None
-                holder, before = old or (first, 0)
+                holder, before = self.held.getValue((name,)) or (first, 0)
                 self.held.updateValue((name,), (holder, before + n))
                 found.append((self.batch, name, holder, before))
             yield pd.DataFrame(found, columns=["batch", "name", "first", "before"])
