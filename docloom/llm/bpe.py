@@ -18,8 +18,8 @@ from . import common
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 #: No merge.
 NONE = np.int32(2**31 - 1)
-#: Matrices are as wide as a power of two. In ones wider than this, a round does all the merges of a row's minimum that come one after another.
-NARROW = 256
+#: Matrices are as wide as a power of two, in blocks of so many places; one of these, too.
+BLOCK = 256
 #: Cells of a matrix at most, if one row doesn't have more.
 CELLS = 1 << 18
 #: Pieces whose ids a worker remembers; it forgets all of them beyond.
@@ -86,84 +86,77 @@ class Vocabulary:
         return flat.reshape(key.shape)
 
     def _matrix(self, rows: list[bytes], width: int) -> list[np.ndarray]:
-        n = len(rows)
-        lengths = np.array([len(r) for r in rows])
-        mask = np.arange(width) < lengths[:, None]
+        """Ids of rows of at most `width` bytes. A round merges each row's leftmost pair of minimum rank. A row lies in blocks of BLOCK places with the least rank of each, so a
+        round looks at a row's blocks, then into one, and moves up what stands right of the merged pair in its block only; emptied blocks are skipped by links."""
+        n, wide = len(rows), min(width, BLOCK)
+        blocks = width // wide
+        size = np.array([len(r) for r in rows])
         ids = np.full((n, width), -1, np.int32)
-        ids[mask] = self.byte[np.frombuffer(b"".join(rows), np.uint8)]
+        ids[np.arange(width) < size[:, None]] = self.byte[np.frombuffer(b"".join(rows), np.uint8)]
         rank = np.full((n, width), NONE, np.int32)
-        if width > 1:
-            rank[:, :-1] = self.pair(ids[:, :-1], ids[:, 1:])
+        rank[:, :-1] = self.pair(ids[:, :-1], ids[:, 1:])
+        ids, rank = ids.reshape(-1, wide), rank.reshape(-1, wide)  # a line is a block
+        least = rank.min(axis=1).reshape(n, blocks)
+        lengths = np.clip(size[:, None] - np.arange(blocks) * wide, 0, wide)
+        before, after = (np.tile(np.arange(blocks) + k, (n, 1)) for k in (-1, 1))
         out: list = [None] * n
         at = np.arange(n)
-        while len(at):
-            j = rank.argmin(axis=1)  # leftmost minimum
+        while True:
             r = np.arange(len(at))
-            least = rank[r, j]
-            over = least == NONE
+            block = least.argmin(axis=1)
+            over = least[r, block] == NONE
             if over.any():  # finished rows leave the matrix
+                inside = np.arange(ids.shape[1]) < lengths[:, :, None]
+                whole = ids.reshape(inside.shape)
                 for k in np.flatnonzero(over):
-                    out[at[k]] = ids[k, : lengths[k]].copy()
-                ids, rank, lengths, at, j, least = ids[~over], rank[~over], lengths[~over], at[~over], j[~over], least[~over]
-                if not len(at):
-                    break
+                    out[at[k]] = whole[k][inside[k]]
+                on = ~over
+                if not on.any():
+                    return out
+                lines = np.repeat(on, blocks)
+                ids, rank, least, lengths, before, after, at, block = ids[lines], rank[lines], least[on], lengths[on], before[on], after[on], at[on], block[on]
                 r = np.arange(len(at))
-            lengths = lengths - 1
-            wide = ids.shape[1]
-            ids[r, j] = least
-            # what stands right of the merged pair moves one place left
-            right = np.arange(wide - 1) > j[:, None]
-            ids, rank = np.where(right, ids[:, 1:], ids[:, :-1]), np.where(right, rank[:, 1:], rank[:, :-1])
-            ids, rank = ids[:, : (most := max(1, int(lengths.max())))], rank[:, :most]
-            for k in (j - 1, j):
-                ok = (k >= 0) & (k < lengths)
-                rr, kk = r[ok], k[ok]
-                last = kk + 1 >= lengths[ok]
-                rank[rr, kk] = np.where(last, NONE, self.pair(ids[rr, kk], np.where(last, -1, ids[rr, np.minimum(kk + 1, most - 1)])))
-        return out
-
-    def _wide(self, rows: list[bytes], width: int) -> list[np.ndarray]:
-        """The same merges for long rows: a round merges every pair of a row's minimum rank from the left, as the rounds of _matrix would one by one. Where a merge
-        makes a pair of a lower rank, that one comes first, so the round keeps to the leftmost merge."""
-        n = len(rows)
-        lengths = np.array([len(r) for r in rows])
-        inside = np.arange(width) < lengths[:, None]
-        ids = np.full((n, width + 2), -1, np.int32)  # two columns of none, so that all neighbours exist
-        ids[:, :width][inside] = self.byte[np.frombuffer(b"".join(rows), np.uint8)]
-        rank = self.pair(ids[:, :-1], ids[:, 1:])
-        while True:
-            least = rank.min(axis=1)
-            r, c = np.nonzero((rank == least[:, None]) & (least != NONE)[:, None])
-            if not len(r):
-                return [ids[k, : lengths[k]].copy() for k in range(n)]
-            # of pairs that overlap, every other one
-            new = np.concatenate([[True], (r[1:] != r[:-1]) | (c[1:] != c[:-1] + 1)])
-            run = np.flatnonzero(new)[np.cumsum(new) - 1]
-            r, c = (x[(np.arange(len(r)) - run) % 2 == 0] for x in (r, c))
-            made = least[r]
-            after_merge = np.concatenate([[False], (r[1:] == r[:-1]) & (c[1:] == c[:-1] + 2)])
-            left = np.where(after_merge, made, np.where(c > 0, ids[r, c - 1], -1))
-            lower = np.minimum(self.pair(left, made), self.pair(made, ids[r, c + 2])) < made
-            if lower.any():
-                first = np.concatenate([[True], r[1:] != r[:-1]])
-                ok = first | ~np.isin(r, r[lower])
-                r, c, made = r[ok], c[ok], made[ok]
-            # right halves leave, and the rest of the row moves up
-            ids[r, c] = made
-            gone = np.bincount(r, minlength=n)
-            number = np.arange(len(r)) - np.concatenate([[0], np.cumsum(gone)])[r]
-            stays = np.arange(ids.shape[1]) < lengths[:, None]
-            stays[r, c + 1] = False
-            lengths = lengths - gone
-            most = int(lengths.max())
-            held, ranks = ids[stays], rank[stays[:, :-1]]
-            inside = np.arange(most + 2) < lengths[:, None]
-            ids, rank = np.full((n, most + 2), -1, np.int32), np.full((n, most + 1), NONE, np.int32)
-            ids[inside], rank[inside[:, :-1]] = held, ranks
-            at = c - number
-            for k in (at - 1, at):
-                ok = k >= 0
-                rank[r[ok], k[ok]] = self.pair(ids[r[ok], k[ok]], ids[r[ok], k[ok] + 1])
+            if (most := max(1, int(lengths.max()))) * 2 <= ids.shape[1]:  # compaction of all blocks
+                ids, rank = ids[:, :most].copy(), rank[:, :most].copy()
+            line = r * blocks + block
+            j = rank[line].argmin(axis=1)  # leftmost minimum
+            ids[line, j] = least[r, block]
+            # the right half leaves: the next place, or the first one of the next block
+            across = j + 1 >= lengths[r, block]
+            other, gone = np.where(across, after[r, block], block), np.where(across, 0, j + 1)
+            where, right = r * blocks + other, np.arange(ids.shape[1] - 1) >= gone[:, None]
+            for m, none in ((ids, -1), (rank, NONE)):
+                old = m[where]
+                m[where, :-1] = np.where(right, old[:, 1:], old[:, :-1])
+                m[where, -1] = np.where(gone < old.shape[1], none, old[:, -1])
+            lengths[r, other] -= 1
+            if (empty := np.flatnonzero(lengths[r, other] == 0)).size:
+                x, y = before[empty, other[empty]], after[empty, other[empty]]
+                after[empty, x] = y
+                inner = y < blocks
+                before[empty[inner], y[inner]] = x[inner]
+            # ranks of the pairs of the merged place with its neighbours
+            follows = self._first(ids, lengths, after, r, block, j + 1)
+            rank[line, j] = self.pair(ids[line, j], follows)
+            ahead = np.where(j > 0, block, before[r, block])
+            left = np.flatnonzero(ahead >= 0)
+            b = ahead[left]
+            k = np.where(j[left] > 0, j[left] - 1, lengths[left, b] - 1)
+            to = left * blocks + b
+            rank[to, k] = self.pair(ids[to, k], ids[line[left], j[left]])
+            least[r, block] = rank[line].min(axis=1)
+            for some, of in ((np.flatnonzero(across), other), (np.flatnonzero((ahead != block) & (ahead >= 0)), ahead)):
+                if some.size:
+                    least[some, of[some]] = rank[some * blocks + of[some]].min(axis=1)
+
+    @staticmethod
+    def _first(ids: np.ndarray, lengths: np.ndarray, after: np.ndarray, r: np.ndarray, block: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """The id at place j of each row's block, or the first one of the block after it; -1 at the row's end."""
+        blocks = lengths.shape[1]
+        within = j < lengths[r, block]
+        b = np.where(within, block, after[r, block])
+        there = b < blocks
+        return np.where(there, ids[r * blocks + np.where(there, b, 0), np.where(within, j, 0)], -1)
 
     def encode_pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
         """Ids of each piece."""
@@ -176,10 +169,9 @@ class Vocabulary:
                 by.setdefault(1 << (len(p) - 1).bit_length(), []).append(i)
         for width, members in by.items():
             step = max(1, CELLS // width)
-            merged = self._matrix if width <= NARROW else self._wide
             for k in range(0, len(members), step):
                 part = members[k : k + step]
-                for i, ids in zip(part, merged([pieces[i] for i in part], width)):
+                for i, ids in zip(part, self._matrix([pieces[i] for i in part], width)):
                     out[i] = ids
         return out
 

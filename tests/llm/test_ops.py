@@ -565,6 +565,16 @@ def test_bpe(docs, empty, tokenizer):
     assert bpe.encode(empty, path, pattern).count() == 0
 
 
+def merged_one_by_one(vocabulary, word):
+    """A list of ids whose leftmost pair of minimum rank is merged until there is none."""
+    ranks = {t: i for i, t in enumerate(vocabulary.tokens)}
+    parts = [bytes([b]) for b in word]
+    while pairs := [(ranks[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]:
+        i = min(pairs)[1]
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+    return [ranks[p] for p in parts]
+
+
 def test_bpe_random(tokenizer):
     path, pattern, real = tokenizer
     vocabulary = bpe.Vocabulary(bpe.read_ranks(path))
@@ -576,10 +586,10 @@ def test_bpe_random(tokenizer):
     for i, t in enumerate(texts):
         assert ids[at[i] : at[i + 1]].tolist() == real.encode_ordinary(t)
     rows = ["antidisestablishmentarianism" * 12, "é" * 40, "a" * 300, "abab" * 70 + "a", "日本語" * 50] + ["".join(rng.choice("aeinrst") for _ in range(300)) for _ in range(40)]
-    for word in rows:  # one merge a round and several give the same
-        assert vocabulary._wide([word.encode()], 512)[0].tolist() == vocabulary._matrix([word.encode()], 512)[0].tolist()
-    together = vocabulary._wide([w.encode() for w in rows], 512)
-    assert all(a.tolist() == vocabulary._matrix([w.encode()], 512)[0].tolist() for a, w in zip(together, rows))
+    rows += ["".join(rng.choice("aeinrst") for _ in range(n)) for n in (255, 256, 257, 511, 512, 513, 1500)]  # blocks' edges
+    for found in (vocabulary.encode_pieces([w.encode() for w in rows]), vocabulary._matrix([w.encode() for w in rows], 2048)):
+        for ids, word in zip(found, rows):
+            assert ids.tolist() == merged_one_by_one(vocabulary, word.encode())
 
 
 def test_bpe_lower_ranks_come_first():
@@ -593,7 +603,7 @@ def test_bpe_lower_ranks_come_first():
         vocabulary = bpe.Vocabulary(b"\n".join(base64.b64encode(t) + b" %d" % i for i, t in enumerate(order)))
         for n in (1, 2, 7, 400):
             word = "".join(rng.choice("abc") for _ in range(n)).encode()
-            assert vocabulary._wide([word], 512)[0].tolist() == vocabulary._matrix([word], 512)[0].tolist()
+            assert vocabulary._matrix([word], 512)[0].tolist() == merged_one_by_one(vocabulary, word)
 
 
 def test_bpe_long_texts(spark, tokenizer):
