@@ -14,10 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..operators import chunk, dedup, enrich, identity, image
+from ..operators import chunk, dedup, enrich, identity, image, sentences
 from ..operators.taxonomy import Taxonomy, keyword_hits, table_hits
 from ..session import folder, spread, written
-from ..sources import extract, files, named, pdf, records
+from ..sources import extract, files, named, pdf, png, records
 from ..streaming import registry
 from . import workflow
 
@@ -41,6 +41,11 @@ PAGES = [("x/three.pdf", 1, " \n "), ("x/three.pdf", 2, "\nshort\nlonger line"),
 FENCES = [(-1, "a ```x``` b"), (-2, "```one``````two```"), (-3, "open ```fence"), (-4, "```only```"), (-5, ""), (-6, "```a\nb``` \n```c```")]
 PIXELS = [("grey", 100, 100, 100), ("grey", 50, 50, 50), ("red", 0, 0, 255), ("red", 0, 0, 250), ("mix", 10, 200, 30), ("mix", 90, 20, 220), ("mix", 0, 0, 0)]
 OCR = [("grey", 10), ("red", 11), ("mix", 50), ("none", 3)]
+ABBREVIATED = [
+    (-31, "Dr. Ash met Prof. Elm at approx. ten. The dean, Dr. Oak, left. He saw Dr. Ash and Mr. B. Yew (approx. 40 m. away). Was it she? the end... of it. No … yes."),
+    (-32, "Dr. Fir wrote to Prof. Ash. Prof. Oak wrote to Dr. Elm, who had approx. six of them, e.g. figs. They rest. \"The dean agrees.\" So do Dr. Fir, Prof. Elm etc. The rest agrees."),
+    (-33, "Is it true that he met Dr. Ash? The trees of Prof. Elm (approx. nine) rest.\tHe rests, too: the rest is so."), (-34, ""), (-35, " \n "), (-36, "one"), (-37, " a.b.c. D. e. "),
+]
 USED = ["100000", "100002", "x", "99", "100001 "]
 OLD = [("100001", "old title"), ("100003", "another"), ("999999", "kept")]
 CHUNK_FILES = [("c [100001]_chunk_9.txt", "nine"), ("c [100001]_chunk_10.txt", "ten"), ("q_5.txt", "five"), ("none.txt", "no id"), ("m [100000000]_chunk_1.txt", "no record"), ("m [099999]_chunk_1.txt", "none either")]
@@ -387,6 +392,50 @@ _COLOUR_SQL = (
 )
 
 
+def _pictures(spark: SparkSession, d: str) -> DataFrame:
+    """All events as pixels of PNG files, 1024 a file and 32 a row: colours by user and value, and the special pixels, which are a row each."""
+    events = _table(spark, d, "events").select(F.floor(F.col("event_id") / 1024).cast("string").alias("image_id"), F.floor(F.col("event_id") % 1024 / 32).cast("int").alias("y"), (F.col("event_id") % 32).cast("int").alias("x"), *_shades())
+    extra = _frame(spark, [(k, 0, i, b, g, r) for i, (k, b, g, r) in enumerate(PIXELS)], "image_id string, y int, x int, b int, g int, r int")
+    return png.png_files(events.unionByName(extra))
+
+
+def _shades() -> list:
+    return [F.pmod(F.coalesce(c, F.lit(0)), F.lit(256)).cast("int").alias(n) for n, c in (("b", F.col("user_id")), ("g", F.floor("value")), ("r", F.col("event_id")))]
+
+
+_PICTURES_SQL = (
+    "px AS (SELECT (event_id // 1024)::VARCHAR AS image_id, (event_id % 1024 // 32)::INT AS y, (event_id % 32)::INT AS x, (coalesce(user_id, 0) % 256)::INT AS b, (coalesce(floor(value), 0)::BIGINT % 256)::INT AS g, (event_id % 256)::INT AS r FROM events UNION ALL "
+    f"SELECT image_id, 0, x, b, g, r FROM {_values([(k, i, b, g, r) for i, (k, b, g, r) in enumerate(PIXELS)], 'v', 'image_id, x, b, g, r')}), "
+    "sized AS (SELECT image_id, max(y) + 1 AS height, max(x) + 1 AS width FROM px GROUP BY 1)"
+)
+
+
+def _prose(spark: SparkSession, d: str) -> DataFrame:
+    return _documents(spark, d, False).select("unique_id", "text").unionByName(_frame(spark, ABBREVIATED, "id int, text string").select(F.col("id").cast("string").alias("unique_id"), "text"))
+
+
+def _sentences(spark: SparkSession, d: str) -> DataFrame:
+    docs = _prose(spark, d)
+    return sentences.sentences(docs, sentences.learn(docs), "unique_id")
+
+
+def _sentences_sql() -> str:
+    """Counts (c), scores (s), and the two sets (abbr, openers) of all documents and the special texts; words with their cores as w."""
+    end, opening, closing, dotted = (p.replace("'", "''") for p in (sentences.END, sentences.OPENING, sentences.CLOSING, sentences.DOTTED))
+    total = "(SELECT least(greatest(sum(n_period) / sum(n_period + n_plain), 1e-9), 1 - 1e-9) FROM c)"
+    return (
+        f"WITH {_docs_sql(False)}, t AS (SELECT unique_id, text FROM d UNION ALL SELECT id::VARCHAR, text FROM {_values(ABBREVIATED, 'v', 'id, text')}), l AS (SELECT unique_id, text, regexp_extract_all(text, '{sentences.WORD}') AS l FROM t), "
+        f"x AS (SELECT unique_id, unnest(l) AS x, unnest(list_concat([''], l)) AS p, unnest(l[2:]) AS n, unnest(range(len(l))) AS i, unnest(regexp_extract_all(text, '{sentences.WORD}[\x20\x09-\x0D]*')) AS piece FROM l), "
+        f"w AS MATERIALIZED (SELECT *, lower(regexp_replace(core, '{closing}', '')) AS word, regexp_matches(core, '{dotted}') AS dotted, p = '' OR regexp_matches(p, '{end}') AS starts FROM (SELECT *, regexp_replace(x, '{opening}', '') AS core, regexp_replace(n, '{opening}', '') AS follows FROM x WHERE x IS NOT NULL)), "
+        "c AS MATERIALIZED (SELECT word, count_if(dotted) AS n_period, count_if(NOT dotted) AS n_plain, count_if(regexp_matches(core, '^\\p{Ll}')) AS n_lower, count_if(regexp_matches(core, '^\\p{Lu}') AND starts) AS n_start, count_if(regexp_matches(core, '^\\p{Lu}') AND NOT starts) AS n_mid "
+        "FROM w WHERE regexp_matches(word, '\\p{L}') GROUP BY word), "
+        f"s AS MATERIALIZED (SELECT *, CASE WHEN n_period > 0 THEN 2 * (n_period * (ln({sentences.STOPPED}) - ln(q)) + n_plain * (ln(1 - {sentences.STOPPED}) - ln(1 - q))) * exp(-letters) * (inn + 1) * pow(letters, -n_plain::DOUBLE) ELSE 0 END AS score "
+        f"FROM (SELECT *, length(replace(word, '.', ''))::DOUBLE AS letters, length(word) - length(replace(word, '.', '')) AS inn, {total} AS q FROM c)), "
+        f"abbr AS MATERIALIZED (SELECT word FROM s WHERE score >= {sentences.LEAST} ORDER BY score DESC, word LIMIT {sentences.MOST}), "
+        f"openers AS MATERIALIZED (SELECT word FROM s WHERE n_lower > 0 AND n_start > 0 AND n_mid = 0 ORDER BY n_start DESC, word LIMIT {sentences.MOST}) "
+    )
+
+
 def _summary(spark: SparkSession, d: str) -> DataFrame:
     """Repair, normalise and classify all documents; counts per category, and mean relevance."""
     t = X.skip_words(X.strip_punct_lower(F.col("text")))
@@ -661,6 +710,26 @@ _QUERIES: dict[str, tuple[Callable, str | None]] = {
         lambda s, d: _colours(s, d).join(_frame(s, OCR, "image_id string, ocr_words int"), "image_id", "left").select("image_id", image.keep(F.col("colorfulness"), F.coalesce("ocr_words", F.lit(11))).alias("keep")),
         f"WITH {_COLOUR_SQL} SELECT image_id, c >= 10 OR coalesce(w, 11) <= 10 AS keep FROM colour LEFT JOIN {_values(OCR, 'o', 'image_id, w')} o USING (image_id)",
     ),
+    "png_images": (
+        lambda s, d: png.read_images(_pictures(s, d)).select(F.regexp_replace("path", "[.]png$", "").alias("image_id"), "height", "width", F.round("colorfulness", 6).alias("colorfulness"), image.keep(F.col("colorfulness"), F.lit(11)).alias("keep")),
+        f"WITH {_PICTURES_SQL}, m AS (SELECT image_id, height, width, sum(abs(r - g)) / (height * width) AS m1, sum(abs(r - g) ** 2) / (height * width) AS q1, sum(abs(0.5 * (r + g) - b)) / (height * width) AS m2, sum(abs(0.5 * (r + g) - b) ** 2) / (height * width) AS q2 FROM px JOIN sized USING (image_id) GROUP BY image_id, height, width), "
+        "c AS (SELECT *, sqrt(greatest(q1 - m1 ** 2 + q2 - m2 ** 2, 0)) + 0.3 * sqrt(m1 ** 2 + m2 ** 2) AS c FROM m) SELECT image_id, height, width, round(c, 6) AS colorfulness, c >= 10 AS keep FROM c",
+    ),
+    "png_pixels": (
+        lambda s, d: png.read_pixels(_pictures(s, d)).select(F.regexp_replace("path", "[.]png$", "").alias("image_id"), "y", "x", "b", "g", "r"),
+        f"WITH {_PICTURES_SQL}, places AS (SELECT image_id, y, unnest(range(width))::INT AS x FROM (SELECT image_id, unnest(range(height))::INT AS y, width FROM sized)) SELECT image_id, y, x, coalesce(b, 0) AS b, coalesce(g, 0) AS g, coalesce(r, 0) AS r FROM places LEFT JOIN px USING (image_id, y, x)",
+    ),
+    "word_stops": (
+        lambda s, d: sentences.scored(written(sentences.counts(_prose(s, d)))).withColumn("score", F.round(F.greatest(F.col("score"), F.lit(0.0)), 3)),
+        _sentences_sql() + "SELECT word, n_period, n_plain, n_lower, n_start, n_mid, round(greatest(score, 0), 3) AS score FROM s",
+    ),
+    "sentences_learned": (
+        _sentences,
+        _sentences_sql() + f", cut AS (SELECT *, regexp_matches(x, '{sentences.END.replace("'", "''")}') AND CASE WHEN regexp_matches(core, '{sentences.ELLIPSIS}') THEN NOT regexp_matches(coalesce(follows, ''), '^\\p{{Ll}}') "
+        f"WHEN dotted AND (word IN (FROM abbr) OR regexp_matches(word, '^\\p{{L}}\\z')) THEN regexp_matches(coalesce(follows, ''), '^\\p{{Lu}}') AND lower(regexp_replace(follows, '{sentences.CLOSING.replace("'", "''")}', '')) IN (FROM openers) ELSE true END AS cuts FROM w), "
+        "numbered AS (SELECT unique_id, i, piece, 1 + coalesce(sum(cuts::INT) OVER (PARTITION BY unique_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sent_no FROM cut) "
+        "SELECT unique_id, sent_no::INT AS sent_no, regexp_replace(string_agg(piece, '' ORDER BY i), '[\\x20\\x09-\\x0D]+\\z', '') AS sentence FROM numbered GROUP BY ALL",
+    ),
     "pipeline_summary": (_summary, _summary_sql()),
     "workflow_json": (_workflow, None),
     "workflow_words": (_workflow_words, _workflow_sql()),
