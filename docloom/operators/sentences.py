@@ -18,8 +18,9 @@ from ..session import written
 STOPPED, LEAST = 0.99, 0.3
 #: Words of each of a model's two sets, the best by score and by count: some MB for a worker at most, whatever the corpus.
 MOST = 50_000
-#: Words, sentence ends, and what comes before a word's letters and after them, as patterns that Java, RE2 and Python read alike.
+#: Words, marks of sentence ends and what may close them, the same as a pattern, and what comes before a word's letters and after them, as patterns that Java, RE2 and Python read alike.
 WORD = r"[^\x20\x09-\x0D]+"
+MARKS, CLOSERS = (".", "!", "?", "…"), "\"'”’)]"
 END = "[.!?…][.!?…\"'”’)\\]]*\\z"
 OPENING = "^[\"'“‘(\\[]+"
 CLOSING = "[.,;:!?…\"'”’)\\]]+\\z"
@@ -32,11 +33,14 @@ def counts(docs: DataFrame, text: str = "text") -> DataFrame:
     (n_plain), in lower case (n_lower), and with a capital after a sentence's end (n_start) and elsewhere (n_mid). Null and empty texts have no words."""
     words = docs.select(F.regexp_extract_all(F.col(text), F.lit(f"({WORD})"), 1).alias("w"))
     pairs = words.select(F.explode(F.arrays_zip(F.col("w").alias("x"), F.concat(F.array(F.lit("")), F.col("w")).alias("p"))).alias("z")).select("z.x", "z.p").filter("x IS NOT NULL")
-    core = F.regexp_replace("x", OPENING, "")
-    seen = pairs.select(core.alias("core"), ((F.col("p") == "") | F.col("p").rlike(END)).alias("starts"))
-    seen = seen.select(F.lower(F.regexp_replace("core", CLOSING, "")).alias("word"), F.col("core").rlike(DOTTED).alias("dotted"), F.col("core").rlike(r"^\p{Ll}").alias("low"), F.col("core").rlike(r"^\p{Lu}").alias("high"), "starts")
+    # equal words are added up first, so that the patterns see each once a task's share
+    ended = F.right(F.rtrim("p", F.lit(CLOSERS)), F.lit(1)).isin(*MARKS)
+    held = pairs.groupBy("x", ((F.col("p") == "") | ended).alias("starts")).agg(F.count("*").alias("n"))
+    seen = held.withColumn("core", F.regexp_replace("x", OPENING, ""))
+    seen = seen.select(F.lower(F.regexp_replace("core", CLOSING, "")).alias("word"), F.col("core").rlike(DOTTED).alias("dotted"), F.col("core").rlike(r"^\p{Ll}").alias("low"), F.col("core").rlike(r"^\p{Lu}").alias("high"), "starts", "n")
     low, high, dotted, starts = (F.col(c) for c in ("low", "high", "dotted", "starts"))
-    return seen.filter(F.col("word").rlike(r"\p{L}")).groupBy("word").agg(*[F.count_if(c).alias(n) for n, c in (("n_period", dotted), ("n_plain", ~dotted), ("n_lower", low), ("n_start", high & starts), ("n_mid", high & ~starts))])
+    columns = (("n_period", dotted), ("n_plain", ~dotted), ("n_lower", low), ("n_start", high & starts), ("n_mid", high & ~starts))
+    return seen.filter(F.col("word").rlike(r"\p{L}")).groupBy("word").agg(*[F.sum(F.when(c, F.col("n")).otherwise(0)).alias(n) for n, c in columns])
 
 
 def score(periods: int, words: int) -> Column:
