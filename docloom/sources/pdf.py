@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import base64
 import re
+import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -36,6 +38,25 @@ class Ref(int):
     pass
 
 
+@lru_cache(maxsize=4096)
+def _name(raw: bytes) -> Name:
+    return Name(re.sub(rb"#([0-9A-Fa-f]{2})", lambda x: bytes([int(x[1], 16)]), raw).decode("latin-1"))
+
+
+@lru_cache(maxsize=4096)
+def _word(raw: bytes) -> object:
+    w = raw.decode("latin-1")
+    return {"true": True, "false": False, "null": None}.get(w, Word(w))
+
+
+def _hexed(raw: bytes) -> bytes:
+    try:
+        return bytes.fromhex(raw.decode())
+    except ValueError:  # an odd digit, or a blank within a byte
+        digits = re.sub(rb"[^0-9A-Fa-f]", b"", raw)
+        return bytes.fromhex((digits + b"0" * (len(digits) % 2)).decode())
+
+
 def _string(data: bytes, at: int) -> tuple[bytes, int]:
     """The literal string whose opening bracket lies before `at`."""
     out, deep = [], 1
@@ -69,16 +90,14 @@ def values(data: bytes, at: int = 0, refs: bool = True) -> Iterator[tuple[object
         elif number is not None:
             v = float(number) if b"." in number else int(number)
         elif name is not None:
-            v = Name(re.sub(rb"#([0-9A-Fa-f]{2})", lambda x: bytes([int(x[1], 16)]), name).decode("latin-1"))
+            v = _name(name)
         elif hexed is not None:
-            digits = re.sub(rb"[^0-9A-Fa-f]", b"", hexed)
-            v = bytes.fromhex((digits + b"0" * (len(digits) % 2)).decode())
+            v = _hexed(hexed)
         elif opening:
             v, at = _string(data, at)
         else:
-            w = word.decode("latin-1")
-            v = {"true": True, "false": False, "null": None}.get(w, Word(w))
-            if refs and w == "R" and stack and len(stack[-1]) > 2:
+            v = _word(word)
+            if refs and word == b"R" and stack and len(stack[-1]) > 2:
                 stack[-1][-2:] = [Ref(stack[-1][-2])]
                 continue
         if stack:
@@ -223,24 +242,61 @@ def unfiltered(raw: bytes, width: int, step: int) -> bytes:
     return bytes(out)
 
 
+@lru_cache(maxsize=64)
+def _said_by(data: bytes) -> tuple[dict[int, bytes], list[tuple[int, int, bytes | list]]]:
+    """Codes and ranges of codes of a ToUnicode table, each with what it says. Files of one maker have the same table, which is read once in a worker."""
+    says: dict[int, bytes] = {}
+    ranges: list[tuple[int, int, bytes | list]] = []
+    held: list = []
+    for v, _ in values(data):
+        if v == "endbfchar":
+            says |= {int.from_bytes(a, "big"): b for a, b in zip(held[::2], held[1::2])}
+        elif v == "endbfrange":
+            for a, z, b in zip(held[::3], held[1::3], held[2::3]):
+                ranges.append((int.from_bytes(a, "big"), int.from_bytes(z, "big"), b))
+        held = [] if isinstance(v, Word) else [*held, v]
+    return says, ranges
+
+
+@lru_cache(maxsize=64)
+def _units(data: bytes) -> Units:
+    return Units(*_said_by(data))
+
+
+class Units(dict):
+    """Codes to what they say, in UTF-16; each is looked for in the ranges once."""
+
+    def __init__(self, says: dict, ranges: list) -> None:
+        self.says, self.ranges = says, ranges
+
+    def __missing__(self, code: int) -> bytes:
+        x = self.says.get(code)
+        if x is None or not isinstance(x, bytes) and self.ranges:
+            a, b = next(((a, b) for a, z, b in self.ranges if a <= code <= z), (code, None))
+            if isinstance(b, list):
+                b, a = (b[code - a] if code - a < len(b) else None), code
+            x = (b[:-2] + (int.from_bytes(b[-2:], "big") + code - a & 65535).to_bytes(2, "big")) if b is not None else "�" if x is None else x
+        self[code] = x if isinstance(x, bytes) else x.encode("utf-16-be")
+        return self[code]
+
+
 class Font:
     """How a font's bytes are cut into codes, what they say and how wide they are."""
 
     def __init__(self, file: File, font: dict) -> None:
         get = file.get
-        self.wide, self.says, self.widths, self.default = get(font.get("Subtype")) == "Type0", {}, {}, 500
-        self.ranges: list[tuple[int, int, bytes | list]] = []
+        self.wide, says, self.widths, self.default = get(font.get("Subtype")) == "Type0", {}, {}, 500
         encoding = get(font.get("Encoding"))
         base = encoding.get("BaseEncoding") if isinstance(encoding, dict) else encoding
         if not self.wide:
-            self.says = {i: bytes([i]).decode("mac_roman" if base == "MacRomanEncoding" else "cp1252", "replace") for i in range(256)}
+            says = {i: bytes([i]).decode("mac_roman" if base == "MacRomanEncoding" else "cp1252", "replace") for i in range(256)}
             code = 0
             for x in get(encoding.get("Differences")) or [] if isinstance(encoding, dict) else []:
                 if isinstance(x, int):
                     code = x
                     continue
                 if len(x) == 1 or re.fullmatch("u(ni)?[0-9A-F]{4,6}", x):
-                    self.says[code] = x if len(x) == 1 else chr(int(x.lstrip("uni"), 16))
+                    says[code] = x if len(x) == 1 else chr(int(x.lstrip("uni"), 16))
                 code += 1
             first = get(font.get("FirstChar")) or 0
             self.widths = {first + i: get(w) for i, w in enumerate(get(font.get("Widths")) or [])}
@@ -256,30 +312,18 @@ class Font:
                     self.widths |= dict.fromkeys(range(w[0], min(w[1], 65535) + 1), w[2])
                     w = w[3:]
         said = get(font.get("ToUnicode"))
-        if isinstance(said, tuple):
-            held: list = []
-            for v, _ in values(file.unpacked(*said)):
-                if v == "endbfchar":
-                    self.says |= {int.from_bytes(a, "big"): b for a, b in zip(held[::2], held[1::2])}
-                elif v == "endbfrange":
-                    for a, z, b in zip(held[::3], held[1::3], held[2::3]):
-                        self.ranges.append((int.from_bytes(a, "big"), int.from_bytes(z, "big"), b))
-                held = [] if isinstance(v, Word) else [*held, v]
-
-    def _said(self, code: int) -> str | bytes:
-        """What a code says: looked for in the ranges once."""
-        if code not in self.says or not isinstance(self.says[code], bytes) and self.ranges:
-            a, b = next(((a, b) for a, z, b in self.ranges if a <= code <= z), (code, None))
-            if isinstance(b, list):
-                b, a = (b[code - a] if code - a < len(b) else None), code
-            self.says[code] = (b[:-2] + (int.from_bytes(b[-2:], "big") + code - a & 65535).to_bytes(2, "big")) if b is not None else self.says.get(code, "�")
-        return self.says[code]
+        data = file.unpacked(*said) if isinstance(said, tuple) else b""
+        if self.wide:
+            self.units = _units(data)
+        else:
+            codes, ranges = _said_by(data)
+            self.units = Units(says | codes, ranges)
 
     def read(self, raw: bytes) -> tuple[str, float, int]:
         """The text, its width in thousandths of the size, and the number of codes."""
-        codes = [int.from_bytes(raw[i : i + 2], "big") for i in range(0, len(raw) - 1, 2)] if self.wide else list(raw)
-        units = b"".join(x if isinstance(x, bytes) else x.encode("utf-16-be") for x in map(self._said, codes))
-        return units.decode("utf-16-be", "replace"), sum(self.widths.get(c) or self.default for c in codes), len(codes)
+        codes = struct.unpack(f">{len(raw) // 2}H", raw[: len(raw) // 2 * 2]) if self.wide else raw
+        text = b"".join(map(self.units.__getitem__, codes)).decode("utf-16-be", "replace")
+        return text, sum(self.widths.get(c) or self.default for c in codes) if self.widths else self.default * len(codes), len(codes)
 
 
 def _times(a: tuple, b: tuple) -> tuple:
@@ -527,23 +571,28 @@ def own_extractor(most: int = 5) -> extract.Extractor:
 # --- writing ------------------------------------------------------------------------------------
 
 
-def write_pdf(pages: list[tuple[list[tuple[float, float, float, str]], list[tuple[float, float, float, float]]]], title: str | None = None) -> bytes:
-    """A PDF file of pages, each a list of texts (x, y, size, text) and one of ruled lines (x0, y0, x1, y1). Codes are UTF-16 units, so that every text is written as it is."""
+@lru_cache(maxsize=1)
+def _plain_table() -> bytes:
+    """The packed ToUnicode table of codes that are UTF-16 units: the same in every file."""
     ranges = [f"<{h:02x}00> <{h:02x}ff> <{h:02x}00>" for h in range(256)]
     blocks = "\n".join(f"{len(ranges[i : i + 64])} beginbfrange\n" + "\n".join(ranges[i : i + 64]) + "\nendbfrange" for i in range(0, 256, 64))
-    cmap = f"/CIDInit /ProcSet findresource begin begincmap 1 begincodespacerange <0000> <ffff> endcodespacerange\n{blocks}\nendcmap end".encode()
+    return zlib.compress(f"/CIDInit /ProcSet findresource begin begincmap 1 begincodespacerange <0000> <ffff> endcodespacerange\n{blocks}\nendcmap end".encode())
+
+
+def write_pdf(pages: list[tuple[list[tuple[float, float, float, str]], list[tuple[float, float, float, float]]]], title: str | None = None) -> bytes:
+    """A PDF file of pages, each a list of texts (x, y, size, text) and one of ruled lines (x0, y0, x1, y1). Codes are UTF-16 units, so that every text is written as it is."""
     objects: list[bytes] = []
 
     def add(head: str, stream: bytes | None = None) -> int:
+        """A further object; a stream comes packed."""
         if stream is not None:
-            stream = zlib.compress(stream)
             objects.append(f"<< {head} /Filter /FlateDecode /Length {len(stream)} >>\nstream\n".encode() + stream + b"\nendstream")
         else:
             objects.append(head.encode())
         return len(objects)
 
     tree = 4 + 2 * len(pages) + 1
-    said = add("", cmap)
+    said = add("", _plain_table())
     below = add("<< /Type /Font /Subtype /CIDFontType2 /BaseFont /Plain /CIDSystemInfo << /Registry (Adobe) /Ordering (Identity) /Supplement 0 >> /DW 500 >>")
     font = add(f"<< /Type /Font /Subtype /Type0 /BaseFont /Plain /Encoding /Identity-H /DescendantFonts [{below} 0 R] /ToUnicode {said} 0 R >>")
     info = add(f"<< /Title <feff{title.encode('utf-16-be', 'surrogatepass').hex()}> >>" if title is not None else "<< >>")
@@ -551,7 +600,7 @@ def write_pdf(pages: list[tuple[list[tuple[float, float, float, str]], list[tupl
     for texts_, rules in pages:
         shown = [f"BT /F {s:g} Tf 1 0 0 1 {x:g} {y:g} Tm <{t.encode('utf-16-be', 'surrogatepass').hex()}> Tj ET" for x, y, s, t in texts_]
         ruled = [f"{a:g} {b:g} m {c:g} {d:g} l S" for a, b, c, d in rules]
-        content = add("", "\n".join(ruled + shown).encode())
+        content = add("", zlib.compress("\n".join(ruled + shown).encode()))
         kids.append(add(f"<< /Type /Page /Parent {tree} 0 R /MediaBox [0 0 595 842] /Resources << /Font << /F {font} 0 R >> >> /Contents {content} 0 R >>"))
     add(f"<< /Type /Pages /Count {len(kids)} /Kids [{' '.join(f'{k} 0 R' for k in kids)}] >>")
     root = add(f"<< /Type /Catalog /Pages {tree} 0 R >>")
