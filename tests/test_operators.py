@@ -20,6 +20,8 @@ from docloom.plans import catalog, workflow
 from docloom.sources import extract, files
 from docloom.streaming import ingest
 
+from .conftest import SF
+
 W = chunk.Words()
 TEXT = st.lists(st.sampled_from(["One two. ", "Three! ", "four five six ", "```code here``` ", "\n", "é? ", "open ``` ", ". . "]), max_size=25).map("".join)
 
@@ -138,6 +140,13 @@ def test_relevance(spark):
     assert got == [want(t) for t in texts]
 
 
+def test_texts_go_to_python_once(spark):
+    """Repair, normal form, words to skip, labels and relevance are one pass over a text, and none of Java's patterns goes through it."""
+    plan = catalog.queries()["pipeline_summary"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 2  # the documents, and the special rows
+    assert "regexp_replace" not in plan and "split(" not in plan
+
+
 def test_taxonomy_file(spark):
     t = Taxonomy.load(spark, catalog.TAXONOMY)
     assert t.table(spark).groupBy("dim").count().count() == 4 and t.table(spark).filter("keyword = 'quest'").count() == 2

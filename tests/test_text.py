@@ -97,3 +97,23 @@ def test_stem(spark, path, want):
 def test_with_id(spark):
     row = spark.createDataFrame([("a", "123456"), ("a [123456]", "123456")], "b string, i string").select(X.with_id(F.col("b"), F.col("i")).alias("x")).collect()
     assert [r.x for r in row] == ["a [123456]"] * 2
+
+
+@pytest.mark.parametrize(("rule", "want"), [(X.clean_ocr_text, clean_ocr), (X.normalize_text, normal), (X.strip_punct_lower, plain)])
+def test_letters_and_digits_of_newer_unicode(spark, rule, want):
+    """Letters and digits younger than the JVM's tables are letters and digits to Python, and to SQL."""
+    texts = ["a.\U0001e4d0 \U0001e4d0NUL NUL\U00010570", "\U00011f50\U00011f51" * 3 + " x", "\U00012fec,\U00012fec!"]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", rule(F.col("t")).alias("out")).collect()
+    assert {r.i: r.out for r in got} == {i: want(t) for i, t in enumerate(texts)}
+
+
+def test_more_rows_than_a_kernel_sees(spark):
+    n = 2 * X.ROWS + 1
+    rule = lambda c: X.keyword_text(X.normalize_text(X.clean_ocr_text(c)), 3)
+    rows = spark.range(n).repartition(1).select("id", rule(F.when(F.col("id") % 7 > 0, F.concat(F.lit("İ Σας\t- NUL. "), F.col("id").cast("string"), F.lit("  Ab,c")))).alias("t")).collect()
+    assert {r.id: r.t for r in rows} == {i: skip(plain(normal(clean_ocr(f"İ Σας\t- NUL. {i}  Ab,c")))) if i % 7 else None for i in range(n)}
+
+
+def test_broken_utf8_is_no_error(spark):
+    rows = spark.sql("SELECT CAST(X'20ff2e2e41ff' AS STRING) AS t").select(*[rule(F.col("t")).alias(f"c{i}") for i, (rule, _) in enumerate(RULES[:4])]).select(*[F.hex(f"c{i}") for i in range(4)])
+    assert all(rows.first())
