@@ -114,6 +114,33 @@ def test_ids(spark):
         identity.assign_ids(spark.range(1), full, [F.col("id")])
 
 
+@pytest.fixture(scope="module")
+def ranks():
+    make, args = catalog._tokenizer()
+    return make(*args)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["one", "Two's", " ", "  ", "\n", "\t", "\x1c", "\u00a0", "\u3000", "\x85", ".", "!?", "12", "é", "\u0301", "'s", "_", "```", "🙂"]), max_size=60).map("".join))
+def test_tail(ranks, text):
+    assert all(ranks.tail(text, n) == ranks.encode(text)[-n:] for n in (1, 2, 3, 5))
+
+
+@settings(max_examples=300, deadline=None)
+@given(TEXT, st.integers(1, 40), st.integers(0, 8))
+def test_pack_uncounted(ranks, text, most, overlap):
+    assert all(chunk.pack_uncounted(text, t, most, overlap) == [c for c, _ in chunk.pack(text, t, most, overlap)] for t in (W, ranks))
+
+
+def test_short_texts_are_not_encoded():
+    """To be packed; and of a long chunk not all is, to find its last tokens."""
+    make, args = catalog._tokenizer()
+    t, encode, seen = make(*args), make(*args).encode, []
+    t.encode = lambda text: seen.append(len(text)) or encode(text)
+    assert chunk.pack_uncounted("The same words. " * 180, t) == [("The same words. " * 180).strip()] and not seen
+    assert t.tail("The same words. " * 9000, 200) == encode("The same words. " * 9000)[-200:] and sum(seen) < 4000
+
+
 # --- taxonomy and metadata ----------------------------------------------------------------------
 
 TAX = Taxonomy.parse('{"CATEGORY_KEYWORDS": {"A": ["Xx", "yy", ""], "B": ["zz", "yy", "zz"], "C": ["q-q"]}, "TAG_KEYWORDS": {"T1": ["aa"], "T2": ["aa", "b"], "T3": ["aa"], "T4": ["aa"], "T5": ["aa"], "T6": ["aa"]}, "RESEARCH_TYPE_KEYWORDS": {}, "SENTIMENT_TYPE": {"S": ["s"]}}')
