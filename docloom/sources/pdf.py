@@ -6,7 +6,7 @@ import base64
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -423,15 +423,19 @@ def items(file: File, page: dict, deep: int = 0, ctm: tuple = (1, 0, 0, 1, 0, 0)
                 yield from items(file, {"Contents": form, "Resources": form[0].get("Resources", resources)}, deep + 1, _times(matrix, ctm))
 
 
-def read_items(files: DataFrame) -> DataFrame:
-    """Rows of ITEM of files (path, content): spans and rules, a row `page` for each page, one `title`, and one `error` where a file or a page can't be read."""
+def read_items(files: DataFrame, read: Callable[[str], bytes] | None = None) -> DataFrame:
+    """Rows of ITEM of files (path, content): spans and rules, a row `page` for each page, one `title`, and one `error` where a file or a page can't be read.
+
+    With read, such as sources.named.Reader, files are (path), and tasks get the content of each from it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for rows in _batched(r for path, content in zip(b.column(0), b.column(1)) for r in _rows(path.as_py(), content.as_py() or b"")):
+            paths = b.column(0).to_pylist()
+            contents = map(read, paths) if read else (c.as_py() for c in b.column(1))
+            for rows in _batched(r for path, content in zip(paths, contents) for r in _rows(path, content or b"")):
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), [pa.string(), pa.int32(), pa.int32(), pa.string(), *[pa.float64()] * 5, pa.string()])], names=_COLUMNS)
 
-    return files.select("path", "content").mapInArrow(run, ITEM)
+    return files.select("path", *["content"] * (read is None)).mapInArrow(run, ITEM)
 
 
 def _batched(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
